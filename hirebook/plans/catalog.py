@@ -240,3 +240,38 @@ def _bank_missing_vat(b):
 def _integrity_summary(b):
     return I.integrity_summary(b.relocation, b.ep_bf, b.account_bf, b.chart_of_accounts,
                                b.bankstatement, b.aje)
+
+
+# -- statements (L10, L11) -----------------------------------------------------
+from hirebook.operators import statements as ST  # noqa: E402
+
+COMPILE_FROM, COMPILE_PERIODS, COMPILE_FREQ = "1996-12-31", 3, "Q"
+
+
+def report_format(b: Book) -> ST.ReportFormat:
+    return ST.ReportFormat(b.report_template, b.report_mapping, b.cf_mapping)
+
+
+def ledger_tables(b: Book) -> ST.LedgerTables:
+    return ST.LedgerTables(b.chart_of_accounts, b.bankstatement, b.aje, b.account_bf)
+
+
+def _single(kind):
+    def fn(b):
+        amounts = ST.single_period_amounts(kind, ledger_tables(b), P.bf_date, P.start, P.end)
+        return ST.statement(kind, amounts, report_format(b))
+    fn.__doc__ = f"L10: {kind} statement of the test period."
+    return fn
+
+
+def _compiled(kind):
+    def fn(b):
+        return ST.compile_statement(b.spark, kind, ledger_tables(b), report_format(b), P.bf_date,
+                                    COMPILE_FROM, COMPILE_PERIODS, COMPILE_FREQ)
+    fn.__doc__ = f"L11: {kind} statement for {COMPILE_PERIODS} quarters from {COMPILE_FROM}."
+    return fn
+
+
+for _k in ("FP", "PL", "CF"):
+    query(f"statement_{_k.lower()}")(_single(_k))
+    query(f"compile_{_k.lower()}")(_compiled(_k))
