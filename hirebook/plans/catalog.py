@@ -275,3 +275,65 @@ def _compiled(kind):
 for _k in ("FP", "PL", "CF"):
     query(f"statement_{_k.lower()}")(_single(_k))
     query(f"compile_{_k.lower()}")(_compiled(_k))
+
+
+# -- payroll (W1-W5), depreciation (D1-D3) ------------------------------------
+from hirebook.operators import depreciation as D  # noqa: E402
+from hirebook.operators import payroll as W  # noqa: E402
+
+PAYROLL_MONTH = (2021, 3)
+DEPR_MONTH, DEPR_JANUARY = (2000, 6), (2000, 1)
+
+
+def _w1(b):
+    return W.payroll_month(b.payroll, b.worker_info, *PAYROLL_MONTH)
+
+
+@query("payroll_month")
+def _payroll_month(b):
+    return _w1(b)
+
+
+@query("payroll_regular")
+def _payroll_regular(b):
+    return W.payroll_regular(_w1(b), *PAYROLL_MONTH)
+
+
+@query("payroll_associate")
+def _payroll_associate(b):
+    return W.payroll_associate(_w1(b), *PAYROLL_MONTH)
+
+
+@query("payroll_external")
+def _payroll_external(b):
+    return W.payroll_external(_w1(b), *PAYROLL_MONTH)
+
+
+@query("payroll_journal")
+def _payroll_journal(b):
+    return W.payroll_journal(b.payroll, b.worker_info, *PAYROLL_MONTH)
+
+
+@query("ppe_list")
+def _ppe_list(b):
+    return D.ppe_list(b.ppe_list)
+
+
+@query("depr_by_user")
+def _depr_by_user(b):
+    return D.depr_by_user(b.ppe_list, *DEPR_MONTH)
+
+
+@query("depr_by_user_january")
+def _depr_by_user_january(b):
+    return D.depr_by_user(b.ppe_list, *DEPR_JANUARY)
+
+
+@query("depr_journal")
+def _depr_journal(b):
+    return D.depr_journal(b.ppe_list, b.depr_alloc, *DEPR_MONTH)
+
+
+@query("depr_journal_all")
+def _depr_journal_all(b):
+    return D.depr_journal(b.ppe_list, b.depr_alloc, *DEPR_MONTH, distinct=False)
