@@ -337,3 +337,84 @@ def _depr_journal(b):
 @query("depr_journal_all")
 def _depr_journal_all(b):
     return D.depr_journal(b.ppe_list, b.depr_alloc, *DEPR_MONTH, distinct=False)
+
+
+# -- sources and sinks (S1-S7) ---------------------------------------------------
+from pyspark.sql import functions as F  # noqa: E402
+
+from hirebook.session import scratch_path  # noqa: E402
+from hirebook.sources import loaders as LD  # noqa: E402
+
+
+@query("table_read")
+def _table_read(b):
+    """A whole business table."""
+    return b.invoice
+
+
+@query("filtered_read")
+def _filtered_read(b):
+    """S3: a table read with a predicate (a Column, pushed to the scan)."""
+    return b.bankstatement.where(F.col("ma_account_id") == P.ar_code)
+
+
+@query("schedule_load")
+def _schedule_load(b):
+    """Write a schedule folder (CSV with header), read it back typed."""
+    path = scratch_path(b.spark, "schedule")
+    LD.write_schedule({"relocation": b.relocation, "bankstatement": b.bankstatement}, path)
+    return LD.load_schedule(b.spark, path, ["relocation"]).relocation
+
+
+@query("report_format")
+def _report_format(b):
+    """Write the mapping and template files, load and split them."""
+    path = scratch_path(b.spark, "format")
+    rm, cm = b.report_mapping, b.cf_mapping
+    mapping = rm.select("ma_account_id", "ma_account_name", "fp", "pl", F.lit(None).cast("string").alias("cf")) \
+        .unionAll(cm.select(F.col("cf_account_id").cast("string"), F.lit(None).cast("string"),
+                            F.lit(None).cast("string"), F.lit(None).cast("string"), "cf"))
+    LD.write_table(mapping, f"{path}/FRmapping.csv")
+    LD.write_table(b.report_template, f"{path}/Financial Reports.csv")
+    fmt = LD.load_report_format(b.spark, path)
+    acc = fmt.account_mapping
+    return (acc.where(F.col("fp").isNotNull()).select(F.lit("FP").alias("fr"), F.col("ma_account_id").alias("account"),
+                                                       F.col("fp").alias("code"))
+            .unionAll(acc.where(F.col("pl").isNotNull()).select(F.lit("PL"), "ma_account_id", "pl"))
+            .unionAll(fmt.cf_mapping.select(F.lit("CF"), F.col("cf_account_id").cast("string"), "cf")))
+
+
+@query("code_table_load")
+def _code_table_load(b):
+    """A two-column code sheet without header, typed on load."""
+    path = scratch_path(b.spark, "codes")
+    b.equip_type.write.mode("overwrite").option("header", False).csv(path)
+    return LD.load_code_table(b.spark, path, "equip_type_name", "equip_type_id",
+                              schema="equip_type_name string, equip_type_id int")
+
+
+@query("record_table_load")
+def _record_table_load(b):
+    """A record sheet whose first row names the columns."""
+    path = scratch_path(b.spark, "records")
+    LD.write_table(b.vq_wholesale, path)
+    return LD.load_record_table(b.spark, path, "qt_id bigint, entry_date date, exit_date date")
+
+
+@query("codedef_load")
+def _codedef_load(b):
+    """Metadata-driven load of code tables and the four record tables;
+    reports the rows loaded per table."""
+    path = scratch_path(b.spark, "equipment")
+    defs = b.spark.createDataFrame([("equip_type", "equip_type_name", "equip_type_id")], "t string, c1 string, c2 string")
+    defs.write.mode("overwrite").option("header", False).csv(f"{path}/codedefinition")
+    b.equip_type.write.mode("overwrite").option("header", False).csv(f"{path}/equip_type")
+    for name, df in {"equip_info": b.equip_dailycost, "change_record": b.vq_wholesale,
+                     "relocation_record": b.relocation, "mro_record": b.depr_alloc}.items():
+        LD.write_table(df, f"{path}/{name}")
+    loaded = LD.load_equipment_schedule(b.spark, path)
+    out = None
+    for name in sorted(loaded):
+        one = loaded[name].agg(F.count(F.lit(1)).alias("loaded_rows")).select(F.lit(name).alias("table_name"), "loaded_rows")
+        out = one if out is None else out.unionAll(one)
+    return out
