@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hirebook.operators.rental import (REVENUE, STD_COST, RentTables,
-                                       accrued_revenue, std_cost_by_contract)
+                                       accrued_revenue, shared_summary,
+                                       std_cost_by_contract)
 
 
 def contract_profitability(t: RentTables, equip_dailycost: DataFrame, start, end,
@@ -18,10 +19,11 @@ def contract_profitability(t: RentTables, equip_dailycost: DataFrame, start, end
     reports do); ``literal_id=False`` reports the revenue side's id.
     A contract quoted to several parties yields one row per party.
     """
-    rev = (accrued_revenue(t, start, end)
+    summary = shared_summary(t.relocation, start, end)
+    rev = (accrued_revenue(t, start, end, summary=summary)
            .groupBy(F.col("q_id").alias("leftid"))
            .agg(F.sum(REVENUE).alias("Revenue")))
-    cost = (std_cost_by_contract(t.relocation, equip_dailycost, start, end)
+    cost = (std_cost_by_contract(t.relocation, equip_dailycost, start, end, summary=summary)
             .select(F.col("q_id").alias("cost_q_id"), STD_COST))
     parties = t.vq.select(F.col("q_id").alias("rightid"), "ep_id", "ep_name").distinct()
     j = (rev.join(cost, F.col("leftid") == F.col("cost_q_id"), "left")

@@ -119,6 +119,25 @@ def rent_type2(vq: DataFrame, vq_equip: DataFrame, summary: DataFrame) -> DataFr
                     (F.col("Combined_machine_days") * F.col("unitprice")).alias(REVENUE))
 
 
+def shared_summary(relocation: DataFrame, start, end, reuse: bool = True) -> DataFrame:
+    """R1+R2 for a report that reads the summary several times.
+
+    Each consumer prunes the aggregate differently, so Spark cannot reuse
+    one shuffle for all of them; ``reuse=True`` writes the summary once as
+    parquet under the session's checkpoint folder (shared storage, lineage
+    cut, survives executor loss) and every consumer scans that, instead of
+    re-aggregating the relocations.
+    """
+    s = machine_days_summary(machine_days(relocation, start, end))
+    if not reuse:
+        return s
+    from hirebook.session import scratch_path
+    spark = s.sparkSession
+    path = scratch_path(spark, "machine-days")
+    s.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
 @dataclass(frozen=True)
 class RentTables:
     relocation: DataFrame
@@ -127,13 +146,16 @@ class RentTables:
     vq_wholesale: DataFrame
 
 
-def accrued_revenue(t: RentTables, start, end, distinct: bool = True) -> DataFrame:
+def accrued_revenue(t: RentTables, start, end, distinct: bool = True,
+                    summary: DataFrame | None = None) -> DataFrame:
     """Rent earned in (start, end] per (contract, quotation line).
 
     ``distinct=True`` keeps the reports' set union (equal lines collapse);
-    ``distinct=False`` keeps every line (UNION ALL).
+    ``distinct=False`` keeps every line (UNION ALL). ``summary`` is R2 for
+    the same period when the caller already has it.
     """
-    summary = machine_days_summary(machine_days(t.relocation, start, end))
+    if summary is None:
+        summary = shared_summary(t.relocation, start, end)
     cols = ["q_id", "qt_id", REVENUE]
     u = (rent_type0(t.vq, t.vq_wholesale, start, end).select(cols)
          .unionAll(rent_type1(t.vq, summary).select(cols))
@@ -159,8 +181,10 @@ def std_cost_by_machine(summary: DataFrame, equip_dailycost: DataFrame) -> DataF
                     (F.col("cost_day_std") * F.col(PERIOD_DAYS)).alias(STD_COST))
 
 
-def std_cost_by_contract(relocation: DataFrame, equip_dailycost: DataFrame, start, end) -> DataFrame:
+def std_cost_by_contract(relocation: DataFrame, equip_dailycost: DataFrame, start, end,
+                         summary: DataFrame | None = None) -> DataFrame:
     """Standard machine cost per contract for the period."""
-    summary = machine_days_summary(machine_days(relocation, start, end))
+    if summary is None:
+        summary = machine_days_summary(machine_days(relocation, start, end))
     return (std_cost_by_machine(summary, equip_dailycost)
             .groupBy("q_id").agg(F.sum(STD_COST).alias(STD_COST)))
