@@ -5,15 +5,15 @@ Bank rows record the bank side of each movement, so the counter-account
 two fixed VAT accounts and the whole amount to the bank account.
 
 The reports scanned ``bankstatement`` four times per statement (per
-account, VAT in, VAT out, bank). Here one grouped pass computes all four
-conditional sums per account; the three global lines are sums of that
-small per-account result. Partial aggregation runs before the shuffle, so
-a dominant account only ever contributes one row per task.
+account, VAT in, VAT out, bank). Here one grouped pass (a rollup over the
+account) computes the four conditional sums per account and their totals
+together. Partial aggregation runs before the shuffle, so a dominant
+account only ever contributes one row per task.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hirebook.functions.expr import in_period, sgn
@@ -45,38 +45,79 @@ def bank_by_account(bank: DataFrame, lo, hi) -> DataFrame:
         "ma_account_id", "ma_account_name", (-F.col("net")).alias("Amount"))
 
 
-def _fixed_lines(sums: DataFrame) -> DataFrame:
-    """L2, L3, L4 as three rows from one global aggregate (always present;
-    the amount is NULL when the period has no rows)."""
-    tot = sums.agg(F.sum("vat_in").alias("vat_in"), F.sum("vat_out").alias("vat_out"),
-                   F.sum("gross").alias("gross"))
-    lines = F.array(
-        F.struct(F.lit(BANK_ACCOUNT[0]).alias("ma_account_id"), F.lit(BANK_ACCOUNT[1]).alias("ma_account_name"),
-                 F.col("gross").alias("Amount")),
-        F.struct(F.lit(VAT_IN_ACCOUNT[0]).alias("ma_account_id"), F.lit(VAT_IN_ACCOUNT[1]).alias("ma_account_name"),
-                 (-F.col("vat_in")).alias("Amount")),
-        F.struct(F.lit(VAT_OUT_ACCOUNT[0]).alias("ma_account_id"), F.lit(VAT_OUT_ACCOUNT[1]).alias("ma_account_name"),
-                 (-F.col("vat_out")).alias("Amount")))
-    return tot.select(F.inline(lines))
+def _fixed_structs(vat_in: Column, vat_out: Column, gross: Column) -> list[Column]:
+    def line(acct, amount):
+        return F.struct(F.lit(acct[0]).alias("ma_account_id"), F.lit(acct[1]).alias("ma_account_name"),
+                        amount.alias("Amount"))
+    return [line(BANK_ACCOUNT, gross), line(VAT_IN_ACCOUNT, -vat_in), line(VAT_OUT_ACCOUNT, -vat_out)]
+
+
+def movement_lines(rows: DataFrame, keys: list[str], which: str = "all") -> DataFrame:
+    """L1-L4 from one grouped pass over signed bank rows.
+
+    ``rows`` holds ``keys`` (e.g. a period label), ``ma_account_id``,
+    ``ma_account_name``, the signed measures ``net``, ``vat_in``,
+    ``vat_out``, ``gross`` and ``_real`` (1, NULL on padding rows). A
+    rollup gives the per-account sums and the totals per key in the same
+    aggregate (one scan, one shuffle). Callers add ``padding`` rows so a key
+    without rows still gets its three fixed lines, with a NULL amount like a
+    SQL sum over nothing. ``which``: ``all``, ``fixed`` or ``accounts``.
+    """
+    g = (rows.rollup(*keys, "ma_account_id")
+         .agg(F.min("ma_account_name").alias("ma_account_name"),
+              F.sum("net").alias("net"), F.sum("vat_in").alias("vat_in"),
+              F.sum("vat_out").alias("vat_out"), F.sum("gross").alias("gross"),
+              F.grouping("ma_account_id").alias("_total"), F.count("_real").alias("_n"),
+              *[F.grouping(k).alias(f"_g_{k}") for k in keys]))
+    for k in keys:
+        g = g.where(F.col(f"_g_{k}") == 0)
+    g = g.where((F.col("_total") == 1) | (F.col("_n") > 0))
+    if which != "all":
+        g = g.where(F.col("_total") == (1 if which == "fixed" else 0))
+    account = F.struct(F.col("ma_account_id"), F.col("ma_account_name"), (-F.col("net")).alias("Amount"))
+    lines = F.when(F.col("_total") == 1, F.array(*_fixed_structs(F.col("vat_in"), F.col("vat_out"), F.col("gross")))) \
+        .otherwise(F.array(account))
+    return g.select(*keys, F.inline(lines))
+
+
+def _signed_rows(bank: DataFrame, lo, hi) -> DataFrame:
+    s = sgn()
+    vat = F.col("vat")
+    rows = bank.where(in_period("date", lo, hi, Bounds.HALF_OPEN)).select(
+        "ma_account_id", "ma_account_name",
+        (s * (F.col("amount") - vat)).alias("net"),
+        (s * F.when(vat < 0, 1).otherwise(0) * vat).alias("vat_in"),
+        (s * F.when(vat > 0, 1).otherwise(0) * vat).alias("vat_out"),
+        (s * F.col("amount")).alias("gross"),
+        F.lit(1).alias("_real"))
+    return rows.unionByName(padding(bank.sparkSession, rows))
+
+
+def padding(spark, rows: DataFrame, keys: dict[str, list] | None = None) -> DataFrame:
+    """Rows with NULL measures (and ``_real`` NULL): one per key value, so
+    every key has a total row in the rollup. They change no sum."""
+    cols = [F.lit(None).cast(f.dataType).alias(f.name) for f in rows.schema.fields if f.name not in (keys or {})]
+    pad = spark.range(1).select(*cols)
+    for k, values in (keys or {}).items():
+        pad = pad.withColumn(k, F.explode(F.array(*[F.lit(v) for v in values])))
+    return pad.select(*rows.columns)
 
 
 def bank_vat(bank: DataFrame, lo, hi) -> DataFrame:
     """L2 + L3: VAT in (negative VAT) and VAT out (positive VAT) lines."""
-    return _fixed_lines(bank_account_sums(bank, lo, hi)).where(
+    return movement_lines(_signed_rows(bank, lo, hi), [], "fixed").where(
         F.col("ma_account_id") != BANK_ACCOUNT[0])
 
 
 def bank_total(bank: DataFrame, lo, hi) -> DataFrame:
     """L4: the bank account line, ``sum(sgn * amount)``."""
-    return _fixed_lines(bank_account_sums(bank, lo, hi)).where(
+    return movement_lines(_signed_rows(bank, lo, hi), [], "fixed").where(
         F.col("ma_account_id") == BANK_ACCOUNT[0])
 
 
 def bank_movements(bank: DataFrame, lo, hi, distinct: bool = True) -> DataFrame:
     """Bank, VAT and counter-account lines (set union, as the reports)."""
-    sums = bank_account_sums(bank, lo, hi)
-    u = _fixed_lines(sums).unionAll(
-        sums.select("ma_account_id", "ma_account_name", (-F.col("net")).alias("Amount")))
+    u = movement_lines(_signed_rows(bank, lo, hi), [])
     return u.distinct() if distinct else u
 
 

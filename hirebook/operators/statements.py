@@ -184,22 +184,12 @@ def _per_period(spark, plan, which, bucketed: DataFrame, keys: list[str], aggs)
 
 def _period_ledger(spark, plan, which, chart, bank_b, aje_b, account_bf, labels) -> DataFrame:
     """L7 (FP) or L8 (PL) for every period label, long form."""
-    sums = _per_period(spark, plan, which, bank_b, ["ma_account_id"], [
-        F.min("ma_account_name").alias("ma_account_name"), F.sum("net").alias("net"),
-        F.sum("vat_in").alias("vat_in"), F.sum("vat_out").alias("vat_out"), F.sum("gross").alias("gross")])
-    per = F.broadcast(spark.createDataFrame([(p,) for p in labels], "period string"))
-    tot = sums.groupBy(F.col("period").alias("t_period")).agg(
-        F.sum("vat_in").alias("vat_in"), F.sum("vat_out").alias("vat_out"), F.sum("gross").alias("gross"))
-    tot = per.join(tot, F.col("period") == F.col("t_period"), "left")
-    fixed = tot.select("period", F.inline(F.array(
-        F.struct(F.lit(L.BANK_ACCOUNT[0]).alias("ma_account_id"), F.lit(L.BANK_ACCOUNT[1]).alias("ma_account_name"),
-                 F.col("gross").alias("Amount")),
-        F.struct(F.lit(L.VAT_IN_ACCOUNT[0]).alias("ma_account_id"), F.lit(L.VAT_IN_ACCOUNT[1]).alias("ma_account_name"),
-                 (-F.col("vat_in")).alias("Amount")),
-        F.struct(F.lit(L.VAT_OUT_ACCOUNT[0]).alias("ma_account_id"), F.lit(L.VAT_OUT_ACCOUNT[1]).alias("ma_account_name"),
-                 (-F.col("vat_out")).alias("Amount")))))
-    movements = fixed.unionAll(sums.select("period", "ma_account_id", "ma_account_name",
-                                           (-F.col("net")).alias("Amount"))).distinct()
+    m = plan.membership(spark, which)
+    rows = (bank_b.join(m, F.col("bucket") == F.col("m_bucket"), "inner")
+            .select("period", "ma_account_id", "ma_account_name", "net", "vat_in", "vat_out", "gross",
+                    F.lit(1).alias("_real")))
+    rows = rows.unionByName(L.padding(spark, rows, {"period": labels}))
+    movements = L.movement_lines(rows, ["period"]).distinct()
     adj = _per_period(spark, plan, which, aje_b, ["ma_account_id"], [
         (F.coalesce(F.sum("debit"), F.lit(0.0)) - F.coalesce(F.sum("credit"), F.lit(0.0))).alias("amount")])
     c = chart.select("ma_account_id", "ma_account_name").withColumn(
