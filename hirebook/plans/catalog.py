@@ -1,9 +1,9 @@
 """Registered report queries: name -> ``(spark, sf_dir) -> DataFrame``.
 
-Each query derives the business tables from the driver's tables at
-``sf_dir`` (``Book.from_testdata``), runs one report over the whole tables
-with the test parameters, and rounds reported amounts to cents once, at the
-output. ``hirebook.plans.oracle`` holds the matching DuckDB SQL.
+Each query reads the business tables derived from the driver's tables at
+``sf_dir`` (derived and stored once per session, ``stored_book``), runs one
+report over the whole tables with the test parameters, and rounds reported
+amounts to cents once, at the output. ``hirebook.plans.oracle`` holds the matching DuckDB SQL.
 """
 
 from __future__ import annotations
@@ -20,7 +20,7 @@ from hirebook.operators import profitability as PR
 from hirebook.operators import recovery as RC
 from hirebook.operators import rental as R
 from hirebook.params import TEST_PARAMS as P
-from hirebook.sources.fixtures import Book
+from hirebook.sources.fixtures import Book, stored_book
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -35,7 +35,7 @@ def present(df: DataFrame) -> DataFrame:
 def query(name: str):
     def deco(fn: Callable[[Book], DataFrame]):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return present(fn(Book.from_testdata(spark, sf_dir)))
+            return present(fn(stored_book(spark, sf_dir)))
         run.__name__ = name
         run.__doc__ = fn.__doc__
         QUERIES[name] = run

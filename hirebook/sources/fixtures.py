@@ -330,3 +330,29 @@ class Book:
         c = F.col("cf_account_id")
         return (self.bankstatement.select("cf_account_id").distinct()
                 .select("cf_account_id", F.when(c < 3, "C1").when(c < 6, "C2").when(c == 6, "C3").alias("cf")))
+
+
+_STORED: dict[tuple[str, str], "Book"] = {}
+
+
+def stored_book(spark: SparkSession, sf_dir: str) -> Book:
+    """The business tables derived from ``sf_dir``, loaded once per session.
+
+    Like loading a schedule into the database before reporting, each table
+    is derived once, written as parquet under the session's checkpoint
+    folder (shared storage) and then scanned by every report, which then
+    reads stored typed tables with filter and column push-down.
+    """
+    from hirebook.session import scratch_path
+    key = (spark.sparkContext.applicationId, sf_dir)
+    book = _STORED.get(key)
+    if book is None:
+        derived = Book.from_testdata(spark, sf_dir)
+        root = scratch_path(spark, "book")
+        tables = {}
+        for name in Book.NAMES:
+            derived.table(name).write.mode("overwrite").parquet(f"{root}/{name}")
+            tables[name] = spark.read.parquet(f"{root}/{name}")
+        book = Book(spark, tables)
+        _STORED[key] = book
+    return book
