@@ -347,12 +347,18 @@ def stored_book(spark: SparkSession, sf_dir: str) -> Book:
     key = (spark.sparkContext.applicationId, sf_dir)
     book = _STORED.get(key)
     if book is None:
+        from concurrent.futures import ThreadPoolExecutor
         derived = Book.from_testdata(spark, sf_dir)
         root = scratch_path(spark, "book")
-        tables = {}
-        for name in Book.NAMES:
-            derived.table(name).write.mode("overwrite").parquet(f"{root}/{name}")
-            tables[name] = spark.read.parquet(f"{root}/{name}")
-        book = Book(spark, tables)
+        frames = {name: derived.table(name) for name in Book.NAMES}
+
+        def store(name):
+            frames[name].write.mode("overwrite").parquet(f"{root}/{name}")
+            return name
+
+        # independent tables: submit the writes as concurrent Spark jobs
+        with ThreadPoolExecutor(max_workers=4) as pool:
+            list(pool.map(store, Book.NAMES))
+        book = Book(spark, {name: spark.read.parquet(f"{root}/{name}") for name in Book.NAMES})
         _STORED[key] = book
     return book
