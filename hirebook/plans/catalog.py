@@ -62,6 +62,18 @@ def _machine_days_summary(b):
     return summary(b)
 
 
+@query("machine_days_summary_signed")
+def _machine_days_summary_signed(b):
+    """R2 with movements signed by direction (option of Q3)."""
+    return R.machine_days_summary(R.machine_days(b.relocation, P.start, P.end, signed=True))
+
+
+@query("quotation_quantity")
+def _quotation_quantity(b):
+    """Total equipment quantity per group quotation line."""
+    return R.quantity_by_quotation(b.vq_equip)
+
+
 @query("quotation_split")
 def _quotation_split(b):
     from pyspark.sql import functions as F
