@@ -29,3 +29,14 @@ def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.columns == ["ep_id", "ep_name", "Revenue", "StdCost", "GrossProfit"]
     assert df.count() > 0
+
+
+SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "date": "DATE"}
+
+
+@pytest.mark.parametrize("name", sorted(QUERIES))
+def test_query_types_match_oracle(spark, con, name):
+    s = dict(QUERIES[name](spark, SF_SMALL).dtypes)
+    rel = con.sql(ORACLE[name])
+    d = dict(zip(rel.columns, [str(t) for t in rel.types]))
+    assert {k: SPARK_TO_DUCK.get(v) for k, v in s.items()} == d
