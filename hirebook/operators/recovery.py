@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hirebook.functions.expr import in_period, sgn
+from hirebook.functions.expr import date_lit, in_period, sgn
 from hirebook.operators.rental import invoiced_revenue
 from hirebook.params import Bounds
 
@@ -54,31 +54,31 @@ def client_opening_at(opening_bf: DataFrame, bank: DataFrame, invoice: DataFrame
                               + F.coalesce("Invoiced_Total", F.lit(0.0))).alias("cutdateamount"))
 
 
-def _invoiced_by_client(invoice: DataFrame, lo, hi, name: str) -> DataFrame:
-    return (invoice.where(in_period("date", lo, hi, Bounds.HALF_OPEN))
-            .groupBy("client_id").agg(F.sum("price_vat_total").alias(name)))
-
-
 def client_recovery_by_client(external_parties: DataFrame, ep_bf: DataFrame, bank: DataFrame,
                               invoice: DataFrame, ar_code: str, bf_date, start, end) -> DataFrame:
     """P6/P7 per client: opening at ``start``, invoiced and received in
     (start, end], closing; missing amounts count as 0 (numeric fill only).
 
-    Opening = b/f - receipts + invoices in (bf_date, start]; every input is
-    summed to one row per client before it is joined.
+    Opening = b/f - receipts + invoices in (bf_date, start]. Receipts and
+    invoices are each read once for (bf_date, end] and summed per client
+    with one conditional sum per window, so every input is one row per
+    client before it is joined.
     """
     bf = client_opening_bf(external_parties, ep_bf, ar_code)
-    rec0 = _receipts_by_party(bank, ar_code, bf_date, start, "rec0")
-    inv0 = _invoiced_by_client(invoice, bf_date, start, "inv0")
-    rec1 = _receipts_by_party(bank, ar_code, start, end, "receiving")
-    inv1 = _invoiced_by_client(invoice, start, end, "Invoiced")
+    d, s = F.col("date"), date_lit(start)
+    rec = (bank.where((F.col("ma_account_id") == ar_code) & in_period("date", bf_date, end, Bounds.HALF_OPEN))
+           .groupBy(F.col("ep_id").alias("receipt_ep_id"))
+           .agg(F.sum(F.when(d <= s, F.col("amount"))).alias("rec0"),
+                F.sum(F.when(d > s, F.col("amount"))).alias("receiving")))
+    inv = (invoice.where(in_period("date", bf_date, end, Bounds.HALF_OPEN))
+           .groupBy("client_id")
+           .agg(F.sum(F.when(d <= s, F.col("price_vat_total"))).alias("inv0"),
+                F.sum(F.when(d > s, F.col("price_vat_total"))).alias("Invoiced")))
     names = external_parties.select(F.col("ep_id").alias("right_id"), "ep_name")
     k = F.col("ep_id")
-    j = (bf.join(rec0, k == rec0.receipt_ep_id, "left").drop("receipt_ep_id")
-         .join(inv0, k == inv0.client_id, "left").drop("client_id")
-         .join(rec1, k == rec1.receipt_ep_id, "left")
-         .join(inv1, k == inv1.client_id, "left")
-         .join(names, k == names.right_id, "left"))
+    j = (bf.join(rec, k == F.col("receipt_ep_id"), "left")
+         .join(inv, k == F.col("client_id"), "left")
+         .join(names, k == F.col("right_id"), "left"))
     z = F.lit(0.0)
     opening = F.coalesce("amount", z) - F.coalesce("rec0", z) + F.coalesce("inv0", z)
     out = j.select("ep_id", "ep_name", opening.alias("Opening"),

@@ -105,16 +105,20 @@ def rent_type1(vq: DataFrame, summary: DataFrame) -> DataFrame:
 
 def rent_type2(vq: DataFrame, vq_equip: DataFrame, summary: DataFrame) -> DataFrame:
     """Per-machine-group-day rent = combined machine days of the line *
-    rent / total quantity of the group."""
-    q = quotations(vq, 2)
-    combined = (summary.join(q.select("qt_id"), "qt_id", "left_semi")
-                .groupBy(F.col("qt_id").alias("leftqt_id"))
+    rent / total quantity of the group.
+
+    Machine days are summed per quotation line first; the inner join with
+    the type-2 lines (each with its unit price) keeps exactly the lines the
+    reports keep (a type-2 line with machine days), one row per quotation
+    row, and reads the quotations once.
+    """
+    combined = (summary.groupBy(F.col("qt_id").alias("leftqt_id"))
                 .agg(F.sum(PERIOD_DAYS).alias("Combined_machine_days")))
     sumq = quantity_by_quotation(vq_equip)
-    unit = (q.join(sumq, "qt_id", "left")
+    unit = (quotations(vq, 2).join(sumq, "qt_id", "left")
             .select("q_id", F.col("qt_id").alias("rightqt_id"),
                     safe_div(F.col("rent_daily"), F.col("sumofquantity")).alias("unitprice")))
-    j = combined.join(unit, combined.leftqt_id == unit.rightqt_id, "left")
+    j = combined.join(unit, F.col("leftqt_id") == F.col("rightqt_id"), "inner")
     return j.select("q_id", F.col("leftqt_id").alias("qt_id"),
                     (F.col("Combined_machine_days") * F.col("unitprice")).alias(REVENUE))
 

@@ -20,7 +20,7 @@ import datetime as _dt
 from dataclasses import dataclass
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -46,27 +46,39 @@ def code_amounts(amounts: DataFrame, key_col: str, mapping: DataFrame, map_key:
 
 def apply_template(codes: DataFrame, template: DataFrame, fr: str, periods: list[str]) -> DataFrame:
     """(period, line_no, line_name, Amount) for every template line of
-    statement ``fr`` and every period label."""
+    statement ``fr`` and every period label.
+
+    Each line becomes up to nine records: itself (its base amount), one
+    contributor record per level with an ``add{i}i`` key and one receiver
+    record per level with an ``add{i}o`` key. A window sum over (period,
+    level, key) hands every receiver the sum of its contributors' base
+    amounts, and one aggregate per line adds it all up; the joined lines
+    are read once.
+    """
     t = template.where(F.col("fr") == fr).withColumn(
         "period", F.explode(F.array(*[F.lit(p) for p in periods])))
     c = codes.select(F.col("period").alias("c_period"), F.col("code").alias("c_code"),
                      F.col("Amount").alias("base"))
     lines = t.join(c, (F.col("period") == F.col("c_period")) & (F.col("source_code") == F.col("c_code")), "left")
     base = F.coalesce(F.col("base"), F.lit(0.0))
-    # subtotal inputs and outputs, one row per (line, level) with a key
-    ins = (lines.select(F.col("period").alias("i_period"),
-                        F.posexplode(F.array(*[F.col(f"add{i}i") for i in LEVELS])).alias("i_lvl", "i_k"),
-                        base.alias("amt"))
-           .where(F.col("i_k").isNotNull()))
-    sub = ins.groupBy("i_period", "i_lvl", "i_k").agg(F.sum("amt").alias("subtotal"))
-    outs = (lines.select(F.col("period").alias("o_period"), F.col("line_no").alias("o_line"),
-                         F.posexplode(F.array(*[F.col(f"add{i}o") for i in LEVELS])).alias("o_lvl", "o_k"))
-            .where(F.col("o_k").isNotNull()))
-    got = (outs.join(sub, (F.col("o_period") == F.col("i_period")) & (F.col("o_lvl") == F.col("i_lvl"))
-                     & (F.col("o_k") == F.col("i_k")), "inner")
-           .groupBy("o_period", "o_line").agg(F.sum("subtotal").alias("subtotals")))
-    out = lines.join(got, (F.col("period") == F.col("o_period")) & (F.col("line_no") == F.col("o_line")), "left")
-    value = (base + F.coalesce(F.col("subtotals"), F.lit(0.0))) * F.col("direction")
+    none = F.lit(None).cast("double")
+
+    def rec(role, lvl, key, amt):
+        return F.struct(F.lit(role).alias("role"), F.lit(lvl).alias("lvl"), key.alias("k"), amt.alias("amt"))
+
+    records = F.array(rec("self", -1, F.col("line_no").cast("string"), base),
+                      *[rec("in", i, F.col(f"add{i}i"), base) for i in LEVELS],
+                      *[rec("out", i, F.col(f"add{i}o"), none) for i in LEVELS])
+    x = (lines.select("period", "line_no", "line_name", "direction", F.inline(records))
+         .where(F.col("k").isNotNull()))
+    w = Window.partitionBy("period", "lvl", "k")
+    x = x.withColumn("subtotal", F.sum(F.when(F.col("role") == "in", F.col("amt"))).over(w))
+    out = x.groupBy("period", "line_no").agg(
+        F.max("line_name").alias("line_name"), F.max("direction").alias("direction"),
+        F.sum(F.when(F.col("role") == "self", F.col("amt"))).alias("base"),
+        F.sum(F.when(F.col("role") == "out", F.col("subtotal"))).alias("subtotals"))
+    value = (F.coalesce(F.col("base"), F.lit(0.0)) + F.coalesce(F.col("subtotals"), F.lit(0.0))) \
+        * F.col("direction")
     return out.select("period", "line_no", "line_name", value.alias("Amount"))
 
 

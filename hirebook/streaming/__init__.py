@@ -1,0 +1,6 @@
+"""Streaming: intentionally empty.
+
+The reports are full recomputes over dated rows (every call re-reads the
+tables for its period); none of them keeps state between calls or consumes
+a stream, so there is no Structured Streaming operator to build here.
+"""
