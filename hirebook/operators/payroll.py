@@ -2,9 +2,9 @@
 
 Workers split three ways by ``social_security_recoverable``: NULL regular
 employees, 1 external (social security paid for a third party and
-recoverable), any other value associates. Each block is one global
-aggregate (partial sums per task) turned into journal lines; the external
-block keeps one debit line per worker, which is a plain projection.
+recoverable), any other value associates. All fixed lines come from one
+global aggregate with conditional sums (partial sums per task); the
+external block adds one debit line per worker, a plain projection.
 """
 
 from __future__ import annotations
@@ -64,43 +64,66 @@ def _lines(totals: DataFrame, spec, amounts: dict[int, F.Column], year, month) -
     return totals.select(F.inline(F.array(*structs)))
 
 
-def _sum0(c: str) -> F.Column:
-    return F.coalesce(F.sum(c), F.lit(0.0)).alias(c)
+def _sum0(c, name: str) -> F.Column:
+    return F.coalesce(F.sum(c), F.lit(0.0)).alias(name)
+
+
+def month_totals(month_rows: DataFrame) -> DataFrame:
+    """One global aggregate with every total the fixed lines need.
+
+    Regular: flag NULL and a department (rows without one drop out, as in
+    a per-department sum); associates: flag set and not 1; external: 1.
+    Sums of nothing are 0.
+    """
+    flag = F.col(RECOVERABLE)
+    regular = flag.isNull() & F.col("department").isNotNull()
+    ser = F.col("social_security_employer")
+    return month_rows.agg(*[_sum0(F.when(regular, F.col(m)), m) for m in MEASURES],
+                          _sum0(F.when(flag != 1, ser), "associate_ser"),
+                          _sum0(F.when(flag == 1, ser), "external_ser"))
+
+
+def _regular_amounts() -> dict[int, F.Column]:
+    c = {m: F.col(m) for m in MEASURES}
+    return {1: c["total_salary"], 2: c["individual_income_tax"], 3: c["social_security_employee"],
+            4: c["house_tax"], 5: c["social_security_employer"], 6: c["total_salary"],
+            7: c["individual_income_tax"] + c["social_security_employee"] + c["house_tax"],
+            8: c["social_security_employer"]}
+
+
+def _associate_amounts() -> dict[int, F.Column]:
+    return {9: F.col("associate_ser"), 10: F.col("associate_ser")}
+
+
+def _external_total() -> dict[int, F.Column]:
+    return {12: F.col("external_ser")}
 
 
 def payroll_regular(month_rows: DataFrame, year: int, month: int) -> DataFrame:
     """Regular employees with a department: five debit lines and the
     three credits (net salary payable, deductions, employer social
     security)."""
-    t = (month_rows.where(F.col(RECOVERABLE).isNull() & F.col("department").isNotNull())
-         .agg(*[_sum0(m) for m in MEASURES]))
-    c = {m: F.col(m) for m in MEASURES}
-    amounts = {1: c["total_salary"], 2: c["individual_income_tax"], 3: c["social_security_employee"],
-               4: c["house_tax"], 5: c["social_security_employer"], 6: c["total_salary"],
-               7: c["individual_income_tax"] + c["social_security_employee"] + c["house_tax"],
-               8: c["social_security_employer"]}
-    return _lines(t, REGULAR_LINES, amounts, year, month)
+    return _lines(month_totals(month_rows), REGULAR_LINES, _regular_amounts(), year, month)
 
 
 def payroll_associate(month_rows: DataFrame, year: int, month: int) -> DataFrame:
     """Employer social security of associates (flag set, not 1)."""
-    t = month_rows.where(F.col(RECOVERABLE) != 1).agg(_sum0("social_security_employer"))
-    s = F.col("social_security_employer")
-    return _lines(t, ASSOCIATE_LINES, {9: s, 10: s}, year, month)
+    return _lines(month_totals(month_rows), ASSOCIATE_LINES, _associate_amounts(), year, month)
 
 
-def payroll_external(month_rows: DataFrame, year: int, month: int) -> DataFrame:
-    """One receivable debit per external worker, one payable credit."""
-    ext = month_rows.where(F.col(RECOVERABLE) == 1)
+def _external_workers(month_rows: DataFrame, year: int, month: int) -> DataFrame:
     no, name, _, acct = EXTERNAL_LINES[0]
-    per_worker = ext.select(
+    return month_rows.where(F.col(RECOVERABLE) == 1).select(
         F.lit(no).alias("line_no"), F.lit(name).alias("line"),
         F.col("left_worker_id").cast("bigint").alias("worker_id"),
         F.coalesce(F.col("social_security_employer"), F.lit(0.0)).alias("DR"), F.lit(0.0).alias("CR"),
         F.lit(acct).alias("ma_account_id"), F.lit(month_label(year, month)).alias("date"))
-    t = ext.agg(_sum0("social_security_employer"))
-    total = _lines(t, EXTERNAL_LINES[1:], {12: F.col("social_security_employer")}, year, month)
-    return per_worker.unionByName(total)
+
+
+def payroll_external(month_rows: DataFrame, year: int, month: int) -> DataFrame:
+    """One receivable debit per external worker, one payable credit."""
+    total = _lines(month_totals(month_rows), EXTERNAL_LINES[1:], _external_total(), year, month)
+    return _external_workers(month_rows, year, month).unionByName(total)
 
 
 def payroll_journal(payroll: DataFrame, worker_info: DataFrame, year: int, month: int,
@@ -113,11 +136,15 @@ def payroll_journal(payroll: DataFrame, worker_info: DataFrame, year: int, month
     block and keeps the first three rows of the external block.
     """
     m = payroll_month(payroll, worker_info, year, month)
-    fixed = payroll_regular(m, year, month).unionByName(payroll_associate(m, year, month))
-    ext = payroll_external(m, year, month)
+    amounts = {**_regular_amounts(), **_associate_amounts(), **_external_total()}
+    fixed = _lines(month_totals(m), REGULAR_LINES + ASSOCIATE_LINES + EXTERNAL_LINES[1:], amounts, year, month)
+    workers = _external_workers(m, year, month)
     if not legacy_lines:
-        return fixed.unionByName(ext).select(LINE_COLS)
-    fixed = fixed.where(~F.col("line_no").isin(5, 8))
-    # the first three external rows (workers by id, then the credit total)
+        return fixed.unionByName(workers).select(LINE_COLS)
+    # the reports keep: regular lines without the employer pair, the
+    # associate pair, then the first three rows of the external block
+    # (workers by id, then the credit total)
+    ext = fixed.where(F.col("line_no") == EXTERNAL_LINES[1][0]).unionByName(workers)
+    fixed = fixed.where(~F.col("line_no").isin(5, 8, EXTERNAL_LINES[1][0]))
     ext = ext.orderBy(F.col("line_no"), F.col("worker_id")).limit(3)
     return fixed.unionByName(ext).select(LINE_COLS)
