@@ -22,6 +22,30 @@ DEFAULT_CONF = {
 }
 
 
+# Sizing for a large cluster (hundreds of executors, tens of TB per report):
+# start with many shuffle partitions and let AQE coalesce them to ~256 MB;
+# split input files into 256 MB tasks; treat a partition 5x the median and
+# over 512 MB as skewed and split it. Spark's defaults are tuned for far
+# smaller jobs.
+CLUSTER_CONF = {
+    "spark.sql.shuffle.partitions": "8000",
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "8000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 * 1024 * 1024),
+    "spark.sql.files.maxPartitionBytes": str(256 * 1024 * 1024),
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(512 * 1024 * 1024),
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
+}
+
+
+def cluster_conf_for(spark: SparkSession) -> None:
+    """Apply the SQL part of ``CLUSTER_CONF`` to a running session."""
+    for k, v in CLUSTER_CONF.items():
+        if k.startswith("spark.sql."):
+            spark.conf.set(k, v)
+
+
 def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
                   app: str = "hirebook", extra: dict | None = None) -> SparkSession:
     b = SparkSession.builder.master(master).appName(app)
