@@ -33,9 +33,15 @@ QUERIES: dict[str, Query] = {}
 
 
 def present(df: DataFrame) -> DataFrame:
-    """Round every double column to cents (reported amounts)."""
-    return df.select(*[money(f.name).alias(f.name) if isinstance(f.dataType, T.DoubleType) else f.name
-                       for f in df.schema.fields])
+    """Report presentation: doubles rounded to cents, dates as ISO text
+    (``yyyy-MM-dd``, as the reports returned them)."""
+    def col(f):
+        if isinstance(f.dataType, T.DoubleType):
+            return money(f.name).alias(f.name)
+        if isinstance(f.dataType, T.DateType):
+            return F.date_format(F.col(f.name), "yyyy-MM-dd").alias(f.name)
+        return F.col(f.name)
+    return df.select(*[col(f) for f in df.schema.fields])
 
 
 def query(name: str):

@@ -31,7 +31,7 @@ def test_entry_smoke(spark):
     assert df.count() > 0
 
 
-SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "date": "DATE"}
+SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR"}
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
