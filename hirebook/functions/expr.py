@@ -7,8 +7,6 @@ a scalar ``max(x, 0)`` is NULL when ``x`` is NULL (unlike ``greatest``).
 
 from __future__ import annotations
 
-import datetime as _dt
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -42,10 +40,6 @@ def safe_div(a, b) -> Column:
     return F.try_divide(_col(a), _col(b))
 
 
-def null_as_zero(x) -> Column:
-    return F.coalesce(_col(x), F.lit(0.0))
-
-
 def money(x, digits: int = 2) -> Column:
     """Round a reported amount; ``+ 0.0`` turns a negative zero positive."""
     return F.round(_col(x).cast("double"), digits) + F.lit(0.0)
@@ -62,7 +56,3 @@ def in_period(date_col, lo, hi, bounds: Bounds = Bounds.HALF_OPEN) -> Column:
     if bounds is Bounds.OPEN:
         return (d > lo_c) & (d < hi_c)
     return (d > lo_c) & (d <= hi_c)
-
-
-def ymd(d: _dt.date) -> str:
-    return as_date(d).isoformat()
