@@ -270,3 +270,25 @@ def test_depreciation_journal_union_and_credit(spark):
     debit = [r for r in every if r["ma_account_id"] == "MA560210"][0]
     assert (debit["top"], debit["pure_account_id"], debit["date"]) == ("5602", "560210", "2020-06-01")
     assert sum(r["Debit"] for r in every) == sum(r["Credit"] for r in every)
+
+
+# -- time of day on a bound; bare columns (Q4) ---------------------------------------
+def test_time_of_day_on_the_end_date_is_outside_the_period(spark):
+    rows = [(dt.datetime(2021, 1, 31, 0, 0), "MA2001", "a", 10.0, 0.0),
+            (dt.datetime(2021, 1, 31, 10, 0), "MA2001", "a", 5.0, 0.0)]
+    bank = spark.createDataFrame(rows, "date timestamp_ntz, ma_account_id string, ma_account_name string, "
+                                       "amount double, vat double") \
+        .withColumn("is_cancelling", F.lit(None).cast("int"))
+    got = L.bank_by_account(bank, "2021-01-01", "2021-01-31").collect()
+    assert [(r["ma_account_id"], r["Amount"]) for r in got] == [("MA2001", -10.0)]
+
+
+def test_bare_columns_take_the_smallest_value(spark):
+    bank = _bank(spark, [(d(2021, 1, 2), "MA2001", 1, 1.0, 0.0, None)]).unionByName(
+        df(spark, "bankstatement", [(d(2021, 1, 3), "MA2001", "a-name", 1, "p", 2.0, 0.0, None, 0, 0)]))
+    got = L.bank_by_account(bank, "2021-01-01", "2021-01-31").collect()
+    assert len(got) == 1 and got[0]["ma_account_name"] == "a-name"
+    reloc = df(spark, "relocation", [(1, 12, "S0", 2, "A", d(2021, 1, 1), 1, 1),
+                                     (1, 11, "S0", 1, "A", d(2021, 1, 2), 1, 1)])
+    s = R.machine_days_summary(R.machine_days(reloc, "2021-01-01", "2021-01-31")).collect()
+    assert len(s) == 1 and (s[0]["qt_id"], s[0]["equip_type_id"]) == (11, 1)
