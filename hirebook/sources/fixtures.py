@@ -334,6 +334,7 @@ class Book:
 
 _STORED: dict[tuple[str, str], "Book"] = {}
 DATED_TABLES = ("invoice", "bankstatement", "aje")
+DERIVED_FROM_STORED = ("vq_equip", "equip_dailycost", "report_mapping", "cf_mapping")
 
 
 def stored_book(spark: SparkSession, sf_dir: str) -> Book:
@@ -349,21 +350,27 @@ def stored_book(spark: SparkSession, sf_dir: str) -> Book:
     book = _STORED.get(key)
     if book is None:
         from concurrent.futures import ThreadPoolExecutor
-        derived = Book.from_testdata(spark, sf_dir)
         root = scratch_path(spark, "book")
-        frames = {name: derived.table(name) for name in Book.NAMES}
-        # period reports filter these by date: sorted files give tight
-        # row-group min/max statistics, so the scan skips other periods
-        for name in DATED_TABLES:
-            frames[name] = frames[name].sortWithinPartitions("date")
-
-        def store(name):
-            frames[name].write.mode("overwrite").parquet(f"{root}/{name}")
-            return name
-
-        # independent tables: submit the writes as concurrent Spark jobs
-        with ThreadPoolExecutor(max_workers=4) as pool:
-            list(pool.map(store, Book.NAMES))
-        book = Book(spark, {name: spark.read.parquet(f"{root}/{name}") for name in Book.NAMES})
+
+        def store(frames: dict[str, DataFrame]) -> dict[str, DataFrame]:
+            # independent tables: submit the writes as concurrent Spark jobs
+            def one(name):
+                df = frames[name]
+                if name in DATED_TABLES:
+                    # period reports filter these by date: sorted files give
+                    # tight row-group statistics, so scans skip other periods
+                    df = df.sortWithinPartitions("date")
+                df.write.mode("overwrite").parquet(f"{root}/{name}")
+                return name
+            with ThreadPoolExecutor(max_workers=8) as pool:
+                list(pool.map(one, frames))
+            return {name: spark.read.parquet(f"{root}/{name}") for name in frames}
+
+        derived = Book.from_testdata(spark, sf_dir)
+        base = store({n: derived.table(n) for n in Book.NAMES if n not in DERIVED_FROM_STORED})
+        # tables derived from other business tables read the stored parents
+        second = Book(spark, base, sf_dir=sf_dir)
+        rest = store({n: second.table(n) for n in DERIVED_FROM_STORED})
+        book = Book(spark, {**base, **rest})
         _STORED[key] = book
     return book
