@@ -12,6 +12,7 @@ instead of a cross join with ``region``.
 
 from __future__ import annotations
 
+import threading
 from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -332,45 +333,76 @@ class Book:
                 .select("cf_account_id", F.when(c < 3, "C1").when(c < 6, "C2").when(c == 6, "C3").alias("cf")))
 
 
-_STORED: dict[tuple[str, str], "Book"] = {}
+_STORED: dict[tuple[str, str], "StoredBook"] = {}
 DATED_TABLES = ("invoice", "bankstatement", "aje")
-DERIVED_FROM_STORED = ("vq_equip", "equip_dailycost", "report_mapping", "cf_mapping")
+# business tables derived from other business tables: built from the stored parent
+PARENTS = {"vq_equip": "vq", "equip_dailycost": "equip_type", "report_mapping": "chart_of_accounts",
+           "cf_mapping": "bankstatement"}
 
 
-def stored_book(spark: SparkSession, sf_dir: str) -> Book:
-    """The business tables derived from ``sf_dir``, loaded once per session.
+class StoredBook:
+    """Business tables derived from the driver's tables and stored once.
 
-    Like loading a schedule into the database before reporting, each table
-    is derived once, written as parquet under the session's checkpoint
-    folder (shared storage) and then scanned by every report, which then
-    reads stored typed tables with filter and column push-down.
+    Like loading a schedule into the database before reporting: the first
+    access of a table derives it, writes it as parquet under the session's
+    checkpoint folder (shared storage) and every later report scans the
+    stored table, with filter and column push-down. Only the tables a
+    report touches are built; ``load_all`` builds all of them with
+    concurrent writes.
     """
-    from hirebook.session import scratch_path
-    key = (spark.sparkContext.applicationId, sf_dir)
-    book = _STORED.get(key)
-    if book is None:
+
+    NAMES = Book.NAMES
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        from hirebook.session import scratch_path
+        self.spark = spark
+        self.sf_dir = sf_dir
+        self._root = scratch_path(spark, "book")
+        self._derive = Book.from_testdata(spark, sf_dir)
+        self._tables: dict[str, DataFrame] = {}
+        self._lock = threading.RLock()
+
+    def table(self, name: str) -> DataFrame:
+        with self._lock:
+            if name in self._tables:
+                return self._tables[name]
+            parent = PARENTS.get(name)
+            if parent is not None:
+                # derive the child from the stored parent, not from raw tables
+                self._derive.__dict__[parent] = self.table(parent)
+            df = self._derive.table(name)
+        if name in DATED_TABLES:
+            # period reports filter these by date: sorted files give tight
+            # row-group statistics, so scans skip other periods
+            df = df.sortWithinPartitions("date")
+        path = f"{self._root}/{name}"
+        df.write.mode("overwrite").parquet(path)
+        stored = self.spark.read.parquet(path)
+        with self._lock:
+            return self._tables.setdefault(name, stored)
+
+    def __getattr__(self, name: str) -> DataFrame:
+        if name in Book.NAMES:
+            return self.table(name)
+        raise AttributeError(name)
+
+    def load_all(self, workers: int = 8) -> "StoredBook":
+        """Build every table; independent tables are written concurrently."""
         from concurrent.futures import ThreadPoolExecutor
-        root = scratch_path(spark, "book")
-
-        def store(frames: dict[str, DataFrame]) -> dict[str, DataFrame]:
-            # independent tables: submit the writes as concurrent Spark jobs
-            def one(name):
-                df = frames[name]
-                if name in DATED_TABLES:
-                    # period reports filter these by date: sorted files give
-                    # tight row-group statistics, so scans skip other periods
-                    df = df.sortWithinPartitions("date")
-                df.write.mode("overwrite").parquet(f"{root}/{name}")
-                return name
-            with ThreadPoolExecutor(max_workers=8) as pool:
-                list(pool.map(one, frames))
-            return {name: spark.read.parquet(f"{root}/{name}") for name in frames}
-
-        derived = Book.from_testdata(spark, sf_dir)
-        base = store({n: derived.table(n) for n in Book.NAMES if n not in DERIVED_FROM_STORED})
-        # tables derived from other business tables read the stored parents
-        second = Book(spark, base, sf_dir=sf_dir)
-        rest = store({n: second.table(n) for n in DERIVED_FROM_STORED})
-        book = Book(spark, {**base, **rest})
-        _STORED[key] = book
-    return book
+        first = [n for n in Book.NAMES if n not in PARENTS]
+        with ThreadPoolExecutor(max_workers=workers) as pool:
+            list(pool.map(self.table, first))
+            list(pool.map(self.table, list(PARENTS)))
+        return self
+
+
+def stored_book(spark: SparkSession, sf_dir: str) -> StoredBook:
+    """The stored business tables of ``sf_dir`` for this session."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    with _STORED_LOCK:
+        if key not in _STORED:
+            _STORED[key] = StoredBook(spark, sf_dir)
+        return _STORED[key]
+
+
+_STORED_LOCK = threading.Lock()
