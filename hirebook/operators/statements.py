@@ -132,6 +132,13 @@ def label(d: _dt.date) -> str:
     return f"{d.year:04d}-{d.month:02d}"
 
 
+def labeler(ends: list[_dt.date]):
+    """``yyyy-MM`` labels, or ``yyyy-MM-dd`` when months would repeat."""
+    if len({label(e) for e in ends}) == len(ends):
+        return label
+    return lambda d: d.isoformat()
+
+
 @dataclass(frozen=True)
 class CompilePlan:
     """Buckets between the boundaries and the buckets of each period."""
@@ -142,6 +149,7 @@ class CompilePlan:
 
     @classmethod
     def build(cls, bf_date, ends: list[_dt.date]) -> "CompilePlan":
+        label = labeler(ends)
         b = sorted(set([as_date(bf_date)] + list(ends)))
         idx = {d: i for i, d in enumerate(b)}
 
@@ -233,6 +241,7 @@ def compile_long(spark: SparkSession, kind: str, t: LedgerTables, fmt: ReportFor
                  last_reporting_date, periods: int, frequency: str) -> tuple[DataFrame, list[str]]:
     """L11 in long form: (period, line_no, line_name, Amount) and the labels."""
     ends = period_ends(last_reporting_date, periods, frequency)
+    label = labeler(ends)
     plan = CompilePlan.build(bf_date, ends)
     bank_b, aje_b, cf_b = _by_bucket(plan, t.bank, t.aje)
     if kind == "FP":
@@ -247,14 +256,13 @@ def compile_long(spark: SparkSession, kind: str, t: LedgerTables, fmt: ReportFor
             F.min("cf_account_id").alias("cf_account_id"), (-F.sum("net")).alias("Amount")])
     else:
         raise ValueError(kind)
-    if len(set(labels)) != len(labels):
-        raise ValueError("period labels repeat; use a coarser frequency")
     return _statement(kind, amounts, fmt, labels), labels
 
 
 def compile_statement(spark: SparkSession, kind: str, t: LedgerTables, fmt: ReportFormat, bf_date,
                       last_reporting_date, periods: int, frequency: str) -> DataFrame:
-    """One wide statement, a column per period label ``yyyy-MM``."""
+    """One wide statement, a column per period label (``yyyy-MM``, or
+    ``yyyy-MM-dd`` when several periods end in one month)."""
     long, labels = compile_long(spark, kind, t, fmt, bf_date, last_reporting_date, periods, frequency)
     return (long.groupBy("line_no", "line_name").pivot("period", labels)
             .agg(F.max("Amount")))

@@ -59,9 +59,11 @@ def test_period_ends_reject_bad_input():
         ST.period_ends("2021-01-01", 2, "H")
 
 
-def test_repeating_labels_are_refused(spark, book):
-    with pytest.raises(ValueError):
-        ST.compile_long(spark, "PL", ledger_tables(book), report_format(book), P.bf_date, "2021-01-01", 3, "D")
+def test_daily_periods_get_day_labels(spark, book):
+    wide = ST.compile_statement(spark, "PL", ledger_tables(book), report_format(book), P.bf_date,
+                                "1997-01-01", 3, "D")
+    assert wide.columns == ["line_no", "line_name", "1997-01-02", "1997-01-03", "1997-01-04"]
+    assert wide.count() == 3
 
 
 @pytest.mark.parametrize("kind", ["FP", "PL", "CF"])
