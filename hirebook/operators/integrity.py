@@ -43,14 +43,14 @@ def bf_reconciliation(ep_bf: DataFrame, account_bf: DataFrame) -> DataFrame:
     parties' b/f. The id is the ledger side's (NULL when it has none)."""
     eps = ep_bf.groupBy(F.col("ma_account_id").alias("MID")).agg(F.sum("amount").alias("EPSUM"))
     bf = account_bf.select("bf_amount", "ma_account_id")
-    return (eps.join(bf, eps.MID == bf.ma_account_id, "left")
-            .select(bf.ma_account_id, (F.col("bf_amount") - F.col("EPSUM")).alias("BFDIFF")))
+    return (eps.join(bf, F.col("MID") == F.col("ma_account_id"), "left")
+            .select("ma_account_id", (F.col("bf_amount") - F.col("EPSUM")).alias("BFDIFF")))
 
 
 def _missing_party(chart: DataFrame, rows: DataFrame) -> DataFrame:
     ctrl = chart.where(F.col("ap_ar") == 1).select(F.col("ma_account_id").alias("MID"))
     r = rows.where(F.col("ep_id").isNull()).select(F.col("ma_account_id").alias("MID2"), "ep_id", "amount")
-    return ctrl.join(r, ctrl.MID == r.MID2, "inner").select("MID", "MID2", "ep_id", "amount")
+    return ctrl.join(r, F.col("MID") == F.col("MID2"), "inner").select("MID", "MID2", "ep_id", "amount")
 
 
 def bank_missing_party(chart: DataFrame, bank: DataFrame) -> DataFrame:

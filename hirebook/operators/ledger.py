@@ -135,13 +135,13 @@ def _on_chart(chart: DataFrame, movements: DataFrame, adjustments: DataFrame,
     mov = movements.select(F.col("ma_account_id").alias("b_id"), F.col("Amount").alias("bankamount"))
     adj = adjustments.select(F.col("ma_account_id").alias("j_id"), F.col("amount").alias("adjamount"))
     c = chart.select("ma_account_id", "ma_account_name")
-    j = (c.join(mov, c.ma_account_id == mov.b_id, "left")
-         .join(adj, F.col("ma_account_id") == adj.j_id, "left"))
+    j = (c.join(mov, F.col("ma_account_id") == F.col("b_id"), "left")
+         .join(adj, F.col("ma_account_id") == F.col("j_id"), "left"))
     z = F.lit(0.0)
     total = F.coalesce("bankamount", z) + F.coalesce("adjamount", z)
     if account_bf is not None:
         bf = account_bf.select(F.col("ma_account_id").alias("f_id"), "bf_amount")
-        j = j.join(bf, F.col("ma_account_id") == bf.f_id, "left")
+        j = j.join(bf, F.col("ma_account_id") == F.col("f_id"), "left")
         total = F.coalesce("bf_amount", z) + F.coalesce("bankamount", z) + F.coalesce("adjamount", z)
     return j.select("ma_account_id", "ma_account_name", total.alias("Amount"))
 

@@ -33,7 +33,7 @@ def client_opening_bf(external_parties: DataFrame, ep_bf: DataFrame, ar_code: st
     clients = external_parties.where(F.col("ep_type") == "client").select("ep_id")
     bf = (ep_bf.where(F.col("ma_account_id") == ar_code)
           .groupBy(F.col("ep_id").alias("bf_id")).agg(F.sum("amount").alias("amount")))
-    return clients.join(bf, clients.ep_id == bf.bf_id, "left").select("ep_id", "amount")
+    return clients.join(bf, F.col("ep_id") == F.col("bf_id"), "left").select("ep_id", "amount")
 
 
 def _receipts_by_party(bank: DataFrame, ar_code: str, lo, hi, name: str) -> DataFrame:
@@ -48,8 +48,8 @@ def client_opening_at(opening_bf: DataFrame, bank: DataFrame, invoice: DataFrame
     reports do (a client without invoices keeps one row)."""
     rec = _receipts_by_party(bank, ar_code, bf_date, start, "Recevied_amount")
     inv = invoiced_revenue(invoice, bf_date, start, Bounds.HALF_OPEN)
-    j = (opening_bf.join(rec, opening_bf.ep_id == rec.receipt_ep_id, "left")
-         .join(inv, F.col("ep_id") == inv.client_id, "left"))
+    j = (opening_bf.join(rec, F.col("ep_id") == F.col("receipt_ep_id"), "left")
+         .join(inv, F.col("ep_id") == F.col("client_id"), "left"))
     return j.select("ep_id", (F.coalesce("amount", F.lit(0.0)) - F.coalesce("Recevied_amount", F.lit(0.0))
                               + F.coalesce("Invoiced_Total", F.lit(0.0))).alias("cutdateamount"))
 
@@ -93,5 +93,5 @@ def client_clearing(bank: DataFrame, invoice: DataFrame, ar_code: str, start, en
     totals in the same open period (one row per client and contract)."""
     rec = client_receipts(bank, ar_code, start, end, reverse_cancelled)
     inv = invoiced_revenue(invoice, start, end, Bounds.OPEN)
-    return rec.join(inv, rec.ep_id == inv.client_id, "inner").select(
+    return rec.join(inv, F.col("ep_id") == F.col("client_id"), "inner").select(
         "ep_id", "ep_name", "Received_amount", "Invoiced_Total")

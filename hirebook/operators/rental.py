@@ -87,7 +87,7 @@ def rent_type0(vq: DataFrame, vq_wholesale: DataFrame, start, end) -> DataFrame:
     stays = vq_wholesale.select(F.col("qt_id").alias("handler"), days.alias("days"),
                                 F.datediff(exit_, entry).alias("totaldays"))
     q = quotations(vq, 0)
-    return (q.join(stays, q.qt_id == stays.handler, "left")
+    return (q.join(stays, F.col("qt_id") == F.col("handler"), "left")
             .select("q_id", "qt_id",
                     (safe_div(F.col("rent_daily"), F.col("totaldays")) * F.col("days")).alias(REVENUE)))
 
@@ -98,8 +98,8 @@ def rent_type1(vq: DataFrame, summary: DataFrame) -> DataFrame:
     q = quotations(vq, 1)
     s = summary.select(F.col("q_id").alias("s_q_id"), F.col("equip_type_id").alias("s_type_id"),
                        "equip_type_name", PERIOD_DAYS)
-    j = q.join(s, (q.equip_type_id == s.s_type_id) & (q.q_id == s.s_q_id), "left")
-    return j.select(q.q_id, q.qt_id, q.equip_type_id, "equip_type_name",
+    j = q.join(s, (F.col("equip_type_id") == F.col("s_type_id")) & (F.col("q_id") == F.col("s_q_id")), "left")
+    return j.select("q_id", "qt_id", "equip_type_id", "equip_type_name",
                     (safe_div(F.col("rent_daily"), F.col("equip_quantity")) * F.col(PERIOD_DAYS)).alias(REVENUE))
 
 
@@ -180,7 +180,7 @@ def invoiced_revenue(invoice: DataFrame, start, end, bounds: Bounds = Bounds.OPE
 def std_cost_by_machine(summary: DataFrame, equip_dailycost: DataFrame) -> DataFrame:
     """Standard daily cost * machine days per (contract, type)."""
     c = equip_dailycost.select(F.col("equip_type_name").alias("c_type_name"), "cost_day_std")
-    j = summary.join(c, summary.equip_type_name == c.c_type_name, "left")
+    j = summary.join(c, F.col("equip_type_name") == F.col("c_type_name"), "left")
     return j.select("q_id", "equip_type_name", "equip_type_id",
                     (F.col("cost_day_std") * F.col(PERIOD_DAYS)).alias(STD_COST))
 
