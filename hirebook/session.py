@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -46,9 +45,13 @@ def cluster_conf_for(spark: SparkSession) -> None:
             spark.conf.set(k, v)
 
 
-def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
+def build_session(master: str | None = "local[8]", shuffle_partitions: int = 8,
                   app: str = "hirebook", extra: dict | None = None) -> SparkSession:
-    b = SparkSession.builder.master(master).appName(app)
+    """A session with ``DEFAULT_CONF``; ``master=None`` leaves the master to
+    the launcher (cluster runs), ``extra`` overrides any setting."""
+    b = SparkSession.builder.appName(app)
+    if master:
+        b = b.master(master)
     conf = dict(DEFAULT_CONF)
     conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
@@ -84,8 +87,5 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{root}/hirebook-{name}-{uuid.uuid4().hex[:12]}"
 
 
-def local_path(path: str) -> str:
-    return path[len("file:"):] if path.startswith("file:") else path
-
-
-__all__ = ["build_session", "ensure_checkpoint_dir", "scratch_path", "local_path", "os"]
+__all__ = ["CLUSTER_CONF", "DEFAULT_CONF", "build_session", "cluster_conf_for", "ensure_checkpoint_dir",
+           "scratch_path"]
