@@ -58,7 +58,10 @@ def build_session(master: str | None = "local[8]", shuffle_partitions: int = 8,
     for k, v in conf.items():
         b = b.config(k, v)
     spark = b.getOrCreate()
-    spark.sparkContext.setLogLevel("ERROR")
+    try:
+        spark.sparkContext.setLogLevel("ERROR")
+    except Exception:  # no driver-side context (Spark Connect)
+        pass
     ensure_checkpoint_dir(spark)
     return spark
 
@@ -69,17 +72,30 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     The folder named by ``spark.checkpoint.dir`` is used as is; only when the
     session has none (local tests) a private one is set.
     """
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: no driver-side context, use the conf
+        sc = None
+    current = sc.getCheckpointDir() if sc is not None else None
     if current:
         return current
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     if not conf_dir:
         conf_dir = tempfile.mkdtemp(prefix="hirebook-ckpt-")
+    if sc is None:
+        return conf_dir
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir() or conf_dir
 
 
+def session_id(spark: SparkSession) -> str:
+    """An id of the running application (for per-session caches)."""
+    try:
+        return spark.sparkContext.applicationId
+    except Exception:
+        return spark.conf.get("spark.app.id", None) or str(id(spark))
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared checkpoint folder (never machine-local
     unless the session itself is local)."""
@@ -88,4 +104,4 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 __all__ = ["CLUSTER_CONF", "DEFAULT_CONF", "build_session", "cluster_conf_for", "ensure_checkpoint_dir",
-           "scratch_path"]
+           "scratch_path", "session_id"]

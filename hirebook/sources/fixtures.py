@@ -398,7 +398,8 @@ class StoredBook:
 
 def stored_book(spark: SparkSession, sf_dir: str) -> StoredBook:
     """The stored business tables of ``sf_dir`` for this session."""
-    key = (spark.sparkContext.applicationId, sf_dir)
+    from hirebook.session import session_id
+    key = (session_id(spark), sf_dir)
     with _STORED_LOCK:
         if key not in _STORED:
             _STORED[key] = StoredBook(spark, sf_dir)
