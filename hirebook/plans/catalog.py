@@ -378,7 +378,7 @@ def _filtered_read(b):
 def _schedule_load(b):
     """Write a schedule folder (CSV with header), read it back typed."""
     path = scratch_path(b.spark, "schedule")
-    LD.write_schedule({"relocation": b.relocation, "bankstatement": b.bankstatement}, path)
+    LD.write_schedule({"relocation": b.relocation}, path)
     return LD.load_schedule(b.spark, path, ["relocation"]).relocation
 
 
