@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from hirebook.params import Bounds, as_date
 
@@ -40,6 +41,21 @@ def safe_div(a, b) -> Column:
     return F.try_divide(_col(a), _col(b))
 
 
+def ratio(df, num: str, den: str, truncate: bool = False) -> Column:
+    """``num / den`` of two columns of ``df``, NULL on a zero divisor.
+
+    ``truncate=True`` reproduces integer division (toward zero) when both
+    columns are integral, as SQL engines that type ``/`` by its operands do;
+    otherwise, and by default, the division is exact.
+    """
+    integral = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+    if truncate and isinstance(df.schema[num].dataType, integral) \
+            and isinstance(df.schema[den].dataType, integral):
+        n, d = F.col(num), F.col(den)
+        return F.when(d != 0, ((n - n % d) / d).cast("bigint"))
+    return safe_div(num, den)
+
+
 def money(x, digits: int = 2) -> Column:
     """Round a reported amount; ``+ 0.0`` turns a negative zero positive."""
     return F.round(_col(x).cast("double"), digits) + F.lit(0.0)

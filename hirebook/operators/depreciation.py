@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hirebook.functions.expr import clamp, safe_div
+from hirebook.functions.expr import clamp, ratio
 
 # Fixed values of the depreciation journal.
 JE_NO = "DEP01"
@@ -31,12 +31,12 @@ def _months_used(year: int, month: int) -> F.Column:
     return clamp(elapsed, F.col("life"))
 
 
-def depr_by_user(ppe: DataFrame, year: int, month: int) -> DataFrame:
+def depr_by_user(ppe: DataFrame, year: int, month: int, truncate: bool = False) -> DataFrame:
     """The month's depreciation per (company, user), each asset's
     charge rounded to cents before the sum. ``month - 1`` of January is
     month 0 of the same year, i.e. December before."""
-    p = ppe_list(ppe)
-    per_month = safe_div(F.col("historical_cost") - F.col("residual_value"), F.col("life"))
+    p = ppe_list(ppe).withColumn("_base", F.col("historical_cost") - F.col("residual_value"))
+    per_month = ratio(p, "_base", "life", truncate)
     charge = F.round(per_month * (_months_used(year, month) - _months_used(year, int(month) - 1)), 2)
     return (p.groupBy("company", F.col("ppe_user").alias("ppe_user"))
             .agg(F.round(F.sum(charge), 2).alias("CurrentDep")))

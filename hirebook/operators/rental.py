@@ -14,7 +14,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hirebook.functions.expr import clamp0, date_lit, in_period, safe_div
+from hirebook.functions.expr import clamp0, date_lit, in_period, ratio
 from hirebook.params import Bounds
 
 BF_COL = "accumulated_machine_days_per_starting"
@@ -74,11 +74,11 @@ def quantity_by_quotation(vq_equip: DataFrame) -> DataFrame:
     return vq_equip.groupBy("qt_id").agg(F.sum("quantity").alias("sumofquantity"))
 
 
-def rent_type0(vq: DataFrame, vq_wholesale: DataFrame, start, end) -> DataFrame:
+def rent_type0(vq: DataFrame, vq_wholesale: DataFrame, start, end, truncate: bool = False) -> DataFrame:
     """Wholesale rent split by the share of the stay inside the period.
 
-    days = overlap of [entry, exit] with (start, end]; rent * days / total
-    days; a zero-length stay gives NULL.
+    days = overlap of [entry, exit] with (start, end]; rent / total days *
+    days; a zero-length stay gives NULL. ``truncate``: see ``ratio``.
     """
     s, e = date_lit(start), date_lit(end)
     entry, exit_ = F.col("entry_date"), F.col("exit_date")
@@ -87,12 +87,11 @@ def rent_type0(vq: DataFrame, vq_wholesale: DataFrame, start, end) -> DataFrame:
     stays = vq_wholesale.select(F.col("qt_id").alias("handler"), days.alias("days"),
                                 F.datediff(exit_, entry).alias("totaldays"))
     q = quotations(vq, 0)
-    return (q.join(stays, F.col("qt_id") == F.col("handler"), "left")
-            .select("q_id", "qt_id",
-                    (safe_div(F.col("rent_daily"), F.col("totaldays")) * F.col("days")).alias(REVENUE)))
+    j = q.join(stays, F.col("qt_id") == F.col("handler"), "left")
+    return j.select("q_id", "qt_id", (ratio(j, "rent_daily", "totaldays", truncate) * F.col("days")).alias(REVENUE))
 
 
-def rent_type1(vq: DataFrame, summary: DataFrame) -> DataFrame:
+def rent_type1(vq: DataFrame, summary: DataFrame, truncate: bool = False) -> DataFrame:
     """Per-machine-day rent = rent / quoted quantity * machine days of
     the same contract and equipment type. Unmatched lines keep a NULL."""
     q = quotations(vq, 1)
@@ -100,10 +99,10 @@ def rent_type1(vq: DataFrame, summary: DataFrame) -> DataFrame:
                        "equip_type_name", PERIOD_DAYS)
     j = q.join(s, (F.col("equip_type_id") == F.col("s_type_id")) & (F.col("q_id") == F.col("s_q_id")), "left")
     return j.select("q_id", "qt_id", "equip_type_id", "equip_type_name",
-                    (safe_div(F.col("rent_daily"), F.col("equip_quantity")) * F.col(PERIOD_DAYS)).alias(REVENUE))
+                    (ratio(j, "rent_daily", "equip_quantity", truncate) * F.col(PERIOD_DAYS)).alias(REVENUE))
 
 
-def rent_type2(vq: DataFrame, vq_equip: DataFrame, summary: DataFrame) -> DataFrame:
+def rent_type2(vq: DataFrame, vq_equip: DataFrame, summary: DataFrame, truncate: bool = False) -> DataFrame:
     """Per-machine-group-day rent = combined machine days of the line *
     rent / total quantity of the group.
 
@@ -115,9 +114,9 @@ def rent_type2(vq: DataFrame, vq_equip: DataFrame, summary: DataFrame) -> DataFr
     combined = (summary.groupBy(F.col("qt_id").alias("leftqt_id"))
                 .agg(F.sum(PERIOD_DAYS).alias("Combined_machine_days")))
     sumq = quantity_by_quotation(vq_equip)
-    unit = (quotations(vq, 2).join(sumq, "qt_id", "left")
-            .select("q_id", F.col("qt_id").alias("rightqt_id"),
-                    safe_div(F.col("rent_daily"), F.col("sumofquantity")).alias("unitprice")))
+    priced = quotations(vq, 2).join(sumq, "qt_id", "left")
+    unit = priced.select("q_id", F.col("qt_id").alias("rightqt_id"),
+                         ratio(priced, "rent_daily", "sumofquantity", truncate).alias("unitprice"))
     j = combined.join(unit, F.col("leftqt_id") == F.col("rightqt_id"), "inner")
     return j.select("q_id", F.col("leftqt_id").alias("qt_id"),
                     (F.col("Combined_machine_days") * F.col("unitprice")).alias(REVENUE))
@@ -151,19 +150,20 @@ class RentTables:
 
 
 def accrued_revenue(t: RentTables, start, end, distinct: bool = True,
-                    summary: DataFrame | None = None) -> DataFrame:
+                    summary: DataFrame | None = None, truncate: bool = False) -> DataFrame:
     """Rent earned in (start, end] per (contract, quotation line).
 
     ``distinct=True`` keeps the reports' set union (equal lines collapse);
     ``distinct=False`` keeps every line (UNION ALL). ``summary`` is R2 for
-    the same period when the caller already has it.
+    the same period when the caller already has it. ``truncate``: integer
+    division of integral operands (see ``functions.expr.ratio``).
     """
     if summary is None:
         summary = shared_summary(t.relocation, start, end)
     cols = ["q_id", "qt_id", REVENUE]
-    u = (rent_type0(t.vq, t.vq_wholesale, start, end).select(cols)
-         .unionAll(rent_type1(t.vq, summary).select(cols))
-         .unionAll(rent_type2(t.vq, t.vq_equip, summary).select(cols)))
+    u = (rent_type0(t.vq, t.vq_wholesale, start, end, truncate).select(cols)
+         .unionAll(rent_type1(t.vq, summary, truncate).select(cols))
+         .unionAll(rent_type2(t.vq, t.vq_equip, summary, truncate).select(cols)))
     return u.distinct() if distinct else u
 
 

@@ -292,3 +292,18 @@ def test_bare_columns_take_the_smallest_value(spark):
                                      (1, 11, "S0", 1, "A", d(2021, 1, 2), 1, 1)])
     s = R.machine_days_summary(R.machine_days(reloc, "2021-01-01", "2021-01-31")).collect()
     assert len(s) == 1 and (s[0]["qt_id"], s[0]["equip_type_id"]) == (11, 1)
+
+
+def test_truncating_division_only_for_integral_operands(spark):
+    vq = spark.createDataFrame([(1, 11, 7, "c", 1, 1, 3, 10)],
+                               "q_id bigint, qt_id bigint, ep_id bigint, ep_name string, quotation_type bigint, "
+                               "equip_type_id bigint, equip_quantity int, rent_daily bigint")
+    summary = R.machine_days_summary(R.machine_days(
+        df(spark, "relocation", [(1, 11, "S0", 1, "A", d(2021, 1, 1), 1, 1)]), "2021-01-01", "2021-01-11"))
+    exact = R.rent_type1(vq, summary).collect()[0][R.REVENUE]
+    trunc = R.rent_type1(vq, summary, truncate=True).collect()[0][R.REVENUE]
+    assert exact == pytest.approx(10 / 3 * 10) and trunc == 30     # 10 div 3 = 3, times 10 days
+    zero = vq.withColumn("equip_quantity", F.lit(0))
+    assert R.rent_type1(zero, summary, truncate=True).collect()[0][R.REVENUE] is None
+    doubles = df(spark, "vq", [(1, 11, 7, "c", 1, 1, 3, 10.0)])
+    assert R.rent_type1(doubles, summary, truncate=True).collect()[0][R.REVENUE] == pytest.approx(10 / 3 * 10)
