@@ -434,3 +434,56 @@ def _codedef_load(b):
         one = loaded[name].agg(F.count(F.lit(1)).alias("loaded_rows")).select(F.lit(name).alias("table_name"), "loaded_rows")
         out = one if out is None else out.unionAll(one)
     return out
+
+
+# one-line descriptions for the queries whose builders have no docstring
+DESCRIPTIONS = {
+    "machine_days": "R1: machine days to the period start and end per relocation row.",
+    "machine_days_summary": "R2: machine days per contract and equipment type.",
+    "quotation_split": "R4: quotation lines by pricing type (0 wholesale, 1 per machine-day, 2 per group-day).",
+    "rent_type0": "R5: wholesale rent earned in the period.",
+    "rent_type1": "R6: per-machine-day rent earned in the period.",
+    "rent_type2": "R7: per-machine-group-day rent earned in the period.",
+    "accrued_revenue": "R8: rent earned per contract line (set union of R5-R7).",
+    "accrued_revenue_all": "R8 keeping equal lines (UNION ALL).",
+    "invoiced_revenue": "R10: invoiced price, VAT and total per contract and client.",
+    "std_cost_by_machine": "R11: standard machine cost per contract and equipment type.",
+    "std_cost_by_contract": "R12: standard machine cost per contract.",
+    "contract_profitability": "P1: revenue, standard cost and gross profit per contract.",
+    "contract_profitability_by_revenue": "P1 with the contract id of the revenue side.",
+    "client_profitability": "P2: revenue, standard cost and gross profit per client.",
+    "client_receipts": "P3: receipts on the receivable account per client.",
+    "client_receipts_net": "P3 with cancelling rows subtracted.",
+    "client_opening_bf": "P4: brought-forward receivable per client.",
+    "client_opening_at": "P5: receivable at the period start per client and contract group.",
+    "client_recovery_by_client": "P6/P7: opening, invoiced, received and closing per client.",
+    "client_clearing": "P8: receipts next to each contract's invoiced total.",
+    "bank_by_account": "L1: bank movements per counter-account.",
+    "bank_vat": "L2/L3: VAT in and VAT out lines.",
+    "bank_total": "L4: bank account line.",
+    "bank_movements": "L5: bank, VAT and counter-account lines.",
+    "adj_by_account": "L6: adjustments per account.",
+    "balance_at": "L7: balance of every chart account at the period end.",
+    "pl_for": "L8: movement of every chart account in the period.",
+    "cash_flow": "L9: cash movement per cash-flow line.",
+    "relocation_negative_rows": "I1: (contract, site, type, date) with a negative running stock.",
+    "relocation_negative_first": "I1: first date with a negative stock.",
+    "bf_reconciliation": "I2: ledger b/f minus the parties' b/f per control account.",
+    "bank_missing_party": "I3: bank rows on control accounts without a party.",
+    "aje_missing_party": "I4: adjustments on control accounts without a party.",
+    "bank_missing_vat": "I5: bank rows without VAT.",
+    "integrity_summary": "I6: number of violations per check.",
+    "payroll_month": "W1: the month's payroll rows with a worker record.",
+    "payroll_regular": "W2: regular employees' journal lines.",
+    "payroll_associate": "W3: associates' employer social security lines.",
+    "payroll_external": "W4: external workers' receivable lines and payable total.",
+    "payroll_journal": "W5: the month's payroll journal.",
+    "ppe_list": "D1: assets with start year and month.",
+    "depr_by_user": "D2: the month's depreciation per company and user.",
+    "depr_by_user_january": "D2 for a January (previous month in the year before).",
+    "depr_journal": "D3: depreciation journal (set union).",
+    "depr_journal_all": "D3 keeping equal lines (UNION ALL).",
+}
+for _name, _text in DESCRIPTIONS.items():
+    if not (QUERIES[_name].__doc__ or "").strip():
+        QUERIES[_name].__doc__ = _text
