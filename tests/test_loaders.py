@@ -30,10 +30,15 @@ def test_schedule_missing_table_fails(spark, tmp_path):
         LD.load_schedule(spark, str(tmp_path), ["invoice"]).invoice.count()
 
 
-def test_schedule_round_trip_parquet(spark, tmp_path, book):
-    LD.write_schedule({"vq_wholesale": book.vq_wholesale}, str(tmp_path), fmt="parquet")
-    back = LD.load_schedule(spark, str(tmp_path), ["vq_wholesale"], fmt="parquet").vq_wholesale
-    assert back.exceptAll(book.vq_wholesale).count() == 0 and back.count() == book.vq_wholesale.count()
+@pytest.mark.parametrize("fmt", ["parquet", "orc", "json", "csv"])
+def test_schedule_round_trip(spark, tmp_path, book, fmt):
+    tables = {"vq_wholesale": book.vq_wholesale, "bankstatement": book.bankstatement}
+    LD.write_schedule(tables, str(tmp_path), fmt=fmt)
+    back = LD.load_schedule(spark, str(tmp_path), list(tables), fmt=fmt)
+    for name, df in tables.items():
+        got = back.table(name)
+        assert got.dtypes == df.dtypes
+        assert got.exceptAll(df).count() == 0 and df.exceptAll(got).count() == 0, name
 
 
 def test_report_format_original_names_and_file_order(spark, tmp_path):
