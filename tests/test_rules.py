@@ -307,3 +307,26 @@ def test_truncating_division_only_for_integral_operands(spark):
     assert R.rent_type1(zero, summary, truncate=True).collect()[0][R.REVENUE] is None
     doubles = df(spark, "vq", [(1, 11, 7, "c", 1, 1, 3, 10.0)])
     assert R.rent_type1(doubles, summary, truncate=True).collect()[0][R.REVENUE] == pytest.approx(10 / 3 * 10)
+
+
+def test_contract_with_two_parties_gives_a_row_per_party(spark):
+    vq = [(1, 11, 7, "c7", 1, 1, 1, 10.0), (1, 12, 8, "c8", 1, 2, 1, 20.0)]
+    reloc = [(1, 11, "S0", 1, "A", d(2021, 1, 1), 1, 1), (1, 12, "S0", 2, "B", d(2021, 1, 1), 1, 1)]
+    t = _rent_tables(spark, vq, reloc)
+    cost = df(spark, "equip_dailycost", [("A", 1.0), ("B", 2.0)])
+    rows_ = {r["ep_id"]: r for r in PR.contract_profitability(t, cost, "2021-01-01", "2021-01-11").collect()}
+    # contract revenue 10*10 + 20*10 = 300 and cost 1*10 + 2*10 = 30 on both party rows
+    assert set(rows_) == {7, 8}
+    assert all((r["q_id"], r["Revenue"], r["StdCost"]) == (1, 300.0, 30.0) for r in rows_.values())
+    clients = {r["ep_id"]: r["GrossProfit"] for r in PR.client_profitability(
+        PR.contract_profitability(t, cost, "2021-01-01", "2021-01-11")).collect()}
+    assert clients == {7: 270.0, 8: 270.0}
+
+
+def test_user_with_two_allocations_debits_the_full_amount_twice(spark):
+    ppe = df(spark, "ppe_list", [("C", "U1", "2020-03-01", 1000.0, 100.0, 9)])
+    alloc = df(spark, "depr_alloc", [("U1", "MA560210"), ("U1", "MA540110")])
+    j = D.depr_journal(ppe, alloc, 2020, 6).collect()
+    debits = sorted((r["ma_account_id"], r["Debit"]) for r in j if r["Debit"] > 0)
+    assert debits == [("MA540110", 100.0), ("MA560210", 100.0)]
+    assert [r["Credit"] for r in j if r["ma_account_id"] == "MA1062"] == [100.0]
