@@ -131,6 +131,40 @@ class Reports:
     def depreciation_journal(self, year: int, month: int) -> DataFrame:
         return D.depr_journal(self.book.ppe_list, self.book.depr_alloc, year, month)
 
+    def payroll_month(self, year: int, month: int) -> DataFrame:
+        return W.payroll_month(self.book.payroll, self.book.worker_info, year, month)
+
+    def payroll_regular(self, year: int, month: int) -> DataFrame:
+        return W.payroll_regular(self.payroll_month(year, month), year, month)
+
+    def payroll_associate(self, year: int, month: int) -> DataFrame:
+        return W.payroll_associate(self.payroll_month(year, month), year, month)
+
+    def payroll_external(self, year: int, month: int) -> DataFrame:
+        return W.payroll_external(self.payroll_month(year, month), year, month)
+
+    def ppe_list(self) -> DataFrame:
+        return D.ppe_list(self.book.ppe_list)
+
+    def depreciation_by_user(self, year: int, month: int) -> DataFrame:
+        return D.depr_by_user(self.book.ppe_list, year, month)
+
+    def check_relocation_negative(self) -> DataFrame:
+        """First date with a negative running stock (one row, NULL if none)."""
+        return I.relocation_negative_first(self.book.relocation)
+
+    def check_bf_account_vs_externalparties(self) -> DataFrame:
+        return I.bf_reconciliation(self.book.ep_bf, self.book.account_bf)
+
+    def check_bankstatement_for_missing_ep_id(self) -> DataFrame:
+        return I.bank_missing_party(self.book.chart_of_accounts, self.book.bankstatement)
+
+    def check_aje_for_missing_ep_id(self) -> DataFrame:
+        return I.aje_missing_party(self.book.chart_of_accounts, self.book.aje)
+
+    def check_missing_vat(self) -> DataFrame:
+        return I.bank_missing_vat(self.book.bankstatement)
+
     def data_integrity(self) -> DataFrame:
         b = self.book
         return I.integrity_summary(b.relocation, b.ep_bf, b.account_bf, b.chart_of_accounts, b.bankstatement, b.aje)

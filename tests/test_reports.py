@@ -25,3 +25,15 @@ def test_methods_match_queries(spark, book):
     assert r.payroll_processing(2021, 3).count() > 10
     assert r.show("bankstatement", "vat is null").count() == r.show("bankstatement").where("vat is null").count()
     assert {x["line_name"] for x in r.statement("PL").collect()} == {"Sales", "Costs", "Profit"}
+
+
+def test_every_check_and_block_builds(book):
+    r = Reports(book, P)
+    for m in ("check_relocation_negative", "check_bf_account_vs_externalparties",
+              "check_bankstatement_for_missing_ep_id", "check_aje_for_missing_ep_id", "check_missing_vat",
+              "ppe_list"):
+        assert getattr(r, m)().columns, m
+    for m in ("payroll_month", "payroll_regular", "payroll_associate", "payroll_external",
+              "depreciation_by_user", "depreciation_journal"):
+        assert getattr(r, m)(2021, 3).columns, m
+    assert r.check_relocation_negative().count() == 1
