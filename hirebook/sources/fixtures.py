@@ -360,26 +360,33 @@ class StoredBook:
         self._root = scratch_path(spark, "book")
         self._derive = Book.from_testdata(spark, sf_dir)
         self._tables: dict[str, DataFrame] = {}
-        self._lock = threading.RLock()
+        self._building: dict[str, threading.Lock] = {}
+        self._lock = threading.Lock()
 
     def table(self, name: str) -> DataFrame:
         with self._lock:
             if name in self._tables:
                 return self._tables[name]
+            name_lock = self._building.setdefault(name, threading.Lock())
+        with name_lock:  # one thread builds a table, the others wait for it
+            with self._lock:
+                if name in self._tables:
+                    return self._tables[name]
             parent = PARENTS.get(name)
             if parent is not None:
                 # derive the child from the stored parent, not from raw tables
                 self._derive.__dict__[parent] = self.table(parent)
             df = self._derive.table(name)
-        if name in DATED_TABLES:
-            # period reports filter these by date: sorted files give tight
-            # row-group statistics, so scans skip other periods
-            df = df.sortWithinPartitions("date")
-        path = f"{self._root}/{name}"
-        df.write.mode("overwrite").parquet(path)
-        stored = self.spark.read.parquet(path)
-        with self._lock:
-            return self._tables.setdefault(name, stored)
+            if name in DATED_TABLES:
+                # period reports filter these by date: sorted files give tight
+                # row-group statistics, so scans skip other periods
+                df = df.sortWithinPartitions("date")
+            path = f"{self._root}/{name}"
+            df.write.mode("overwrite").parquet(path)
+            stored = self.spark.read.parquet(path)
+            with self._lock:
+                self._tables[name] = stored
+            return stored
 
     def __getattr__(self, name: str) -> DataFrame:
         if name in Book.NAMES:

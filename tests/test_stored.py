@@ -18,3 +18,12 @@ def test_dependent_table_reads_its_stored_parent(spark):
     raw = Book.from_testdata(spark, SF_SMALL).cf_mapping
     assert cf.exceptAll(raw).count() == 0 and raw.exceptAll(cf).count() == 0
     assert sb._derive.__dict__["bankstatement"] is sb._tables["bankstatement"]
+
+
+def test_concurrent_requests_build_a_table_once(spark):
+    from concurrent.futures import ThreadPoolExecutor
+    sb = StoredBook(spark, SF_SMALL)
+    with ThreadPoolExecutor(max_workers=4) as pool:
+        frames = list(pool.map(lambda _: sb.table("vq_equip"), range(4)))
+    assert all(f is frames[0] for f in frames)
+    assert set(sb._tables) == {"vq", "vq_equip"}
