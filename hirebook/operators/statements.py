@@ -175,25 +175,36 @@ class CompilePlan:
         return F.broadcast(spark.createDataFrame(rows, schema))
 
 
-def _by_bucket(plan: CompilePlan, bank: DataFrame, aje: DataFrame):
+def bucket_aggregates(plan: CompilePlan, bank: DataFrame, aje: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """One grouped pass per table: bank rows by (bucket, account, cash-flow
+    line) with the signed sums, adjustments by (bucket, account). Both are
+    small (buckets x accounts x lines) whatever the number of rows."""
     s = sgn()
     vat = F.col("vat")
-    b = (bank.withColumn("bucket", plan.bucket(F.col("date"))).where(F.col("bucket").isNotNull())
-         .groupBy("bucket", "ma_account_id")
-         .agg(F.min("ma_account_name").alias("ma_account_name"),
-              F.sum(s * (F.col("amount") - vat)).alias("net"),
-              F.sum(s * F.when(vat < 0, 1).otherwise(0) * vat).alias("vat_in"),
-              F.sum(s * F.when(vat > 0, 1).otherwise(0) * vat).alias("vat_out"),
-              F.sum(s * F.col("amount")).alias("gross")))
+    fine = (bank.withColumn("bucket", plan.bucket(F.col("date"))).where(F.col("bucket").isNotNull())
+            .groupBy("bucket", "ma_account_id", "suggested_cf")
+            .agg(F.min("ma_account_name").alias("ma_account_name"),
+                 F.min("cf_account_id").alias("cf_account_id"),
+                 F.sum(s * (F.col("amount") - vat)).alias("net"),
+                 F.sum(s * F.when(vat < 0, 1).otherwise(0) * vat).alias("vat_in"),
+                 F.sum(s * F.when(vat > 0, 1).otherwise(0) * vat).alias("vat_out"),
+                 F.sum(s * F.col("amount")).alias("gross")))
     a = (aje.withColumn("bucket", plan.bucket(F.col("date"))).where(F.col("bucket").isNotNull())
          .groupBy("bucket", "ma_account_id")
          .agg(F.min("ma_account_name").alias("ma_account_name"),
               F.sum("debit").alias("debit"), F.sum("credit").alias("credit")))
-    cf = (bank.withColumn("bucket", plan.bucket(F.col("date"))).where(F.col("bucket").isNotNull())
-          .groupBy("bucket", "suggested_cf")
-          .agg(F.min("cf_account_id").alias("cf_account_id"),
-               F.sum(s * (F.col("amount") - vat)).alias("net")))
-    return b, a, cf
+    return fine, a
+
+
+def _by_account(fine: DataFrame) -> DataFrame:
+    return fine.groupBy("bucket", "ma_account_id").agg(
+        F.min("ma_account_name").alias("ma_account_name"), F.sum("net").alias("net"),
+        F.sum("vat_in").alias("vat_in"), F.sum("vat_out").alias("vat_out"), F.sum("gross").alias("gross"))
+
+
+def _by_cf_line(fine: DataFrame) -> DataFrame:
+    return fine.groupBy("bucket", "suggested_cf").agg(
+        F.min("cf_account_id").alias("cf_account_id"), F.sum("net").alias("net"))
 
 
 def _per_period(spark, plan, which, bucketed: DataFrame, keys: list[str], aggs) -> DataFrame:
@@ -238,21 +249,25 @@ class LedgerTables:
 
 
 def compile_long(spark: SparkSession, kind: str, t: LedgerTables, fmt: ReportFormat, bf_date,
-                 last_reporting_date, periods: int, frequency: str) -> tuple[DataFrame, list[str]]:
-    """L11 in long form: (period, line_no, line_name, Amount) and the labels."""
+                 last_reporting_date, periods: int, frequency: str,
+                 aggregates: tuple[DataFrame, DataFrame] | None = None) -> tuple[DataFrame, list[str]]:
+    """L11 in long form: (period, line_no, line_name, Amount) and the labels.
+
+    ``aggregates`` are this plan's ``bucket_aggregates`` when the caller
+    already has them (several statements from one pass)."""
     ends = period_ends(last_reporting_date, periods, frequency)
     label = labeler(ends)
     plan = CompilePlan.build(bf_date, ends)
-    bank_b, aje_b, cf_b = _by_bucket(plan, t.bank, t.aje)
+    fine, aje_b = aggregates if aggregates is not None else bucket_aggregates(plan, t.bank, t.aje)
     if kind == "FP":
         labels = [label(e) for e in ends]
-        amounts = _period_ledger(spark, plan, "FP", t.chart, bank_b, aje_b, t.account_bf, labels)
+        amounts = _period_ledger(spark, plan, "FP", t.chart, _by_account(fine), aje_b, t.account_bf, labels)
     elif kind == "PL":
         labels = [label(e) for e in ends[1:]]
-        amounts = _period_ledger(spark, plan, "PL", t.chart, bank_b, aje_b, None, labels)
+        amounts = _period_ledger(spark, plan, "PL", t.chart, _by_account(fine), aje_b, None, labels)
     elif kind == "CF":
         labels = [label(e) for e in ends[1:]]
-        amounts = _per_period(spark, plan, "CF", cf_b, ["suggested_cf"], [
+        amounts = _per_period(spark, plan, "CF", _by_cf_line(fine), ["suggested_cf"], [
             F.min("cf_account_id").alias("cf_account_id"), (-F.sum("net")).alias("Amount")])
     else:
         raise ValueError(kind)
@@ -276,3 +291,30 @@ def single_period_amounts(kind: str, t: LedgerTables, bf_date, start, end) -> Da
     if kind == "PL":
         return L.pl_for(t.chart, t.bank, t.aje, start, end)
     return L.cash_flow(t.bank, start, end)
+
+
+def compile_reports(spark: SparkSession, t: LedgerTables, fmt: ReportFormat, bf_date,
+                    last_reporting_date, periods: int, frequency: str,
+                    reuse: bool = True) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """L11 for all three statements: ``(fp, pl, cf)`` wide DataFrames.
+
+    The bank and adjustment tables are aggregated once by bucket; with
+    ``reuse`` the two small aggregates are written under the session's
+    checkpoint folder and all three statements read them, so each source
+    table is scanned once for the whole set.
+    """
+    ends = period_ends(last_reporting_date, periods, frequency)
+    plan = CompilePlan.build(bf_date, ends)
+    fine, aje_b = bucket_aggregates(plan, t.bank, t.aje)
+    if reuse:
+        from hirebook.session import scratch_path
+        root = scratch_path(spark, "compile")
+        fine.write.mode("overwrite").parquet(f"{root}/bank")
+        aje_b.write.mode("overwrite").parquet(f"{root}/aje")
+        fine, aje_b = spark.read.parquet(f"{root}/bank"), spark.read.parquet(f"{root}/aje")
+    out = []
+    for kind in ("FP", "PL", "CF"):
+        long, labels = compile_long(spark, kind, t, fmt, bf_date, last_reporting_date, periods, frequency,
+                                    aggregates=(fine, aje_b))
+        out.append(long.groupBy("line_no", "line_name").pivot("period", labels).agg(F.max("Amount")))
+    return tuple(out)

@@ -120,9 +120,8 @@ class Reports:
     def compile_reports(self, last_reporting_date, periods: int, frequency: str):
         """Balance sheets, P&L and cash flows for ``periods`` periods:
         ``(fp, pl, cf)`` wide DataFrames, one column per period."""
-        spark = self.book.spark
-        return tuple(ST.compile_statement(spark, k, self._ledger(), self._format(), self.params.bf_date,
-                                          last_reporting_date, periods, frequency) for k in ("FP", "PL", "CF"))
+        return ST.compile_reports(self.book.spark, self._ledger(), self._format(), self.params.bf_date,
+                                  last_reporting_date, periods, frequency)
 
     # -- payroll, depreciation, integrity ---------------------------------------------
     def payroll_processing(self, year: int, month: int, legacy_lines: bool = False) -> DataFrame:

@@ -77,3 +77,13 @@ def test_compile_equals_single_period_statements(spark, book, kind):
         single = {r["line_no"]: r["Amount"] for r in present(ST.statement(kind, amounts, report_format(book))).collect()}
         col = ST.label(hi)
         assert {r["line_no"]: r[col] for r in wide} == single
+
+
+def test_compile_reports_equal_single_compiles(spark, book):
+    fp, pl, cf = ST.compile_reports(spark, ledger_tables(book), report_format(book), P.bf_date, "1996-12-31", 3, "Q")
+    for kind, got in zip(("FP", "PL", "CF"), (fp, pl, cf)):
+        want = ST.compile_statement(spark, kind, ledger_tables(book), report_format(book), P.bf_date,
+                                    "1996-12-31", 3, "Q")
+        a, b = present(got), present(want)
+        assert a.columns == b.columns
+        assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0, kind
