@@ -293,6 +293,19 @@ def single_period_amounts(kind: str, t: LedgerTables, bf_date, start, end) -> Da
     return L.cash_flow(t.bank, start, end)
 
 
+def _shared_aggregates(spark, t: LedgerTables, bf_date, last_reporting_date, periods, frequency, reuse: bool):
+    ends = period_ends(last_reporting_date, periods, frequency)
+    plan = CompilePlan.build(bf_date, ends)
+    fine, aje_b = bucket_aggregates(plan, t.bank, t.aje)
+    if reuse:
+        from hirebook.session import scratch_path
+        root = scratch_path(spark, "compile")
+        fine.write.mode("overwrite").parquet(f"{root}/bank")
+        aje_b.write.mode("overwrite").parquet(f"{root}/aje")
+        fine, aje_b = spark.read.parquet(f"{root}/bank"), spark.read.parquet(f"{root}/aje")
+    return fine, aje_b
+
+
 def compile_reports(spark: SparkSession, t: LedgerTables, fmt: ReportFormat, bf_date,
                     last_reporting_date, periods: int, frequency: str,
                     reuse: bool = True) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -303,18 +316,24 @@ def compile_reports(spark: SparkSession, t: LedgerTables, fmt: ReportFormat, bf_
     checkpoint folder and all three statements read them, so each source
     table is scanned once for the whole set.
     """
-    ends = period_ends(last_reporting_date, periods, frequency)
-    plan = CompilePlan.build(bf_date, ends)
-    fine, aje_b = bucket_aggregates(plan, t.bank, t.aje)
-    if reuse:
-        from hirebook.session import scratch_path
-        root = scratch_path(spark, "compile")
-        fine.write.mode("overwrite").parquet(f"{root}/bank")
-        aje_b.write.mode("overwrite").parquet(f"{root}/aje")
-        fine, aje_b = spark.read.parquet(f"{root}/bank"), spark.read.parquet(f"{root}/aje")
+    agg = _shared_aggregates(spark, t, bf_date, last_reporting_date, periods, frequency, reuse)
     out = []
     for kind in ("FP", "PL", "CF"):
         long, labels = compile_long(spark, kind, t, fmt, bf_date, last_reporting_date, periods, frequency,
-                                    aggregates=(fine, aje_b))
+                                    aggregates=agg)
         out.append(long.groupBy("line_no", "line_name").pivot("period", labels).agg(F.max("Amount")))
     return tuple(out)
+
+
+def compile_all(spark: SparkSession, t: LedgerTables, fmt: ReportFormat, bf_date,
+                last_reporting_date, periods: int, frequency: str, reuse: bool = True) -> DataFrame:
+    """L11 for all three statements in one long DataFrame
+    (fr, period, line_no, line_name, Amount), from one aggregate pass."""
+    agg = _shared_aggregates(spark, t, bf_date, last_reporting_date, periods, frequency, reuse)
+    out = None
+    for kind in ("FP", "PL", "CF"):
+        long, _ = compile_long(spark, kind, t, fmt, bf_date, last_reporting_date, periods, frequency,
+                               aggregates=agg)
+        long = long.select(F.lit(kind).alias("fr"), "period", "line_no", "line_name", "Amount")
+        out = long if out is None else out.unionAll(long)
+    return out

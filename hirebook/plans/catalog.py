@@ -299,6 +299,13 @@ for _k in ("FP", "PL", "CF"):
     query(f"compile_{_k.lower()}")(_compiled(_k))
 
 
+@query("compile_all")
+def _compile_all(b):
+    """The three statements in long form from one pass over the ledger tables."""
+    return ST.compile_all(b.spark, ledger_tables(b), report_format(b), P.bf_date,
+                          COMPILE_FROM, COMPILE_PERIODS, COMPILE_FREQ)
+
+
 # -- payroll (W1-W5), depreciation (D1-D3) ------------------------------------
 
 PAYROLL_MONTH = (2021, 3)
