@@ -25,17 +25,21 @@ VAT_IN_ACCOUNT = ("MA22210101", "VAT_in")
 VAT_OUT_ACCOUNT = ("MA22210102", "VAT_out")
 
 
+MEASURES = ("net", "vat_in", "vat_out", "gross")
+
+
 def bank_account_sums(bank: DataFrame, lo, hi) -> DataFrame:
-    """One pass over bank rows in (lo, hi]: per account the four signed sums."""
-    s = sgn()
-    vat = F.col("vat")
-    return (bank.where(in_period("date", lo, hi, Bounds.HALF_OPEN))
-            .groupBy("ma_account_id")
-            .agg(F.min("ma_account_name").alias("ma_account_name"),
-                 F.sum(s * (F.col("amount") - vat)).alias("net"),
-                 F.sum(s * F.when(vat < 0, 1).otherwise(0) * vat).alias("vat_in"),
-                 F.sum(s * F.when(vat > 0, 1).otherwise(0) * vat).alias("vat_out"),
-                 F.sum(s * F.col("amount")).alias("gross")))
+    """One pass over bank rows in (lo, hi]: per account the four signed sums.
+
+    The account name is not a key (one name per account; the smallest if
+    not). Taking ``min`` of a string forces a sort-based aggregate, so the
+    rows are first hash-aggregated by (account, name) and the name is picked
+    from that small result.
+    """
+    rows = _signed_rows(bank, lo, hi, pad=False)
+    per_name = rows.groupBy("ma_account_id", "ma_account_name").agg(*[F.sum(m).alias(m) for m in MEASURES])
+    return per_name.groupBy("ma_account_id").agg(
+        F.min("ma_account_name").alias("ma_account_name"), *[F.sum(m).alias(m) for m in MEASURES])
 
 
 def bank_by_account(bank: DataFrame, lo, hi) -> DataFrame:
@@ -63,11 +67,14 @@ def movement_lines(rows: DataFrame, keys: list[str], which: str = "all") -> Data
     without rows still gets its three fixed lines, with a NULL amount like a
     SQL sum over nothing. ``which``: ``all``, ``fixed`` or ``accounts``.
     """
-    g = (rows.rollup(*keys, "ma_account_id")
+    # hash-aggregate the rows by (keys, account, name) first: min() of the
+    # name string would otherwise make the big aggregate sort-based
+    per_name = (rows.groupBy(*keys, "ma_account_id", "ma_account_name")
+                .agg(*[F.sum(m).alias(m) for m in MEASURES], F.count("_real").alias("_rows")))
+    g = (per_name.rollup(*keys, "ma_account_id")
          .agg(F.min("ma_account_name").alias("ma_account_name"),
-              F.sum("net").alias("net"), F.sum("vat_in").alias("vat_in"),
-              F.sum("vat_out").alias("vat_out"), F.sum("gross").alias("gross"),
-              F.grouping("ma_account_id").alias("_total"), F.count("_real").alias("_n"),
+              *[F.sum(m).alias(m) for m in MEASURES],
+              F.grouping("ma_account_id").alias("_total"), F.sum("_rows").alias("_n"),
               *[F.grouping(k).alias(f"_g_{k}") for k in keys]))
     for k in keys:
         g = g.where(F.col(f"_g_{k}") == 0)
@@ -80,7 +87,7 @@ def movement_lines(rows: DataFrame, keys: list[str], which: str = "all") -> Data
     return g.select(*keys, F.inline(lines))
 
 
-def _signed_rows(bank: DataFrame, lo, hi) -> DataFrame:
+def _signed_rows(bank: DataFrame, lo, hi, pad: bool = True) -> DataFrame:
     s = sgn()
     vat = F.col("vat")
     rows = bank.where(in_period("date", lo, hi, Bounds.HALF_OPEN)).select(
@@ -90,7 +97,7 @@ def _signed_rows(bank: DataFrame, lo, hi) -> DataFrame:
         (s * F.when(vat > 0, 1).otherwise(0) * vat).alias("vat_out"),
         (s * F.col("amount")).alias("gross"),
         F.lit(1).alias("_real"))
-    return rows.unionByName(padding(bank.sparkSession, rows))
+    return rows.unionByName(padding(bank.sparkSession, rows)) if pad else rows
 
 
 def padding(spark, rows: DataFrame, keys: dict[str, list] | None = None) -> DataFrame:
@@ -122,12 +129,14 @@ def bank_movements(bank: DataFrame, lo, hi, distinct: bool = True) -> DataFrame:
 
 
 def adj_by_account(aje: DataFrame, lo, hi) -> DataFrame:
-    """Adjustments per account, debits minus credits (NULL sums as 0)."""
-    return (aje.where(in_period("date", lo, hi, Bounds.HALF_OPEN))
-            .groupBy("ma_account_id")
-            .agg(F.min("ma_account_name").alias("ma_account_name"),
-                 (F.coalesce(F.sum("debit"), F.lit(0.0)) - F.coalesce(F.sum("credit"), F.lit(0.0)))
-                 .alias("amount")))
+    """Adjustments per account, debits minus credits (NULL sums as 0).
+    Hash-aggregated by (account, name) first, as ``bank_account_sums``."""
+    per_name = (aje.where(in_period("date", lo, hi, Bounds.HALF_OPEN))
+                .groupBy("ma_account_id", "ma_account_name")
+                .agg(F.sum("debit").alias("debit"), F.sum("credit").alias("credit")))
+    return per_name.groupBy("ma_account_id").agg(
+        F.min("ma_account_name").alias("ma_account_name"),
+        (F.coalesce(F.sum("debit"), F.lit(0.0)) - F.coalesce(F.sum("credit"), F.lit(0.0))).alias("amount"))
 
 
 def _on_chart(chart: DataFrame, movements: DataFrame, adjustments: DataFrame,

@@ -35,9 +35,11 @@ def contract_profitability(t: RentTables, equip_dailycost: DataFrame, start, end
 
 
 def client_profitability(contracts: DataFrame) -> DataFrame:
-    """P1 summed per client (each sum skips NULLs on its own)."""
-    return contracts.groupBy("ep_id").agg(
-        F.min("ep_name").alias("ep_name"),
-        F.sum("Revenue").alias("Revenue"),
-        F.sum("StdCost").alias("StdCost"),
-        F.sum("GrossProfit").alias("GrossProfit"))
+    """P1 summed per client (each sum skips NULLs on its own).
+
+    Hash-aggregated by (client, name) first; the name (not a key, the
+    smallest if several) is then picked from that small result, since
+    ``min`` of a string would make the big aggregate sort-based."""
+    cols = ("Revenue", "StdCost", "GrossProfit")
+    per_name = contracts.groupBy("ep_id", "ep_name").agg(*[F.sum(c).alias(c) for c in cols])
+    return per_name.groupBy("ep_id").agg(F.min("ep_name").alias("ep_name"), *[F.sum(c).alias(c) for c in cols])

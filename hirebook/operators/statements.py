@@ -73,8 +73,7 @@ def apply_template(codes: DataFrame, template: DataFrame, fr: str, periods: list
          .where(F.col("k").isNotNull()))
     w = Window.partitionBy("period", "lvl", "k")
     x = x.withColumn("subtotal", F.sum(F.when(F.col("role") == "in", F.col("amt"))).over(w))
-    out = x.groupBy("period", "line_no").agg(
-        F.max("line_name").alias("line_name"), F.max("direction").alias("direction"),
+    out = x.groupBy("period", "line_no", "line_name", "direction").agg(
         F.sum(F.when(F.col("role") == "self", F.col("amt"))).alias("base"),
         F.sum(F.when(F.col("role") == "out", F.col("subtotal"))).alias("subtotals"))
     value = (F.coalesce(F.col("base"), F.lit(0.0)) + F.coalesce(F.col("subtotals"), F.lit(0.0))) \
@@ -181,18 +180,17 @@ def bucket_aggregates(plan: CompilePlan, bank: DataFrame, aje: DataFrame) -> tup
     small (buckets x accounts x lines) whatever the number of rows."""
     s = sgn()
     vat = F.col("vat")
+    # the name is a key here (hash aggregate); min() over the small result
     fine = (bank.withColumn("bucket", plan.bucket(F.col("date"))).where(F.col("bucket").isNotNull())
-            .groupBy("bucket", "ma_account_id", "suggested_cf")
-            .agg(F.min("ma_account_name").alias("ma_account_name"),
-                 F.min("cf_account_id").alias("cf_account_id"),
+            .groupBy("bucket", "ma_account_id", "suggested_cf", "ma_account_name")
+            .agg(F.min("cf_account_id").alias("cf_account_id"),
                  F.sum(s * (F.col("amount") - vat)).alias("net"),
                  F.sum(s * F.when(vat < 0, 1).otherwise(0) * vat).alias("vat_in"),
                  F.sum(s * F.when(vat > 0, 1).otherwise(0) * vat).alias("vat_out"),
                  F.sum(s * F.col("amount")).alias("gross")))
     a = (aje.withColumn("bucket", plan.bucket(F.col("date"))).where(F.col("bucket").isNotNull())
-         .groupBy("bucket", "ma_account_id")
-         .agg(F.min("ma_account_name").alias("ma_account_name"),
-              F.sum("debit").alias("debit"), F.sum("credit").alias("credit")))
+         .groupBy("bucket", "ma_account_id", "ma_account_name")
+         .agg(F.sum("debit").alias("debit"), F.sum("credit").alias("credit")))
     return fine, a
 
 

@@ -79,3 +79,15 @@ def test_skewed_running_stock_matches_bruteforce(spark, skewed):
     assert got == want and len(want) > 0
     first = I.relocation_negative_first(df).collect()[0][0]
     assert first == min(k[3] for k in want)
+
+
+@pytest.mark.parametrize("name", sorted(E.queries()))
+def test_first_aggregate_over_the_data_is_hash_based(spark, name):
+    """min() of a string would make an aggregate sort-based; the big first
+    aggregate must stay a hash aggregate (the name is grouped first)."""
+    text = plan_text(E.queries()[name](spark, SF_SMALL))
+    aggs = [m for m in ("HashAggregate(", "SortAggregate(", "ObjectHashAggregate(") if m in text]
+    if not aggs:
+        return
+    last = max(("HashAggregate(", "SortAggregate(", "ObjectHashAggregate("), key=lambda m: text.rfind(m))
+    assert last != "SortAggregate(", text

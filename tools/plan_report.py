@@ -49,6 +49,30 @@ def summarise(text: str) -> dict:
     }
 
 
+APPENDIX = ("bank_movements", "relocation_negative_rows", "compile_all")
+
+
+def formatted(df) -> str:
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain("formatted")
+    return buf.getvalue()
+
+
+def appendix(name: str, text: str) -> None:
+    """Operator tree and the scan details (pushed filters, read schema)."""
+    tree = text.split("\n\n")[0]
+    tree = re.sub(r"[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}/", "", tree)
+    print(f"\n### `{name}`\n\n```")
+    print(tree.replace("== Physical Plan ==\n", ""))
+    for block in text.split("\n\n"):
+        if block.lstrip().startswith("(") and " Scan parquet" in block.splitlines()[0]:
+            keep = [ln for ln in block.splitlines()
+                    if ln.startswith("(") or ln.startswith("PushedFilters") or ln.startswith("ReadSchema")]
+            print("\n".join(keep))
+    print("```")
+
+
 def main(argv):
     sf = argv[1] if len(argv) > 1 else "/root/testdata/sf0.1"
     spark = build_session(extra={"spark.sql.maxMetadataStringLength": "2000"})
@@ -69,6 +93,11 @@ def main(argv):
         scans = ", ".join(f"{k} {v}" for k, v in sorted(s["scans"].items()))
         joins = ", ".join(f"{k.replace('Join', '')} {v}" for k, v in sorted(s["joins"].items()))
         print(f"| `{name}` | {scans} | {s['shuffles']} | {s['reused']} | {joins} |")
+    print("\n## Appendix: operator trees and scans\n")
+    print("Initial physical plans (`explain(\"formatted\")`): each scan's pushed filters and read schema,")
+    print("and the partial/final aggregates around each exchange.")
+    for name in APPENDIX:
+        appendix(name, formatted(E.queries()[name](spark, sf)))
 
 
 if __name__ == "__main__":
