@@ -66,8 +66,9 @@ def appendix(name: str, text: str) -> None:
     print(f"\n### `{name}`\n\n```")
     print(tree.replace("== Physical Plan ==\n", ""))
     for block in text.split("\n\n"):
-        if block.lstrip().startswith("(") and " Scan parquet" in block.splitlines()[0]:
-            keep = [ln for ln in block.splitlines()
+        lines = block.strip().splitlines()
+        if lines and lines[0].startswith("(") and " Scan parquet" in lines[0]:
+            keep = [ln for ln in lines
                     if ln.startswith("(") or ln.startswith("PushedFilters") or ln.startswith("ReadSchema")]
             print("\n".join(keep))
     print("```")
