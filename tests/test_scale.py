@@ -23,9 +23,14 @@ def plan_text(df) -> str:
 
 
 @pytest.mark.parametrize("name", sorted(E.queries()))
-def test_no_cartesian_or_nested_loop_join(spark, name):
+def test_no_cartesian_nested_loop_python_or_unreduced_single_partition(spark, name):
     text = plan_text(E.queries()[name](spark, SF_SMALL))
     assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
+    assert "EvalPython" not in text                      # no Python UDFs in any plan
+    lines = text.splitlines()
+    for i, line in enumerate(lines):                     # one task only ever gets partial results
+        if "Exchange SinglePartition" in line:
+            assert "partial_" in lines[i + 1], line
 
 
 def test_aggregates_are_partial_before_shuffle(spark, book):
