@@ -28,6 +28,9 @@ def test_no_cartesian_nested_loop_python_or_unreduced_single_partition(spark, na
     assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
     assert "EvalPython" not in text                      # no Python UDFs in any plan
     lines = text.splitlines()
+    for line in lines:                                   # no window over the whole input
+        if "+- Window [" in line or line.startswith("Window ["):
+            assert "], [], [" not in line, line
     for i, line in enumerate(lines):                     # one task only ever gets partial results
         if "Exchange SinglePartition" in line:
             assert "partial_" in lines[i + 1], line
