@@ -98,6 +98,17 @@ def _quotation_split(b):
     return norm(0).unionAll(norm(1)).unionAll(norm(2))
 
 
+def _quotations_of(t):
+    def fn(b):
+        return R.quotations(b.vq, t)
+    fn.__doc__ = f"R4: quotation lines of pricing type {t} with that type's columns."
+    return fn
+
+
+for _t in (0, 1, 2):
+    query(f"quotation_type{_t}")(_quotations_of(_t))
+
+
 @query("rent_type0")
 def _rent_type0(b):
     return R.rent_type0(b.vq, b.vq_wholesale, P.start, P.end)
