@@ -61,6 +61,9 @@ class Reports:
         return df if where is None else df.where(where)
 
     # -- contracts -------------------------------------------------------------
+    def quotations(self, quotation_type: int) -> DataFrame:
+        return R.quotations(self.book.vq, quotation_type)
+
     def machine_days(self, start=None, end=None) -> DataFrame:
         s, e = self._p(start, end)
         return R.machine_days_summary(R.machine_days(self.book.relocation, s, e))
@@ -112,10 +115,13 @@ class Reports:
         s, e = self._p(start, end)
         return L.cash_flow(self.book.bankstatement, s, e)
 
-    def statement(self, kind: str, start=None, end=None) -> DataFrame:
+    def statement(self, kind: str, start=None, end=None, label_col: str | None = None) -> DataFrame:
+        """One statement; ``label_col`` renames the line label column (for
+        example to the template's own header)."""
         s, e = self._p(start, end)
         amounts = ST.single_period_amounts(kind, self._ledger(), self.params.bf_date, s, e)
-        return ST.statement(kind, amounts, self._format())
+        out = ST.statement(kind, amounts, self._format())
+        return out.withColumnRenamed("line_name", label_col) if label_col else out
 
     def compile_reports(self, last_reporting_date, periods: int, frequency: str):
         """Balance sheets, P&L and cash flows for ``periods`` periods:
@@ -168,5 +174,10 @@ class Reports:
         b = self.book
         return I.integrity_summary(b.relocation, b.ep_bf, b.account_bf, b.chart_of_accounts, b.bankstatement, b.aje)
 
+    def register_views(self, names=None, year: int | None = None, month: int | None = None) -> list[str]:
+        """Create the reports' named temp views for ``spark.sql`` users."""
+        from hirebook.plans.views import register_views
+        return register_views(self.book, self.params, names, year, month)
+
     def with_params(self, **changes) -> "Reports":
         return Reports(self.book, replace(self.params, **changes), self.report_format)

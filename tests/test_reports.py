@@ -37,3 +37,12 @@ def test_every_check_and_block_builds(book):
               "depreciation_by_user", "depreciation_journal"):
         assert getattr(r, m)(2021, 3).columns, m
     assert r.check_relocation_negative().count() == 1
+
+
+def test_labels_quotations_and_views(spark, book):
+    r = Reports(book, P)
+    st = r.statement("PL", label_col="名义报表")
+    assert st.columns == ["line_no", "名义报表", "Amount"]
+    assert r.quotations(1).columns == ["q_id", "qt_id", "equip_quantity", "equip_type_id", "rent_daily"]
+    assert r.register_views(["CF_for_cftemp"]) == ["CF_for_cftemp"]
+    assert spark.sql("SELECT count(*) FROM CF_for_cftemp").collect()[0][0] > 0
