@@ -12,6 +12,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from hirebook.operators import depreciation as D
 from hirebook.operators import integrity as I
@@ -63,10 +64,22 @@ def report_views(b: Book, p: ReportParams, year: int | None = None,
                                                   p.bf_date, e),
         "duringpltemp": lambda: L.pl_for(b.chart_of_accounts, b.bankstatement, b.aje, s, e),
         "CF_for_cftemp": lambda: L.cash_flow(b.bankstatement, s, e),
+        f"client_per_{e.month:02d}": lambda: RC.client_opening_at(
+            RC.client_opening_bf(b.external_parties, b.ep_bf, p.ar_code), b.bankstatement, b.invoice,
+            p.ar_code, p.bf_date, s),
     }
+    # ledger intermediates of the balance sheet (frtemp) and P&L (pltemp)
+    for tag, lo in (("frtemp", p.bf_date), ("pltemp", s)):
+        views.update(_ledger_views(b, tag, lo, e))
     if year is not None and month is not None:
+        def month_rows():
+            return W.payroll_month(b.payroll, b.worker_info, year, month)
+        flag = F.col(W.RECOVERABLE)
         views.update({
-            f"payroll{year}{month}": lambda: W.payroll_month(b.payroll, b.worker_info, year, month),
+            f"payroll{year}{month}": month_rows,
+            f"payrollinternal{year}{month}": lambda: month_rows().where(flag.isNull()),
+            f"payrollexternal{year}{month}": lambda: month_rows().where(flag != 1),
+            f"socialsecurityagency{year}{month}": lambda: month_rows().where(flag == 1),
             "TEMPPPE": lambda: D.ppe_list(b.ppe_list),
             "DEPR_BY_USER": lambda: D.depr_by_user(b.ppe_list, year, month),
             "DEPR_JE": lambda: D.depr_journal(b.ppe_list, b.depr_alloc, year, month),
@@ -74,6 +87,23 @@ def report_views(b: Book, p: ReportParams, year: int | None = None,
     return views
 
 
+def _ledger_views(b: Book, tag: str, lo, hi) -> dict[str, Callable[[], DataFrame]]:
+    bank = b.bankstatement
+
+    def fixed(acct):
+        return lambda: L.bank_movements(bank, lo, hi).where(
+            (F.col("ma_account_id") == acct[0]) & (F.col("ma_account_name") == acct[1]))
+
+    return {
+        f"accumulated_banktransaction_nonbank_for_{tag}": lambda: L.bank_by_account(bank, lo, hi),
+        f"accumulated_banktransaction_vat0_for_{tag}": fixed(L.VAT_IN_ACCOUNT),
+        f"accumulated_banktransaction_vat1_for_{tag}": fixed(L.VAT_OUT_ACCOUNT),
+        f"accumulated_banktransaction_bank_for_{tag}": fixed(L.BANK_ACCOUNT),
+        f"accumulated_banktransaction_for_{tag}": lambda: L.bank_movements(bank, lo, hi),
+        f"accumulated_ADJ_for_{tag}": lambda: L.adj_by_account(b.aje, lo, hi),
+    }
+
+
 def register_tables(b: Book, names=None) -> None:
     """Temp views of the business tables under their own names."""
     for name in names or Book.NAMES:

@@ -19,7 +19,7 @@ def test_views_answer_sql_like_the_functions(spark, book):
 
 def test_all_views_build_and_tables_register(spark, book):
     views = report_views(book, P, 2021, 3)
-    assert len(views) >= 29
+    assert len(views) >= 45
     for name, build in views.items():
         assert build().columns, name
     register_tables(book, ["bankstatement"])
