@@ -1,0 +1,43 @@
+"""Property test of the template engine against a direct statement of the rule."""
+
+import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+
+from hirebook.operators import statements as ST
+from hirebook.sources.fixtures import REPORT_TEMPLATE_SCHEMA
+
+KEYS = st.sampled_from([None, None, "A", "B", "C"])
+CODES = st.sampled_from([None, "X", "Y", "Z", "W"])
+LINE = st.tuples(CODES, st.sampled_from([1.0, -1.0]), *[KEYS] * 8)
+
+
+def expected(lines, amounts):
+    """value = direction * (base + sum over levels of the base amounts of the
+    lines whose level-i input key equals this line's level-i output key);
+    missing amounts count as 0."""
+    base = [amounts.get(src, 0.0) or 0.0 if src is not None else 0.0 for src, *_ in lines]
+    out = {}
+    for n, (src, direction, *keys) in enumerate(lines):
+        ins, outs = keys[:4], keys[4:]
+        total = base[n]
+        for i in range(4):
+            if outs[i] is not None:
+                total += sum(base[m] for m, (_, _, *k) in enumerate(lines) if k[i] == outs[i])
+        out[n + 1] = total * direction
+    return out
+
+
+@settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(lines=st.lists(LINE, min_size=1, max_size=7),
+       amounts=st.dictionaries(st.sampled_from(["X", "Y", "Z"]), st.one_of(st.none(), st.integers(-50, 50))))
+def test_template_engine_matches_the_rule(spark, lines, amounts):
+    rows = [("FP", n + 1, f"l{n + 1}", src, d, *keys) for n, (src, d, *keys) in enumerate(lines)]
+    template = spark.createDataFrame(rows, REPORT_TEMPLATE_SCHEMA)
+    codes = spark.createDataFrame([("p", c, None if v is None else float(v)) for c, v in amounts.items()],
+                                  "period string, code string, Amount double")
+    got = {r["line_no"]: r["Amount"] for r in ST.apply_template(codes, template, "FP", ["p"]).collect()}
+    want = expected(lines, {c: (None if v is None else float(v)) for c, v in amounts.items()})
+    assert got.keys() == want.keys()
+    for k in want:
+        assert got[k] == pytest.approx(want[k]), (k, lines, amounts)
