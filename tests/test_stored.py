@@ -27,3 +27,15 @@ def test_concurrent_requests_build_a_table_once(spark):
         frames = list(pool.map(lambda _: sb.table("vq_equip"), range(4)))
     assert all(f is frames[0] for f in frames)
     assert set(sb._tables) == {"vq", "vq_equip"}
+
+
+def test_scratch_outputs_live_under_the_checkpoint_folder(spark):
+    from hirebook.operators import rental as R
+    from hirebook.session import ensure_checkpoint_dir, scratch_path
+    root = ensure_checkpoint_dir(spark).rstrip("/")
+    assert scratch_path(spark, "x").startswith(root + "/hirebook-x-")
+    sb = StoredBook(spark, SF_SMALL)
+    assert sb._root.startswith(root + "/hirebook-book-")
+    s = R.shared_summary(sb.relocation, "1996-12-31", "1997-12-31")
+    assert all(f.startswith(root) or f.startswith(root.replace("file:", "file://"))
+               for f in s.inputFiles())
