@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import public_tokenizers
+
+from hirebook.llm.bpe import digests, encode_documents
 from hirebook.llm.common import read_table
 from hirebook.llm.exact_dedup import exact_groups
 from hirebook.llm.simhash import simhash_components
@@ -17,7 +20,12 @@ def op6_exact_dedup(spark, sf_dir):
     return exact_groups(read_table(spark, sf_dir, "documents"), keep="largest")
 
 
-QUERIES = {f.__name__: f for f in (op5_simhash_near_dedup, op6_exact_dedup)}
+def op10_bpe(spark, sf_dir):
+    """Token ids of every whole text and the text they decode to, as digests."""
+    return digests(encode_documents(read_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json")))
+
+
+QUERIES = {f.__name__: f for f in (op5_simhash_near_dedup, op6_exact_dedup, op10_bpe)}
 
 ORACLE_SQL = {
     "op6_exact_dedup": """
