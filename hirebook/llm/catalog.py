@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 import public_tokenizers
+from pyspark.sql import functions as F
 
 from hirebook.llm.bpe import digests, encode_documents
 from hirebook.llm.common import read_table
 from hirebook.llm.exact_dedup import exact_groups
+from hirebook.llm.mil_quality import score, train
+from hirebook.llm.mixing import mixture
 from hirebook.llm.simhash import simhash_components
 
 
@@ -20,12 +23,30 @@ def op6_exact_dedup(spark, sf_dir):
     return exact_groups(read_table(spark, sf_dir, "documents"), keep="largest")
 
 
+def op8_mixing(spark, sf_dir):
+    """How often each document is taken: the flattest source weights that
+    read no source more than 1.5 times, the least repeated one once."""
+    return mixture(read_table(spark, sf_dir, "documents"), max_repeats=1.5)
+
+
+def _remainder(col: str, mod: int):
+    return F.pmod(F.crc32(F.col(col).cast("string").cast("binary")), F.lit(mod))
+
+
+def op9_mil_quality(spark, sf_dir):
+    """Quality of every document, learned from labels of the rows not held out."""
+    docs, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
+    model = train(docs, labels.where(_remainder("doc_id", 3) != 1))
+    return score(docs, model).select("doc_id", F.coalesce(_remainder("doc_id", 3) == 1, F.lit(False)).alias("held_out"),
+                                     "score", "predicted")
+
+
 def op10_bpe(spark, sf_dir):
     """Token ids of every whole text and the text they decode to, as digests."""
     return digests(encode_documents(read_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json")))
 
 
-QUERIES = {f.__name__: f for f in (op5_simhash_near_dedup, op6_exact_dedup, op10_bpe)}
+QUERIES = {f.__name__: f for f in (op5_simhash_near_dedup, op6_exact_dedup, op8_mixing, op9_mil_quality, op10_bpe)}
 
 ORACLE_SQL = {
     "op6_exact_dedup": """

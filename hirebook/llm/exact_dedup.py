@@ -91,8 +91,8 @@ def drop_exact_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     Of rows that repeat id and text, one (any) stays.
     """
     stay = (exact_groups(docs, id_col, text_col, keep).where("kept")
-            .select(F.col(id_col).alias("_id"), F.col("text_sha256").alias("_sha")).distinct())
+            .select(F.col(id_col).alias("__id"), F.col("text_sha256").alias("__sha")).distinct())
     sha = F.sha2(F.encode(normalised(F.col(text_col)), "utf-8"), 256)
-    return (docs.withColumns({"_sha_of": sha, "_id_of": F.col(id_col)})
-            .join(stay, F.col("_sha_of").eqNullSafe(F.col("_sha")) & F.col("_id_of").eqNullSafe(F.col("_id")), "left_semi")
-            .dropDuplicates(["_sha_of", "_id_of"]).select(*(F.col(f"`{c}`") for c in docs.columns)))
+    return (docs.withColumns({"__sha_of": sha, "__id_of": F.col(id_col)})
+            .join(stay, F.col("__sha_of").eqNullSafe(F.col("__sha")) & F.col("__id_of").eqNullSafe(F.col("__id")), "left_semi")
+            .dropDuplicates(["__sha_of", "__id_of"]).select(*(F.col(f"`{c}`") for c in docs.columns)))

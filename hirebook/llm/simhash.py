@@ -258,5 +258,5 @@ def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     """``docs`` without the rows whose id is not their component's smallest;
     rows that repeat that id stay.  Null ids stay (they name no document)."""
     gone = (simhash_components(docs, id_col, text_col, shingle, max_bits)
-            .where(F.col(id_col) != F.col("component_id")).select(F.col(id_col).alias("_gone")).distinct())
-    return docs.join(gone, F.col(id_col) == F.col("_gone"), "left_anti")
+            .where(F.col(id_col) != F.col("component_id")).select(F.col(id_col).alias("__gone")).distinct())
+    return docs.join(gone, F.col(id_col) == F.col("__gone"), "left_anti")
