@@ -8,9 +8,41 @@ from pyspark.sql import functions as F
 from hirebook.llm.bpe import digests, encode_documents
 from hirebook.llm.common import read_table
 from hirebook.llm.exact_dedup import exact_groups
+from hirebook.llm import langid
 from hirebook.llm.mil_quality import score, train
 from hirebook.llm.mixing import mixture
+from hirebook.llm.secret_ledger import RULES, findings, scan
 from hirebook.llm.simhash import simhash_components
+from hirebook.session import scratch_path
+
+
+def _remainder(col: str, mod: int):
+    return F.pmod(F.crc32(F.col(col).cast("string").cast("binary")), F.lit(mod))
+
+
+def op2_secret_ledger(spark, sf_dir):
+    """Secrets of every document, found through a new ledger of its blobs."""
+    docs, ledger = read_table(spark, sf_dir, "documents"), scratch_path(spark, "ledger")
+    scan(docs, ledger)
+    found = findings(docs, ledger)
+
+    def listed(spans):
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["rule"], s["start"], s["end"])), ",")
+
+    def count(rule):
+        return F.size(F.filter("spans", lambda s: s["rule"] == rule)).cast("long")
+
+    base = F.filter("spans", lambda s: s["rank"] < 3)
+    return found.select("doc_id", *(count(r.name).alias(f"n_{r.name}") for r in RULES[:3]),
+                        F.sha2(F.encode(listed(base), "utf-8"), 256).alias("base_sha256"), listed(F.col("spans")).alias("spans"))
+
+
+def op3_langid(spark, sf_dir):
+    """Language of every document, learned from the rows not held out."""
+    docs = read_table(spark, sf_dir, "documents")
+    held = F.coalesce(_remainder("doc_id", 4) == 2, F.lit(False))
+    model = langid.train(docs.where(~held))
+    return langid.predict(docs, model).select("doc_id", held.alias("held_out"), "lang_pred", "score", "outlier")
 
 
 def op5_simhash_near_dedup(spark, sf_dir):
@@ -29,10 +61,6 @@ def op8_mixing(spark, sf_dir):
     return mixture(read_table(spark, sf_dir, "documents"), max_repeats=1.5)
 
 
-def _remainder(col: str, mod: int):
-    return F.pmod(F.crc32(F.col(col).cast("string").cast("binary")), F.lit(mod))
-
-
 def op9_mil_quality(spark, sf_dir):
     """Quality of every document, learned from labels of the rows not held out."""
     docs, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
@@ -46,7 +74,7 @@ def op10_bpe(spark, sf_dir):
     return digests(encode_documents(read_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json")))
 
 
-QUERIES = {f.__name__: f for f in (op5_simhash_near_dedup, op6_exact_dedup, op8_mixing, op9_mil_quality, op10_bpe)}
+QUERIES = {f.__name__: f for f in (op2_secret_ledger, op3_langid, op5_simhash_near_dedup, op6_exact_dedup, op8_mixing, op9_mil_quality, op10_bpe)}
 
 ORACLE_SQL = {
     "op6_exact_dedup": """
