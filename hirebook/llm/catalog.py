@@ -8,11 +8,13 @@ from pyspark.sql import functions as F
 from hirebook.llm.bpe import digests, encode_documents
 from hirebook.llm.common import read_table
 from hirebook.llm.exact_dedup import exact_groups
-from hirebook.llm import langid
+from hirebook.llm import langid, warc
+from hirebook.llm.html_text import extract_pages
 from hirebook.llm.mil_quality import score, train
 from hirebook.llm.mixing import mixture
 from hirebook.llm.secret_ledger import RULES, findings, scan
 from hirebook.llm.simhash import simhash_components
+from hirebook.llm.vector_passes import near_vectors
 from hirebook.session import scratch_path
 
 
@@ -20,6 +22,19 @@ def _remainder(col: str, mod: int):
     return F.pmod(F.crc32(F.col(col).cast("string").cast("binary")), F.lit(mod))
 
 
+def op1_warc(spark, sf_dir):
+    """Write every page as a WARC record, read the archives back."""
+    path = scratch_path(spark, "warc")
+    warc.write_pages(read_table(spark, sf_dir, "pages"), path, least=0)
+    read = warc.records(warc.read_archives(spark, path, with_payload=False))
+
+    def page(col):
+        return F.expr(f"try_cast(regexp_extract({col}, 'urn:x-page:(.*)', 1) as bigint)")
+
+    return read.select(page("record_id").alias("page_id"), "payload_bytes", "payload_digest", F.col("type").alias("record_type"),
+                       page("refers_to").alias("refers_to"))
+
+
 def op2_secret_ledger(spark, sf_dir):
     """Secrets of every document, found through a new ledger of its blobs."""
     docs, ledger = read_table(spark, sf_dir, "documents"), scratch_path(spark, "ledger")
@@ -45,6 +60,11 @@ def op3_langid(spark, sf_dir):
     return langid.predict(docs, model).select("doc_id", held.alias("held_out"), "lang_pred", "score", "outlier")
 
 
+def op4_vector_passes(spark, sf_dir):
+    """Embeddings of cosine 0.9 or more: links, components, kept ones."""
+    return near_vectors(read_table(spark, sf_dir, "embeddings"), threshold=0.9)
+
+
 def op5_simhash_near_dedup(spark, sf_dir):
     """SimHash components: 4-word shingles, at most 4 differing bits."""
     return simhash_components(read_table(spark, sf_dir, "documents"), shingle=4, max_bits=4)
@@ -55,6 +75,11 @@ def op6_exact_dedup(spark, sf_dir):
     return exact_groups(read_table(spark, sf_dir, "documents"), keep="largest")
 
 
+def op7_html_text(spark, sf_dir):
+    """Main text of every page from its host's consensus path."""
+    return extract_pages(read_table(spark, sf_dir, "pages"))
+
+
 def op8_mixing(spark, sf_dir):
     """How often each document is taken: the flattest source weights that
     read no source more than 1.5 times, the least repeated one once."""
@@ -74,7 +99,8 @@ def op10_bpe(spark, sf_dir):
     return digests(encode_documents(read_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json")))
 
 
-QUERIES = {f.__name__: f for f in (op2_secret_ledger, op3_langid, op5_simhash_near_dedup, op6_exact_dedup, op8_mixing, op9_mil_quality, op10_bpe)}
+QUERIES = {f.__name__: f for f in (op1_warc, op2_secret_ledger, op3_langid, op4_vector_passes, op5_simhash_near_dedup, op6_exact_dedup,
+                                   op7_html_text, op8_mixing, op9_mil_quality, op10_bpe)}
 
 ORACLE_SQL = {
     "op6_exact_dedup": """

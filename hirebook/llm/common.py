@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -66,3 +67,28 @@ def _signature(e: DataFrame) -> tuple:
     """Count and order-free hash of an edge set (equal sets, equal values)."""
     r = e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
     return r[0], r[1]
+
+
+def spanning_forest(n: int, near) -> tuple[list[int], list[int]]:
+    """Index pairs that connect what the links among ``n`` points connect;
+    ``near(i)`` gives the points that link with i.
+
+    The first point gathers a tree; every point that isn't in the tree by then
+    is asked for its links too, so any linked pair has an end that was asked or
+    both ends in the tree.  In a dense group this is near linear.
+    """
+    a, b = [], []
+    label, todo = np.arange(n), np.ones(n, bool)
+    left = np.arange(min(n, 1))
+    while len(left):
+        i = int(left[0])
+        todo[i] = False
+        ends = near(i)
+        _, first = np.unique(label[ends], return_index=True)
+        for j in ends[first].tolist():
+            if label[j] != label[i]:
+                a.append(i)
+                b.append(j)
+                label[label == label[j]] = label[i]
+        left = np.nonzero(todo & (label != label[0]))[0]
+    return a, b

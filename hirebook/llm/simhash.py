@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hirebook.llm.common import connected_components, materialise
+from hirebook.llm.common import connected_components, materialise, spanning_forest
 
 _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 SEED = 42
@@ -123,31 +123,6 @@ def _replicas(points: DataFrame, slack: int) -> DataFrame:
     return points.mapInArrow(run, "anchor long, fp long")
 
 
-def forest(fp: np.ndarray, t: int) -> tuple[list[int], list[int]]:
-    """A spanning forest (index pairs) of the points within ``t`` bits.
-
-    The first point gathers a tree; every point outside the tree is compared
-    with all others, so any linked pair has an end that was compared or both
-    ends in one tree.  In a dense group this is near linear.
-    """
-    n = len(fp)
-    label, todo = np.arange(n), np.ones(n, bool)
-    a, b = [], []
-    while True:
-        left = np.nonzero(todo & (label != label[0]))[0] if not todo[0] else np.zeros(1, np.int64)
-        if not len(left):
-            return a, b
-        i = int(left[0])
-        todo[i] = False
-        near = np.nonzero(np.bitwise_count(fp ^ fp[i]) <= t)[0]
-        _, first = np.unique(label[near], return_index=True)
-        for j in near[first].tolist():
-            if label[j] != label[i]:
-                a.append(i)
-                b.append(j)
-                label[label == label[j]] = label[i]
-
-
 def _links(groups: DataFrame, t: int, width: int = 16) -> DataFrame:
     """Links between the points of each (anchor, tile), as (a, b) with a < b;
     ``groups`` is sorted by anchor and tile within its partitions."""
@@ -165,7 +140,7 @@ def _links(groups: DataFrame, t: int, width: int = 16) -> DataFrame:
             b.append(fp[i + d])
         for s, k in zip(start[size > width].tolist(), size[size > width].tolist()):
             part = fp[s:s + k]
-            i, j = forest(part, t)
+            i, j = spanning_forest(k, lambda x: np.nonzero(np.bitwise_count(part ^ part[x]) <= t)[0])  # noqa: B023
             a.append(part[i])
             b.append(part[j])
         if not a:

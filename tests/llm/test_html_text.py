@@ -1,0 +1,67 @@
+import html
+import re
+
+import pytest
+
+from hirebook.llm import html_text as H
+from hirebook.llm.catalog import QUERIES
+
+
+def one(page, path=None):
+    return H.extract(H.read(page), path)
+
+
+@pytest.mark.parametrize("page,text", [
+    (None, ""), ("", ""), ("plain &amp; text", "plain & text"), ("<p>a<p>b", "a\nb"),
+    ("<body><nav><a href=x>menu</a></nav><article><h1>T</h1><p>one\n\t two<br>three</p></article><footer>f</footer>", "T\none two three"),
+    ("<article><header><h1>T</h1></header><p>x</p><footer>by me</footer></article>", "T\nx"),
+    ("<header><h1>Site</h1></header><main><p>x &lt;b&gt; &copy;</p></main>", "x <b> ©"),
+    ("<div class='ad-top'>buy</div><div id=content><p>real text</p></div><div class=comments><p>I agree</p></div>", "real text"),
+    ("<article><p>a<script>var t='</p>';</script>b</p><style>p{}</style><!-- <p>no</p> --><form><p>mail</p></form></article>", "ab"),
+    ("<article><ul><li>one<li>two</ul><table><tr><td>c1<td>c2</table></article>", "one\ntwo\nc1\nc2"),
+    ("<article><p><b>Title.<br><p>Next", "Title.\nNext"), ("<article><p>a < b and 3<4 <3</p></article>", "a < b and 3<4 <3"),
+    ("<div><div class=cookie-notice><p>we use cookies</p></div><section class=story><p>a</p><p>b</p></section></div>", "a\nb"),
+    ("<article><p title=\"a>b\">x</p></article>", "x"), ("<article><p>x</p><script>never closed", "x"),
+    ("<article><p>para</p><p hidden>no</p><div style='display: none'>no</div></article>", "para"),
+    ("<title>t</title><p>x", "x"), ("<article><p>it&#39;s &#x41;&nbsp;b</p></article>", "it's A b")])
+def test_pages(page, text):
+    assert one(page) == text
+
+
+def test_paths_are_generalised():
+    p = H.read('<div class="post-123 Wide"><article class="a1"><p>text</p></article></div>')
+    assert p.containers[-1].path == "body>div.post-#.wide>article.a#"
+
+
+def test_deep_and_long_pages():
+    assert one("<div>" * 3000 + "<p>x</p>") == "x"
+    assert one("<article>" + "<p>word</p>" * 50000 + "</article>").count("\n") == 49999
+
+
+def test_host_consensus(spark):
+    def page(n, extra=""):
+        return f"<div class=wrap><div class='c{n}'><p>{'real words ' * 30}</p></div><div class=box><p>{extra}</p></div></div>"
+    rows = [(i, "http://A.example/x", page(i)) for i in range(8)]
+    rows += [(8, "https://a.example", page(8, "other words " * 90)), (9, "http://b.example/", page(9, "other words " * 90)), (10, None, "<p>x"),
+             (10, None, "<p>x"), (11, "http://a.example", None), (12, "http://a.example", "<article><p>alone</p></article>"), (None, "nonsense", "")]
+    df = spark.createDataFrame([(*r, "z") for r in rows], "page_id long, url string, html string, path string")
+    paths = {r.host: r.path for r in H.host_paths(df).collect()}
+    assert paths["a.example"] == "body>div.wrap>div.c#"
+    for limit in (50_000, 0):
+        got = sorted(((r.page_id, r.text[:10], r.n_chars) for r in H.extract_pages(df, broadcast_hosts=limit).collect()), key=str)
+        assert len(got) == len(rows)
+        assert (8, "real words", 329) in got and (9, "real words", 329) not in got  # the host decides
+        assert got.count((10, "x", 1)) == 2 and (11, "", 0) in got and (12, "alone", 5) in got and (None, "", 0) in got
+    assert H.extract_pages(df.limit(0)).collect() == []
+
+
+def test_table_against_a_plain_reading(spark):
+    d = "/root/testdata/sf0.01"
+    got = {r.page_id: r for r in QUERIES["op7_html_text"](spark, d).collect()}
+    pages = spark.read.parquet(f"{d}/pages.parquet").collect()
+    assert len(got) == len(pages)
+    for r in pages:
+        body = re.search(r"<article>(.*?)(?:</article>|\Z)", r.html, re.S)[1].split("<footer>")[0]
+        blocks = [" ".join(html.unescape(re.sub(r"<[^>]*>", "", b.replace("<br>", " "))).split()) for b in re.split(r"</?(?:p|h1)>", body)]
+        assert got[r.page_id].text == "\n".join(b for b in blocks if b)
+        assert got[r.page_id].n_chars == len(got[r.page_id].text) and got[r.page_id].url == r.url
