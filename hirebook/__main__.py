@@ -23,7 +23,7 @@ def main(argv=None) -> int:
         p = sub.add_parser(name)
         p.add_argument("query")
         p.add_argument("--sf", default="/root/testdata/sf0.01", help="folder of the source parquet tables")
-        p.add_argument("--master", default="local[8]")
+        p.add_argument("--master", help="for example local[8]; by default the launcher's")
     run = sub.choices["run"]
     run.add_argument("--show", type=int, default=0, help="print the first N rows")
     run.add_argument("--out", help="write the result here")

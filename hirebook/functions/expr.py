@@ -7,11 +7,13 @@ a scalar ``max(x, 0)`` is NULL when ``x`` is NULL (unlike ``greatest``).
 
 from __future__ import annotations
 
+import datetime as _dt
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from hirebook.params import Bounds, as_date
+from hirebook.params import Bounds, as_bound
 
 
 def _col(c) -> Column:
@@ -51,8 +53,7 @@ def ratio(df, num: str, den: str, truncate: bool = False) -> Column:
     integral = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
     if truncate and isinstance(df.schema[num].dataType, integral) \
             and isinstance(df.schema[den].dataType, integral):
-        n, d = F.col(num), F.col(den)
-        return F.when(d != 0, ((n - n % d) / d).cast("bigint"))
+        return F.when(F.col(den) != 0, F.expr(f"`{num}` div `{den}`"))
     return safe_div(num, den)
 
 
@@ -62,7 +63,16 @@ def money(x, digits: int = 2) -> Column:
 
 
 def date_lit(d) -> Column:
-    return F.lit(as_date(d))
+    return F.lit(as_bound(d))
+
+
+def days_since(df, date_col: str, day) -> Column:
+    """Days from ``date_col`` to ``day``: whole ones between dates; with the
+    fraction of a day where the column or the bound has a time of day."""
+    if isinstance(df.schema[date_col].dataType, T.DateType) and not isinstance(as_bound(day), _dt.datetime):
+        return F.datediff(date_lit(day), F.col(date_col))
+    micros = [F.unix_micros(x.cast("timestamp")) for x in (date_lit(day), F.col(date_col))]
+    return (micros[0] - micros[1]) / F.lit(86_400_000_000.0)
 
 
 def in_period(date_col, lo, hi, bounds: Bounds = Bounds.HALF_OPEN) -> Column:

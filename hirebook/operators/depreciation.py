@@ -18,10 +18,14 @@ JOURNAL_COLS = ["entity", "date", "JE_No", "ma_account_id", "ma_account_name", "
 
 def ppe_list(ppe: DataFrame) -> DataFrame:
     """Assets with the start year and month parsed from ``starting``
-    (``YYYY-MM..``); unparsable parts become NULL."""
-    return ppe.select("*",
-                      F.expr("try_cast(substr(starting, 1, 4) as int)").alias("SYEAR"),
-                      F.expr("try_cast(substr(starting, 6, 2) as int)").alias("SMONTH"))
+    (``YYYY-MM..``). As in the reports a part counts as far as it begins
+    with digits and as 0 if it doesn't, so an asset with an unreadable start
+    is fully depreciated; only a NULL start stays NULL."""
+    def part(at, n):
+        digits = F.regexp_extract(F.substring("starting", at, n), r"^\s*(\d+)", 1)
+        return F.when(F.col("starting").isNotNull(), F.coalesce(digits.try_cast("int"), F.lit(0)))
+
+    return ppe.select("*", part(1, 4).alias("SYEAR"), part(6, 2).alias("SMONTH"))
 
 
 def _months_used(year: int, month: int) -> F.Column:

@@ -5,9 +5,8 @@ Bank rows record the bank side of each movement, so the counter-account
 two fixed VAT accounts and the whole amount to the bank account.
 
 The reports scanned ``bankstatement`` four times per statement (per
-account, VAT in, VAT out, bank). Here one grouped pass (a rollup over the
-account) computes the four conditional sums per account and their totals
-together. Partial aggregation runs before the shuffle, so a dominant
+account, VAT in, VAT out, bank). Here one grouped pass computes the four
+conditional sums per account, and their totals come from those. Partial aggregation runs before the shuffle, so a dominant
 account only ever contributes one row per task.
 """
 
@@ -36,7 +35,7 @@ def bank_account_sums(bank: DataFrame, lo, hi) -> DataFrame:
     rows are first hash-aggregated by (account, name) and the name is picked
     from that small result.
     """
-    rows = _signed_rows(bank, lo, hi, pad=False)
+    rows = _signed_rows(bank, lo, hi)
     per_name = rows.groupBy("ma_account_id", "ma_account_name").agg(*[F.sum(m).alias(m) for m in MEASURES])
     return per_name.groupBy("ma_account_id").agg(
         F.min("ma_account_name").alias("ma_account_name"), *[F.sum(m).alias(m) for m in MEASURES])
@@ -56,75 +55,47 @@ def _fixed_structs(vat_in: Column, vat_out: Column, gross: Column) -> list[Colum
     return [line(BANK_ACCOUNT, gross), line(VAT_IN_ACCOUNT, -vat_in), line(VAT_OUT_ACCOUNT, -vat_out)]
 
 
-def movement_lines(rows: DataFrame, keys: list[str], which: str = "all") -> DataFrame:
-    """L1-L4 from one grouped pass over signed bank rows.
+def _signed_rows(bank: DataFrame, lo, hi) -> DataFrame:
+    return bank.where(in_period("date", lo, hi, Bounds.HALF_OPEN)).select(
+        "ma_account_id", "ma_account_name", *[c.alias(m) for m, c in signed_measures().items()])
 
-    ``rows`` holds ``keys`` (e.g. a period label), ``ma_account_id``,
-    ``ma_account_name``, the signed measures ``net``, ``vat_in``,
-    ``vat_out``, ``gross`` and ``_real`` (1, NULL on padding rows). A
-    rollup gives the per-account sums and the totals per key in the same
-    aggregate (one scan, one shuffle). Callers add ``padding`` rows so a key
-    without rows still gets its three fixed lines, with a NULL amount like a
-    SQL sum over nothing. ``which``: ``all``, ``fixed`` or ``accounts``.
-    """
-    # hash-aggregate the rows by (keys, account, name) first: min() of the
-    # name string would otherwise make the big aggregate sort-based
-    per_name = (rows.groupBy(*keys, "ma_account_id", "ma_account_name")
-                .agg(*[F.sum(m).alias(m) for m in MEASURES], F.count("_real").alias("_rows")))
-    g = (per_name.rollup(*keys, "ma_account_id")
-         .agg(F.min("ma_account_name").alias("ma_account_name"),
-              *[F.sum(m).alias(m) for m in MEASURES],
-              F.grouping("ma_account_id").alias("_total"), F.sum("_rows").alias("_n"),
-              *[F.grouping(k).alias(f"_g_{k}") for k in keys]))
-    for k in keys:
-        g = g.where(F.col(f"_g_{k}") == 0)
-    g = g.where((F.col("_total") == 1) | (F.col("_n") > 0))
-    if which != "all":
-        g = g.where(F.col("_total") == (1 if which == "fixed" else 0))
-    account = F.struct(F.col("ma_account_id"), F.col("ma_account_name"), (-F.col("net")).alias("Amount"))
-    lines = F.when(F.col("_total") == 1, F.array(*_fixed_structs(F.col("vat_in"), F.col("vat_out"), F.col("gross")))) \
-        .otherwise(F.array(account))
-    return g.select(*keys, F.inline(lines))
-
-
-def _signed_rows(bank: DataFrame, lo, hi, pad: bool = True) -> DataFrame:
-    s = sgn()
-    vat = F.col("vat")
-    rows = bank.where(in_period("date", lo, hi, Bounds.HALF_OPEN)).select(
-        "ma_account_id", "ma_account_name",
-        (s * (F.col("amount") - vat)).alias("net"),
-        (s * F.when(vat < 0, 1).otherwise(0) * vat).alias("vat_in"),
-        (s * F.when(vat > 0, 1).otherwise(0) * vat).alias("vat_out"),
-        (s * F.col("amount")).alias("gross"),
-        F.lit(1).alias("_real"))
-    return rows.unionByName(padding(bank.sparkSession, rows)) if pad else rows
-
-
-def padding(spark, rows: DataFrame, keys: dict[str, list] | None = None) -> DataFrame:
-    """Rows with NULL measures (and ``_real`` NULL): one per key value, so
-    every key has a total row in the rollup. They change no sum."""
-    cols = [F.lit(None).cast(f.dataType).alias(f.name) for f in rows.schema.fields if f.name not in (keys or {})]
-    pad = spark.range(1).select(*cols)
-    for k, values in (keys or {}).items():
-        pad = pad.withColumn(k, F.explode(F.array(*[F.lit(v) for v in values])))
-    return pad.select(*rows.columns)
+
+def signed_measures() -> dict[str, Column]:
+    """The four amounts of a bank row, negative for cancelling ones."""
+    s, vat = sgn(), F.col("vat")
+    return {"net": s * (F.col("amount") - vat),
+            "vat_in": s * F.when(vat < 0, 1).otherwise(0) * vat,
+            "vat_out": s * F.when(vat > 0, 1).otherwise(0) * vat,
+            "gross": s * F.col("amount")}
+
+
+def _fixed_lines() -> list[Column]:
+    return _fixed_structs(F.col("vat_in"), F.col("vat_out"), F.col("gross"))
+
+
+def _totals(bank: DataFrame, lo, hi) -> DataFrame:
+    """One row: the sums over all bank rows in (lo, hi] (NULL over none)."""
+    return _signed_rows(bank, lo, hi).agg(*[F.sum(m).alias(m) for m in MEASURES])
 
 
 def bank_vat(bank: DataFrame, lo, hi) -> DataFrame:
     """L2 + L3: VAT in (negative VAT) and VAT out (positive VAT) lines."""
-    return movement_lines(_signed_rows(bank, lo, hi), [], "fixed").where(
-        F.col("ma_account_id") != BANK_ACCOUNT[0])
+    return _totals(bank, lo, hi).select(F.inline(F.array(*_fixed_lines()[1:])))
 
 
 def bank_total(bank: DataFrame, lo, hi) -> DataFrame:
     """L4: the bank account line, ``sum(sgn * amount)``."""
-    return movement_lines(_signed_rows(bank, lo, hi), [], "fixed").where(
-        F.col("ma_account_id") == BANK_ACCOUNT[0])
+    return _totals(bank, lo, hi).select(F.inline(F.array(_fixed_lines()[0])))
 
 
 def bank_movements(bank: DataFrame, lo, hi, distinct: bool = True) -> DataFrame:
-    """Bank, VAT and counter-account lines (set union, as the reports)."""
-    u = movement_lines(_signed_rows(bank, lo, hi), [])
+    """Bank, VAT and counter-account lines (set union, as the reports).
+
+    The totals are summed from the per-account sums, which both branches
+    read from one exchange."""
+    per_account = bank_account_sums(bank, lo, hi)
+    fixed = per_account.agg(*[F.sum(m).alias(m) for m in MEASURES]).select(F.inline(F.array(*_fixed_lines())))
+    u = fixed.unionByName(per_account.select("ma_account_id", "ma_account_name", (-F.col("net")).alias("Amount")))
     return u.distinct() if distinct else u
 
 
@@ -141,17 +112,17 @@ def adj_by_account(aje: DataFrame, lo, hi) -> DataFrame:
 
 def _on_chart(chart: DataFrame, movements: DataFrame, adjustments: DataFrame,
               account_bf: DataFrame | None) -> DataFrame:
-    mov = movements.select(F.col("ma_account_id").alias("b_id"), F.col("Amount").alias("bankamount"))
-    adj = adjustments.select(F.col("ma_account_id").alias("j_id"), F.col("amount").alias("adjamount"))
+    mov = movements.select(F.col("ma_account_id").alias("moved_id"), F.col("Amount").alias("moved"))
+    adj = adjustments.select(F.col("ma_account_id").alias("adjusted_id"), F.col("amount").alias("adjusted"))
     c = chart.select("ma_account_id", "ma_account_name")
-    j = (c.join(mov, F.col("ma_account_id") == F.col("b_id"), "left")
-         .join(adj, F.col("ma_account_id") == F.col("j_id"), "left"))
+    j = (c.join(mov, F.col("ma_account_id") == F.col("moved_id"), "left")
+         .join(adj, F.col("ma_account_id") == F.col("adjusted_id"), "left"))
     z = F.lit(0.0)
-    total = F.coalesce("bankamount", z) + F.coalesce("adjamount", z)
+    total = F.coalesce("moved", z) + F.coalesce("adjusted", z)
     if account_bf is not None:
-        bf = account_bf.select(F.col("ma_account_id").alias("f_id"), "bf_amount")
-        j = j.join(bf, F.col("ma_account_id") == F.col("f_id"), "left")
-        total = F.coalesce("bf_amount", z) + F.coalesce("bankamount", z) + F.coalesce("adjamount", z)
+        bf = account_bf.select(F.col("ma_account_id").alias("opening_id"), "bf_amount")
+        j = j.join(bf, F.col("ma_account_id") == F.col("opening_id"), "left")
+        total = F.coalesce("bf_amount", z) + F.coalesce("moved", z) + F.coalesce("adjusted", z)
     return j.select("ma_account_id", "ma_account_name", total.alias("Amount"))
 
 

@@ -126,25 +126,10 @@ def payroll_external(month_rows: DataFrame, year: int, month: int) -> DataFrame:
     return _external_workers(month_rows, year, month).unionByName(total)
 
 
-def payroll_journal(payroll: DataFrame, worker_info: DataFrame, year: int, month: int,
-                    legacy_lines: bool = False) -> DataFrame:
+def payroll_journal(payroll: DataFrame, worker_info: DataFrame, year: int, month: int) -> DataFrame:
     """The month's journal, all lines with ``line_no`` (sort by
-    ``line_no, worker_id``).
-
-    ``legacy_lines=True`` keeps only the lines the reports' positional
-    reorder keeps: it drops the employer social-security pair of the regular
-    block and keeps the first three rows of the external block.
-    """
+    ``line_no, worker_id``); it balances for any number of workers."""
     m = payroll_month(payroll, worker_info, year, month)
     amounts = {**_regular_amounts(), **_associate_amounts(), **_external_total()}
     fixed = _lines(month_totals(m), REGULAR_LINES + ASSOCIATE_LINES + EXTERNAL_LINES[1:], amounts, year, month)
-    workers = _external_workers(m, year, month)
-    if not legacy_lines:
-        return fixed.unionByName(workers).select(LINE_COLS)
-    # the reports keep: regular lines without the employer pair, the
-    # associate pair, then the first three rows of the external block
-    # (workers by id, then the credit total)
-    ext = fixed.where(F.col("line_no") == EXTERNAL_LINES[1][0]).unionByName(workers)
-    fixed = fixed.where(~F.col("line_no").isin(5, 8, EXTERNAL_LINES[1][0]))
-    ext = ext.orderBy(F.col("line_no"), F.col("worker_id")).limit(3)
-    return fixed.unionByName(ext).select(LINE_COLS)
+    return fixed.unionByName(_external_workers(m, year, month)).select(LINE_COLS)

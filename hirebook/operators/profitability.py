@@ -21,14 +21,14 @@ def contract_profitability(t: RentTables, equip_dailycost: DataFrame, start, end
     """
     summary = shared_summary(t.relocation, start, end)
     rev = (accrued_revenue(t, start, end, summary=summary)
-           .groupBy(F.col("q_id").alias("leftid"))
+           .groupBy(F.col("q_id").alias("revenue_q_id"))
            .agg(F.sum(REVENUE).alias("Revenue")))
     cost = (std_cost_by_contract(t.relocation, equip_dailycost, start, end, summary=summary)
             .select(F.col("q_id").alias("cost_q_id"), STD_COST))
-    parties = t.vq.select(F.col("q_id").alias("rightid"), "ep_id", "ep_name").distinct()
-    j = (rev.join(cost, F.col("leftid") == F.col("cost_q_id"), "left")
-         .join(parties, F.col("leftid") == F.col("rightid"), "left"))
-    qid = F.col("cost_q_id") if literal_id else F.col("leftid")
+    parties = t.vq.select(F.col("q_id").alias("party_q_id"), "ep_id", "ep_name").distinct()
+    j = (rev.join(cost, F.col("revenue_q_id") == F.col("cost_q_id"), "left")
+         .join(parties, F.col("revenue_q_id") == F.col("party_q_id"), "left"))
+    qid = F.col("cost_q_id") if literal_id else F.col("revenue_q_id")
     return j.select(qid.alias("q_id"), "ep_id", "ep_name", "Revenue",
                     F.col(STD_COST).alias("StdCost"),
                     (F.col("Revenue") - F.col(STD_COST)).alias("GrossProfit"))

@@ -38,7 +38,7 @@ def client_opening_bf(external_parties: DataFrame, ep_bf: DataFrame, ar_code: st
 
 def _receipts_by_party(bank: DataFrame, ar_code: str, lo, hi, name: str) -> DataFrame:
     return (bank.where((F.col("ma_account_id") == ar_code) & in_period("date", lo, hi, Bounds.HALF_OPEN))
-            .groupBy(F.col("ep_id").alias("receipt_ep_id")).agg(F.sum("amount").alias(name)))
+            .groupBy(F.col("ep_id").alias("paid_by")).agg(F.sum("amount").alias(name)))
 
 
 def client_opening_at(opening_bf: DataFrame, bank: DataFrame, invoice: DataFrame,
@@ -46,12 +46,17 @@ def client_opening_at(opening_bf: DataFrame, bank: DataFrame, invoice: DataFrame
     """P5: receivable at ``start`` = b/f - receipts + invoices in
     (bf_date, start], one row per client and contract invoice group as the
     reports do (a client without invoices keeps one row)."""
-    rec = _receipts_by_party(bank, ar_code, bf_date, start, "Recevied_amount")
-    inv = invoiced_revenue(invoice, bf_date, start, Bounds.HALF_OPEN)
-    j = (opening_bf.join(rec, F.col("ep_id") == F.col("receipt_ep_id"), "left")
-         .join(inv, F.col("ep_id") == F.col("client_id"), "left"))
-    return j.select("ep_id", (F.coalesce("amount", F.lit(0.0)) - F.coalesce("Recevied_amount", F.lit(0.0))
-                              + F.coalesce("Invoiced_Total", F.lit(0.0))).alias("cutdateamount"))
+    rec = _receipts_by_party(bank, ar_code, bf_date, start, "received")
+    inv = invoiced_revenue(invoice, bf_date, start, Bounds.HALF_OPEN).select("client_id", "Invoiced_Total")
+    z = F.lit(0.0)
+    before = opening_bf.join(rec, F.col("ep_id") == F.col("paid_by"), "left").select(
+        "ep_id", (F.coalesce("amount", z) - F.coalesce("received", z)).alias("before"))
+    # the invoice groups are the big side and come first: a client with very
+    # many of them can be split; clients without any are added after
+    billed = inv.join(before, F.col("client_id") == F.col("ep_id"), "inner").select(
+        "ep_id", (F.col("before") + F.coalesce("Invoiced_Total", z)).alias("cutdateamount"))
+    others = before.join(inv.groupBy("client_id").agg(F.count("*").alias("n")), F.col("client_id") == F.col("ep_id"), "left_anti")
+    return billed.unionAll(others.select("ep_id", F.col("before").alias("cutdateamount")))
 
 
 def client_recovery_by_client(external_parties: DataFrame, ep_bf: DataFrame, bank: DataFrame,
@@ -67,18 +72,18 @@ def client_recovery_by_client(external_parties: DataFrame, ep_bf: DataFrame, ban
     bf = client_opening_bf(external_parties, ep_bf, ar_code)
     d, s = F.col("date"), date_lit(start)
     rec = (bank.where((F.col("ma_account_id") == ar_code) & in_period("date", bf_date, end, Bounds.HALF_OPEN))
-           .groupBy(F.col("ep_id").alias("receipt_ep_id"))
+           .groupBy(F.col("ep_id").alias("paid_by"))
            .agg(F.sum(F.when(d <= s, F.col("amount"))).alias("rec0"),
                 F.sum(F.when(d > s, F.col("amount"))).alias("receiving")))
     inv = (invoice.where(in_period("date", bf_date, end, Bounds.HALF_OPEN))
            .groupBy("client_id")
            .agg(F.sum(F.when(d <= s, F.col("price_vat_total"))).alias("inv0"),
                 F.sum(F.when(d > s, F.col("price_vat_total"))).alias("Invoiced")))
-    names = external_parties.select(F.col("ep_id").alias("right_id"), "ep_name")
+    names = external_parties.select(F.col("ep_id").alias("named_id"), "ep_name")
     k = F.col("ep_id")
-    j = (bf.join(rec, k == F.col("receipt_ep_id"), "left")
+    j = (bf.join(rec, k == F.col("paid_by"), "left")
          .join(inv, k == F.col("client_id"), "left")
-         .join(names, k == F.col("right_id"), "left"))
+         .join(names, k == F.col("named_id"), "left"))
     z = F.lit(0.0)
     opening = F.coalesce("amount", z) - F.coalesce("rec0", z) + F.coalesce("inv0", z)
     out = j.select("ep_id", "ep_name", opening.alias("Opening"),
@@ -90,8 +95,13 @@ def client_recovery_by_client(external_parties: DataFrame, ep_bf: DataFrame, ban
 def client_clearing(bank: DataFrame, invoice: DataFrame, ar_code: str, start, end,
                     reverse_cancelled: bool = False) -> DataFrame:
     """A client's receipts next to each of its contracts' invoiced
-    totals in the same open period (one row per client and contract)."""
-    rec = client_receipts(bank, ar_code, start, end, reverse_cancelled)
+    totals in the same open period (one row per client and contract).
+
+    Receipts are one row per client before the join, under the smallest of
+    its names: several names don't multiply the contracts (the reports give
+    every name a row per contract)."""
+    rec = client_receipts(bank, ar_code, start, end, reverse_cancelled).groupBy("ep_id").agg(
+        F.min("ep_name").alias("ep_name"), F.sum("Received_amount").alias("Received_amount"))
     inv = invoiced_revenue(invoice, start, end, Bounds.OPEN)
-    return rec.join(inv, F.col("ep_id") == F.col("client_id"), "inner").select(
+    return inv.join(rec, F.col("ep_id") == F.col("client_id"), "inner").select(
         "ep_id", "ep_name", "Received_amount", "Invoiced_Total")

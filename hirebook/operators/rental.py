@@ -11,10 +11,11 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hirebook.functions.expr import clamp0, date_lit, in_period, ratio
+from hirebook.functions.expr import clamp0, date_lit, days_since, in_period, ratio
 from hirebook.params import Bounds
 
 BF_COL = "accumulated_machine_days_per_starting"
@@ -29,13 +30,13 @@ def machine_days(relocation: DataFrame, start, end, signed: bool = False) -> Dat
     to ``end``: ``max(day - date, 0) * quantity``.
 
     The reports ignore ``direction`` here; ``signed=True`` multiplies by it.
+    Timestamps count fractions of a day, dates whole ones.
     """
     qty = F.col("quantity") * F.col("direction") if signed else F.col("quantity")
-    d = F.col("date")
     return relocation.select(
         "*",
-        (clamp0(F.datediff(date_lit(start), d)) * qty).alias(BF_COL),
-        (clamp0(F.datediff(date_lit(end), d)) * qty).alias(CF_COL),
+        (clamp0(days_since(relocation, "date", start)) * qty).alias(BF_COL),
+        (clamp0(days_since(relocation, "date", end)) * qty).alias(CF_COL),
     )
 
 
@@ -43,7 +44,8 @@ def machine_days_summary(machine_day_rows: DataFrame) -> DataFrame:
     """R2: machine days by (contract, equipment type) and for the period.
 
     ``qt_id``/``equip_type_id`` are not grouping keys; they depend on the
-    group, so ``min`` picks the (single) value deterministically.
+    group in most books; where a contract quotes one type on several lines
+    ``min`` picks one of them deterministically.
     """
     g = machine_day_rows.groupBy("q_id", "equip_type_name").agg(
         F.min("qt_id").alias("qt_id"),
@@ -80,14 +82,15 @@ def rent_type0(vq: DataFrame, vq_wholesale: DataFrame, start, end, truncate: boo
     days = overlap of [entry, exit] with (start, end]; rent / total days *
     days; a zero-length stay gives NULL. ``truncate``: see ``ratio``.
     """
-    s, e = date_lit(start), date_lit(end)
     entry, exit_ = F.col("entry_date"), F.col("exit_date")
-    days = (-(clamp0(F.datediff(s, entry)) - clamp0(F.datediff(s, exit_)))
-            + (clamp0(F.datediff(e, entry)) - clamp0(F.datediff(e, exit_))))
-    stays = vq_wholesale.select(F.col("qt_id").alias("handler"), days.alias("days"),
+
+    def left_after(day):  # days of the period that come after a day (NULL if NULL)
+        return F.when(day.isNotNull(), F.datediff(date_lit(end), F.least(F.greatest(day, date_lit(start)), date_lit(end))))
+
+    stays = vq_wholesale.select(F.col("qt_id").alias("stay_line"), (left_after(entry) - left_after(exit_)).alias("days"),
                                 F.datediff(exit_, entry).alias("totaldays"))
     q = quotations(vq, 0)
-    j = q.join(stays, F.col("qt_id") == F.col("handler"), "left")
+    j = q.join(stays, F.col("qt_id") == F.col("stay_line"), "left")
     return j.select("q_id", "qt_id", (ratio(j, "rent_daily", "totaldays", truncate) * F.col("days")).alias(REVENUE))
 
 
@@ -111,34 +114,28 @@ def rent_type2(vq: DataFrame, vq_equip: DataFrame, summary: DataFrame, truncate:
     reports keep (a type-2 line with machine days), one row per quotation
     row, and reads the quotations once.
     """
-    combined = (summary.groupBy(F.col("qt_id").alias("leftqt_id"))
+    combined = (summary.groupBy(F.col("qt_id").alias("line"))
                 .agg(F.sum(PERIOD_DAYS).alias("Combined_machine_days")))
     sumq = quantity_by_quotation(vq_equip)
     priced = quotations(vq, 2).join(sumq, "qt_id", "left")
-    unit = priced.select("q_id", F.col("qt_id").alias("rightqt_id"),
+    unit = priced.select("q_id", F.col("qt_id").alias("priced_line"),
                          ratio(priced, "rent_daily", "sumofquantity", truncate).alias("unitprice"))
-    j = combined.join(unit, F.col("leftqt_id") == F.col("rightqt_id"), "inner")
-    return j.select("q_id", F.col("leftqt_id").alias("qt_id"),
+    j = combined.join(unit, F.col("line") == F.col("priced_line"), "inner")
+    return j.select("q_id", F.col("line").alias("qt_id"),
                     (F.col("Combined_machine_days") * F.col("unitprice")).alias(REVENUE))
 
 
 def shared_summary(relocation: DataFrame, start, end, reuse: bool = True) -> DataFrame:
     """R1+R2 for a report that reads the summary several times.
 
-    Each consumer prunes the aggregate differently, so Spark cannot reuse
-    one shuffle for all of them; ``reuse=True`` writes the summary once as
-    parquet under the session's checkpoint folder (shared storage, lineage
-    cut, survives executor loss) and every consumer scans that, instead of
-    re-aggregating the relocations.
+    Nothing runs and nothing is written here. With ``reuse`` the summary is
+    dealt by contract and marked to be kept when the report's own action
+    first computes it: rent, revenue and cost per contract then share that
+    partitioning, and a lost block is computed again from its lineage.
+    ``unpersist()`` it when the reports are done.
     """
     s = machine_days_summary(machine_days(relocation, start, end))
-    if not reuse:
-        return s
-    from hirebook.session import scratch_path
-    spark = s.sparkSession
-    path = scratch_path(spark, "machine-days")
-    s.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    return s.repartition("q_id").persist(StorageLevel.MEMORY_AND_DISK) if reuse else s
 
 
 @dataclass(frozen=True)

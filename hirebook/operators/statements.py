@@ -7,10 +7,10 @@ amounts of the lines whose ``add{i}i`` equals this line's ``add{i}o``
 result is multiplied by the line's direction.
 
 The compile runs every period at once: one grouped pass over the bank and
-adjustment rows keyed by (date bucket, account), where buckets are the
-intervals between the period ends; a parameter-sized membership table then
-adds the buckets of each period (cumulative for the balance sheet), and the
-template is applied with the period as an extra key. Output is long
+adjustment rows of the whole date range (a filter that reaches the scans)
+keyed by (date bucket, account), where buckets are the intervals between the
+period ends; a balance is a running sum per account over the periods, a flow
+its own bucket, and the template is applied with the period as an extra key. Output is long
 (period, line) and pivoted last, with the period labels known up front.
 """
 
@@ -20,13 +20,13 @@ import datetime as _dt
 from dataclasses import dataclass
 
 import pandas as pd
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from hirebook.functions.expr import date_lit, sgn
+from hirebook.functions.expr import date_lit, in_period
 from hirebook.operators import ledger as L
-from hirebook.params import as_date
+from hirebook.params import Bounds, as_bound
 
 LEVELS = range(4)
 
@@ -123,7 +123,7 @@ def period_ends(last_reporting_date, periods: int, frequency: str) -> list[_dt.d
     f = _FREQ.get(frequency.upper())
     if f is None:
         raise ValueError(f"unsupported frequency {frequency!r}")
-    rng = pd.date_range(pd.Timestamp(as_date(last_reporting_date)), periods=periods + 1, freq=f)
+    rng = pd.date_range(pd.Timestamp(as_bound(last_reporting_date)).ceil("D"), periods=periods + 1, freq=f)
     return [d.date() for d in rng]
 
 
@@ -131,111 +131,109 @@ def label(d: _dt.date) -> str:
     return f"{d.year:04d}-{d.month:02d}"
 
 
-def labeler(ends: list[_dt.date]):
-    """``yyyy-MM`` labels, or ``yyyy-MM-dd`` when months would repeat."""
-    if len({label(e) for e in ends}) == len(ends):
-        return label
-    return lambda d: d.isoformat()
+def labeler(frequency: str):
+    """``yyyy-MM-dd`` labels for daily and weekly periods, else ``yyyy-MM``;
+    the frequency alone decides."""
+    return _dt.date.isoformat if frequency.upper() in ("D", "W") else label
 
 
 @dataclass(frozen=True)
 class CompilePlan:
-    """Buckets between the boundaries and the buckets of each period."""
+    """Date buckets between the boundaries: bucket j is (b[j-1], b[j]]."""
 
     boundaries: list[_dt.date]
-    fp: dict[str, list[int]]
-    flows: dict[str, list[int]]
+    bf_date: _dt.date
+    ends: list[_dt.date]
 
     @classmethod
-    def build(cls, bf_date, ends: list[_dt.date]) -> "CompilePlan":
-        label = labeler(ends)
-        b = sorted(set([as_date(bf_date)] + list(ends)))
-        idx = {d: i for i, d in enumerate(b)}
+    def build(cls, bf_date, ends: list[_dt.date], kinds=("FP", "PL", "CF")) -> "CompilePlan":
+        """The boundaries that ``kinds`` need: balances start at the b/f
+        date, flows at the first period end."""
+        bf = as_bound(bf_date)
+        points = set(ends)
+        if "FP" in kinds and _moment(bf) < _moment(ends[-1]):  # else no balance has a movement
+            points.add(bf)
+        return cls(sorted(points, key=_moment), bf, list(ends))
+
+    def in_range(self) -> Column:
+        """The one date range that any period needs (reaches the scan)."""
+        return in_period("date", self.boundaries[0], self.boundaries[-1], Bounds.HALF_OPEN)
 
-        def between(lo, hi):  # buckets j = (b[j-1], b[j]] inside (lo, hi]
-            return list(range(idx[lo] + 1, idx[hi] + 1)) if hi > lo else []
+    def bucket(self, date_col: Column) -> Column:
+        """Bucket number of a date inside the range, by bisection."""
+        def split(lo, hi):  # the first boundary from lo to hi that isn't before the date
+            if lo == hi:
+                return F.lit(lo)
+            mid = (lo + hi) // 2
+            return F.when(date_col <= date_lit(self.boundaries[mid]), split(lo, mid)).otherwise(split(mid + 1, hi))
 
-        fp = {label(e): between(as_date(bf_date), e) for e in ends}
-        flows = {label(e): between(s, e) for s, e in zip(ends, ends[1:])}
-        return cls(b, fp, flows)
+        last = len(self.boundaries) - 1
+        inside = (date_col > date_lit(self.boundaries[0])) & (date_col <= date_lit(self.boundaries[-1]))
+        return F.when(inside, split(1, last)) if last else F.lit(None).cast("int")
 
-    def bucket(self, date_col: Column) -> Column:
-        """Bucket number of a date, NULL outside (b0, b_last]."""
-        c = F.when(date_col <= date_lit(self.boundaries[0]), F.lit(None).cast("int"))
-        for j, d in enumerate(self.boundaries[1:], start=1):
-            c = c.when(date_col <= date_lit(d), F.lit(j))
-        return c
+    def period_of(self, j: int, kind: str) -> int | None:
+        """The period (number of its end) that a bucket first counts in:
+        balances from the first end after the b/f date, flows in one period."""
+        end = next(i for i, e in enumerate(self.ends) if _moment(e) >= _moment(self.boundaries[j]))
+        if kind == "FP":
+            return end if _moment(self.boundaries[j]) > _moment(self.bf_date) else None
+        return end if end > 0 else None
+
+    def period(self, kind: str, bucket: Column) -> Column:
+        """``period_of`` as a column (NULL: in no period)."""
+        numbers = [F.lit(self.period_of(j, kind)).cast("int") for j in range(1, len(self.boundaries))]
+        return F.element_at(F.array(*numbers), bucket) if numbers else F.lit(None).cast("int")
 
-    def membership(self, spark: SparkSession, which: str) -> DataFrame:
-        m = self.fp if which == "FP" else self.flows
-        rows = [(p, j) for p, js in m.items() for j in js]
-        schema = T.StructType([T.StructField("period", T.StringType()), T.StructField("m_bucket", T.IntegerType())])
-        # size bounded by the parameters (periods x buckets), never by the data
-        return F.broadcast(spark.createDataFrame(rows, schema))
+
+def _moment(d) -> _dt.datetime:
+    return d if isinstance(d, _dt.datetime) else _dt.datetime(d.year, d.month, d.day)
 
 
 def bucket_aggregates(plan: CompilePlan, bank: DataFrame, aje: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """One grouped pass per table: bank rows by (bucket, account, cash-flow
-    line) with the signed sums, adjustments by (bucket, account). Both are
-    small (buckets x accounts x lines) whatever the number of rows."""
-    s = sgn()
-    vat = F.col("vat")
-    # the name is a key here (hash aggregate); min() over the small result
-    fine = (bank.withColumn("bucket", plan.bucket(F.col("date"))).where(F.col("bucket").isNotNull())
-            .groupBy("bucket", "ma_account_id", "suggested_cf", "ma_account_name")
+    """One grouped pass per table over the date range: bank rows by (bucket,
+    account, cash-flow line) with the signed sums, adjustments by (bucket,
+    account). Both are small (buckets x accounts x lines) whatever the
+    number of rows."""
+    bucket = plan.bucket(F.col("date"))
+    fine = (bank.where(plan.in_range()).withColumn("bucket", bucket)
+            .groupBy("bucket", "ma_account_id", "suggested_cf")
             .agg(F.min("cf_account_id").alias("cf_account_id"),
-                 F.sum(s * (F.col("amount") - vat)).alias("net"),
-                 F.sum(s * F.when(vat < 0, 1).otherwise(0) * vat).alias("vat_in"),
-                 F.sum(s * F.when(vat > 0, 1).otherwise(0) * vat).alias("vat_out"),
-                 F.sum(s * F.col("amount")).alias("gross")))
-    a = (aje.withColumn("bucket", plan.bucket(F.col("date"))).where(F.col("bucket").isNotNull())
-         .groupBy("bucket", "ma_account_id", "ma_account_name")
-         .agg(F.sum("debit").alias("debit"), F.sum("credit").alias("credit")))
+                 *[F.sum(c).alias(m) for m, c in L.signed_measures().items()]))
+    a = (aje.where(plan.in_range()).withColumn("bucket", bucket).groupBy("bucket", "ma_account_id")
+         .agg((F.coalesce(F.sum("debit"), F.lit(0.0)) - F.coalesce(F.sum("credit"), F.lit(0.0))).alias("amount")))
     return fine, a
 
 
-def _by_account(fine: DataFrame) -> DataFrame:
-    return fine.groupBy("bucket", "ma_account_id").agg(
-        F.min("ma_account_name").alias("ma_account_name"), F.sum("net").alias("net"),
-        F.sum("vat_in").alias("vat_in"), F.sum("vat_out").alias("vat_out"), F.sum("gross").alias("gross"))
-
-
-def _by_cf_line(fine: DataFrame) -> DataFrame:
-    return fine.groupBy("bucket", "suggested_cf").agg(
-        F.min("cf_account_id").alias("cf_account_id"), F.sum("net").alias("net"))
-
-
-def _per_period(spark, plan, which, bucketed: DataFrame, keys: list[str], aggs) -> DataFrame:
-    m = plan.membership(spark, which)
-    j = bucketed.join(m, F.col("bucket") == F.col("m_bucket"), "inner")
-    return j.groupBy("period", *keys).agg(*aggs)
-
-
-def _period_ledger(spark, plan, which, chart, bank_b, aje_b, account_bf, labels) -> DataFrame:
-    """L7 (FP) or L8 (PL) for every period label, long form."""
-    m = plan.membership(spark, which)
-    rows = (bank_b.join(m, F.col("bucket") == F.col("m_bucket"), "inner")
-            .select("period", "ma_account_id", "ma_account_name", "net", "vat_in", "vat_out", "gross",
-                    F.lit(1).alias("_real")))
-    rows = rows.unionByName(L.padding(spark, rows, {"period": labels}))
-    movements = L.movement_lines(rows, ["period"]).distinct()
-    adj = _per_period(spark, plan, which, aje_b, ["ma_account_id"], [
-        (F.coalesce(F.sum("debit"), F.lit(0.0)) - F.coalesce(F.sum("credit"), F.lit(0.0))).alias("amount")])
-    c = chart.select("ma_account_id", "ma_account_name").withColumn(
-        "period", F.explode(F.array(*[F.lit(p) for p in labels])))
-    mov = movements.select(F.col("period").alias("b_period"), F.col("ma_account_id").alias("b_id"),
-                           F.col("Amount").alias("bankamount"))
-    ad = adj.select(F.col("period").alias("j_period"), F.col("ma_account_id").alias("j_id"),
-                    F.col("amount").alias("adjamount"))
-    j = (c.join(mov, (F.col("period") == F.col("b_period")) & (F.col("ma_account_id") == F.col("b_id")), "left")
-         .join(ad, (F.col("period") == F.col("j_period")) & (F.col("ma_account_id") == F.col("j_id")), "left"))
-    z = F.lit(0.0)
-    total = F.coalesce("bankamount", z) + F.coalesce("adjamount", z)
-    if account_bf is not None:
-        bf = account_bf.select(F.col("ma_account_id").alias("f_id"), "bf_amount")
-        j = j.join(bf, F.col("ma_account_id") == F.col("f_id"), "left")
-        total = F.coalesce("bf_amount", z) + total
-    return j.select("period", "ma_account_id", "ma_account_name", total.alias("Amount"))
+def _account_amounts(plan: CompilePlan, kind: str, t: "LedgerTables", fine: DataFrame, adj: DataFrame) -> DataFrame:
+    """L7 (FP) or L8 (PL) for every period, long form (period number).
+
+    Every bucket row turns into its account's line and the three fixed ones;
+    with the adjustments they are one sum per (period, account). A balance
+    is the running sum of that over the periods, plus b/f: as many rows as
+    accounts times periods, nothing grows with the square of the periods. An
+    account that has both a counter-account line and a fixed one gets their sum.
+    """
+    def line(account, amount):
+        return F.struct(account.alias("account"), amount.alias("amount"))
+
+    fixed = [line(F.lit(acct[0]), c) for acct, c in
+             ((L.BANK_ACCOUNT, F.col("gross")), (L.VAT_IN_ACCOUNT, -F.col("vat_in")), (L.VAT_OUT_ACCOUNT, -F.col("vat_out")))]
+    moved = fine.select("bucket", F.inline(F.array(line(F.col("ma_account_id"), -F.col("net")), *fixed)))
+    both = moved.unionAll(adj.select("bucket", F.col("ma_account_id").alias("account"), "amount"))
+    sums = (both.select(plan.period(kind, F.col("bucket")).alias("n"), "account", "amount").where("n is not null and account is not null")
+            .groupBy("n", "account").agg(F.coalesce(F.sum("amount"), F.lit(0.0)).alias("amount")))
+    first = 0 if kind == "FP" else 1
+    grid = t.chart.select(F.col("ma_account_id").alias("account")).where("account is not null").distinct().withColumn(
+        "n", F.explode(F.sequence(F.lit(first), F.lit(len(plan.ends) - 1))))
+    x = grid.join(sums, ["account", "n"], "left").withColumn("amount", F.coalesce("amount", F.lit(0.0)))
+    if kind == "FP":
+        # one account's periods, a parameter's number of rows
+        w = Window.partitionBy("account").orderBy("n").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        x = x.withColumn("amount", F.sum("amount").over(w))
+        opening = t.account_bf.select(F.col("ma_account_id").alias("account"), "bf_amount")
+        x = x.join(opening, "account", "left").withColumn("amount", F.coalesce("bf_amount", F.lit(0.0)) + F.col("amount"))
+    chart = t.chart.select("ma_account_id", "ma_account_name")
+    return x.join(chart, F.col("account") == F.col("ma_account_id")).select("n", "ma_account_id", "ma_account_name", F.col("amount").alias("Amount"))
 
 
 @dataclass(frozen=True)
@@ -248,34 +246,33 @@ class LedgerTables:
 
 def compile_long(spark: SparkSession, kind: str, t: LedgerTables, fmt: ReportFormat, bf_date,
                  last_reporting_date, periods: int, frequency: str,
-                 aggregates: tuple[DataFrame, DataFrame] | None = None) -> tuple[DataFrame, list[str]]:
+                 aggregates: tuple[CompilePlan, DataFrame, DataFrame] | None = None) -> tuple[DataFrame, list[str]]:
     """L11 in long form: (period, line_no, line_name, Amount) and the labels.
 
-    ``aggregates`` are this plan's ``bucket_aggregates`` when the caller
-    already has them (several statements from one pass)."""
+    ``aggregates``: a plan that covers ``kind`` and its ``bucket_aggregates``,
+    when the caller already has them (several statements from one pass)."""
+    if kind not in ("FP", "PL", "CF"):
+        raise ValueError(kind)
     ends = period_ends(last_reporting_date, periods, frequency)
-    label = labeler(ends)
-    plan = CompilePlan.build(bf_date, ends)
-    fine, aje_b = aggregates if aggregates is not None else bucket_aggregates(plan, t.bank, t.aje)
-    if kind == "FP":
-        labels = [label(e) for e in ends]
-        amounts = _period_ledger(spark, plan, "FP", t.chart, _by_account(fine), aje_b, t.account_bf, labels)
-    elif kind == "PL":
-        labels = [label(e) for e in ends[1:]]
-        amounts = _period_ledger(spark, plan, "PL", t.chart, _by_account(fine), aje_b, None, labels)
-    elif kind == "CF":
-        labels = [label(e) for e in ends[1:]]
-        amounts = _per_period(spark, plan, "CF", _by_cf_line(fine), ["suggested_cf"], [
-            F.min("cf_account_id").alias("cf_account_id"), (-F.sum("net")).alias("Amount")])
+    if aggregates is None:
+        plan = CompilePlan.build(bf_date, ends, (kind,))
+        aggregates = (plan, *bucket_aggregates(plan, t.bank, t.aje))
+    plan, fine, adj = aggregates
+    every = [labeler(frequency)(e) for e in ends]
+    labels = every if kind == "FP" else every[1:]
+    if kind == "CF":
+        amounts = (fine.withColumn("n", plan.period(kind, F.col("bucket"))).where("n is not null").groupBy("n", "suggested_cf")
+                   .agg(F.min("cf_account_id").alias("cf_account_id"), (-F.sum("net")).alias("Amount")))
     else:
-        raise ValueError(kind)
-    return _statement(kind, amounts, fmt, labels), labels
+        amounts = _account_amounts(plan, kind, t, fine, adj)
+    named = F.element_at(F.array(*[F.lit(x) for x in every]), F.col("n") + 1)
+    return _statement(kind, amounts.withColumn("period", named).drop("n"), fmt, labels), labels
 
 
 def compile_statement(spark: SparkSession, kind: str, t: LedgerTables, fmt: ReportFormat, bf_date,
                       last_reporting_date, periods: int, frequency: str) -> DataFrame:
     """One wide statement, a column per period label (``yyyy-MM``, or
-    ``yyyy-MM-dd`` when several periods end in one month)."""
+    ``yyyy-MM-dd`` for daily and weekly periods)."""
     long, labels = compile_long(spark, kind, t, fmt, bf_date, last_reporting_date, periods, frequency)
     return (long.groupBy("line_no", "line_name").pivot("period", labels)
             .agg(F.max("Amount")))
@@ -291,17 +288,15 @@ def single_period_amounts(kind: str, t: LedgerTables, bf_date, start, end) -> Da
     return L.cash_flow(t.bank, start, end)
 
 
-def _shared_aggregates(spark, t: LedgerTables, bf_date, last_reporting_date, periods, frequency, reuse: bool):
-    ends = period_ends(last_reporting_date, periods, frequency)
-    plan = CompilePlan.build(bf_date, ends)
-    fine, aje_b = bucket_aggregates(plan, t.bank, t.aje)
+def _shared_aggregates(t: LedgerTables, bf_date, last_reporting_date, periods, frequency, reuse: bool):
+    """The two aggregates for all three statements. Nothing runs here; with
+    ``reuse`` they are kept once the first statement's action computes them
+    (buckets x accounts, small)."""
+    plan = CompilePlan.build(bf_date, period_ends(last_reporting_date, periods, frequency))
+    fine, adj = bucket_aggregates(plan, t.bank, t.aje)
     if reuse:
-        from hirebook.session import scratch_path
-        root = scratch_path(spark, "compile")
-        fine.write.mode("overwrite").parquet(f"{root}/bank")
-        aje_b.write.mode("overwrite").parquet(f"{root}/aje")
-        fine, aje_b = spark.read.parquet(f"{root}/bank"), spark.read.parquet(f"{root}/aje")
-    return fine, aje_b
+        fine, adj = fine.persist(StorageLevel.MEMORY_AND_DISK), adj.persist(StorageLevel.MEMORY_AND_DISK)
+    return plan, fine, adj
 
 
 def compile_reports(spark: SparkSession, t: LedgerTables, fmt: ReportFormat, bf_date,
@@ -310,11 +305,10 @@ def compile_reports(spark: SparkSession, t: LedgerTables, fmt: ReportFormat, bf_
     """L11 for all three statements: ``(fp, pl, cf)`` wide DataFrames.
 
     The bank and adjustment tables are aggregated once by bucket; with
-    ``reuse`` the two small aggregates are written under the session's
-    checkpoint folder and all three statements read them, so each source
-    table is scanned once for the whole set.
+    ``reuse`` all three statements read those two small aggregates, so each
+    source table is scanned once for the whole set.
     """
-    agg = _shared_aggregates(spark, t, bf_date, last_reporting_date, periods, frequency, reuse)
+    agg = _shared_aggregates(t, bf_date, last_reporting_date, periods, frequency, reuse)
     out = []
     for kind in ("FP", "PL", "CF"):
         long, labels = compile_long(spark, kind, t, fmt, bf_date, last_reporting_date, periods, frequency,
@@ -327,7 +321,7 @@ def compile_all(spark: SparkSession, t: LedgerTables, fmt: ReportFormat, bf_date
                 last_reporting_date, periods: int, frequency: str, reuse: bool = True) -> DataFrame:
     """L11 for all three statements in one long DataFrame
     (fr, period, line_no, line_name, Amount), from one aggregate pass."""
-    agg = _shared_aggregates(spark, t, bf_date, last_reporting_date, periods, frequency, reuse)
+    agg = _shared_aggregates(t, bf_date, last_reporting_date, periods, frequency, reuse)
     out = None
     for kind in ("FP", "PL", "CF"):
         long, _ = compile_long(spark, kind, t, fmt, bf_date, last_reporting_date, periods, frequency,

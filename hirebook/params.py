@@ -7,13 +7,17 @@ from dataclasses import dataclass, replace
 from enum import Enum
 
 
-def as_date(value) -> _dt.date:
-    """Accept ``date``, ``datetime`` or ISO text ``YYYY-MM-DD``."""
-    if isinstance(value, _dt.datetime):
+def as_bound(value) -> _dt.date | _dt.datetime:
+    """A period bound from a date, a datetime or ISO text of either.
+
+    A time of day is kept (midnight gives the date itself); text that is
+    neither form is an error, nothing is cut off.
+    """
+    if not isinstance(value, _dt.date):
+        value = _dt.datetime.fromisoformat(str(value).strip())
+    if isinstance(value, _dt.datetime) and value.time() == _dt.time() and value.tzinfo is None:
         return value.date()
-    if isinstance(value, _dt.date):
-        return value
-    return _dt.date.fromisoformat(str(value)[:10])
+    return value
 
 
 class Bounds(Enum):
@@ -41,14 +45,14 @@ class ReportParams:
     end: _dt.date = _dt.date(2021, 12, 31)
 
     def __post_init__(self):
-        object.__setattr__(self, "bf_date", as_date(self.bf_date))
-        object.__setattr__(self, "start", as_date(self.start))
-        object.__setattr__(self, "end", as_date(self.end))
+        object.__setattr__(self, "bf_date", as_bound(self.bf_date))
+        object.__setattr__(self, "start", as_bound(self.start))
+        object.__setattr__(self, "end", as_bound(self.end))
 
     def period(self, start=None, end=None) -> tuple[_dt.date, _dt.date]:
         """Fill a missing start or end from the defaults, independently."""
-        return (as_date(start) if start is not None else self.start,
-                as_date(end) if end is not None else self.end)
+        return (as_bound(start) if start is not None else self.start,
+                as_bound(end) if end is not None else self.end)
 
     def with_dates(self, start=None, end=None) -> "ReportParams":
         s, e = self.period(start, end)

@@ -27,6 +27,7 @@ from hirebook.params import TEST_PARAMS as P
 from hirebook.session import scratch_path
 from hirebook.sources import loaders as LD
 from hirebook.sources.fixtures import Book, stored_book
+from hirebook.sources.schemas import SCHEMAS
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -88,14 +89,13 @@ def _quotation_quantity(b):
 
 @query("quotation_split")
 def _quotation_split(b):
-    cols = ["quotation_type", "q_id", "qt_id", "equip_quantity", "equip_type_id", "rent_daily"]
+    kind = F.col("quotation_type")
 
-    def norm(t):
-        q = R.quotations(b.vq, t)
-        return q.select(F.lit(t).alias("quotation_type"), "q_id", "qt_id",
-                        *(F.col(c) if c in q.columns else F.lit(None).cast(b.vq.schema[c].dataType).alias(c)
-                          for c in ("equip_quantity", "equip_type_id")), "rent_daily").select(cols)
-    return norm(0).unionAll(norm(1)).unionAll(norm(2))
+    def of_type1(c):
+        return F.when(kind == 1, F.col(c)).alias(c)
+
+    return b.vq.where(kind.isin(0, 1, 2)).select(kind.cast("int").alias("quotation_type"), "q_id", "qt_id",
+                                                 of_type1("equip_quantity"), of_type1("equip_type_id"), "rent_daily")
 
 
 def _quotations_of(t):
@@ -317,6 +317,15 @@ def _compile_all(b):
                           COMPILE_FROM, COMPILE_PERIODS, COMPILE_FREQ)
 
 
+MONTHS = 36
+
+
+@query("compile_months")
+def _compile_months(b):
+    """The three statements in long form for 36 months."""
+    return ST.compile_all(b.spark, ledger_tables(b), report_format(b), P.bf_date, P.bf_date, MONTHS, "M")
+
+
 # -- payroll (W1-W5), depreciation (D1-D3) ------------------------------------
 
 PAYROLL_MONTH = (2021, 3)
@@ -394,64 +403,85 @@ def _filtered_read(b):
 
 @query("schedule_load")
 def _schedule_load(b):
-    """Write a schedule folder (CSV with header), read it back typed."""
+    """Write the schedule of all business tables (CSV with header), read
+    it back typed; every row of every table as its first two columns' text."""
     path = scratch_path(b.spark, "schedule")
-    LD.write_schedule({"relocation": b.relocation}, path)
-    return LD.load_schedule(b.spark, path, ["relocation"]).relocation
+    LD.write_schedule({n: b.table(n).select(*T.StructType.fromDDL(SCHEMAS[n]).names) for n in sorted(Book.NAMES)}, path)
+    book = LD.load_schedule(b.spark, path)
+    return _keys({n: book.table(n) for n in LD.listed_tables(b.spark, path)})
+
+
+def _as_text(df, column):
+    kind = df.schema[column].dataType
+    if isinstance(kind, (T.DateType, T.TimestampType)):
+        return F.date_format(F.col(column), "yyyy-MM-dd")
+    if isinstance(kind, (T.DoubleType, T.FloatType)):
+        return F.round(F.col(column) * 100).cast("bigint").cast("string")
+    return F.col(column).cast("string")
+
+
+def _keys(tables):
+    """(table_name, c1, c2): the first two columns of every row as text
+    (dates in ISO form, doubles in hundredths)."""
+    out = None
+    for name in sorted(tables):
+        df = tables[name]
+        one = df.select(F.lit(name).alias("table_name"), *[_as_text(df, c).alias(f"c{i + 1}") for i, c in enumerate(df.columns[:2])])
+        out = one if out is None else out.unionAll(one)
+    return out
 
 
 @query("report_format")
 def _report_format(b):
-    """Write the mapping and template files, load and split them."""
+    """Write the mapping and template files, load and split them:
+    (fr, account, code) and the template's lines as (fr line, line_no, name)."""
     path = scratch_path(b.spark, "format")
     rm, cm = b.report_mapping, b.cf_mapping
     mapping = rm.select("ma_account_id", "ma_account_name", "fp", "pl", F.lit(None).cast("string").alias("cf")) \
         .unionAll(cm.select(F.col("cf_account_id").cast("string"), F.lit(None).cast("string"),
                             F.lit(None).cast("string"), F.lit(None).cast("string"), "cf"))
     LD.write_table(mapping, f"{path}/FRmapping.csv")
-    LD.write_table(b.report_template, f"{path}/Financial Reports.csv")
-    fmt = LD.load_report_format(b.spark, path)
+    # one file in line order, without the numbers: the loader finds them again
+    LD.write_table(b.report_template.coalesce(1).sortWithinPartitions("fr", "line_no").drop("line_no"), f"{path}/Financial Reports.csv")
+    fmt = LD.load_report_format(b.spark, path, label_col="line_name")
     acc = fmt.account_mapping
     return (acc.where(F.col("fp").isNotNull()).select(F.lit("FP").alias("fr"), F.col("ma_account_id").alias("account"),
                                                        F.col("fp").alias("code"))
             .unionAll(acc.where(F.col("pl").isNotNull()).select(F.lit("PL"), "ma_account_id", "pl"))
-            .unionAll(fmt.cf_mapping.select(F.lit("CF"), F.col("cf_account_id").cast("string"), "cf")))
+            .unionAll(fmt.cf_mapping.select(F.lit("CF"), F.col("cf_account_id").cast("string"), "cf"))
+            .unionAll(fmt.template.select(F.concat("fr", F.lit(" line")), F.col("line_no").cast("string"), "line_name")))
 
 
 @query("code_table_load")
 def _code_table_load(b):
-    """A two-column code sheet without header, typed on load."""
+    """A two-column code sheet without header replaces its table, typed."""
     path = scratch_path(b.spark, "codes")
-    b.equip_type.write.mode("overwrite").option("header", False).csv(path)
-    return LD.load_code_table(b.spark, path, "equip_type_name", "equip_type_id",
-                              schema="equip_type_name string, equip_type_id int")
+    b.equip_type.write.mode("overwrite").option("header", False).csv(f"{path}/sheet")
+    return LD.load_code_table(b.spark, f"{path}/sheet", "equip_type_name", "equip_type_id",
+                              schema="equip_type_name string, equip_type_id int", target=f"{path}/table")
 
 
 @query("record_table_load")
 def _record_table_load(b):
-    """A record sheet whose first row names the columns."""
+    """A record sheet whose first row names the columns replaces its table."""
     path = scratch_path(b.spark, "records")
-    LD.write_table(b.vq_wholesale, path)
-    return LD.load_record_table(b.spark, path, "qt_id bigint, entry_date date, exit_date date")
+    LD.write_table(b.vq_wholesale, f"{path}/sheet")
+    return LD.load_record_table(b.spark, f"{path}/sheet", "qt_id bigint, entry_date date, exit_date date", target=f"{path}/table")
 
 
 @query("codedef_load")
 def _codedef_load(b):
-    """Metadata-driven load of code tables and the four record tables;
-    reports the rows loaded per table."""
+    """Metadata-driven load of code tables and the four record tables
+    into a target folder; every loaded row as its first two columns' text."""
     path = scratch_path(b.spark, "equipment")
     defs = b.spark.createDataFrame([("equip_type", "equip_type_name", "equip_type_id")], "t string, c1 string, c2 string")
     defs.write.mode("overwrite").option("header", False).csv(f"{path}/codedefinition")
     b.equip_type.write.mode("overwrite").option("header", False).csv(f"{path}/equip_type")
-    for name, df in {"equip_info": b.equip_dailycost, "change_record": b.vq_wholesale,
-                     "relocation_record": b.relocation, "mro_record": b.depr_alloc}.items():
+    records = {"equip_info": b.equip_dailycost, "change_record": b.vq_wholesale, "relocation_record": b.relocation, "mro_record": b.depr_alloc}
+    for name, df in records.items():
         LD.write_table(df, f"{path}/{name}")
-    loaded = LD.load_equipment_schedule(b.spark, path)
-    out = None
-    for name in sorted(loaded):
-        one = loaded[name].agg(F.count(F.lit(1)).alias("loaded_rows")).select(F.lit(name).alias("table_name"), "loaded_rows")
-        out = one if out is None else out.unionAll(one)
-    return out
+    types = {n: ", ".join(f"{c} {t}" for c, t in df.dtypes) for n, df in records.items()}
+    return _keys(LD.load_equipment_schedule(b.spark, path, types, target=f"{path}/loaded"))
 
 
 # one-line descriptions for the queries whose builders have no docstring

@@ -130,8 +130,8 @@ class Reports:
                                   last_reporting_date, periods, frequency)
 
     # -- payroll, depreciation, integrity ---------------------------------------------
-    def payroll_processing(self, year: int, month: int, legacy_lines: bool = False) -> DataFrame:
-        return W.payroll_journal(self.book.payroll, self.book.worker_info, year, month, legacy_lines)
+    def payroll_processing(self, year: int, month: int) -> DataFrame:
+        return W.payroll_journal(self.book.payroll, self.book.worker_info, year, month)
 
     def depreciation_journal(self, year: int, month: int) -> DataFrame:
         return D.depr_journal(self.book.ppe_list, self.book.depr_alloc, year, month)

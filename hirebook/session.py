@@ -45,17 +45,29 @@ def cluster_conf_for(spark: SparkSession) -> None:
             spark.conf.set(k, v)
 
 
+def session_conf(master: str | None, shuffle_partitions: int = 8, extra: dict | None = None) -> dict:
+    """The settings of ``build_session``: ``DEFAULT_CONF`` and, with a master
+    given here, the shuffle partitions of a local run. Without one the
+    launcher decides on those; what it leaves open gets ``CLUSTER_CONF``."""
+    conf = dict(DEFAULT_CONF)
+    if master:
+        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    else:
+        from pyspark import SparkConf
+        given = SparkConf()
+        conf.update({k: v for k, v in CLUSTER_CONF.items() if not given.contains(k)})
+    conf.update(extra or {})
+    return conf
+
+
 def build_session(master: str | None = "local[8]", shuffle_partitions: int = 8,
                   app: str = "hirebook", extra: dict | None = None) -> SparkSession:
-    """A session with ``DEFAULT_CONF``; ``master=None`` leaves the master to
+    """A session with ``session_conf``; ``master=None`` leaves the master to
     the launcher (cluster runs), ``extra`` overrides any setting."""
     b = SparkSession.builder.appName(app)
     if master:
         b = b.master(master)
-    conf = dict(DEFAULT_CONF)
-    conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
-    conf.update(extra or {})
-    for k, v in conf.items():
+    for k, v in session_conf(master, shuffle_partitions, extra).items():
         b = b.config(k, v)
     spark = b.getOrCreate()
     try:
@@ -69,8 +81,9 @@ def build_session(master: str | None = "local[8]", shuffle_partitions: int = 8,
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's shared checkpoint folder.
 
-    The folder named by ``spark.checkpoint.dir`` is used as is; only when the
-    session has none (local tests) a private one is set.
+    The folder named by ``spark.checkpoint.dir`` is used as is. A local
+    session without one gets a private folder; on a cluster that is an error,
+    since a machine's own folder would be lost with it.
     """
     try:
         sc = spark.sparkContext
@@ -81,6 +94,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     if not conf_dir:
+        master = sc.master if sc is not None else ""
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         conf_dir = tempfile.mkdtemp(prefix="hirebook-ckpt-")
     if sc is None:
         return conf_dir
@@ -98,9 +114,16 @@ def session_id(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared checkpoint folder (never machine-local
-    unless the session itself is local)."""
-    root = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{root}/hirebook-{name}-{uuid.uuid4().hex[:12]}"
+    unless the session itself is local). It goes when the driver ends."""
+    root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/hirebook-{session_id(spark)}"
+    jvm = getattr(spark, "_jvm", None)
+    if jvm is not None:  # not over Spark Connect
+        where = jvm.org.apache.hadoop.fs.Path(root)
+        fs = where.getFileSystem(spark._jsc.hadoopConfiguration())
+        if not fs.exists(where):
+            fs.mkdirs(where)
+            fs.deleteOnExit(where)
+    return f"{root}/{name}-{uuid.uuid4().hex[:12]}"
 
 
 __all__ = ["CLUSTER_CONF", "DEFAULT_CONF", "build_session", "cluster_conf_for", "ensure_checkpoint_dir",

@@ -24,7 +24,7 @@ from hirebook.sources.testdata import read_table
 
 def _sql_div(a: Column, b: int) -> Column:
     """SQL ``a DIV b``: integer division truncating toward zero."""
-    return ((a - a % F.lit(b)) / F.lit(b)).cast("bigint")
+    return F.call_function("div", a, F.lit(b))
 
 
 def _cents(c: Column) -> Column:
@@ -335,6 +335,7 @@ class Book:
 
 _STORED: dict[tuple[str, str], "StoredBook"] = {}
 DATED_TABLES = ("invoice", "bankstatement", "aje")
+CLUSTERED = {"relocation": "q_id"}
 # business tables derived from other business tables: built from the stored parent
 PARENTS = {"vq_equip": "vq", "equip_dailycost": "equip_type", "report_mapping": "chart_of_accounts",
            "cf_mapping": "bankstatement"}
@@ -355,6 +356,7 @@ class StoredBook:
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         from hirebook.session import scratch_path
+        self.source_state = source_state(spark, sf_dir)
         self.spark = spark
         self.sf_dir = sf_dir
         self._root = scratch_path(spark, "book")
@@ -377,13 +379,15 @@ class StoredBook:
                 # derive the child from the stored parent, not from raw tables
                 self._derive.__dict__[parent] = self.table(parent)
             df = self._derive.table(name)
-            if name in DATED_TABLES:
-                # period reports filter these by date: sorted files give tight
-                # row-group statistics, so scans skip other periods
-                df = df.sortWithinPartitions("date")
             path = f"{self._root}/{name}"
+            if name in DATED_TABLES:
+                # period reports filter these by date: rows dealt by date range and
+                # sorted give files and row groups of few days, so scans skip the rest
+                df = df.repartitionByRange("date").sortWithinPartitions("date")
+            elif name in CLUSTERED:
+                df = df.sortWithinPartitions(CLUSTERED[name])
             df.write.mode("overwrite").parquet(path)
-            stored = self.spark.read.parquet(path)
+            stored = self.spark.read.schema(df.schema).parquet(path)
             with self._lock:
                 self._tables[name] = stored
             return stored
@@ -404,13 +408,26 @@ class StoredBook:
 
 
 def stored_book(spark: SparkSession, sf_dir: str) -> StoredBook:
-    """The stored business tables of ``sf_dir`` for this session."""
+    """The stored business tables of ``sf_dir`` for this session, derived
+    anew when a source file has changed since."""
     from hirebook.session import session_id
     key = (session_id(spark), sf_dir)
     with _STORED_LOCK:
-        if key not in _STORED:
+        held = _STORED.get(key)
+        if held is None or held.source_state != source_state(spark, sf_dir):
             _STORED[key] = StoredBook(spark, sf_dir)
         return _STORED[key]
 
 
+def source_state(spark: SparkSession, sf_dir: str) -> list[tuple] | None:
+    """Names, sizes and times of the source files (None over Spark Connect,
+    where the driver can't list them: then nothing counts as changed)."""
+    jvm = getattr(spark, "_jvm", None)
+    if jvm is None:
+        return None
+    where = jvm.org.apache.hadoop.fs.Path(sf_dir)
+    files = where.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(where)
+    return sorted((f.getPath().getName(), f.getLen(), f.getModificationTime()) for f in files)
+
+
 _STORED_LOCK = threading.Lock()

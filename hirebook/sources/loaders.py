@@ -1,13 +1,14 @@
 """Schedule and code-table loaders (S1, S4-S7) and the table sink.
 
 A schedule is a folder with one sub-folder (or file) per table, in CSV with
-a header row, Parquet, ORC or JSON. Every reader gets an explicit schema;
-CSV cells that do not parse become NULL (permissive mode), like text dates
-the reports could not read. A missing table fails the load.
+a header row, Parquet, ORC or JSON. Readers get an explicit schema; a cell
+that its type can't hold fails the read or is kept with its row, never lost.
+A missing table fails the load.
 """
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -24,18 +25,41 @@ TEMPLATE_RENAMES = {"FR": "fr", "名义报表": "line_name", "数据来源": "so
 RECORD_TABLES = ("equip_info", "change_record", "relocation_record", "mro_record")
 
 
-def _reader(spark: SparkSession, fmt: str, header: bool = True):
+CORRUPT = "_corrupt_record"
+MANIFEST = "_tables"
+
+
+def _reader(spark: SparkSession, fmt: str, header: bool = True, bad: str = "fail"):
     if fmt not in FORMATS:
         raise ValueError(f"unsupported format {fmt!r}")
+    if bad not in ("fail", "keep"):
+        raise ValueError("bad is 'fail' or 'keep'")
     r = spark.read.format(fmt)
+    if fmt in ("csv", "json"):
+        r = r.option("mode", "FAILFAST" if bad == "fail" else "PERMISSIVE")
     if fmt == "csv":
-        r = r.option("header", header).option("mode", "PERMISSIVE")
+        r = r.option("header", header).option("enforceSchema", False)
     return r
 
 
-def read_table(spark: SparkSession, path: str, schema: str, fmt: str = "csv") -> DataFrame:
-    """One typed table of a schedule."""
-    return _reader(spark, fmt).schema(schema).load(path)
+def read_table(spark: SparkSession, path: str, schema: str | None, fmt: str = "csv", bad: str = "fail") -> DataFrame:
+    """One typed table of a schedule (as it is, all text in CSV, without a
+    schema).
+
+    A cell that its type can't hold is never silently NULL: with ``bad="fail"``
+    the read fails, with ``"keep"`` the row stays, its raw text in
+    ``_corrupt_record`` (see ``corrupt_rows``). Blank cells are NULL.
+    """
+    r = _reader(spark, fmt, bad=bad)
+    if schema is None:
+        return r.load(path)
+    keep = bad == "keep" and fmt in ("csv", "json")
+    return r.option("columnNameOfCorruptRecord", CORRUPT).schema(f"{schema}, {CORRUPT} string" if keep else schema).load(path)
+
+
+def corrupt_rows(df: DataFrame) -> DataFrame:
+    """The rows of a table read with ``bad="keep"`` that had a bad cell."""
+    return df.where(F.col(CORRUPT).isNotNull())
 
 
 def write_table(df: DataFrame, path: str, fmt: str = "csv", mode: str = "overwrite") -> None:
@@ -47,36 +71,65 @@ def write_table(df: DataFrame, path: str, fmt: str = "csv", mode: str = "overwri
 
 
 def load_schedule(spark: SparkSession, path: str, tables=None, fmt: str = "csv",
-                  schemas: dict[str, str] | None = None) -> Book:
-    """Read the tables of a schedule folder into a ``Book``."""
-    schemas = schemas or SCHEMAS
-    names = list(tables or schemas)
-    return Book(spark, {n: read_table(spark, f"{path.rstrip('/')}/{n}", schemas[n], fmt) for n in names})
+                  schemas: dict[str, str] | None = None, bad: str = "fail") -> Book:
+    """Read the tables of a schedule folder into a ``Book``.
+
+    Without ``tables`` these are the ones that the last ``write_schedule``
+    listed, or else all known ones. A table without a schema is read as it
+    is (CSV: text).
+    """
+    schemas = SCHEMAS if schemas is None else schemas
+    root = path.rstrip("/")
+    names = list(tables or listed_tables(spark, root) or schemas)
+    return Book(spark, {n: read_table(spark, f"{root}/{n}", schemas.get(n), fmt, bad) for n in names})
 
 
 def write_schedule(tables: dict[str, DataFrame], path: str, fmt: str = "csv") -> None:
-    """S1 sink: write each table to ``path/<name>``, replacing what was there."""
+    """S1 sink: the schedule at ``path`` becomes exactly these tables. What an
+    earlier, larger schedule left beside them is no longer listed, so a load
+    doesn't see it."""
+    root = path.rstrip("/")
     for name, df in tables.items():
-        write_table(df, f"{path.rstrip('/')}/{name}", fmt)
+        write_table(df, f"{root}/{name}", fmt)
+    if tables:
+        spark = next(iter(tables.values())).sparkSession
+        spark.createDataFrame([(n,) for n in sorted(tables)], "name string").coalesce(1).write.mode("overwrite").text(f"{root}/{MANIFEST}")
 
 
-def _typed(df: DataFrame, schema: str | None) -> DataFrame:
-    """Project text columns to a schema; cells that do not convert are NULL."""
+def listed_tables(spark: SparkSession, root: str) -> list[str]:
+    """Names in the schedule's list (one short line a table); none without it."""
+    try:
+        return sorted(r[0] for r in spark.read.text(f"{root}/{MANIFEST}").collect())
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" not in str(e):
+            raise
+        return []
+
+
+def _typed(df: DataFrame, schema: str | None, bad: str = "fail") -> DataFrame:
+    """Project text columns to a schema. A cell that does not convert fails
+    the read, or (``bad="keep"``) leaves the row's cells in ``_corrupt_record``."""
     if not schema:
         return df
-    st = T.StructType.fromDDL(schema)
-    return df.select(*[F.expr(f"try_cast(`{f.name}` as {f.dataType.simpleString()})").alias(f.name)
-                       for f in st.fields])
+    fields = T.StructType.fromDDL(schema).fields
+    if bad == "fail":
+        return df.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in fields])
+    tried = {f.name: F.col(f"`{f.name}`").try_cast(f.dataType) for f in fields}
+    wrong = [F.col(f"`{n}`").isNotNull() & c.isNull() for n, c in tried.items()]
+    any_wrong = F.array_contains(F.array(*wrong), True)
+    raw = F.to_json(F.struct(*[F.col(f"`{f.name}`") for f in fields]))
+    return df.select(*[c.alias(n) for n, c in tried.items()], F.when(any_wrong, raw).alias(CORRUPT))
 
 
 def load_report_format(spark: SparkSession, path: str, mapping_name: str = "FRmapping.csv",
-                       template_name: str = "Financial Reports.csv") -> ReportFormat:
+                       template_name: str = "Financial Reports.csv", label_col: str | None = None) -> ReportFormat:
     """The account mapping (five columns by position: id, name, FP, PL,
     CF codes) and the statement template.
 
     The mapping splits by statement (rows with a code); CF ids are cast to
-    integers. The template keeps its file order as ``line_no`` when it has
-    no such column.
+    integers. ``label_col`` names the template's column of line names if it
+    isn't the usual one. A template in one file keeps its line order as
+    ``line_no``; one in several files needs that column.
     """
     m = spark.read.option("header", True).csv(f"{path}/{mapping_name}")
     m = m.toDF(*MAPPING_COLUMNS, *m.columns[len(MAPPING_COLUMNS):])
@@ -85,47 +138,68 @@ def load_report_format(spark: SparkSession, path: str, mapping_name: str = "FRma
     cf = m.where(F.col("cf").isNotNull()).select(
         F.col("ma_account_id").cast("bigint").alias("cf_account_id"), "cf")
     t = spark.read.option("header", True).csv(f"{path}/{template_name}")
-    for old, new in TEMPLATE_RENAMES.items():
-        if old in t.columns:
+    files = t.inputFiles()
+    names = TEMPLATE_RENAMES if label_col is None else {**{k: v for k, v in TEMPLATE_RENAMES.items() if v != "line_name"}, label_col: "line_name"}
+    columns = t.columns
+    if "line_no" not in columns:
+        if len(files) > 1:
+            raise ValueError("a template in several files needs a line_no column: files have no order")
+        # within the file: blocks by their start, lines by their place in the block
+        t = t.select("*", F.col("_metadata.file_block_start").alias("_block"), F.monotonically_increasing_id().alias("_pos"))
+    for old, new in names.items():
+        if old in columns:
             t = t.withColumnRenamed(old, new)
-    if "line_no" not in t.columns:
-        # file order: ids grow with the position in the file
-        t = t.withColumn("_pos", F.monotonically_increasing_id()).withColumn(
-            "line_no", F.row_number().over(Window.partitionBy("fr").orderBy("_pos"))).drop("_pos")
+    if "line_no" not in columns:
+        t = t.withColumn("line_no", F.row_number().over(Window.partitionBy("fr").orderBy("_block", "_pos"))).drop("_block", "_pos")
     return ReportFormat(_typed(t, SCHEMAS["report_template"]), accounts, cf)
 
 
-def load_code_table(spark: SparkSession, path: str, col1: str, col2: str,
-                    skip_header: bool = False, schema: str | None = None) -> DataFrame:
+def load_code_table(spark: SparkSession, path: str, col1: str, col2: str, skip_header: bool = False,
+                    schema: str | None = None, bad: str = "fail", target: str | None = None) -> DataFrame:
     """The first two cells of every row of a sheet as (col1, col2).
 
     Like the reports' loader the first row is data unless ``skip_header``.
-    ``schema`` types the two columns (``"col1 string, col2 int"``).
+    ``schema`` types the two columns (``"col1 string, col2 int"``). With
+    ``target`` the table there is replaced and read back.
     """
     df = spark.read.option("header", skip_header).csv(path)
-    first_two = df.select(F.col(df.columns[0]).alias(col1), F.col(df.columns[1]).alias(col2))
-    return _typed(first_two, schema)
+    first_two = df.select(F.col(f"`{df.columns[0]}`").alias(col1), F.col(f"`{df.columns[1]}`").alias(col2))
+    return _refreshed(_typed(first_two, schema, bad), target)
 
 
-def load_record_table(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:
+def load_record_table(spark: SparkSession, path: str, schema: str | None = None, bad: str = "fail",
+                      target: str | None = None) -> DataFrame:
     """A sheet whose first row names the columns; blank cells are NULL.
-    ``schema`` gives the typed projection (all text otherwise)."""
-    return _typed(spark.read.option("header", True).csv(path), schema)
+    ``schema`` gives the typed projection (all text otherwise); ``target`` as
+    in ``load_code_table``."""
+    return _refreshed(_typed(spark.read.option("header", True).csv(path), schema, bad), target)
 
 
-def load_equipment_schedule(spark: SparkSession, path: str,
-                            record_schemas: dict[str, str] | None = None) -> dict[str, DataFrame]:
+def _refreshed(df: DataFrame, target: str | None) -> DataFrame:
+    """Full refresh: replace the table at ``target`` and read it from there."""
+    if target is None:
+        return df
+    write_table(df, target, "parquet")
+    return df.sparkSession.read.schema(df.schema).parquet(target)
+
+
+def load_equipment_schedule(spark: SparkSession, path: str, record_schemas: dict[str, str] | None = None,
+                            target: str | None = None, max_tables: int = 10_000) -> dict[str, DataFrame]:
     """The code tables listed in the ``codedefinition`` sheet (table,
-    column 1, column 2 per row), then the four record tables.
+    column 1, column 2 per row), then the four record tables; with ``target``
+    each replaces its table under that folder.
 
-    Only the small metadata sheet is read on the driver; each table stays a
-    lazy DataFrame. A table missing from the folder fails the load.
+    Only the metadata sheet is read on the driver (at most ``max_tables``
+    rows, else ValueError). A table missing from the folder fails the load.
     """
-    defs = spark.read.option("header", False).csv(f"{path}/codedefinition").collect()
-    out = {}
-    for row in defs:
-        table, c1, c2 = row[0], row[1], row[2]
-        out[table] = load_code_table(spark, f"{path}/{table}", c1, c2)
+    defs = spark.read.option("header", False).csv(f"{path}/codedefinition").limit(max_tables + 1).collect()
+    if len(defs) > max_tables:
+        raise ValueError(f"over {max_tables} code tables")
+
+    def to(name):
+        return None if target is None else f"{target.rstrip('/')}/{name}"
+
+    out = {row[0]: load_code_table(spark, f"{path}/{row[0]}", row[1], row[2], target=to(row[0])) for row in defs}
     for table in RECORD_TABLES:
-        out[table] = load_record_table(spark, f"{path}/{table}", (record_schemas or {}).get(table))
+        out[table] = load_record_table(spark, f"{path}/{table}", (record_schemas or {}).get(table), target=to(table))
     return out

@@ -13,16 +13,56 @@ def _write(path, text):
     path.write_text(text, encoding="utf-8")
 
 
-def test_schedule_types_and_unparsable_dates(spark, tmp_path):
-    _write(tmp_path / "relocation" / "part.csv",
-           "q_id,qt_id,site_name,equip_type_id,equip_type_name,date,quantity,direction\n"
-           "1,10,S0,1,A,2021-01-05,2,1\n"
-           "1,10,S0,1,A,2021/01/06,3,-1\n"
-           "2,20,,1,A,,1,1\n")
+def test_schedule_keeps_time_of_day_and_every_bad_cell(spark, tmp_path):
+    head = "q_id,qt_id,site_name,equip_type_id,equip_type_name,date,quantity,direction\n"
+    _write(tmp_path / "relocation" / "part.csv", head + "1,10,S0,1,A,2021-01-05 10:30:00,2,1\n2,20,,1,A,,1,1\n3,30,S1,1,A,2021-01-06,1,1\n")
     book = LD.load_schedule(spark, str(tmp_path), ["relocation"])
-    got = sorted(((r["q_id"], r["quantity"]), (r["date"], r["site_name"])) for r in book.relocation.collect())
-    assert got == [((1, 2), (dt.date(2021, 1, 5), "S0")), ((1, 3), (None, "S0")), ((2, 1), (None, None))]
-    assert dict(book.relocation.dtypes)["quantity"] == "bigint"
+    got = sorted((r["q_id"], r["date"], r["site_name"]) for r in book.relocation.collect() if r["date"])
+    assert got == [(1, dt.datetime(2021, 1, 5, 10, 30), "S0"), (3, dt.datetime(2021, 1, 6), "S1")]
+    assert book.relocation.where("date is null and site_name is null").count() == 1   # blank cells
+    _write(tmp_path / "relocation" / "bad.csv", head + '4,40,S0,1,A,2021-01-06,"1,000",1\n5,50,S0,1,A,someday,1,1\n')
+    with pytest.raises(Exception, match="MALFORMED|FAILED_READ"):
+        LD.load_schedule(spark, str(tmp_path), ["relocation"]).relocation.collect()
+    kept = LD.load_schedule(spark, str(tmp_path), ["relocation"], bad="keep").relocation
+    assert kept.count() == 5
+    bad = LD.corrupt_rows(kept).collect()
+    assert sorted(r[LD.CORRUPT][:2] for r in bad) == ["4,", "5,"]
+
+
+def test_fractions_of_a_day_count_in_machine_days_and_bounds(spark):
+    from hirebook.functions.expr import in_period
+    from hirebook.operators import rental as R
+    from hirebook.sources.schemas import SCHEMAS
+    day = dt.datetime
+    df = spark.createDataFrame([(1, 1, "S", 1, "A", day(2021, 1, 1, 18), 2, 1), (2, 2, "S", 1, "A", day(2021, 1, 11, 10), 1, 1),
+                                (3, 3, "S", 1, "A", day(2021, 1, 1, 10), 1, 1)], SCHEMAS["relocation"])
+    got = {r["q_id"]: r[R.CF_COL] for r in R.machine_days(df, "2021-01-01", "2021-01-11").collect()}
+    assert got == {1: 2 * 9.25, 2: 0.0, 3: 9 + 14 / 24}
+    # 10:00 on the first day is inside, 10:00 on the last is not; a bound's own time counts
+    assert sorted(r["q_id"] for r in df.where(in_period("date", "2021-01-01", "2021-01-11")).collect()) == [1, 3]
+    assert sorted(r["q_id"] for r in df.where(in_period("date", "2021-01-01 12:00", "2021-01-11 10:00:00")).collect()) == [1, 2]
+
+
+def test_bounds_are_not_cut():
+    from hirebook.params import as_bound
+    assert as_bound("2021-01-05") == dt.date(2021, 1, 5) and as_bound("2021-01-05 00:00:00") == dt.date(2021, 1, 5)
+    assert as_bound("2021-01-05T10:30") == dt.datetime(2021, 1, 5, 10, 30)
+    with pytest.raises(ValueError):
+        as_bound("2021-01-05 and more")
+
+
+def test_integer_division_is_exact(spark):
+    from hirebook.functions.expr import ratio
+    df = spark.createDataFrame([(9007199254740993, 1), (9223372036854775807, 3), (-7, 2), (5, 0)], "a bigint, b bigint")
+    assert [r[0] for r in df.select(ratio(df, "a", "b", True)).collect()] == [9007199254740993, 3074457345618258602, -3, None]
+
+
+def test_a_smaller_schedule_hides_stale_tables(spark, tmp_path, book):
+    LD.write_schedule({"equip_type": book.equip_type, "worker_info": book.worker_info}, str(tmp_path))
+    LD.write_schedule({"equip_type": book.equip_type, "extra": book.ep_bf}, str(tmp_path))
+    assert LD.listed_tables(spark, str(tmp_path)) == ["equip_type", "extra"]
+    back = LD.load_schedule(spark, str(tmp_path))
+    assert "worker_info" not in back.__dict__ and back.table("extra").count() == book.ep_bf.count()
 
 
 def test_schedule_missing_table_fails(spark, tmp_path):
@@ -33,12 +73,14 @@ def test_schedule_missing_table_fails(spark, tmp_path):
 @pytest.mark.parametrize("fmt", ["parquet", "orc", "json", "csv"])
 def test_schedule_round_trip(spark, tmp_path, book, fmt):
     tables = {"vq_wholesale": book.vq_wholesale, "bankstatement": book.bankstatement}
-    LD.write_schedule(tables, str(tmp_path), fmt=fmt)
+    typed = {n: df.select([df[c].cast(t) for c, t in spark.createDataFrame([], LD.SCHEMAS[n]).dtypes]) for n, df in tables.items()}
+    LD.write_schedule(typed, str(tmp_path), fmt=fmt)
     back = LD.load_schedule(spark, str(tmp_path), list(tables), fmt=fmt)
     for name, df in tables.items():
         got = back.table(name)
-        assert got.dtypes == df.dtypes
-        assert got.exceptAll(df).count() == 0 and df.exceptAll(got).count() == 0, name
+        same = got.select([got[c].cast(t) for c, t in df.dtypes])
+        assert got.columns == df.columns
+        assert same.exceptAll(df).count() == 0 and df.exceptAll(same).count() == 0, name
 
 
 def test_report_format_original_names_and_file_order(spark, tmp_path):
@@ -61,8 +103,11 @@ def test_code_table_keeps_header_row_unless_skipped(spark, tmp_path):
     raw = LD.load_code_table(spark, str(tmp_path / "codes"), "equip_type_name", "equip_type_id")
     assert sorted(tuple(r) for r in raw.collect()) == [("ECONOMY", "1"), ("LARGE", "2"), ("name", "id")]
     typed = LD.load_code_table(spark, str(tmp_path / "codes"), "equip_type_name", "equip_type_id",
-                               schema="equip_type_name string, equip_type_id int")
-    assert ("name", None) in [tuple(r) for r in typed.collect()]
+                               schema="equip_type_name string, equip_type_id int", bad="keep")
+    assert [tuple(r)[:2] for r in LD.corrupt_rows(typed).collect()] == [("name", None)]
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        LD.load_code_table(spark, str(tmp_path / "codes"), "equip_type_name", "equip_type_id",
+                           schema="equip_type_name string, equip_type_id int").collect()
     skipped = LD.load_code_table(spark, str(tmp_path / "codes"), "a", "b", skip_header=True)
     assert skipped.count() == 2
 
@@ -91,3 +136,15 @@ def test_equipment_schedule_missing_record_table_fails(spark, tmp_path):
     _write(tmp_path / "site" / "s.csv", "1,North\n")
     with pytest.raises(AnalysisException):
         LD.load_equipment_schedule(spark, str(tmp_path))
+
+
+def test_template_in_several_files_needs_line_numbers(spark, tmp_path):
+    _write(tmp_path / "FRmapping.csv", "id,name,FP,PL,CF\nMA1002,Bank,F1,,\n")
+    head = "FR,caption,数据来源,Direction,add0i,add1i,add2i,add3i,add0o,add1o,add2o,add3o\n"
+    folder = tmp_path / "Financial Reports.csv"
+    _write(folder / "a.csv", head + "FP,Cash,F1,1,,,,,,,,\n")
+    one = LD.load_report_format(spark, str(tmp_path), label_col="caption")
+    assert [(r["line_no"], r["line_name"]) for r in one.template.collect()] == [(1, "Cash")]
+    _write(folder / "b.csv", head + "FP,Total,,1,,,,,,,,\n")
+    with pytest.raises(ValueError):
+        LD.load_report_format(spark, str(tmp_path), label_col="caption")

@@ -5,9 +5,10 @@ import pytest
 import __spark_entry__ as E
 from compare import compare, duck_connect
 from conftest import SF_SMALL
+from hirebook.plans.catalog import QUERIES
+from hirebook.plans.oracle import oracle_sql
 
-QUERIES = E.queries()
-ORACLE = E.oracle_sql()
+ORACLE = oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -17,6 +18,7 @@ def con():
 
 def test_every_query_has_an_oracle():
     assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(E.queries()) and set(ORACLE) <= set(E.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))

@@ -8,10 +8,10 @@ import random
 import pandas as pd
 import pytest
 
-import __spark_entry__ as E
 from conftest import SF_SMALL
 from hirebook.operators import integrity as I
 from hirebook.operators import rental as R
+from hirebook.plans.catalog import QUERIES
 from hirebook.sources.schemas import SCHEMAS
 
 
@@ -22,9 +22,9 @@ def plan_text(df) -> str:
     return buf.getvalue()
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_no_cartesian_nested_loop_python_or_unreduced_single_partition(spark, name):
-    text = plan_text(E.queries()[name](spark, SF_SMALL))
+    text = plan_text(QUERIES[name](spark, SF_SMALL))
     assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
     assert "EvalPython" not in text                      # no Python UDFs in any plan
     lines = text.splitlines()
@@ -54,7 +54,7 @@ def skewed(spark):
         q = 1 if hot else 2 + rnd.randrange(400)
         site = f"S{rnd.randrange(2)}"
         t = rnd.choice(["A", "B"])
-        rows.append((q, q * 10, site, 1 if t == "A" else 2, t, day0 + dt.timedelta(days=rnd.randrange(120)),
+        rows.append((q, q * 10, site, 1 if t == "A" else 2, t, dt.datetime.combine(day0 + dt.timedelta(days=rnd.randrange(120)), dt.time()),
                      rnd.randrange(1, 5), rnd.choice([1, 1, -1])))
     return rows
 
@@ -65,6 +65,7 @@ def test_skewed_machine_days_match_bruteforce(spark, skewed):
     got = {(r["q_id"], r["equip_type_name"]): r[R.PERIOD_DAYS]
            for r in R.machine_days_summary(R.machine_days(df, start, end)).collect()}
     p = pd.DataFrame(skewed, columns=[c.split()[0] for c in SCHEMAS["relocation"].split(", ")])
+    p["date"] = p["date"].map(lambda x: x.date())
     p["bf"] = p["date"].map(lambda x: max((start - x).days, 0)) * p["quantity"]
     p["cf"] = p["date"].map(lambda x: max((end - x).days, 0)) * p["quantity"]
     want = p.groupby(["q_id", "equip_type_name"]).apply(lambda g: g["cf"].sum() - g["bf"].sum(),
@@ -89,13 +90,95 @@ def test_skewed_running_stock_matches_bruteforce(spark, skewed):
     assert first == min(k[3] for k in want)
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_first_aggregate_over_the_data_is_hash_based(spark, name):
     """min() of a string would make an aggregate sort-based; the big first
     aggregate must stay a hash aggregate (the name is grouped first)."""
-    text = plan_text(E.queries()[name](spark, SF_SMALL))
+    text = plan_text(QUERIES[name](spark, SF_SMALL))
     aggs = [m for m in ("HashAggregate(", "SortAggregate(", "ObjectHashAggregate(") if m in text]
     if not aggs:
         return
     last = max(("HashAggregate(", "SortAggregate(", "ObjectHashAggregate("), key=lambda m: text.rfind(m))
     assert last != "SortAggregate(", text
+
+
+# -- what a plan must have: pruned scans, few exchanges, nothing run or written early
+def final_plan(df) -> str:
+    df.write.format("noop").mode("overwrite").save()
+    return df._jdf.queryExecution().toString()
+
+
+@pytest.mark.parametrize("name", ["compile_fp", "compile_pl", "compile_cf", "compile_months", "balance_at", "pl_for", "cash_flow"])
+def test_date_range_reaches_the_scans(spark, name):
+    text = plan_text(QUERIES[name](spark, SF_SMALL))
+    scans = [x for x in text.splitlines() if "FileScan parquet" in x and ("amount" in x or "debit" in x) and "date#" in x]
+    assert scans
+    for x in scans:
+        pushed = x[x.index("PushedFilters"):]
+        assert "GreaterThan(date," in pushed and "LessThanOrEqual(date," in pushed, x
+
+
+@pytest.mark.parametrize("name,most", [("bank_vat", 1), ("bank_total", 1)])
+def test_totals_take_one_exchange(spark, name, most):
+    text = plan_text(QUERIES[name](spark, SF_SMALL))
+    assert text.count("Exchange") == most and "SinglePartition" in text
+
+
+def test_building_reports_runs_and_writes_nothing(spark, book, tmp_path):
+    import os
+
+    from hirebook.params import TEST_PARAMS
+    from hirebook.plans.catalog import ledger_tables, rent_tables, report_format
+    from hirebook.operators import profitability as PR
+    from hirebook.operators import statements as ST
+    from hirebook.plans.views import register_views
+    from hirebook.session import ensure_checkpoint_dir
+
+    tables = ledger_tables(book), report_format(book), rent_tables(book)
+    for name in book.NAMES:  # Spark reads the sources' footers once
+        book.table(name).schema
+    root = ensure_checkpoint_dir(spark).removeprefix("file:")
+    before = {d for d, _, _ in os.walk(root)}
+    spark.sparkContext.setJobGroup("plan-only", "no job may start here")
+    P = TEST_PARAMS
+    PR.client_profitability(PR.contract_profitability(tables[2], book.equip_dailycost, P.start, P.end)).schema
+    R.accrued_revenue(tables[2], P.start, P.end).schema
+    ST.compile_all(spark, *tables[:2], P.bf_date, "1996-12-31", 3, "Q").schema
+    register_views(book, P)
+    assert list(spark.sparkContext.statusTracker().getJobIdsForGroup("plan-only")) == []
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert {d for d, _, _ in os.walk(root)} == before
+    spark.catalog.clearCache()
+
+
+def test_thousand_days_stay_linear(spark, book):
+    from hirebook.operators import statements as ST
+
+    ends = ST.period_ends("1994-01-01", 1000, "D")
+    plan = ST.CompilePlan.build("1993-12-31", ends)
+    assert len(plan.boundaries) == 1002 and len(ends) == 1001
+    # one small literal array a kind, no table of (period, bucket) pairs
+    days = spark.createDataFrame([(e,) for e in ends[::97]], "date date").select("date", plan.bucket(R.F.col("date")).alias("b"))
+    assert [(r["date"], r["b"]) for r in days.collect()] == [(e, i * 97 + 1) for i, e in enumerate(ends[::97])]
+
+
+def test_a_client_with_most_contracts_comes_first_in_the_join(spark):
+    from hirebook.operators import recovery as RC
+
+    rows = [(i, 1 if i % 3 else 2, dt.datetime(1996, 5, 1), 1.0, 0.0, 1.0) for i in range(3000)]
+    inv = spark.createDataFrame(rows, SCHEMAS["invoice"])
+    bank = spark.createDataFrame([], SCHEMAS["bankstatement"])
+    bf = spark.createDataFrame([(1, 10.0), (2, None), (3, 5.0)], "ep_id bigint, amount double")
+    out = RC.client_opening_at(bf, bank, inv, "MA1122", "1995-12-31", "1996-12-31")
+    got = out.groupBy("ep_id").agg(R.F.count("*"), R.F.sum("cutdateamount")).collect()
+    assert sorted(tuple(r) for r in got) == [(1, 2000, 22000.0), (2, 1000, 1000.0), (3, 1, 5.0)]
+
+
+def test_several_names_do_not_multiply_contracts(spark):
+    from hirebook.operators import recovery as RC
+
+    day = dt.datetime(1997, 3, 1)
+    bank = spark.createDataFrame([(day, "MA1122", "AR", 1, n, 5.0, 0.0, None, 1, 1) for n in ("b", "a", "c")], SCHEMAS["bankstatement"])
+    inv = spark.createDataFrame([(q, 1, day, 1.0, 0.0, 1.0) for q in range(4)], SCHEMAS["invoice"])
+    got = RC.client_clearing(bank, inv, "MA1122", "1996-12-31", "1997-12-31").collect()
+    assert [tuple(r) for r in got] == [(1, "a", 15.0, 1.0)] * 4

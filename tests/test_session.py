@@ -1,6 +1,6 @@
 """Session helpers: cluster sizing profile, session id."""
 
-from hirebook.session import CLUSTER_CONF, cluster_conf_for, session_id
+from hirebook.session import CLUSTER_CONF, cluster_conf_for, ensure_checkpoint_dir, session_conf, session_id
 
 
 def test_cluster_profile_applies_sql_settings(spark):
@@ -19,3 +19,30 @@ def test_cluster_profile_applies_sql_settings(spark):
 
 def test_session_id_is_stable(spark):
     assert session_id(spark) == session_id(spark) and session_id(spark)
+
+
+def test_the_launcher_keeps_its_master_and_partitions(monkeypatch):
+    import pyspark
+    given = set()
+    monkeypatch.setattr(pyspark, "SparkConf", lambda: type("Conf", (), {"contains": lambda self, k: k in given})())
+    local, cluster = session_conf("local[4]", 12), session_conf(None, 12)
+    assert local["spark.sql.shuffle.partitions"] == "12"
+    assert cluster["spark.sql.shuffle.partitions"] == CLUSTER_CONF["spark.sql.shuffle.partitions"]
+    given.add("spark.sql.shuffle.partitions")
+    rest = session_conf(None, 12)
+    assert "spark.sql.shuffle.partitions" not in rest and "spark.sql.files.maxPartitionBytes" in rest
+    assert session_conf(None, extra={"spark.sql.shuffle.partitions": "5"})["spark.sql.shuffle.partitions"] == "5"
+
+
+def test_no_private_folder_on_a_cluster():
+    class Context:
+        master = "spark://host:7077"
+        getCheckpointDir = staticmethod(lambda: None)
+
+    class Session:
+        sparkContext = Context()
+        conf = type("Conf", (), {"get": staticmethod(lambda k, d=None: d)})()
+
+    import pytest
+    with pytest.raises(RuntimeError):
+        ensure_checkpoint_dir(Session())

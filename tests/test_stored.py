@@ -1,7 +1,7 @@
 """The stored business tables: built lazily, dependents from stored parents."""
 
 from conftest import SF_SMALL
-from hirebook.sources.fixtures import Book, StoredBook
+from hirebook.sources.fixtures import Book, StoredBook, stored_book
 
 
 def test_only_touched_tables_are_built(spark):
@@ -31,11 +31,24 @@ def test_concurrent_requests_build_a_table_once(spark):
 
 def test_scratch_outputs_live_under_the_checkpoint_folder(spark):
     from hirebook.operators import rental as R
-    from hirebook.session import ensure_checkpoint_dir, scratch_path
+    from hirebook.session import ensure_checkpoint_dir, scratch_path, session_id
     root = ensure_checkpoint_dir(spark).rstrip("/")
-    assert scratch_path(spark, "x").startswith(root + "/hirebook-x-")
+    own = f"{root}/hirebook-{session_id(spark)}"
+    assert scratch_path(spark, "x").startswith(own + "/x-")
     sb = StoredBook(spark, SF_SMALL)
-    assert sb._root.startswith(root + "/hirebook-book-")
+    assert sb._root.startswith(own + "/book-")
     s = R.shared_summary(sb.relocation, "1996-12-31", "1997-12-31")
     assert all(f.startswith(root) or f.startswith(root.replace("file:", "file://"))
                for f in s.inputFiles())
+    s.unpersist()
+
+
+def test_a_changed_source_is_derived_anew(spark, tmp_path):
+    import os
+    import shutil
+    d = tmp_path / "sf"
+    shutil.copytree(SF_SMALL, d)
+    first = stored_book(spark, str(d))
+    assert stored_book(spark, str(d)) is first
+    os.utime(d / "part.parquet", (1, 1))
+    assert stored_book(spark, str(d)) is not first
