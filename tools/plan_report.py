@@ -20,7 +20,7 @@ from collections import Counter
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, ROOT)
 
-import __spark_entry__ as E  # noqa: E402
+from hirebook.plans.catalog import QUERIES  # noqa: E402
 from hirebook.session import build_session  # noqa: E402
 
 JOINS = ("BroadcastHashJoin", "SortMergeJoin", "ShuffledHashJoin", "BroadcastNestedLoopJoin", "CartesianProduct")
@@ -36,7 +36,7 @@ def final_plan(df) -> str:
 
 
 def summarise(text: str) -> dict:
-    scans = Counter(re.sub(r"hirebook-([a-z-]+)-[0-9a-f]{12}", r"\1", "/".join(m.rstrip("/").split("/")[-2:]))
+    scans = Counter(re.sub(r"\b([a-z-]+)-[0-9a-f]{12}", r"\1", "/".join(m.rstrip("/").split("/")[-2:]))
                     .replace(".parquet", "").replace("book/", "")
                     for m in re.findall(r"Location: InMemoryFileIndex\(\d+ paths\)\[file:([^,\]]+)", text))
     joins = Counter(j for j in JOINS for _ in re.findall(rf"\b{j}\b", text))
@@ -89,7 +89,7 @@ def main(argv):
     print("checks by design.\n")
     print("| query | scans | shuffles | reused | joins |")
     print("|---|---|---|---|---|")
-    for name, fn in E.queries().items():
+    for name, fn in QUERIES.items():
         s = summarise(final_plan(fn(spark, sf)))
         scans = ", ".join(f"{k} {v}" for k, v in sorted(s["scans"].items()))
         joins = ", ".join(f"{k.replace('Join', '')} {v}" for k, v in sorted(s["joins"].items()))
@@ -98,7 +98,7 @@ def main(argv):
     print("Initial physical plans (`explain(\"formatted\")`): each scan's pushed filters and read schema,")
     print("and the partial/final aggregates around each exchange.")
     for name in APPENDIX:
-        appendix(name, formatted(E.queries()[name](spark, sf)))
+        appendix(name, formatted(QUERIES[name](spark, sf)))
 
 
 if __name__ == "__main__":
