@@ -81,7 +81,7 @@ def main(argv):
     print("Generated by `tools/plan_report.py`. `scans`: parquet scans per stored table in the final")
     print("adaptive plan (stored business tables, see README); `shuffles`: hash/range exchanges;")
     print("`reused`: exchanges served from an earlier stage; `joins`: strategies AQE settled on.\n")
-    print("Notes: `machine-days` is the summary written once per report that reads it several times")
+    print("Notes: the machine-day summary of a report that reads it several times is kept in memory")
     print("(README, reused intermediate). `vq` is read once per pricing type in the rent reports, each")
     print("scan with its own pushed-down type filter: one shared scan would push every quotation row")
     print("through all four joins, more shuffle than three filtered scans. Two scans of a table with")
