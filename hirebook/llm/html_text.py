@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import html as entities
 import re
+from collections import Counter
 from dataclasses import dataclass, field
 
 import pyarrow as pa
@@ -50,6 +51,7 @@ BOILERPLATE = frozenset("""ad ads advert adverts advertisement advertising adsen
     hidden""".split())
 ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog form menu menubar toolbar".split())
 CONTENT = frozenset("article articles body content entry main page post story text".split())
+MAX_DEPTH = 512  # containers further down belong to the one at this depth
 
 
 @dataclass
@@ -104,13 +106,18 @@ def _step(tag: str, attrs: dict[str, str]) -> str:
 
 
 def read(html: str | None) -> Page:
-    """Read a page; broken markup is read as far as it goes."""
+    """Read a page; broken markup is read as far as it goes.
+
+    All text is read however deep it is nested; equal paths are one string,
+    so a page that never closes its elements costs no more than its length.
+    """
     html = html or ""
     page = Page([], [Container(-1, "body", 0, False, 0)])
     blocks, containers = page.blocks, page.containers
     # open elements: tag, container, whether left out, whether inside an article
     stack = [("html", 0, False, False)]
     words, links, a_depth = [], 0, 0
+    opened, paths = Counter(), {}  # open elements by tag; paths by parent's path and step
 
     def flush():
         nonlocal links
@@ -133,6 +140,7 @@ def read(html: str | None) -> Page:
             if tag == "a" and a_depth:
                 a_depth -= 1
             stack.pop()
+            opened[tag] -= 1
             if stack[-1][1] != c:
                 containers[c].last = len(blocks)
 
@@ -156,13 +164,10 @@ def read(html: str | None) -> Page:
         if not tag:
             continue
         if m["end"] or m["end2"]:
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i][0] == tag:
-                    close(i)
-                    break
-            else:
-                if tag in BLOCKS and not stack[-1][2]:
-                    flush()
+            if opened[tag]:
+                close(next(i for i in range(len(stack) - 1, 0, -1) if stack[i][0] == tag))
+            elif tag in BLOCKS and not stack[-1][2]:
+                flush()
             continue
         raw = m["attrs"] if m["tag"] else m["attrs2"]
         if tag in RAW:
@@ -179,21 +184,18 @@ def read(html: str | None) -> Page:
             continue
         if tag == "html":
             continue
-        if tag not in IN_HEAD and tag != "head":
-            for i in range(1, len(stack)):
-                if stack[i][0] == "head":
-                    close(i)
-                    break
+        if opened["head"] and tag not in IN_HEAD and tag != "head":
+            close(next(i for i in range(1, len(stack)) if stack[i][0] == "head"))
         if tag == "body":
             continue
-        if tag in CLOSE_P:
+        if opened["p"] and tag in CLOSE_P:
             for i in range(len(stack) - 1, 0, -1):
                 if stack[i][0] == "p":
                     close(i)
                     break
                 if stack[i][0] in ("td", "th", "table", "button", "object", "caption"):
                     break
-        if tag in SIBLINGS:
+        if tag in SIBLINGS and any(opened[t] for t in SIBLINGS[tag][0]):
             these, scope = SIBLINGS[tag]
             lowest = None
             for i in range(len(stack) - 1, 0, -1):
@@ -211,13 +213,15 @@ def read(html: str | None) -> Page:
             out = _boilerplate(tag, attrs, inside)
             if out:
                 words.append(" ")
-            elif tag in CONTAINERS:
-                up = containers[c]
+            elif tag in CONTAINERS and containers[c].depth < MAX_DEPTH:
+                up, step = containers[c], _step(tag, attrs)
+                path = paths.setdefault((up.path, step), f"{up.path}>{step}")
                 named = tag in ("article", "main") or attrs.get("role", "").lower() == "main" or bool(_names(attrs) & CONTENT)
-                containers.append(Container(c, f"{up.path}>{_step(tag, attrs)}", up.depth + 1, named, len(blocks)))
+                containers.append(Container(c, path, up.depth + 1, named, len(blocks)))
                 c = len(containers) - 1
             if tag == "a":
                 a_depth += 1
+        opened[tag] += 1
         stack.append((tag, c, out, inside or tag in ("article", "main")))
     close(1)
     flush()

@@ -35,6 +35,10 @@ def test_paths_are_generalised():
 
 def test_deep_and_long_pages():
     assert one("<div>" * 3000 + "<p>x</p>") == "x"
+    never_closed = H.read("<div class=wrap>x " * 100000)
+    assert len(never_closed.blocks) == 100000 and len({id(c.path) for c in never_closed.containers}) == H.MAX_DEPTH + 1
+    closed = H.read("<body>" + "<div><p>a</p>" * 1000 + "<p>z</p>" + "</div>" * 1000 + "<footer>f</footer>")
+    assert closed.blocks == ["a"] * 1000 + ["z"]
     assert one("<article>" + "<p>word</p>" * 50000 + "</article>").count("\n") == 49999
 
 
