@@ -2,9 +2,10 @@
 
 The writer makes one gzip member a record and stores them with Spark's own
 text sink (its commit protocol makes retried tasks harmless, on any store).
-That sink ends a row with a separator; here the separator is the zero byte
-that ends every member: gzip's last field is the length of the data, and a
-member of 16 MiB or more is followed by an empty one, whose length is zero.
+A row of that sink is a whole archive, bounded in records and in bytes.  The
+sink ends a row with a separator; here the separator is the zero byte that
+ends every member: gzip's last field is the length of the data, and a member
+of 16 MiB or more is followed by an empty one, whose length is zero.
 
 The reader gets whole archives from Spark's binaryFile source and walks their
 members and version lines.  Each record passes checks: member checksum,
@@ -40,6 +41,11 @@ def digest(data: bytes) -> str:
     return base64.b32encode(hashlib.sha1(data).digest()).decode()
 
 
+def _plain(value: str) -> str:
+    """A header value; characters that would end it or its brackets are percent-encoded."""
+    return re.sub(r"[\x00-\x1f\x7f<>]", lambda m: f"%{ord(m[0]):02X}", value)
+
+
 def build(record_id: str, url: str | None, payload: bytes, payload_digest: str, refers_to: str | None = None) -> bytes:
     """One response record, or a revisit of ``refers_to`` without the payload.
 
@@ -47,11 +53,11 @@ def build(record_id: str, url: str | None, payload: bytes, payload_digest: str,
     Content-Length still tells the payload's size.
     """
     block = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: %d\r\n\r\n" % len(payload)
-    lines = ["WARC/1.1", f"WARC-Type: {'revisit' if refers_to else 'response'}", f"WARC-Record-ID: <{record_id}>", f"WARC-Date: {DATE}"]
+    lines = ["WARC/1.1", f"WARC-Type: {'revisit' if refers_to else 'response'}", f"WARC-Record-ID: <{_plain(record_id)}>", f"WARC-Date: {DATE}"]
     if url:
-        lines.append("WARC-Target-URI: " + re.sub(r"[\x00-\x1f\x7f]", lambda m: f"%{ord(m[0]):02X}", url))
+        lines.append("WARC-Target-URI: " + _plain(url))
     if refers_to:
-        lines += [f"WARC-Profile: {SAME_PAYLOAD}", f"WARC-Refers-To: <{refers_to}>"]
+        lines += [f"WARC-Profile: {SAME_PAYLOAD}", f"WARC-Refers-To: <{_plain(refers_to)}>"]
     else:
         block += payload
     lines += [f"WARC-Payload-Digest: sha1:{payload_digest}", f"WARC-Block-Digest: sha1:{digest(block)}",
@@ -75,9 +81,9 @@ def record_id(ident: Column) -> Column:
 
 
 def write_pages(pages: DataFrame, path: str, id_col: str = "page_id", url_col: str = "url", html_col: str = "html",
-                least: int = 0, per_file: int = 2000) -> None:
-    """Write a record per row of ``pages`` into archives of at most
-    ``per_file`` records under ``path``.
+                least: int = 0, per_file: int = 2000, file_bytes: int = 1 << 25) -> None:
+    """Write a record per row of ``pages`` into archives under ``path``; one
+    is full with ``per_file`` records or once it has ``file_bytes`` bytes.
 
     Of rows with equal payloads of at least ``least`` bytes those with the
     smallest id are responses and the others revisit it; rows with smaller
@@ -93,17 +99,25 @@ def write_pages(pages: DataFrame, path: str, id_col: str = "page_id", url_col: s
     src = rows.select(record_id(F.col("id")).alias("rid"), "url", "payload", "sha1",
                       F.when(revisit, record_id(F.col("first"))).alias("refers"))
 
+    def archive(members):
+        whole = b"".join(members)[:-1]  # the sink adds the last byte
+        return pa.RecordBatch.from_arrays([pa.array([whole], pa.binary())], ["archive"])
+
     def run(batches):
+        members, held = [], 0
         for b in batches:
             for at in range(0, b.num_rows, 64):
-                out = []
                 for rid, url, data, sha1, refers in zip(*(c.to_pylist() for c in b.slice(at, 64).columns)):
-                    m = member(build(rid, url, data, base64.b32encode(sha1).decode(), refers))
-                    out.append(m[:-1])  # the sink adds the last byte
-                yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], ["member"])
+                    members.append(member(build(rid, url, data, base64.b32encode(sha1).decode(), refers)))
+                    held += len(members[-1])
+                    if len(members) >= per_file or held >= file_bytes:
+                        yield archive(members)
+                        members, held = [], 0
+        if members:
+            yield archive(members)
 
-    (src.mapInArrow(run, "member binary").select(F.col("member").cast("string").alias("value"))
-     .write.option("lineSep", "\0").option("maxRecordsPerFile", per_file).text(path))
+    (src.mapInArrow(run, "archive binary").select(F.col("archive").cast("string").alias("value"))
+     .write.option("lineSep", "\0").option("maxRecordsPerFile", 1).text(path))
 
 
 class Bad(Exception):
@@ -128,10 +142,15 @@ def _headers(lines: bytes) -> dict[str, str]:
 
 def parse(data: memoryview | bytes) -> tuple[dict, int]:
     """The record at the start of ``data`` and its length; ``Bad`` if a check fails."""
-    head = bytes(data[:1 << 16])
+    width = 1 << 16
+    head = bytes(data[:width])
     if not VERSION.match(head):
         raise Bad("version line")
     end = head.find(b"\r\n\r\n")
+    while end < 0 and width < len(data):  # a long header, a URL for instance
+        width *= 4
+        head = bytes(data[:width])
+        end = head.find(b"\r\n\r\n")
     if end < 0:
         raise Bad("headers don't end")
     h = _headers(head[head.index(b"\r\n") + 2:end])

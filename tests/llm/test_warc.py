@@ -2,6 +2,7 @@ import gzip
 import os
 
 import pytest
+from pyspark.sql import functions as F
 
 from hirebook.llm import warc as W
 from hirebook.llm.catalog import QUERIES
@@ -103,6 +104,25 @@ def test_round_trip_through_spark(spark):
     assert W.gaps(hurt).count() == 1
 
 
+def test_long_headers_and_odd_ids():
+    url = "http://a/" + "x" * 300000
+    r = W.build("urn:x-page:<a>\r\n", url, b"text", W.digest(b"text"))
+    found, n = W.parse(r + b"WARC")
+    assert n == len(r) and found["target_uri"] == url and found["record_id"] == "urn:x-page:%3Ca%3E%0D%0A"
+
+
+def test_archives_are_bounded(spark):
+    rows = [(i, "http://a", "%d " % i * 40) for i in range(90)] + [(100 + i, "http://a", os.urandom(150000).hex()) for i in range(6)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1)
+    for per_file, file_bytes in ((20, 1 << 25), (2000, 250000)):
+        path = scratch_path(spark, "warc-test")
+        W.write_pages(pages, path, per_file=per_file, file_bytes=file_bytes)
+        read = W.read_archives(spark, path, with_payload=False)
+        per = read.groupBy("file").agg(F.count("*").alias("n"), F.sum("length").alias("bytes"), F.max("length").alias("most")).collect()
+        assert W.gaps(read).count() == 0 and sum(r.n for r in per) == len(rows)
+        assert all(r.n <= per_file and r.bytes < file_bytes + r.most for r in per) and len(per) >= 4
+
+
 def test_small_payloads_are_responses(spark):
     pages = spark.createDataFrame([(1, "u", "ab"), (2, "u", "ab"), (3, "u", "abcd"), (4, "u", "abcd")], "page_id long, url string, html string")
     path = scratch_path(spark, "warc-test")
