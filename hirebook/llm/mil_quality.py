@@ -8,7 +8,9 @@ weighted sum is scored by a logistic output.  Only documents have labels; all
 weights are learned from them together, by Adam with gradients written out.
 
 The fit uses at most ``per_label`` documents of each label, those with the
-smallest hashes of their id; scoring covers every passage of every document.
+smallest hashes of their id, and of a longer one ``per_doc`` passages spread
+evenly over its text, so what the driver holds is bounded.  Scoring covers
+every passage of every document.
 """
 
 from __future__ import annotations
@@ -106,7 +108,7 @@ def fit(bags: list[np.ndarray], labels: np.ndarray, hidden: int = 24, gate: int
         for at in range(0, len(order), batch):
             pick = order[at:at + batch]
             size = np.array([len(bags[i]) for i in pick])
-            grads = _gradients(m, np.concatenate([bags[i] for i in pick]), np.cumsum(size) - size, y[pick])
+            grads = _gradients(m, np.concatenate([bags[i] for i in pick]).astype(np.float32), np.cumsum(size) - size, y[pick])
             step += 1
             lr = rate * (1 - epoch / epochs) * np.sqrt(1 - 0.999**step) / (1 - 0.9**step)
             for p, g, f, q in zip(m.parts(), grads, first, second):
@@ -125,8 +127,13 @@ def sample_labels(labels: DataFrame, per_label: int, id_col: str, label_col: str
     return one.where("_y = 0").orderBy(*order).limit(per_label).union(one.where("_y = 1").orderBy(*order).limit(per_label))
 
 
+def spread(x: np.ndarray, most: int) -> np.ndarray:
+    """At most ``most`` rows of ``x``, at even distances from first to last."""
+    return x if len(x) <= most else x[np.linspace(0, len(x) - 1, most).astype(np.int64)]
+
+
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality",
-          per_label: int = 1200, **settings) -> Model:
+          per_label: int = 1200, per_doc: int = 128, **settings) -> Model:
     """Fit on the sampled documents.  ``labels`` holds the rows to learn from
     (leave held-out ones out).  Documents without a label aren't read further;
     of rows that repeat an id, the one with the least text counts."""
@@ -138,12 +145,12 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     def run(batches):
         for b in batches:
             for i, y, t in zip(*(b.column(k).to_pylist() for k in range(3))):
-                x = encode(t)
+                x = spread(encode(t), per_doc)
                 yield pa.RecordBatch.from_arrays([pa.array([str(i)]), pa.array([y], pa.int32()),
                                                   pa.array([x.astype(np.float16).tobytes()], pa.binary())], ["id", "y", "x"])
 
     got = sorted(src.mapInArrow(run, "id string, y int, x binary").collect())
-    bags = [np.frombuffer(r[2], np.float16).astype(np.float32).reshape(-1, WIDTH) for r in got]
+    bags = [np.frombuffer(r[2], np.float16).reshape(-1, WIDTH) for r in got]
     return fit(bags, np.array([r[1] for r in got]), **settings)
 
 

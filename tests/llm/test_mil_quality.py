@@ -51,6 +51,13 @@ def test_attention_finds_one_bad_passage():
     assert ((z >= 0) == np.array(y[300:], bool)).mean() > 0.95
 
 
+def test_long_training_documents_are_bounded():
+    x = np.arange(1000)[:, None]
+    assert Q.spread(x, 1000) is x and len(Q.spread(x, 1)) == 1
+    got = Q.spread(x, 128)[:, 0]
+    assert len(got) == 128 and got[0] == 0 and got[-1] == 999 and set(np.diff(got)) <= {7, 8}
+
+
 def test_held_out_accuracy(spark):
     from hirebook.llm.catalog import QUERIES
 
