@@ -12,11 +12,14 @@ from hirebook.llm import langid, warc
 from hirebook.llm.html_text import extract_pages
 from hirebook.llm.mil_quality import score, train
 from hirebook.llm.mixing import mixture
+from hirebook.llm.oracle import ORACLE_SQL
 from hirebook.llm.secret_ledger import RULES, findings, scan
 from hirebook.llm.simhash import simhash_components
 from hirebook.llm.vector_passes import near_vectors
 from hirebook.session import scratch_path
 
+__all__ = ["ORACLE_SQL", "QUERIES"]
+
 
 def _remainder(col: str, mod: int):
     return F.pmod(F.crc32(F.col(col).cast("string").cast("binary")), F.lit(mod))
@@ -101,10 +104,3 @@ def op10_bpe(spark, sf_dir):
 
 QUERIES = {f.__name__: f for f in (op1_warc, op2_secret_ledger, op3_langid, op4_vector_passes, op5_simhash_near_dedup, op6_exact_dedup,
                                    op7_html_text, op8_mixing, op9_mil_quality, op10_bpe)}
-
-ORACLE_SQL = {
-    "op6_exact_dedup": """
-        with t as (select doc_id, sha256(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')) as h from documents)
-        select doc_id, max(doc_id) over (partition by h) as keep_id, count(*) over (partition by h) as group_size,
-               doc_id = max(doc_id) over (partition by h) as kept, h as text_sha256 from t""",
-}
