@@ -16,7 +16,8 @@ from __future__ import annotations
 
 import html as entities
 import re
-from collections import Counter
+from bisect import bisect_right
+from collections import defaultdict
 from dataclasses import dataclass, field
 
 import pyarrow as pa
@@ -117,7 +118,7 @@ def read(html: str | None) -> Page:
     # open elements: tag, container, whether left out, whether inside an article
     stack = [("html", 0, False, False)]
     words, links, a_depth = [], 0, 0
-    opened, paths = Counter(), {}  # open elements by tag; paths by parent's path and step
+    where, paths = defaultdict(list), {}  # positions in the stack by tag; paths by parent's path and step
 
     def flush():
         nonlocal links
@@ -140,10 +141,13 @@ def read(html: str | None) -> Page:
             if tag == "a" and a_depth:
                 a_depth -= 1
             stack.pop()
-            opened[tag] -= 1
+            where[tag].pop()
             if stack[-1][1] != c:
                 containers[c].last = len(blocks)
 
+    def innermost(tags):
+        return max((where[t][-1] for t in tags if where[t]), default=0)
+
     def add(text):
         nonlocal links
         if text and not stack[-1][2]:
@@ -152,27 +156,29 @@ def read(html: str | None) -> Page:
             if a_depth:
                 links += len(text.strip())
 
-    at = 0
+    at, stop = 0, html.rfind(">") + 1  # no tag begins beyond the last >
     while True:
-        m = TOKEN.search(html, at)
+        m = TOKEN.search(html, at, stop)
         if not m:
-            add(html[at:])
+            add(html[at:].partition("<!--")[0])
             break
         add(html[at:m.start()])
         at = m.end()
         tag = (m["tag"] or m["tag2"] or "").lower()
         if not tag:
+            if m[0].startswith("<!--") and not m[0].endswith("-->"):
+                break
             continue
         if m["end"] or m["end2"]:
-            if opened[tag]:
-                close(next(i for i in range(len(stack) - 1, 0, -1) if stack[i][0] == tag))
+            if where[tag]:
+                close(where[tag][-1])
             elif tag in BLOCKS and not stack[-1][2]:
                 flush()
             continue
         raw = m["attrs"] if m["tag"] else m["attrs2"]
         if tag in RAW:
-            end = re.compile(f"</{re.escape(tag)}(?=[\\s/>])[^>]*>?", re.I).search(html, at)
             if not raw.endswith("/") or tag in ("script", "style", "title", "textarea"):
+                end = re.compile(f"</{re.escape(tag)}(?=[\\s/>])[^>]*>?", re.I).search(html, at)
                 at = end.end() if end else len(html)
             continue
         if tag in VOID:
@@ -184,27 +190,18 @@ def read(html: str | None) -> Page:
             continue
         if tag == "html":
             continue
-        if opened["head"] and tag not in IN_HEAD and tag != "head":
-            close(next(i for i in range(1, len(stack)) if stack[i][0] == "head"))
+        if where["head"] and tag not in IN_HEAD and tag != "head":
+            close(where["head"][0])
         if tag == "body":
             continue
-        if opened["p"] and tag in CLOSE_P:
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i][0] == "p":
-                    close(i)
-                    break
-                if stack[i][0] in ("td", "th", "table", "button", "object", "caption"):
-                    break
-        if tag in SIBLINGS and any(opened[t] for t in SIBLINGS[tag][0]):
+        if tag in CLOSE_P and innermost(("p",)) > innermost(("td", "th", "table", "button", "object", "caption")):
+            close(where["p"][-1])
+        if tag in SIBLINGS:
             these, scope = SIBLINGS[tag]
-            lowest = None
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i][0] in scope:
-                    break
-                if stack[i][0] in these:
-                    lowest = i
-            if lowest is not None:
-                close(lowest)
+            outer = innermost(scope)
+            begun = [where[t][bisect_right(where[t], outer)] for t in these if where[t] and where[t][-1] > outer]
+            if begun:
+                close(min(begun))
         _, c, out, inside = stack[-1]
         attrs = _attributes(raw)
         if not out:
@@ -221,7 +218,7 @@ def read(html: str | None) -> Page:
                 c = len(containers) - 1
             if tag == "a":
                 a_depth += 1
-        opened[tag] += 1
+        where[tag].append(len(stack))
         stack.append((tag, c, out, inside or tag in ("article", "main")))
     close(1)
     flush()

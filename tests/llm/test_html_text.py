@@ -1,5 +1,6 @@
 import html
 import re
+import time
 
 import pytest
 
@@ -69,3 +70,18 @@ def test_table_against_a_plain_reading(spark):
         blocks = [" ".join(html.unescape(re.sub(r"<[^>]*>", "", b.replace("<br>", " "))).split()) for b in re.split(r"</?(?:p|h1)>", body)]
         assert got[r.page_id].text == "\n".join(b for b in blocks if b)
         assert got[r.page_id].n_chars == len(got[r.page_id].text) and got[r.page_id].url == r.url
+
+
+@pytest.mark.parametrize("page", [
+    "<ul><li><ol>" + "<span>" * 20000 + "<li>x" * 20000, "<p><button>" + "<div>" * 60000, "text <p>x</p> " + "<a " * 60000,
+    "<p>x" + "<a b='" * 60000, "<p>x" + "<svg/>" * 60000, "<p>x<!-- " + "<b> " * 60000])
+def test_broken_markup_takes_time_of_its_length(page):
+    began = time.process_time()
+    H.extract(H.read(page), None)
+    assert time.process_time() - began < 10
+
+
+def test_unfinished_markup_at_the_end():
+    assert one("<p>one</p><p>two <!-- never > closed <p>x") == "one\ntwo"
+    assert one("<p>one</p>two <!-- never closed") == "one\ntwo"
+    assert one("<p>a</p>b < c <d") == "a\nb < c <d"
