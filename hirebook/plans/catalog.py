@@ -9,6 +9,7 @@ amounts to cents once, at the output. ``hirebook.plans.oracle`` holds the matchi
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,6 +25,8 @@ from hirebook.operators import recovery as RC
 from hirebook.operators import rental as R
 from hirebook.operators import statements as ST
 from hirebook.params import TEST_PARAMS as P
+from hirebook.plans.views import balance_views, create_views, pl_views
+from hirebook.reports import Reports
 from hirebook.session import scratch_path
 from hirebook.sources import loaders as LD
 from hirebook.sources.fixtures import Book, stored_book
@@ -31,6 +34,7 @@ from hirebook.sources.schemas import SCHEMAS
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
+DEFAULTS_START, DEFAULTS_END = "1997-06-30", "1997-03-31"
 
 
 def present(df: DataFrame) -> DataFrame:
@@ -484,6 +488,28 @@ def _codedef_load(b):
     return _keys(LD.load_equipment_schedule(b.spark, path, types, target=f"{path}/loaded"))
 
 
+# -- views and dates (S8, S9) ------------------------------------------------------
+@query("named_views")
+def _named_views(b):
+    """Balance sheets at two dates and the P&L between them as named views
+    of the caller, put next to each other in SQL."""
+    create_views({**balance_views(b, P, "opening", P.start), **balance_views(b, P, "closing", P.end),
+                  **pl_views(b, "year", P.start, P.end)}, ["balance_at_opening", "balance_at_closing", "duringyear"])
+    return b.spark.sql("""SELECT c.ma_account_id, c.ma_account_name, o.Amount AS opening, d.Amount AS movement, c.Amount AS closing
+        FROM balance_at_closing c JOIN balance_at_opening o ON o.ma_account_id = c.ma_account_id
+        JOIN duringyear d ON d.ma_account_id = c.ma_account_id""")
+
+
+@query("default_dates")
+def _default_dates(b):
+    """Invoiced revenue with no date, only a start and only an end given;
+    what is missing comes from the parameters."""
+    r = Reports(b, P)
+    asked = {"none": {}, "start": {"start": DEFAULTS_START}, "end": {"end": DEFAULTS_END}}
+    parts = [r.invoiced_revenue(**dates).select(F.lit(given).alias("given"), "q_id", "Invoiced_Total") for given, dates in asked.items()]
+    return reduce(DataFrame.unionAll, parts)
+
+
 # one-line descriptions for the queries whose builders have no docstring
 DESCRIPTIONS = {
     "machine_days": "R1: machine days to the period start and end per relocation row.",

@@ -60,17 +60,13 @@ def report_views(b: Book, p: ReportParams, year: int | None = None,
         "client_Recovery_report": lambda: RC.client_recovery_by_client(
             b.external_parties, b.ep_bf, b.bankstatement, b.invoice, p.ar_code, p.bf_date, s, e),
         "Client_clearing": lambda: RC.client_clearing(b.bankstatement, b.invoice, p.ar_code, s, e),
-        "balance_at_frtemp": lambda: L.balance_at(b.chart_of_accounts, b.bankstatement, b.aje, b.account_bf,
-                                                  p.bf_date, e),
-        "duringpltemp": lambda: L.pl_for(b.chart_of_accounts, b.bankstatement, b.aje, s, e),
-        "CF_for_cftemp": lambda: L.cash_flow(b.bankstatement, s, e),
         f"client_per_{e.month:02d}": lambda: RC.client_opening_at(
             RC.client_opening_bf(b.external_parties, b.ep_bf, p.ar_code), b.bankstatement, b.invoice,
             p.ar_code, p.bf_date, s),
     }
-    # ledger intermediates of the balance sheet (frtemp) and P&L (pltemp)
-    for tag, lo in (("frtemp", p.bf_date), ("pltemp", s)):
-        views.update(_ledger_views(b, tag, lo, e))
+    views.update(balance_views(b, p, "frtemp", e))
+    views.update(pl_views(b, "pltemp", s, e))
+    views.update(cash_flow_views(b, "cftemp", s, e))
     if year is not None and month is not None:
         def month_rows():
             return W.payroll_month(b.payroll, b.worker_info, year, month)
@@ -87,6 +83,24 @@ def report_views(b: Book, p: ReportParams, year: int | None = None,
     return views
 
 
+def balance_views(b: Book, p: ReportParams, tag: str, cut) -> dict[str, Callable[[], DataFrame]]:
+    """Balance sheet at ``cut`` as ``balance_at_<tag>`` with the ledger
+    intermediates; another tag for another date, so several can coexist."""
+    return {f"balance_at_{tag}": lambda: L.balance_at(b.chart_of_accounts, b.bankstatement, b.aje, b.account_bf, p.bf_date, cut),
+            **_ledger_views(b, tag, p.bf_date, cut)}
+
+
+def pl_views(b: Book, tag: str, start, end) -> dict[str, Callable[[], DataFrame]]:
+    """P&L of a period as ``during<tag>`` with the ledger intermediates."""
+    return {f"during{tag}": lambda: L.pl_for(b.chart_of_accounts, b.bankstatement, b.aje, start, end),
+            **_ledger_views(b, tag, start, end)}
+
+
+def cash_flow_views(b: Book, tag: str, start, end) -> dict[str, Callable[[], DataFrame]]:
+    """Cash flow of a period as ``CF_for_<tag>``."""
+    return {f"CF_for_{tag}": lambda: L.cash_flow(b.bankstatement, start, end)}
+
+
 def _ledger_views(b: Book, tag: str, lo, hi) -> dict[str, Callable[[], DataFrame]]:
     bank = b.bankstatement
 
@@ -113,7 +127,11 @@ def register_tables(b: Book, names=None) -> None:
 def register_views(b: Book, p: ReportParams, names=None, year: int | None = None,
                    month: int | None = None) -> list[str]:
     """Create or replace the named report views; returns the names."""
-    views = report_views(b, p, year, month)
+    return create_views(report_views(b, p, year, month), names)
+
+
+def create_views(views: dict[str, Callable[[], DataFrame]], names=None) -> list[str]:
+    """Create or replace temp views of the builders; returns the names."""
     chosen = list(names or views)
     for name in chosen:
         views[name]().createOrReplaceTempView(name)
