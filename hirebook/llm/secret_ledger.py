@@ -67,11 +67,14 @@ _COMPILED: dict = {}
 def _compiled(rule: Rule):
     if rule not in _COMPILED:
         pattern = rule.pattern
-        if rule.group == 0 and re.fullmatch(r"(\w*)\[[^\]]+\]\+", pattern):
-            # runs of one class after fixed characters: a run that is too short
-            # holds no match that is long enough, so the length can be asked for at once
-            fixed = pattern.index("[")
-            pattern = f"{pattern[:-1]}{{{rule.least - fixed},}}"
+        run = re.fullmatch(r"(\w*)(\[[^\]]+\])\+", pattern) if rule.group == 0 else None
+        if run and len({bool(re.match(run[2], c)) for c in run[1]}) < 2:
+            # runs of one class after fixed characters, all or none of them of the
+            # class: a run that is too short holds no start of a match that is long
+            # enough, so the length can be asked for at once; the run has one
+            # character at least, whatever the rule asks for
+            fixed = len(run[1])
+            pattern = f"{pattern[:-1]}{{{max(1, rule.least - fixed)},}}"
         _COMPILED[rule] = re.compile(pattern)
     return _COMPILED[rule]
 

@@ -27,6 +27,19 @@ def test_spans(rule):
         assert L.find(t, rule) == plain(t, rule)
 
 
+@pytest.mark.parametrize("prefix,run", [("ghp_", "[A-Za-z0-9]+"), ("", "[0-9a-f]+"), ("aa", "[a-c]+")])
+@pytest.mark.parametrize("over", [None, -1, 0, 1, 2])
+def test_least_around_a_fixed_prefix(prefix, run, over):
+    least = 1 if over is None else max(0, len(prefix) + over)
+    rule = L.Rule("new", 1, prefix + run, least=least)
+    texts = ["x ghp_abcDEF0123 y", "ghp_", "ghp_ ghp_a ghp_ab", "aa", "aaa", "aab aa aabc aaaaa", "", "{-3,}", "ghp_[A-Za-z0-9]", "ghp_xghp_yy", "0", "0f 1"]
+    for t in texts:
+        assert L.find(t, rule) == plain(t, rule)
+    late = L.Rule("late", 1, r"ghp_[A-Za-z0-9]+", least=10)  # the first match takes the second one's start
+    assert L.find("ghp_xghp_yyyyyyy", late) == plain("ghp_xghp_yyyyyyy", late) == []
+    assert L.find("ghp_abc", L.Rule("github", 1, r"ghp_[A-Za-z0-9]+")) == [(0, 7)]
+
+
 def test_fixed_examples():
     assert L.find(f"é😀 secret={KEY}", L.ASSIGN) == [(3, 26)]
     assert L.find(f"secret=token:{KEY}", L.ASSIGN) == []
