@@ -12,9 +12,14 @@ spanning forest of its links, never all pairs.  Which vectors link directly is
 then counted exactly within each component, tile by tile, so a large
 component is neither gathered in one task nor expanded into pairs.
 
-The number of passes follows from the number of vectors: a pair at the
-threshold is missed with probability ``miss`` at most if the vectors in
-between are spread evenly (a component needs only one path of found pairs).
+The first passes are as many as evenly spread vectors need.  Then every
+vector's density is measured: in each pass, the depth of the prefix that it
+shares with fewer vectors than ``window``, and from it the probability that a
+neighbour at the threshold was out of the window in all passes.  Vectors for
+which this exceeds ``miss`` (those of a hot cluster, whose hashes agree) are
+dense: they get passes of their own until none is left, or are compared with
+each other exactly, tile by tile, once that costs no more than the passes that
+they still need.  A component needs only one path of found pairs.
 """
 
 from __future__ import annotations
@@ -39,6 +44,18 @@ def n_passes(n: int, threshold: float, window: int, miss: float) -> int:
     return 1 if agree >= 1 else math.ceil(math.log(miss) / math.log(1 - agree))
 
 
+def agreement(threshold: float) -> float:
+    """Probability that two vectors at the threshold agree on a hash."""
+    return 1 - math.acos(max(-1.0, min(1.0, threshold))) / math.pi
+
+
+def shared_bits(keys: np.ndarray, window: int) -> np.ndarray:
+    """Of sorted keys, how many first bits each shares with the one ``window`` further on."""
+    x = (keys[window:] ^ keys[:-window]).view(np.uint64)
+    high, low = (x >> np.uint64(32)).astype(np.float64), (x & np.uint64(0xFFFFFFFF)).astype(np.float64)
+    return np.where(high > 0, 32 - np.frexp(high)[1], 64 - np.frexp(low)[1]).astype(np.int32)
+
+
 def unit(values: list[np.ndarray]) -> np.ndarray:
     """Rows of length one, in double precision."""
     x = np.array(values, np.float64)
@@ -68,7 +85,7 @@ def _arrays(column) -> list[np.ndarray]:
     return [np.asarray(x, np.float64) for x in column]
 
 
-def _keyed(points: DataFrame, passes: int, seed: int) -> DataFrame:
+def _keyed(points: DataFrame, passes: range, seed: int) -> DataFrame:
     src = points.select("cid", "dim", "v")
 
     def run(batches):
@@ -81,7 +98,7 @@ def _keyed(points: DataFrame, passes: int, seed: int) -> DataFrame:
                     of = np.nonzero(dim == d)[0]
                     x = unit([values[i] for i in of])
                     raw = [row.tobytes() for row in x]
-                    for p in range(passes):
+                    for p in passes:
                         yield pa.RecordBatch.from_arrays(
                             [pa.array(np.full(len(of), p, np.int32)), pa.array(np.full(len(of), d, np.int32)),
                              pa.array(sort_keys(x, p, seed)), pa.array(cid[of]), pa.array(raw, pa.binary())], ["pass", "dim", "key", "cid", "x"])
@@ -106,14 +123,23 @@ def _ranked(keyed: DataFrame) -> DataFrame:
 
 
 def _links(ranked: DataFrame, threshold: float, window: int) -> DataFrame:
-    """Verified pairs (a, b) of classes: a spanning forest of each block."""
+    """Verified pairs (a, b) of classes: a spanning forest of each block; and
+    with b null, the depth of the prefix that class a has to share in a pass
+    to be in the window (the most of up to two rows; 0: all are in it)."""
     size = 4 * window
     block = F.floor(F.col("rank") / size).cast("long")
     also = F.when((F.col("rank") % size < window) & (block > 0), F.array(block, block - 1)).otherwise(F.array(block))
 
     def compare(rows: pd.DataFrame) -> pd.DataFrame:
-        a, b = [], []
-        for _, seg in rows.groupby(["pass", "dim"]):
+        a, b, deep = [], [], []
+        rows = rows.sort_values("rank")
+        for (number, _), seg in rows.groupby(["pass", "dim"]):
+            depth, at = np.zeros(len(seg), np.int32), seg["rank"].to_numpy() - seg["block"].to_numpy() * size
+            if len(seg) > window:
+                bits = shared_bits(seg["key"].to_numpy(), window) + 1
+                depth[:-window] = np.where(at[:-window] < size, bits, 0)  # the later rows are the next block's
+                depth[window:] = np.maximum(depth[window:], bits)
+            deep.append(pd.DataFrame({"a": seg["cid"], "b": None, "pass": number, "depth": depth}))
             x = np.stack([np.frombuffer(r, np.float64) for r in seg["x"]])
             near = x @ x.T >= threshold
             some = np.nonzero(near.sum(axis=1) > 1)[0]
@@ -125,12 +151,66 @@ def _links(ranked: DataFrame, threshold: float, window: int) -> DataFrame:
             a.append(cid[i])
             b.append(cid[j])
         none = [np.zeros(0, np.int64)]
-        return pd.DataFrame({"a": np.concatenate(a or none), "b": np.concatenate(b or none)})
+        found = pd.DataFrame({"a": np.concatenate(a or none), "b": np.concatenate(b or none), "pass": -1, "depth": 0})
+        return pd.concat([found, *deep]).astype({"a": "int64", "b": "Int64", "pass": "int32", "depth": "int32"})
 
     return (ranked.withColumn("block", F.explode(also)).groupBy("block")
+            .applyInPandas(compare, "a long, b long, pass int, depth int"))
+
+
+def _missed(compared: DataFrame, threshold: float) -> DataFrame:
+    """(cid, missed): logarithm of the probability that no pass had a
+    neighbour at the threshold in the window."""
+    apart = F.lit(1.0) - F.pow(F.lit(agreement(threshold)), F.col("depth").cast("double"))
+    return (compared.where("b is null").groupBy(F.col("a").alias("cid"), "pass").agg(F.max("depth").alias("depth"))
+            .groupBy("cid").agg(F.sum(F.when(apart > 0, F.log(apart)).otherwise(F.lit(-1e9))).alias("missed")))
+
+
+def exact_pays(n: int, passes: float, window: int) -> bool:
+    """Whether comparing ``n`` vectors with each other costs no more than ``passes`` passes of blocks."""
+    return n <= 12 * window * passes
+
+
+def _tile_links(points: DataFrame, n: int, threshold: float, tile: int) -> DataFrame:
+    """(a, b) of classes: spanning forests of all links among ``n`` points, tile by tile."""
+    k = -(-n // tile)
+    mine = F.pmod(F.xxhash64("cid"), F.lit(k))
+    pair = F.transform(F.sequence(F.lit(0).cast("long"), F.lit(k - 1).cast("long")), lambda j: F.struct(F.least(mine, j).alias("i"), F.greatest(mine, j).alias("j")))
+
+    def compare(rows: pd.DataFrame) -> pd.DataFrame:
+        x, cid = unit(_arrays(rows["v"])), rows["cid"].to_numpy()
+        near = x @ x.T >= threshold
+        i, j = spanning_forest(len(x), lambda q: np.nonzero(near[q])[0])
+        return pd.DataFrame({"a": cid[i], "b": cid[j]}, dtype=np.int64)
+
+    return (points.select("dim", "cid", "v", F.explode(pair).alias("t")).select("dim", "t.i", "t.j", "cid", "v").groupBy("dim", "i", "j")
             .applyInPandas(compare, "a long, b long"))
 
 
+def _all_links(points: DataFrame, count: int, threshold: float, window: int, miss: float, seed: int, tile: int) -> DataFrame:
+    """Pairs (a, b) of linked classes after as many passes as the measured density asks for."""
+    done, links, missed, dense, n = 0, None, None, points, count
+    passes = n_passes(count, threshold, window, miss)
+    while True:
+        compared = materialise(_links(_ranked(_keyed(dense, range(done, done + passes), seed)), threshold, window), "vector-links")
+        pairs = compared.where("b is not null").select("a", "b")
+        links = pairs if links is None else links.unionByName(pairs)
+        now = _missed(compared, threshold)
+        if missed is not None:
+            now = now.join(missed.withColumnRenamed("missed", "before"), "cid").select("cid", (F.col("missed") + F.col("before")).alias("missed"))
+        missed = materialise(now.where(F.col("missed") > math.log(miss)), "vector-dense")
+        done += passes
+        n, mean = missed.agg(F.count("*"), F.avg("missed")).first()
+        if not n:
+            return links
+        dense = materialise(points.join(missed.select("cid"), "cid").select("cid", "dim", "v"), "vector-dense-points")
+        # as many as the mean dense vector needs; those that need more stay for the next round
+        more = done * (math.log(miss) / mean - 1) if mean < 0 else math.inf
+        if exact_pays(n, max(1.0, more), window):
+            return links.unionByName(_tile_links(dense, n, threshold, tile))
+        passes = max(1, math.ceil(more))
+
+
 def _direct(members: DataFrame, threshold: float, tile: int) -> DataFrame:
     """(cid, links): rows of other classes of the component that link."""
     sizes = members.groupBy("component").agg(F.ceil(F.count("*") / tile).cast("long").alias("k"))
@@ -171,9 +251,8 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "emb
     """
     rows, points = classes(vectors, id_col, vec_col)
     count = points.count()
-    passes = n_passes(count, threshold, window, miss)
     if count:
-        links = _links(_ranked(_keyed(points, passes, seed)), threshold, window)
+        links = _all_links(points, count, threshold, window, miss, seed, tile)
         found = materialise(connected_components(links.distinct()), "vector-components")
         members = points.join(found, F.col("cid") == F.col("node")).select("component", "cid", "v", "n", "rep")
         named = members.groupBy("component").agg(F.min("rep").alias("component_id"))

@@ -66,3 +66,35 @@ def test_recall_on_the_table(spark):
     got = {r.vec_id: r.n_links for r in QUERIES["op4_vector_passes"](spark, d).collect()}
     assert set(got) == set(want) and all(got[i] <= want[i] for i in want)
     assert sum(got.values()) >= 0.9 * sum(want.values())
+
+
+def hot_third(n=1500, cosine=0.8, pairs=200, dim=128):
+    """Vectors of which a third are at ``cosine`` to each other, and one partner
+    just over the threshold for each of the first ``pairs`` hot and cold ones."""
+    rng = np.random.default_rng(5)
+    c, e, cold = V.unit(rng.standard_normal((1, dim))), rng.standard_normal((n, dim)), V.unit(rng.standard_normal((2 * n, dim)))
+    x = np.concatenate([cosine**0.5 * c + (1 - cosine) ** 0.5 * V.unit(e - (e @ c.T) * c), cold])
+    of = np.concatenate([np.arange(pairs), n + np.arange(pairs)])
+    r = rng.standard_normal((len(of), dim))
+    r = V.unit(r - (r * x[of]).sum(axis=1, keepdims=True) * x[of])
+    return np.concatenate([x, 0.9005 * x[of] + (1 - 0.9005**2) ** 0.5 * r]), of
+
+
+@pytest.mark.parametrize("exact", [True, False])
+def test_links_in_a_hot_cluster(spark, monkeypatch, exact):
+    if not exact:
+        monkeypatch.setattr(V, "exact_pays", lambda n, passes, window: False)
+    x, of = hot_third()
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>").repartition(8)
+    component = {r.vec_id: r.component_id for r in V.near_vectors(df, threshold=0.9, window=16).collect()}
+    found = np.array([component[len(x) - len(of) + i] == component[int(p)] for i, p in enumerate(of)]).reshape(2, -1)
+    assert found[0].mean() >= 0.995 and found[1].mean() >= 0.995
+
+
+def test_shared_bits():
+    keys = np.sort(np.array([-2**63, -2**63 + 1, -1, 0, 1, 2**62, 2**63 - 1, 2**63 - 1], np.int64))
+    assert V.shared_bits(keys, 1).tolist() == [63, 1, 0, 63, 1, 2, 64]
+
+
+def test_dense_vectors_are_compared_as_often_as_their_density_asks():
+    assert V.exact_pays(3000, 1, 256) and not V.exact_pays(4000, 1, 256) and V.exact_pays(10**9, float("inf"), 256)
