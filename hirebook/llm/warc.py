@@ -11,8 +11,10 @@ The reader gets whole archives from Spark's binaryFile source and walks their
 members and version lines.  Each record passes checks: member checksum,
 version line, headers, Content-Length, end of record, block and payload
 digest.  After a failed check the bytes are quarantined and the search goes on
-for the next valid member, or version line in plain archives; later records
-are recovered and the gap is logged as a row.
+for the next valid member or version line, in plain archives and in what a
+member inflates to; later records are recovered and the gap is logged as a
+row.  Of a member that is cut off or fails its checksum, what inflates before
+the error is walked too.
 """
 
 from __future__ import annotations
@@ -140,8 +142,9 @@ def _headers(lines: bytes) -> dict[str, str]:
     return found
 
 
-def parse(data: memoryview | bytes) -> tuple[dict, int]:
-    """The record at the start of ``data`` and its length; ``Bad`` if a check fails."""
+def parse(data: memoryview | bytes, proof: bool = False) -> tuple[dict, int]:
+    """The record at the start of ``data`` and its length; ``Bad`` if a check
+    fails, or with ``proof`` if the record has no digest to be checked by."""
     width = 1 << 16
     head = bytes(data[:width])
     if not VERSION.match(head):
@@ -178,6 +181,9 @@ def parse(data: memoryview | bytes) -> tuple[dict, int]:
     said = h.get("warc-payload-digest", "")
     if h.get("warc-type") == "response" and said.lower().startswith("sha1:") and said[5:].upper() != digest(payload):
         raise Bad("payload digest")
+    sums = [h.get("warc-block-digest", ""), said if h.get("warc-type") == "response" else ""]
+    if proof and not any(d.lower().startswith("sha1:") for d in sums):
+        raise Bad("no digest in a damaged member")
     bare = {k: (h.get(k) or "").strip("<>") or None for k in ("warc-record-id", "warc-refers-to")}
     return {"record_id": bare["warc-record-id"], "type": h.get("warc-type"), "target_uri": h.get("warc-target-uri"),
             "refers_to": bare["warc-refers-to"], "payload_digest": said[5:].upper() if said.lower().startswith("sha1:") else None,
@@ -198,36 +204,86 @@ def _inflate(data: memoryview, at: int) -> tuple[bytes, int]:
     raise Bad("gzip: member is cut off")
 
 
-def _at(raw: bytes, view: memoryview, at: int) -> tuple[list[dict], int]:
-    """All records of the member, or the plain record, at ``at``."""
-    if raw.startswith(MEMBER, at):
-        text, length = _inflate(view, at)
-        found, i = [], 0
-        while i < len(text):
-            record, n = parse(memoryview(text)[i:])
-            found.append(record)
-            i += n
-        return found, length
-    record, n = parse(view[at:])
-    return [record], n
+def _rescue(view: memoryview, at: int) -> tuple[bytes, list[tuple[int, int]], bool]:
+    """What the damaged member at ``at`` inflates to before the error, pairs
+    (compressed bytes, inflated bytes) on the way, and whether it is only cut off."""
+    z, out, size, i, marks = zlib.decompressobj(31), [], 0, at, []
+    step = 4096
+    while i < len(view) and not z.eof:
+        before = z.copy()
+        try:
+            out.append(z.decompress(view[i:i + step]))
+        except zlib.error:
+            if step == 1:
+                return b"".join(out), marks, False
+            z, step = before, step // 8 or 1  # zlib gives nothing of a piece with an error: smaller ones
+            continue
+        size += len(out[-1])
+        i += step
+        marks.append((i - at, size))
+    return b"".join(out), marks, True
+
+
+def _walk(text: bytes, proof: bool) -> tuple[list[dict], int, list[str]]:
+    """The valid records in the inflated bytes of a member, where the last of
+    them ends, and a reason for each gap."""
+    found, end, reasons, i, lost = [], 0, [], 0, False
+    view = memoryview(text)
+    while i < len(text):
+        try:
+            record, n = parse(view[i:], proof)
+        except Bad as e:
+            if not lost:
+                reasons.append(f"{e} (byte {i} of the member's data)")
+            lost = True
+            version = VERSION.search(text, i + 1)
+            i = version.start() if version else len(text)
+            continue
+        found.append(record)
+        i += n
+        end, lost = i, False
+    return found, end, reasons
 
 
 def salvage(raw: bytes):
     """Walk an archive: yields ("ok", offset, length, record) and, for bytes
     that hold no valid record, ("gap", offset, length, reason).  Gaps are as
-    long as possible and every byte is in one record's span or one gap."""
+    long as possible and every byte is in a record's span or a gap.
+
+    Records of one member all have its span.  What is lost within a member
+    that has valid records too is a gap with the member's offset: of its span
+    if the member is whole, else up to the next valid member or record.
+    """
     view, at, gap, reason = memoryview(raw), 0, None, None
     member_at, version_at = -1, -1  # the next of each kind, found once
     while at < len(raw):
+        seen, records, lost = at, [], []
         try:
-            records, length = _at(raw, view, at)
+            if raw.startswith(MEMBER, at):
+                text, length = _inflate(view, at)
+                records, _, lost = _walk(text, False)
+                if lost and not records:
+                    raise Bad(lost[0])
+            else:
+                record, length = parse(view[at:])
+                records = [record]
         except Bad as e:
+            if raw.startswith(MEMBER, at) and not lost:
+                text, marks, cut = _rescue(view, at)
+                records, end, _ = _walk(text, not cut)
+                # go on behind the bytes that the last record needed, to read none twice
+                seen = max([at + n for n, m in marks if m <= end], default=at) if records else at
+            if records and gap is not None and gap < at:
+                yield "gap", gap, at - gap, reason
+                gap = None
+            for record in records:
+                yield "ok", at, max(1, seen - at), record
             if gap is None:
                 gap, reason = at, str(e)
-            if member_at <= at:
-                member_at = raw.find(MEMBER, at + 1) % (len(raw) + 1)
-            if version_at <= at:
-                version = VERSION.search(raw, at + 1)
+            if member_at <= seen:
+                member_at = raw.find(MEMBER, seen + 1) % (len(raw) + 1)
+            if version_at <= seen:
+                version = VERSION.search(raw, seen + 1)
                 version_at = version.start() if version else len(raw)
             at = min(member_at, version_at)
             continue
@@ -236,6 +292,8 @@ def salvage(raw: bytes):
             gap = None
         for record in records:
             yield "ok", at, length, record
+        for why in lost:
+            yield "gap", at, length, why
         at += length
     if gap is not None:
         yield "gap", gap, len(raw) - gap, reason

@@ -65,6 +65,46 @@ def test_later_records_are_recovered(zipped, hurt, at):
     assert lost[0][2] == (200 if hurt == "junk" else len(p))
 
 
+@pytest.mark.parametrize("before", [0, 2])
+@pytest.mark.parametrize("hurt", ["record", "first", "tail", "checksum", "data"])
+def test_one_member_of_many_records(hurt, before):
+    plain = [W.build(f"urn:x-page:{i}", "http://x", os.urandom(20000).hex().encode(), "") for i in range(12)]
+    plain = [r.replace(b"WARC-Payload-Digest: sha1:\r\n", b"") for r in plain]
+    _, others = sample(3)
+    bad = {"record": 5, "first": 0}.get(hurt)
+    if bad is not None:
+        plain[bad] = plain[bad][:-100] + b"~" + plain[bad][-99:]
+    one = W.member(b"".join(plain))
+    if hurt == "tail":
+        one = one[:len(one) * 3 // 4]
+    elif hurt == "checksum":
+        one = one[:-8] + bytes([one[-8] ^ 255]) + one[-7:]
+    elif hurt == "data":
+        one = one[:len(one) // 2] + bytes(64) + one[len(one) // 2 + 64:]
+    raw = b"".join(others[:before]) + one + (others[2] if hurt != "tail" or before else b"")
+    out = list(W.salvage(raw))
+    at = sum(map(len, others[:before]))
+    ids = [x[3]["record_id"][11:] for x in out if x[0] == "ok" and x[1] == at]
+    if bad is not None:
+        assert ids == [str(i) for i in range(12) if i != bad]
+    elif hurt == "checksum":
+        assert ids == [str(i) for i in range(12)]
+    else:
+        assert ids == [str(i) for i in range(len(ids))] and len(ids) >= (8 if hurt == "tail" else 5)
+    lost = [x for x in out if x[0] == "gap"]
+    assert len(lost) == 1 and lost[0][1] == at and lost[0][2] == len(one) and lost[0][3]
+    assert [x[3]["record_id"][11:] for x in out if x[0] == "ok" and x[1] > at] == (["2"] if len(raw) > at + len(one) else [])
+
+
+def test_a_damaged_member_gives_no_unchecked_record():
+    r = W.build("urn:x-page:1", "http://x", b"text", "")
+    bare = b"\r\n".join(x for x in r.split(b"\r\n") if b"-Digest:" not in x)
+    one = W.member(bare * 2)
+    assert [x[0] for x in W.salvage(one)] == ["ok", "ok"]
+    assert [x[0] for x in W.salvage(one[:-8] + bytes([one[-8] ^ 255]) + one[-7:])] == ["gap"]
+    assert [x[0] for x in W.salvage(one[:-1])] == ["ok", "ok", "gap"]  # only cut off
+
+
 @pytest.mark.parametrize("old,new,reason", [
     (b"Content-Length: ", b"Content-Length: -", "Content-Length"), (b"WARC/1.1\r\nWARC-Type", b"WARX/1.1\r\nWARC-Type", "version line"),
     (b"WARC-Payload-Digest: sha1:", b"WARC-Payload-Digest: sha1:A", "payload digest"), (b"WARC-Block-Digest: sha1:", b"WARC-Block-Digest: sha1:A", "block digest"),
