@@ -9,7 +9,9 @@ then extracted again from the containers at its host's path (a page without
 one, or with no text there, from its own best container).
 
 Boilerplate never counts: scripts, styles, menus, headers, footers, sidebars,
-forms, and elements that are named for adverts, notices, comments and such.
+forms, and elements that are named for adverts, notices, comments and such,
+unless a named one holds most of the page's running text: a wrapper may have
+any name.
 """
 
 from __future__ import annotations
@@ -51,6 +53,7 @@ BOILERPLATE = frozenset("""ad ads advert adverts advertisement advertising adsen
     related recommended recommendations newsletter subscribe subscription signup login search toolbar pagination pager skip
     hidden""".split())
 ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog form menu menubar toolbar".split())
+MODIFIERS = frozenset("has no non with without".split())  # "no-sidebar" is no sidebar
 CONTENT = frozenset("article articles body content entry main page post story text".split())
 MAX_DEPTH = 512  # containers further down belong to the one at this depth
 
@@ -80,12 +83,16 @@ def _attributes(raw: str) -> dict[str, str]:
 
 
 def _names(attrs: dict[str, str]) -> set[str]:
-    return set(re.split(r"[^a-z0-9]+", f"{attrs.get('class', '')} {attrs.get('id', '')}".lower()))
+    found = set()
+    for name in f"{attrs.get('class', '')} {attrs.get('id', '')}".lower().split():
+        words = re.split(r"[^a-z0-9]+", name)
+        found.update(w for before, w in zip(["", *words], words) if before not in MODIFIERS)
+    return found
 
 
 def _boilerplate(tag: str, attrs: dict[str, str], inside: bool) -> bool:
-    """Whether an element is left out; ``inside`` an article or main element
-    a header may hold the title."""
+    """Whether an element is left out, whatever it holds; ``inside`` an article
+    or main element a header may hold the title."""
     if tag in DROPPED or tag in RAW:
         return True
     if tag == "header":
@@ -94,29 +101,78 @@ def _boilerplate(tag: str, attrs: dict[str, str], inside: bool) -> bool:
         return False
     if "hidden" in attrs or attrs.get("aria-hidden") == "true" or attrs.get("role", "").lower() in ROLES:
         return True
-    if re.search(r"display\s*:\s*none", attrs.get("style", "")):
-        return True
+    return bool(re.search(r"display\s*:\s*none", attrs.get("style", "")))
+
+
+def _named_so(tag: str, attrs: dict[str, str], inside: bool) -> bool:
+    """Whether an element is named as boilerplate is."""
+    if tag in ("html", "body", "article", "main") or not attrs:
+        return False
     found = _names(attrs) & BOILERPLATE
     return bool(found) and not (found == {"header"} and inside)
 
 
+def _content(tag: str, attrs: dict[str, str]) -> bool:
+    return tag in ("article", "main") or attrs.get("role", "").lower() == "main" or bool(_names(attrs) & CONTENT)
+
+
 def _step(tag: str, attrs: dict[str, str]) -> str:
     """A path's step: the tag and its classes, digits generalised."""
     classes = sorted({re.sub(r"\d+", "#", c) for c in attrs.get("class", "").lower().split()})
     return ".".join([tag, *classes])
 
 
+@dataclass
+class Named:
+    """An element that is named as boilerplate is: where it begins, the one
+    around it (-1: none), its text and links, and whether it has content inside."""
+
+    at: int
+    parent: int
+    text: int = 0
+    links: int = 0
+    content: bool = False
+
+
 def read(html: str | None) -> Page:
     """Read a page; broken markup is read as far as it goes.
 
     All text is read however deep it is nested; equal paths are one string,
     so a page that never closes its elements costs no more than its length.
     """
-    html = html or ""
+    page, named = _read(html or "", frozenset())
+    wrappers = _wrappers(page, named)
+    return _read(html, wrappers)[0] if wrappers else page
+
+
+def _wrappers(page: Page, named: list[Named]) -> frozenset:
+    """Where the named elements begin that hold most of the page's running
+    text, not mostly links; unless there is content elsewhere and none inside."""
+    for e in reversed(named):
+        if e.parent >= 0:
+            up = named[e.parent]
+            up.text, up.links, up.content = up.text + e.text, up.links + e.links, up.content or e.content
+    whole = page.containers[0].text - page.containers[0].links + sum(e.text - e.links for e in named if e.parent < 0)
+    # an article element counts however short it is, others that are named as content from a tenth
+    article = any(c.text > c.links and re.match(r"(article|main)(\.|$)", c.path.rpartition(">")[2]) for c in page.containers if c.content)
+    elsewhere = whole if article else max((c.text - c.links for c in page.containers if c.content), default=0)
+    kept = {}
+    for i, e in enumerate(named):
+        run = e.text - e.links
+        if (2 * run > whole and 2 * e.links <= e.text and (e.parent < 0 or e.parent in kept)
+                and (e.content or 10 * elsewhere < run)):
+            kept[i] = e.at
+    return frozenset(kept.values())
+
+
+def _read(html: str, wrappers: frozenset) -> tuple[Page, list[Named]]:
+    """The page without boilerplate, and its named elements; those that begin
+    at ``wrappers`` are read as any other."""
+    named = []
     page = Page([], [Container(-1, "body", 0, False, 0)])
     blocks, containers = page.blocks, page.containers
-    # open elements: tag, container, whether left out, whether inside an article
-    stack = [("html", 0, False, False)]
+    # open elements: tag, container, whether left out, whether inside an article, the named element that it is left out with
+    stack = [("html", 0, False, False, -1)]
     words, links, a_depth = [], 0, 0
     where, paths = defaultdict(list), {}  # positions in the stack by tag; paths by parent's path and step
 
@@ -135,7 +191,7 @@ def read(html: str | None) -> Page:
     def close(depth):
         nonlocal a_depth
         while len(stack) > depth:
-            tag, c, out, _ = stack[-1]
+            tag, c, out, _, _ = stack[-1]
             if tag in BLOCKS and not out:
                 flush()
             if tag == "a" and a_depth:
@@ -155,6 +211,10 @@ def read(html: str | None) -> Page:
             words.append(text)
             if a_depth:
                 links += len(text.strip())
+        elif text and stack[-1][4] >= 0:
+            e, n = named[stack[-1][4]], len(text.strip())
+            e.text += n
+            e.links += n if where["a"] else 0
 
     at, stop = 0, html.rfind(">") + 1  # no tag begins beyond the last >
     while True:
@@ -202,24 +262,34 @@ def read(html: str | None) -> Page:
             begun = [where[t][bisect_right(where[t], outer)] for t in these if where[t] and where[t][-1] > outer]
             if begun:
                 close(min(begun))
-        _, c, out, inside = stack[-1]
+        _, c, out, inside, with_named = stack[-1]
         attrs = _attributes(raw)
         if not out:
             if tag in BLOCKS:
                 flush()
             out = _boilerplate(tag, attrs, inside)
+            if not out and m.start() not in wrappers and _named_so(tag, attrs, inside):
+                out, with_named = True, len(named)
+                named.append(Named(m.start(), -1))
             if out:
                 words.append(" ")
             elif tag in CONTAINERS and containers[c].depth < MAX_DEPTH:
                 up, step = containers[c], _step(tag, attrs)
                 path = paths.setdefault((up.path, step), f"{up.path}>{step}")
-                named = tag in ("article", "main") or attrs.get("role", "").lower() == "main" or bool(_names(attrs) & CONTENT)
-                containers.append(Container(c, path, up.depth + 1, named, len(blocks)))
+                containers.append(Container(c, path, up.depth + 1, _content(tag, attrs), len(blocks)))
                 c = len(containers) - 1
             if tag == "a":
                 a_depth += 1
+        elif with_named >= 0:
+            if _boilerplate(tag, attrs, inside):
+                with_named = -1
+            elif _named_so(tag, attrs, inside):
+                named.append(Named(m.start(), with_named))
+                with_named = len(named) - 1
+            elif tag in CONTAINERS and _content(tag, attrs):
+                named[with_named].content = True
         where[tag].append(len(stack))
-        stack.append((tag, c, out, inside or tag in ("article", "main")))
+        stack.append((tag, c, out, inside or tag in ("article", "main"), with_named))
     close(1)
     flush()
     for c in containers:
@@ -227,7 +297,7 @@ def read(html: str | None) -> Page:
     for c in reversed(containers[1:]):
         containers[c.parent].text += c.text
         containers[c.parent].links += c.links
-    return page
+    return page, named
 
 
 def scores(page: Page) -> list[float]:
@@ -285,7 +355,7 @@ def extract_pages(pages: DataFrame, id_col: str = "page_id", url_col: str = "url
                   broadcast_hosts: int = 50_000) -> DataFrame:
     """One row per row of ``pages``: id, url, text and n_chars (code points).
 
-    Null and empty pages, and pages of boilerplate only, give "".  A null URL
+    Null and empty pages, and pages of menus, forms, links and such only, give "".  A null URL
     belongs to the host "".  Repeated rows vote and are returned as often as
     they occur.  Pages of any length are read whole.  Other columns are not
     read.  Up to ``broadcast_hosts`` hosts their paths are broadcast; beyond,

@@ -29,6 +29,24 @@ def test_pages(page, text):
     assert one(page) == text
 
 
+@pytest.mark.parametrize("wrapper", [
+    "div class='content has-sidebar'", "div id='page' class='site no-sidebar'", "div class='post no-comments'", "section class='related-work'",
+    "div class='sidebar-layout'", "div class='widget'><div class='social modal'", "div id=comments-page><div class=post"])
+def test_named_wrappers(wrapper):
+    story = "<p>the story is told here at length</p><p>and goes on</p>"
+    around = "<div class=sidebar><p>other pages</p></div><div class=widgets><a href=x>one link and another link</a></div>"
+    for page in (f"<{wrapper}>{story}{around}</div>", f"{around}<{wrapper}>{story}</div>", f"<{wrapper}>{story} <span class=share>tell</span></div>"):
+        assert one(page) == "the story is told here at length\nand goes on"
+
+
+def test_named_boilerplate_is_left_out():
+    links = "<div class=related>" + "<a href=x>a long title of another page</a> " * 5 + "</div>"
+    comments = "<div class=comments>" + "<p>a long remark</p>" * 9 + "</div>"
+    assert one(f"{links}<div><p>short</p></div>") == "short"
+    assert one(f"<article><p>the article</p></article>{comments}") == "the article"
+    assert one(links) == ""
+
+
 def test_paths_are_generalised():
     p = H.read('<div class="post-123 Wide"><article class="a1"><p>text</p></article></div>')
     assert p.containers[-1].path == "body>div.post-#.wide>article.a#"
