@@ -10,6 +10,7 @@ from hirebook.llm.common import read_table
 from hirebook.llm.exact_dedup import exact_groups
 from hirebook.llm import langid, warc
 from hirebook.llm.html_text import extract_pages
+from hirebook.llm.line_dedup import drop_repeated_lines
 from hirebook.llm.mil_quality import score, train
 from hirebook.llm.mixing import mixture
 from hirebook.llm.oracle import ORACLE_SQL
@@ -102,5 +103,11 @@ def op10_bpe(spark, sf_dir):
     return digests(encode_documents(read_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json")))
 
 
+def op11_line_dedup(spark, sf_dir):
+    """Lines of 10 characters or more stay in the smallest doc_id that holds them."""
+    kept = drop_repeated_lines(read_table(spark, sf_dir, "documents"), least=10, min_docs=2)
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.encode("kept", "utf-8"), 256).alias("kept_sha256"))
+
+
 QUERIES = {f.__name__: f for f in (op1_warc, op2_secret_ledger, op3_langid, op4_vector_passes, op5_simhash_near_dedup, op6_exact_dedup,
-                                   op7_html_text, op8_mixing, op9_mil_quality, op10_bpe)}
+                                   op7_html_text, op8_mixing, op9_mil_quality, op10_bpe, op11_line_dedup)}

@@ -37,6 +37,17 @@ OP6 = """
            doc_id = max(doc_id) over (partition by h) as kept, h as text_sha256 from t"""
 
 
+OP11 = r"""
+    with d as (select row_number() over () as n, doc_id, string_split(coalesce(text, ''), chr(10)) as lines from documents),
+    l as (select n, doc_id, generate_subscripts(lines, 1) as i, unnest(lines) as line from d),
+    k as (select *, translate(regexp_replace(line, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g'),
+                              'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as key from l),
+    g as (select *, length(key) >= 10 and min(doc_id) over (partition by key) <> doc_id as dropped from k)
+    select doc_id, count(*) as n_lines, count(*) filter (dropped) as n_dropped,
+           sha256(coalesce(string_agg(line, chr(10) order by i) filter (not dropped), '')) as kept_sha256
+    from g group by n, doc_id"""
+
+
 def _either(word: str) -> str:
     """The word with every letter in either case (ASCII only)."""
     return "".join(f"[{c}{c.upper()}]" if c.isalpha() else c for c in word)
@@ -68,4 +79,4 @@ OP2 = ("with t as (select row_number() over () as n, doc_id, coalesce(text, '')
            sha256(coalesce(base, '')) as base_sha256, coalesce(spans, '') as spans
     from t left join found using (n)""")
 
-ORACLE_SQL = {"op1_warc": OP1, "op2_secret_ledger": OP2, "op4_vector_passes": OP4, "op6_exact_dedup": OP6}
+ORACLE_SQL = {"op1_warc": OP1, "op2_secret_ledger": OP2, "op4_vector_passes": OP4, "op6_exact_dedup": OP6, "op11_line_dedup": OP11}

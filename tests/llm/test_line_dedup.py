@@ -1,0 +1,92 @@
+import random
+
+import numpy as np
+import pytest
+
+from hirebook.llm import line_dedup as L
+
+
+def key(line):
+    return "".join(c.lower() if "A" <= c <= "Z" else c for c in line.strip(" \t\n\v\f\r"))
+
+
+def brute(rows, least=10, min_docs=2):
+    """(id, n_lines, n_dropped, kept) per row from the definition; ids of None are one document, the last."""
+    held = {}
+    for i, t in rows:
+        for line in (t or "").split("\n"):
+            held.setdefault(key(line), set()).add(i)
+    out = []
+    for i, t in rows:
+        lines = (t or "").split("\n")
+        keep = []
+        for line in lines:
+            ids = held[key(line)]
+            first = min((x for x in ids if x is not None), default=None)
+            if len(key(line)) < least or len(ids) < min_docs or i == first:
+                keep.append(line)
+        out.append((i, len(lines), len(lines) - len(keep), "\n".join(keep)))
+    return sorted(out, key=str)
+
+
+def run(spark, rows, **settings):
+    df = spark.createDataFrame([(i, t, "x", 1) for i, t in rows], "doc_id long, text string, row string, h1 int").repartition(5)
+    return sorted((tuple(r) for r in L.drop_repeated_lines(df, **settings).collect()), key=str)
+
+
+def corpus(n=300):
+    rnd = random.Random(1)
+    pool = ["The hot line of all", "the HOT line of all  ", "short", "", " ", "\t\x0b\x0cwide line\x85", "ÉÉÉÉÉÉÉÉÉ", "ÉÉÉÉÉÉÉÉÉÉ", "éééééééééé", " em space stays ",
+            "日本語の十文字の行です", "日本語の九文字の行", "x" * 10, "x" * 9] + [f"line number {i}" for i in range(60)]
+    rows = [(i, "\n".join(rnd.choices(pool, k=rnd.randint(1, 12)) + ["The hot line of all"] * (i % 3 == 0))) for i in range(n)]
+    return rows + [(1000, None), (1001, ""), (1002, "\n"), (1003, "own line of this\nown line of this")]
+
+
+@pytest.mark.parametrize("settings", [{}, {"shard_keys": 16, "probes": 20}, {"least": 1, "min_docs": 5}])
+def test_against_brute_force(spark, settings):
+    rows = corpus()
+    checked = {k: v for k, v in settings.items() if k in ("least", "min_docs")}
+    assert run(spark, rows, **settings) == brute(rows, **checked)
+
+
+def test_repeated_and_missing_ids(spark):
+    rows = [(1, "a line that repeats\nalone one of them"), (1, "a line that repeats"), (1, "a line that repeats"), (None, "a line that repeats\nonly without id"),
+            (None, "only without id"), (2, "A LINE that repeats\n" + "w " * 60000 + "\nend")]
+    assert run(spark, rows) == brute(rows)
+
+
+def test_many_documents_count_in_one_byte(spark):
+    rows = [(i, "the line of all documents\nmine") for i in range(600)]
+    assert run(spark, rows, min_docs=255) == brute(rows, min_docs=255)
+
+
+def test_empty_table(spark):
+    assert L.drop_repeated_lines(spark.createDataFrame([], "doc_id long, text string")).collect() == []
+
+
+def test_other_id_types_and_carried_columns(spark):
+    df = spark.createDataFrame([("b", "a line that repeats", 7), ("a", "a line that repeats", 8)], "name string, text string, kept_rank int")
+    got = L.drop_repeated_lines(df, id_col="name", carry=("kept_rank", "text"))
+    assert sorted(tuple(r) for r in got.collect()) == [(7, "a line that repeats", 1, 1, ""), (8, "a line that repeats", 1, 0, "a line that repeats")]
+
+
+@pytest.mark.parametrize("n", [0, 1, 2, 1000, 70000])
+def test_hash_is_minimal_and_perfect(n):
+    rng = np.random.default_rng(n)
+    h1, h2 = rng.integers(0, 1 << 64, (2, n), np.uint64)
+    sizes, bits, slot = L.build_hash(h1, h2)
+    assert sorted(slot.tolist()) == list(range(n)) and bits.sum() == n
+    assert (L.slots(h1, h2, sizes, bits) == slot).all()
+    assert n < 1000 or len(bits) < 4.5 * n
+
+
+def test_foreign_keys_are_told_by_their_fingerprint(spark):
+    df = spark.createDataFrame([(i, f"some line {i % 500} of many") for i in range(1000)], "doc_id long, text string")
+    shard = L.build_index(L.lines_of(df), 1).collect()[0].asDict()
+    rng = np.random.default_rng(2)
+    n, at = L.look_up(*rng.integers(0, 1 << 64, (2, 20000), np.uint64), shard)
+    assert shard["n"] == 500 and not n.any() and (at == -1).all()
+    lines = L.lines_of(df).collect()
+    own = np.array([(r.h1, r.h2) for r in lines], np.int64).view(np.uint64)
+    n, at = L.look_up(own[:, 0], own[:, 1], shard)
+    assert (n == 2).all() and [shard["owners"][k] for k in at] == [r.id % 500 for r in lines]
