@@ -17,6 +17,7 @@ from hirebook.llm.oracle import ORACLE_SQL
 from hirebook.llm.secret_ledger import RULES, findings, scan
 from hirebook.llm.simhash import simhash_components
 from hirebook.llm.vector_passes import near_vectors
+from hirebook.llm.whitening import whiten
 from hirebook.session import scratch_path
 
 __all__ = ["ORACLE_SQL", "QUERIES"]
@@ -109,5 +110,10 @@ def op11_line_dedup(spark, sf_dir):
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.encode("kept", "utf-8"), 256).alias("kept_sha256"))
 
 
+def op13_whitening(spark, sf_dir):
+    """Embeddings on a grid of 1/64, whitened on their 32 leading components."""
+    return whiten(read_table(spark, sf_dir, "embeddings"), k=32, scale=64, shift=1_000_000)
+
+
 QUERIES = {f.__name__: f for f in (op1_warc, op2_secret_ledger, op3_langid, op4_vector_passes, op5_simhash_near_dedup, op6_exact_dedup,
-                                   op7_html_text, op8_mixing, op9_mil_quality, op10_bpe, op11_line_dedup)}
+                                   op7_html_text, op8_mixing, op9_mil_quality, op10_bpe, op11_line_dedup, op13_whitening)}
