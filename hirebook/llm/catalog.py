@@ -9,6 +9,7 @@ from hirebook.llm.bpe import digests, encode_documents
 from hirebook.llm.common import read_table
 from hirebook.llm.exact_dedup import exact_groups
 from hirebook.llm import langid, warc
+from hirebook.llm.hard_negatives import hard_negatives
 from hirebook.llm.html_text import extract_pages
 from hirebook.llm.line_dedup import drop_repeated_lines
 from hirebook.llm.mil_quality import score, train
@@ -110,10 +111,18 @@ def op11_line_dedup(spark, sf_dir):
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.encode("kept", "utf-8"), 256).alias("kept_sha256"))
 
 
+def op12_hard_negatives(spark, sf_dir):
+    """Hard negatives of every hundredth embedding; a seventh has its label moved on by one."""
+    rows = read_table(spark, sf_dir, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives(rows.withColumn("label", moved), F.col("vec_id") % 100 == 0)
+
+
 def op13_whitening(spark, sf_dir):
     """Embeddings on a grid of 1/64, whitened on their 32 leading components."""
     return whiten(read_table(spark, sf_dir, "embeddings"), k=32, scale=64, shift=1_000_000)
 
 
 QUERIES = {f.__name__: f for f in (op1_warc, op2_secret_ledger, op3_langid, op4_vector_passes, op5_simhash_near_dedup, op6_exact_dedup,
-                                   op7_html_text, op8_mixing, op9_mil_quality, op10_bpe, op11_line_dedup, op13_whitening)}
+                                   op7_html_text, op8_mixing, op9_mil_quality, op10_bpe, op11_line_dedup, op12_hard_negatives,
+                                   op13_whitening)}

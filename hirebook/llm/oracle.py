@@ -47,6 +47,20 @@ OP11 = r"""
            sha256(coalesce(string_agg(line, chr(10) order by i) filter (not dropped), '')) as kept_sha256
     from g group by n, doc_id"""
 
+OP12 = """
+    with r as (select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+                      list_transform(embedding, lambda c: floor(256 * c::double)) as x
+               from embeddings where label is not null and embedding is not null
+                    and len(list_filter(embedding, lambda c: c is null or not isfinite(c))) = 0),
+    s as (select a.vec_id as anchor_id, b.vec_id as other, a.label = b.label as same, list_inner_product(a.x, b.x)::bigint as score
+          from r a join r b on a.vec_id % 100 = 0 and a.vec_id <> b.vec_id),
+    p as (select * from s where same qualify row_number() over (partition by anchor_id order by score desc, other) <= 5)
+    select p.anchor_id, p.other as positive_id, (row_number() over best)::int as rank, s.other as negative_id,
+           p.score as positive_score, s.score as negative_score
+    from p join s on s.anchor_id = p.anchor_id and not s.same and 80 * p.score <= 100 * s.score and s.score <= p.score
+    window best as (partition by p.anchor_id, p.other order by s.score desc, s.other)
+    qualify row_number() over best <= 5"""
+
 
 def _either(word: str) -> str:
     """The word with every letter in either case (ASCII only)."""
@@ -79,4 +93,5 @@ OP2 = ("with t as (select row_number() over () as n, doc_id, coalesce(text, '')
            sha256(coalesce(base, '')) as base_sha256, coalesce(spans, '') as spans
     from t left join found using (n)""")
 
-ORACLE_SQL = {"op1_warc": OP1, "op2_secret_ledger": OP2, "op4_vector_passes": OP4, "op6_exact_dedup": OP6, "op11_line_dedup": OP11}
+ORACLE_SQL = {"op1_warc": OP1, "op2_secret_ledger": OP2, "op4_vector_passes": OP4, "op6_exact_dedup": OP6, "op11_line_dedup": OP11,
+              "op12_hard_negatives": OP12}
