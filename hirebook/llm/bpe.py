@@ -18,7 +18,9 @@ from __future__ import annotations
 
 import hashlib
 import json
+import re
 import unicodedata
+from functools import lru_cache
 
 import ahocorasick
 import numpy as np
@@ -27,14 +29,77 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# What the file's normaliser, splitter and word end say.
-SPACE = r"\x09-\x0d\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+from hirebook.llm.common import lean
+
+# What the file's splitter and word end say.
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 WORD_END = "</w>"
+CLASSES = (r"\s", r"\p{L}", r"\p{N}")
+
+CACHE = 120_000  # words, then the cache starts anew
+PAIRS = 120_000
+
+
+def _ranges(marked: np.ndarray) -> str:
+    """Marked code points as the inside of a regular expression's set."""
+    edge = np.flatnonzero(np.diff(np.concatenate([[0], marked.astype(np.int8), [0]])))
+    return "".join(f"\\U{a:08x}-\\U{b - 1:08x}" for a, b in edge.reshape(-1, 2))
+
+
+WHITE = re.compile("[\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")  # beyond ASCII; the tables tell if the file differs
+
+
+def low_plane(inside: str) -> str:
+    """Of a set's ranges, those that begin in the first plane."""
+    return "".join(r for r in re.findall(r"\\U.{8}-\\U.{8}", inside) if int(r[2:10], 16) < 0x10000)
+
 
-WORDS = regex.compile(SPLIT.replace(r"\s", SPACE))
-CACHE = 400_000  # words, then the cache starts anew
-PAIRS = 400_000
+def _plain(text: str) -> str:
+    """Composed and in lower case, character by character, by Python's tables."""
+    return unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()
+
+
+@lru_cache(maxsize=2)
+def unicode_tables(data: bytes) -> tuple[str, str, str, str]:
+    """White space, letters and numbers as the file's own splitter sees them,
+    and the code points that the file's normaliser or splitter treats in
+    another way than Python's tables (of another Unicode version) or may
+    compose in another way; all as sets of a regular expression.
+
+    Asked once on the driver, of every code point, and broadcast.
+    """
+    from tokenizers import Regex, pre_tokenizers
+
+    marked, mine = np.zeros((2, len(CLASSES), 0x110000), bool)
+    odd, whole = np.zeros(0x110000, bool), normaliser(data)
+    outside = [pre_tokenizers.Split(Regex(f"[{c}]+"), "removed") for c in CLASSES]
+    for at in range(0, 0x110000, 4096):
+        cps = [c for c in range(at, at + 4096) if not 0xD800 <= c < 0xE000]
+        if not cps:
+            continue
+        text = "".join(map(chr, cps))
+        for k, c in enumerate(CLASSES):
+            marked[k, cps] = True
+            for _, (i, j) in outside[k].pre_tokenize_str(text):
+                marked[k, cps[i:j]] = False
+            mine[k, [ord(x) for x in regex.findall(c, text)]] = True
+        for cp, x in zip(cps, text):
+            odd[cp] = unicodedata.category(x) == "Cn" or whole(x) != (" " if marked[0, cp] else _plain(x))
+    odd |= (mine != marked).any(axis=0)
+    return *map(_ranges, marked), _ranges(odd)
+
+
+def normaliser(data: bytes):
+    """The file's own normaliser, as a function of a text."""
+    from tokenizers import Regex, normalizers
+
+    steps = []
+    for n in json.loads(data)["normalizer"]["normalizers"]:
+        if n["type"] == "Replace":
+            steps.append(normalizers.Replace(Regex(n["pattern"]["Regex"]), n["content"]))
+        else:
+            steps.append(getattr(normalizers, n["type"])())
+    return normalizers.Sequence(steps).normalize_str
 
 
 def byte_symbols() -> dict[str, int]:
@@ -49,7 +114,7 @@ class Encoder:
     by the order of merges; a word is a string of one character a symbol
     (0-255 a byte, 256-511 a byte that ends the word)."""
 
-    def __init__(self, data: bytes):
+    def __init__(self, data: bytes, tables: tuple | None = None):
         spec = json.loads(data)
         model, vocab = spec["model"], spec["model"]["vocab"]
         if model["type"] != "BPE" or model["end_of_word_suffix"] != WORD_END or model.get("byte_fallback") or model.get("dropout"):
@@ -58,6 +123,13 @@ class Encoder:
             raise ValueError("the tokenizer file splits words by another pattern")
         if [n["type"] for n in spec["normalizer"]["normalizers"]] != ["NFC", "Replace", "Lowercase"]:
             raise ValueError("the tokenizer file normalises in another way")
+        space, letters, numbers, odd = tables or unicode_tables(data)
+        # texts of characters that all tables agree on take the short way; anything beyond the first plane is looked at twice
+        self.may_be_odd = re.compile(f"[{low_plane(odd)}\U00010000-\U0010ffff]")
+        self.odd = re.compile(f"[{odd}]") if odd else re.compile("(?!)")
+        self.normal = normaliser(data)
+        self.words_of = regex.compile(SPLIT.replace(r"\s", r"\x09-\x0d\x20")).findall
+        self.odd_words_of = re.compile(SPLIT.replace(r"\s", space).replace(r"\p{L}", letters).replace(r"\p{N}", numbers)).findall
         symbols = byte_symbols()
         keys, names, inner = [], [], {}
 
@@ -136,11 +208,17 @@ class Encoder:
         out.reverse()
         return b"".join(out)
 
+    def _split(self, text: str) -> list[str]:
+        """The words of a text without special tokens, normalised."""
+        if text.isascii():
+            return self.words_of(text.lower())
+        if self.may_be_odd.search(text) and self.odd.search(text):
+            return self.odd_words_of(self.normal(text))
+        return self.words_of(WHITE.sub(" ", _plain(text)))
+
     def _piece(self, text: str) -> bytes:
-        if not text.isascii():
-            text = unicodedata.normalize("NFC", text).replace("Σ", "σ")  # lower case character by character
         words, out = self.words, []
-        for w in WORDS.findall(text.lower()):
+        for w in self._split(text):
             ids = words.get(w)
             if ids is None:
                 ids = self._word(w)
@@ -167,12 +245,12 @@ class Encoder:
 _ENCODERS: dict[str, Encoder] = {}
 
 
-def encoder(data: bytes) -> Encoder:
+def encoder(data: bytes, tables: tuple | None = None) -> Encoder:
     """The process's encoder of a tokenizer file."""
     key = hashlib.sha256(data).hexdigest()
     if key not in _ENCODERS:
         _ENCODERS.clear()
-        _ENCODERS[key] = Encoder(data)
+        _ENCODERS[key] = Encoder(data, tables)
     return _ENCODERS[key]
 
 
@@ -186,13 +264,14 @@ def encode_documents(docs: DataFrame, tokenizer_path: str, text_col: str = "text
     not read; an empty table gives an empty result.
     """
     with open(tokenizer_path, "rb") as f:
-        shared = docs.sparkSession.sparkContext.broadcast(f.read())
+        data = f.read()
+    shared = docs.sparkSession.sparkContext.broadcast((data, unicode_tables(data)))
     src = docs.select(*(F.col(f"`{c}`") for c in carry), F.col(text_col).alias("_text"))
     schema = src.drop("_text").withColumns({"n_tokens": F.lit(0).cast("long"), "ids": F.lit(b""), "decoded": F.lit("")}).schema
     names = schema.fieldNames()
 
     def run(batches):
-        coder = encoder(shared.value)
+        coder = encoder(*shared.value)
         for b in batches:
             for at in range(0, b.num_rows, rows):
                 part = b.slice(at, rows)
@@ -201,7 +280,7 @@ def encode_documents(docs: DataFrame, tokenizer_path: str, text_col: str = "text
                     [*(part.column(i) for i in range(len(carry))), pa.array([len(x) // 4 for x in ids], pa.int64()),
                      pa.array(ids, pa.binary()), pa.array([coder.decode(x) for x in ids], pa.string())], names)
 
-    return src.mapInArrow(run, schema)
+    return src.mapInArrow(lean(run), schema)
 
 
 def digests(encoded: DataFrame) -> DataFrame:

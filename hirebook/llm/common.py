@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
+
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,6 +27,30 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def lean(run):
+    """``run`` for ``mapInArrow``, giving back what a partition's batches held.
+
+    Spark keeps its Python workers from stage to stage, and neither Arrow nor
+    the C library returns freed memory on its own; a stage after this one would
+    stand on it.
+    """
+    def partition(batches):
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+            if trim:
+                trim(0)
+    return partition
+
+
+def without(rows: DataFrame, gone: DataFrame, keys: list[str], most: int = 200_000) -> DataFrame:
+    """``rows`` without those whose ``keys`` are in ``gone``, a small stored
+    table: broadcast up to ``most`` of its rows, else joined by key."""
+    return rows.join(F.broadcast(gone) if gone.count() <= most else gone, keys, "left_anti")
+
+
 def connected_components(edges: DataFrame, max_rounds: int = 80) -> DataFrame:
     """Smallest reachable node of every node of an edge table.
 

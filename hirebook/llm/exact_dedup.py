@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hirebook.llm.common import materialise
+from hirebook.llm.common import materialise, without
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 KEY = ["digest", "sha", "bytes"]
@@ -88,11 +88,27 @@ def drop_exact_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
                       keep: str = "largest") -> DataFrame:
     """``docs`` with one row for each normalised text, all columns kept.
 
-    Of rows that repeat id and text, one (any) stays.
+    Of rows that repeat id and text, one (any) stays.  Nulls, empty texts and
+    ties: as ``exact_groups``.  What goes is found on digests; whole rows are
+    read once more and joined with the digests that go, which are few beside
+    the rows, and only rows that repeat both id and text are shuffled whole
+    where those digests are small enough to be broadcast.
     """
-    stay = (exact_groups(docs, id_col, text_col, keep).where("kept")
-            .select(F.col(id_col).alias("__id"), F.col("text_sha256").alias("__sha")).distinct())
-    sha = F.sha2(F.encode(normalised(F.col(text_col)), "utf-8"), 256)
-    return (docs.withColumns({"__sha_of": sha, "__id_of": F.col(id_col)})
-            .join(stay, F.col("__sha_of").eqNullSafe(F.col("__sha")) & F.col("__id_of").eqNullSafe(F.col("__id")), "left_semi")
-            .dropDuplicates(["__sha_of", "__id_of"]).select(*(F.col(f"`{c}`") for c in docs.columns)))
+    groups = exact_groups(docs, id_col, text_col, keep).where("group_size > 1").select(
+        *_pair(F.col(f"`{id_col}`"), F.unhex("text_sha256")), "kept")
+    verdicts = materialise(groups.groupBy("id", "sha").agg(F.max("kept").alias("kept"), F.count("*").alias("n")), "copies")
+    gone, twice = verdicts.where("not kept"), verdicts.where("kept and n > 1")
+    sha = F.unhex(F.sha2(F.encode(normalised(F.col(f"`{text_col}`")), "utf-8"), 256))
+    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), *_pair(F.col(f"`{id_col}`"), sha))
+    keys = ["id", "sha"]
+    if twice.isEmpty():
+        left = without(rows, gone.select(keys), keys)
+    else:
+        left = without(rows, verdicts.where("not kept or n > 1").select(keys), keys)
+        left = left.unionByName(rows.join(twice.select(keys), keys, "left_semi").dropDuplicates(keys))
+    return left.select("row.*")
+
+
+def _pair(id_: Column, sha: Column) -> list[Column]:
+    """Id (as text, told from a missing one) and digest, never null, so that plain equality joins them."""
+    return [F.coalesce(F.concat(F.lit("="), id_.cast("string")), F.lit("")).alias("id"), sha.alias("sha")]

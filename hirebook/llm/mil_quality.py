@@ -7,10 +7,11 @@ a few counts of words go through one learned tanh layer.  Gated attention
 weighted sum is scored by a logistic output.  Only documents have labels; all
 weights are learned from them together, by Adam with gradients written out.
 
-The fit uses at most ``per_label`` documents of each label, those with the
-smallest hashes of their id, and of a longer one ``per_doc`` passages spread
-evenly over its text, so what the driver holds is bounded.  Scoring covers
-every passage of every document.
+The fit uses at most ``per_label`` labelled documents of each label, those
+with the smallest hashes of their id, as long as all their passages together
+stay within ``passages``; a document is learned from whole or not at all, so
+what the driver holds is bounded.  Scoring covers every passage of every
+document.
 """
 
 from __future__ import annotations
@@ -19,9 +20,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from hirebook.llm.common import lean
+
 PASSAGE_WORDS = 128
 PAIRS = 256
 COUNTS = 6
@@ -38,7 +41,7 @@ def encode(text: bytes | None) -> np.ndarray:
         part = words[i * PASSAGE_WORDS:(i + 1) * PASSAGE_WORDS]
         raw = np.frombuffer(b" ".join(part), np.uint8)
         row[:256] = np.sqrt(np.bincount(raw, minlength=256) / len(raw))
-        pair = (raw[1:].astype(np.int64) * 131 + raw[:-1] * 31) % 251 % PAIRS
+        pair = (raw[1:].astype(np.int64) * 131 + raw[:-1] * 31) % PAIRS
         row[256:256 + PAIRS] = np.sqrt(np.bincount(pair, minlength=PAIRS) / len(raw))
         n = len(part)
         row[256 + PAIRS:] = (1.0, len(set(part)) / n, sum(map(bytes.__eq__, part[1:], part)) / n, n / PASSAGE_WORDS,
@@ -127,59 +130,78 @@ def sample_labels(labels: DataFrame, per_label: int, id_col: str, label_col: str
     return one.where("_y = 0").orderBy(*order).limit(per_label).union(one.where("_y = 1").orderBy(*order).limit(per_label))
 
 
-def spread(x: np.ndarray, most: int) -> np.ndarray:
-    """At most ``most`` rows of ``x``, at even distances from first to last."""
-    return x if len(x) <= most else x[np.linspace(0, len(x) - 1, most).astype(np.int64)]
+def whole_documents(src: DataFrame, passages: int) -> DataFrame:
+    """The rows (_id, _y, _t) to learn from: for each label, in the order of
+    their hashes, as many as have ``passages`` passages together.  A document
+    with over an eighth of them would crowd out the others and is passed over."""
+    n = F.ceil(F.size(F.split(F.col("_t").cast("string"), r"[\x20\x09-\x0D]+")) / PASSAGE_WORDS).cast("long")
+    order = Window.partitionBy("_y").orderBy(F.xxhash64("_id", F.lit(11)), "_id")  # per_label rows at most
+    counted = src.withColumn("_n", F.coalesce(n, F.lit(1).cast("long"))).where(F.col("_n") <= passages // 8)
+    return counted.withColumn("_sum", F.sum("_n").over(order)).where(F.col("_sum") <= passages).select("_id", "_y", "_t")
 
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality",
-          per_label: int = 1200, per_doc: int = 128, **settings) -> Model:
+          per_label: int = 1200, passages: int = 40_000, **settings) -> Model:
     """Fit on the sampled documents.  ``labels`` holds the rows to learn from
     (leave held-out ones out).  Documents without a label aren't read further;
     of rows that repeat an id, the one with the least text counts."""
     picked = sample_labels(labels, per_label, id_col, label_col)
-    src = docs.select(F.col(id_col).alias("_id"), F.col(text_col).cast("binary").alias("_t"))
+    src = docs.select(F.col(f"`{id_col}`").alias("_id"), F.col(f"`{text_col}`").cast("binary").alias("_t"))
     src = src.join(F.broadcast(picked), "_id")  # at most 2 * per_label rows
-    src = src.groupBy("_id", "_y").agg(F.min("_t").alias("_t"))
+    src = whole_documents(src.groupBy("_id", "_y").agg(F.min("_t").alias("_t")), passages)
 
     def run(batches):
         for b in batches:
             for i, y, t in zip(*(b.column(k).to_pylist() for k in range(3))):
-                x = spread(encode(t), per_doc)
                 yield pa.RecordBatch.from_arrays([pa.array([str(i)]), pa.array([y], pa.int32()),
-                                                  pa.array([x.astype(np.float16).tobytes()], pa.binary())], ["id", "y", "x"])
+                                                  pa.array([encode(t).astype(np.float16).tobytes()], pa.binary())], ["id", "y", "x"])
 
-    got = sorted(src.mapInArrow(run, "id string, y int, x binary").collect())
+    got = sorted(src.mapInArrow(lean(run), "id string, y int, x binary").collect())  # 1 kB a passage
     bags = [np.frombuffer(r[2], np.float16).reshape(-1, WIDTH) for r in got]
     return fit(bags, np.array([r[1] for r in got]), **settings)
 
 
+def _chances(model: Model, texts: list) -> np.ndarray:
+    bags = [encode(t) for t in texts]
+    size = np.array([len(x) for x in bags])
+    return 1 / (1 + np.exp(-forward(model, np.concatenate(bags), np.cumsum(size) - size)[0].astype(np.float64)))
+
+
 def score(docs: DataFrame, model: Model, text_col: str = "text", carry: tuple = ("doc_id",), rows: int = 128) -> DataFrame:
     """The ``carry`` columns of every row with score (0 to 1) and predicted.
 
     Null, empty and blank texts are one empty passage.  Very long texts are
     encoded whole (2 kB a passage).  Repeated rows each get a row; other
-    columns are not read; an empty table gives no rows.
+    columns are not read, and a carried one may be named as those added are
+    (the result then has two of that name); an empty table gives no rows.
     """
-    src = docs.select(*(F.col(f"`{c}`") for c in carry), F.col(text_col).cast("binary").alias("_text"))
-    schema = src.drop("_text").withColumns({"score": F.lit(0.0), "predicted": F.lit(0)}).schema
-    names = schema.fieldNames()
+    src = docs.select(F.struct(*(F.col(f"`{c}`") for c in carry)).alias("carried"), F.col(f"`{text_col}`").cast("binary").alias("text"))
+    schema = src.select("carried", F.lit(0.0).alias("score"), F.lit(0).alias("predicted")).schema
 
     def run(batches):
         for b in batches:
             for at in range(0, b.num_rows, rows):
                 part = b.slice(at, rows)
-                bags = [encode(t) for t in part.column(len(carry)).to_pylist()]
-                size = np.array([len(x) for x in bags])
-                logit = forward(model, np.concatenate(bags), np.cumsum(size) - size)[0]
-                p = 1 / (1 + np.exp(-logit.astype(np.float64)))
-                yield pa.RecordBatch.from_arrays([*(part.column(i) for i in range(len(carry))), pa.array(p),
-                                                  pa.array((p >= 0.5).astype(np.int32))], names)
+                p = _chances(model, part.column(1).to_pylist())
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(p), pa.array((p >= 0.5).astype(np.int32))], schema.fieldNames())
 
-    return src.mapInArrow(run, schema)
+    return src.mapInArrow(lean(run), schema).select("carried.*", "score", "predicted")
 
 
-def drop_low_quality(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
-    """``docs`` without the rows that the model rejects."""
-    row = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), F.col(text_col).alias("text"))
-    return score(row, model, "text", ("row",)).where("predicted = 1").select("row.*")
+def drop_low_quality(docs: DataFrame, model: Model, text_col: str = "text", rows: int = 128) -> DataFrame:
+    """``docs`` without the rows that the model rejects, all columns kept.
+
+    Rows go to Python once and only those that stay come back.  Nulls, empty
+    and very long texts as in ``score``; repeated rows share their verdict.
+    """
+    at_text = docs.columns.index(text_col)
+
+    def run(batches):
+        for b in batches:
+            for at in range(0, b.num_rows, rows):
+                part = b.slice(at, rows)
+                stay = _chances(model, part.column(at_text).cast(pa.binary()).to_pylist()) >= 0.5
+                if stay.any():
+                    yield part.filter(pa.array(stay))
+
+    return docs.mapInArrow(lean(run), docs.schema)

@@ -24,10 +24,10 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hirebook.llm.common import connected_components, materialise, spanning_forest
+from hirebook.llm.common import connected_components, lean, materialise, spanning_forest, without
 
 _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 SEED = 42
@@ -57,18 +57,23 @@ def fingerprint(text: bytes | None, shingle: int) -> int:
 
 
 def fingerprints(docs: DataFrame, id_col: str, text_col: str, shingle: int) -> DataFrame:
-    """(id, fp): fp is the fingerprint as a signed long."""
-    src = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("binary").alias("t"))
-    schema = src.select("id", F.lit(0).cast("long").alias("fp")).schema
+    """(id, h, fp): h a hash of the text, fp the fingerprint as a signed long."""
+    src = docs.select(F.col(f"`{id_col}`").alias("id"), text_hash(text_col).alias("h"), F.col(f"`{text_col}`").cast("binary").alias("t"))
+    schema = src.select("id", "h", F.lit(0).cast("long").alias("fp")).schema
 
     def run(batches):
         for b in batches:
             for at in range(0, b.num_rows, 512):
                 part = b.slice(at, 512)
-                fp = np.fromiter((fingerprint(t, shingle) for t in part.column(1).to_pylist()), np.uint64, part.num_rows)
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(fp.view(np.int64))], ["id", "fp"])
+                fp = np.fromiter((fingerprint(t, shingle) for t in part.column(2).to_pylist()), np.uint64, part.num_rows)
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(fp.view(np.int64))], ["id", "h", "fp"])
 
-    return src.mapInArrow(run, schema)
+    return src.mapInArrow(lean(run), schema)
+
+
+def text_hash(text_col: str) -> Column:
+    """Tells the texts of rows that share an id apart."""
+    return F.xxhash64(F.coalesce(F.col(f"`{text_col}`"), F.lit("")))
 
 
 @lru_cache(maxsize=4)
@@ -120,7 +125,7 @@ def _replicas(points: DataFrame, slack: int) -> DataFrame:
                 row, anchor = anchors_of(part, slack)
                 yield pa.RecordBatch.from_arrays([pa.array(anchor), pa.array(part[row])], ["anchor", "fp"])
 
-    return points.mapInArrow(run, "anchor long, fp long")
+    return points.mapInArrow(lean(run), "anchor long, fp long")
 
 
 def _links(groups: DataFrame, t: int, width: int = 16) -> DataFrame:
@@ -171,7 +176,7 @@ def _links(groups: DataFrame, t: int, width: int = 16) -> DataFrame:
             x = [np.concatenate(c) for c in zip(*held)]
             yield send(solve(x[0], x[1], x[2].view(np.uint64)))
 
-    return groups.select("anchor", "tile", "fp").mapInArrow(run, "a long, b long")
+    return groups.select("anchor", "tile", "fp").mapInArrow(lean(run), "a long, b long")
 
 
 def _tiled(replicas: DataFrame, tile: int, buckets: int = 1 << 18) -> DataFrame:
@@ -210,6 +215,12 @@ def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     when the smallest is taken (null only if all ids of the component are).
     Repeated rows each get a row.  Other columns are not read.
     """
+    return _components(docs, id_col, text_col, shingle, max_bits, tile).select(
+        F.col("id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def _components(docs: DataFrame, id_col: str, text_col: str, shingle: int, max_bits: int, tile: int) -> DataFrame:
+    """(fp, id, h, component_id) of every row."""
     rows = materialise(fingerprints(docs, id_col, text_col, shingle), "simhash")
     points = materialise(rows.groupBy("fp").agg(F.min("id").alias("rep")), "simhash-points")
     # few bytes a row become many replicas: deal them over all tasks
@@ -224,14 +235,20 @@ def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     # points alone keep their own id; only larger components are joined
     ids = named.join(least.where("points > 1"), "component", "left").select(
         "fp", F.when(F.col("points").isNull(), F.col("rep")).otherwise(F.col("component_id")).alias("component_id"))
-    return rows.join(ids, "fp").select(F.col("id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
-                                       "component_id")
+    return rows.join(ids, "fp")
 
 
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4,
-                     max_bits: int = 4) -> DataFrame:
-    """``docs`` without the rows whose id is not their component's smallest;
-    rows that repeat that id stay.  Null ids stay (they name no document)."""
-    gone = (simhash_components(docs, id_col, text_col, shingle, max_bits)
-            .where(F.col(id_col) != F.col("component_id")).select(F.col(id_col).alias("__gone")).distinct())
-    return docs.join(gone, F.col(id_col) == F.col("__gone"), "left_anti")
+                     max_bits: int = 4, tile: int = 16384) -> DataFrame:
+    """``docs`` without the rows whose id is not their component's smallest,
+    all columns kept.
+
+    Rows that repeat that id and are in the component stay, and rows of an id
+    with several texts go or stay by each text.  Null ids stay (they name no
+    document).  Null and empty texts are copies of each other.  An empty table
+    gives no rows.
+    """
+    gone = _components(docs, id_col, text_col, shingle, max_bits, tile).where("id != component_id").select(
+        "id", "h").distinct()
+    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), F.col(f"`{id_col}`").alias("id"), text_hash(text_col).alias("h"))
+    return without(rows, materialise(gone, "near-copies"), ["id", "h"]).select("row.*")

@@ -20,7 +20,7 @@ def test_query_matches_oracle(spark, name):
 def test_all_are_registered():
     import __spark_entry__ as E
     assert {*QUERIES, "pipeline"} <= set(E.queries()) and set(ORACLE_SQL) <= set(E.oracle_sql())
-    assert sorted(int(n.split("_")[0][2:]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n.split("_")[0][2:]) for n in QUERIES) == list(range(1, 14))
 
 
 def test_pipeline_against_its_operators_in_plain_python(spark):

@@ -37,6 +37,22 @@ def test_repeated_rows_and_null_ids(spark):
     assert sorted(((r[0], r[1]) for r in X.drop_exact_copies(df).collect()), key=str) == sorted([(1, "a"), (1, "b"), (None, "z")], key=str)
 
 
+@pytest.mark.parametrize("most", [200_000, 0])
+def test_whole_rows_are_shuffled_once_at_most(spark, monkeypatch, most, tmp_path):
+    from hirebook.llm import common
+
+    monkeypatch.setattr(X, "without", lambda rows, gone, keys: common.without(rows, gone, keys, most))
+    threshold = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(threshold)
+    spark.conf.set(threshold, "-1")
+    spark.createDataFrame([(i, f"text {i % 7}", "x" * 20) for i in range(50)], "doc_id long, text string, __id string").write.parquet(str(tmp_path / "docs"))
+    left = X.drop_exact_copies(spark.read.parquet(str(tmp_path / "docs")))
+    assert sorted(r.doc_id for r in left.collect()) == list(range(43, 50))
+    plan = left._jdf.queryExecution().executedPlan().toString()
+    spark.conf.set(threshold, before)
+    assert plan.split("Initial Plan")[-1].count("Exchange hashpartitioning") == (2 if most == 0 else 0)  # the copies' digests and the rows
+
+
 def test_short_digests_that_collide_do_not_merge(spark, monkeypatch):
     monkeypatch.setattr(X.F, "xxhash64", lambda *c: X.F.lit(7).cast("long"))
     df = spark.createDataFrame([(1, "a"), (2, "b"), (3, "A")], "doc_id long, text string")

@@ -51,11 +51,60 @@ def test_attention_finds_one_bad_passage():
     assert ((z >= 0) == np.array(y[300:], bool)).mean() > 0.95
 
 
-def test_long_training_documents_are_bounded():
-    x = np.arange(1000)[:, None]
-    assert Q.spread(x, 1000) is x and len(Q.spread(x, 1)) == 1
-    got = Q.spread(x, 128)[:, 0]
-    assert len(got) == 128 and got[0] == 0 and got[-1] == 999 and set(np.diff(got)) <= {7, 8}
+def test_training_documents_are_whole_and_bounded(spark):
+    words = {1: 3000, 2: 128 * 5, 3: 128 * 5 + 1, 4: 1, 5: 0, 6: 128 * 20}
+    rows = [(i, i % 2, " ".join(["w"] * n).encode()) for i, n in words.items()] + [(8, 0, None)]
+    src = spark.createDataFrame(rows, "_id long, _y int, _t binary")
+    for most in (8, 40, 48, 200, 10**6):
+        got = {r._id: r._t for r in Q.whole_documents(src, most).collect()}
+        for y in (0, 1):
+            n = [max(1, -(-words.get(i, 0) // Q.PASSAGE_WORDS)) for i in got if i % 2 == y]
+            assert sum(n) <= most and all(k <= most // 8 for k in n)
+        assert all(bytes(t or b"") == dict((r[0], r[2]) for r in rows)[i] or t is None for i, t in got.items())
+    assert len(got) == len(rows)
+
+
+def plain_train(docs, labels, per_label=1200):
+    """``train`` and ``score`` in plain Python: {row: score}."""
+    import xxhash
+
+    one = {}
+    for i, y in labels:
+        if i is not None and y in (0, 1):
+            one[i] = min(y, one.get(i, y))
+    def order(i):  # Spark's xxhash64(long, 11)
+        h = xxhash.xxh64_intdigest(int(i).to_bytes(8, "little", signed=True), 42)
+        h = xxhash.xxh64_intdigest((11).to_bytes(4, "little"), h)
+        return h - (1 << 64 if h >> 63 else 0), i
+    picked = [i for y in (0, 1) for i in sorted((i for i in one if one[i] == y), key=order)[:per_label]]
+    text = {}
+    for i, t in docs:
+        if i in one and t is not None:
+            text[i] = min(text.get(i, t.encode()), t.encode())
+    known = sorted((str(i), i) for i in picked if i in text)
+    bags = [Q.encode(text[i]).astype(np.float16) for _, i in known]
+    m = Q.fit(bags, np.array([one[i] for _, i in known]))
+    out = {}
+    for i, t in docs:
+        x = Q.encode((t or "").encode())
+        out[i] = 1 / (1 + np.exp(-float(Q.forward(m, x, np.array([0]))[0][0])))
+    return out
+
+
+def test_query_against_plain_python(spark):
+    import zlib
+
+    from hirebook.llm.catalog import QUERIES
+
+    d = "/root/testdata/sf0.001"
+    docs = [(r.doc_id, r.text) for r in spark.read.parquet(f"{d}/documents.parquet").collect()]
+    labels = [(r.doc_id, r.quality) for r in spark.read.parquet(f"{d}/labels.parquet").collect()]
+    want = plain_train(docs, [(i, y) for i, y in labels if zlib.crc32(str(i).encode()) % 3 != 1])
+    got = QUERIES["op9_mil_quality"](spark, d).collect()
+    assert len(got) == len(docs)
+    for r in got:
+        assert r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 3 == 1) and r.predicted == (r.score >= 0.5)
+        assert r.score == pytest.approx(want[r.doc_id], abs=1e-3)
 
 
 def test_held_out_accuracy(spark):
@@ -80,4 +129,6 @@ def test_edges(spark):
         assert len(rows) == 5 and all(0 <= r.score <= 1 for r in rows)
         kept = Q.drop_low_quality(docs, m)
         assert kept.columns == docs.columns and kept.count() == sum(r.predicted for r in rows)
-    assert Q.score(docs.limit(0), m).collect() == []
+    assert Q.score(docs.limit(0), m).collect() == [] and Q.drop_low_quality(docs.limit(0), m).collect() == []
+    carried = Q.score(docs, m, carry=("doc_id", "score"))
+    assert carried.columns == ["doc_id", "score", "score", "predicted"] and sorted(r[1] for r in carried.collect() if r[1]) == [1, 2, 3, 3]

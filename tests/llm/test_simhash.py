@@ -80,6 +80,16 @@ def test_documents(spark):
     assert sorted((r[0] for r in kept.collect()), key=str) == [3, 5, 8, 8, None]
 
 
+@pytest.mark.parametrize("most", [200_000, 0])
+def test_rows_of_one_id_go_or_stay_by_their_text(spark, monkeypatch, most):
+    from hirebook.llm import common
+
+    monkeypatch.setattr(S, "without", lambda rows, gone, keys: common.without(rows, gone, keys, most))
+    df = spark.createDataFrame([(1, "the same text of all", 1), (5, "the same text of all", 2), (5, "quite another one here", 3), (5, None, 4), (7, "", 5)],
+                               "doc_id long, text string, h int")
+    assert sorted(r.h for r in S.drop_near_copies(df).collect()) == [1, 3, 4]
+
+
 def test_empty_table(spark):
     df = spark.createDataFrame([], "doc_id long, text string")
     assert S.simhash_components(df).collect() == [] and S.drop_near_copies(df).collect() == []
