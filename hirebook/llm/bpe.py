@@ -36,8 +36,8 @@ SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 WORD_END = "</w>"
 CLASSES = (r"\s", r"\p{L}", r"\p{N}")
 
-CACHE = 120_000  # words, then the cache starts anew
-PAIRS = 120_000
+CACHE = 100_000  # words of the newer and of the older half of the cache
+PAIRS = 200_000  # pairs of tokens, then their cache starts anew
 
 
 def _ranges(marked: np.ndarray) -> str:
@@ -46,7 +46,7 @@ def _ranges(marked: np.ndarray) -> str:
     return "".join(f"\\U{a:08x}-\\U{b - 1:08x}" for a, b in edge.reshape(-1, 2))
 
 
-WHITE = re.compile("[\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")  # beyond ASCII; the tables tell if the file differs
+ASCII_WORDS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\x09-\x0d\x20a-z0-9]+").findall
 
 
 def low_plane(inside: str) -> str:
@@ -89,6 +89,10 @@ def unicode_tables(data: bytes) -> tuple[str, str, str, str]:
     return *map(_ranges, marked), _ranges(odd)
 
 
+def _splitter(space: str, letters: str, numbers: str):
+    return re.compile(SPLIT.replace(r"\s", space).replace(r"\p{L}", letters).replace(r"\p{N}", numbers)).findall
+
+
 def normaliser(data: bytes):
     """The file's own normaliser, as a function of a text."""
     from tokenizers import Regex, normalizers
@@ -128,8 +132,9 @@ class Encoder:
         self.may_be_odd = re.compile(f"[{low_plane(odd)}\U00010000-\U0010ffff]")
         self.odd = re.compile(f"[{odd}]") if odd else re.compile("(?!)")
         self.normal = normaliser(data)
-        self.words_of = regex.compile(SPLIT.replace(r"\s", r"\x09-\x0d\x20")).findall
-        self.odd_words_of = re.compile(SPLIT.replace(r"\s", space).replace(r"\p{L}", letters).replace(r"\p{N}", numbers)).findall
+        classes = space, letters, numbers
+        self.words_of = _splitter(*classes)
+        self.low_words_of = _splitter(*map(low_plane, classes))  # a set of the first plane alone is a table look-up
         symbols = byte_symbols()
         keys, names, inner = [], [], {}
 
@@ -158,7 +163,7 @@ class Encoder:
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.text_of = {i: t for t, i in vocab.items()} | {i: t for t, i in self.special.items()}
         self.cut = regex.compile("(" + "|".join(regex.escape(t) for t in sorted(self.special, key=len, reverse=True)) + ")") if self.special else None
-        self.may, self.words = {}, {}
+        self.may, self.new, self.old = {}, {}, {}
         self.automaton = ahocorasick.Automaton()
         whole = [True] * self.base
         for t in range(self.base, len(keys)):
@@ -192,12 +197,12 @@ class Encoder:
                 continue
             start = end - length[token]
             if start:
-                pair = last[start], token
+                pair = last[start] << 20 | token
                 ok = may.get(pair)
                 if ok is None:
                     if len(may) >= PAIRS:
                         may.clear()
-                    ok = may[pair] = self._compatible(*pair)
+                    ok = may[pair] = self._compatible(last[start], token)
                 if not ok:
                     continue
             last[end] = token
@@ -211,21 +216,24 @@ class Encoder:
     def _split(self, text: str) -> list[str]:
         """The words of a text without special tokens, normalised."""
         if text.isascii():
-            return self.words_of(text.lower())
-        if self.may_be_odd.search(text) and self.odd.search(text):
-            return self.odd_words_of(self.normal(text))
-        return self.words_of(WHITE.sub(" ", _plain(text)))
+            return ASCII_WORDS(text.lower())
+        if not self.may_be_odd.search(text):
+            return self.low_words_of(_plain(text))
+        if not self.odd.search(text):
+            return self.words_of(_plain(text))
+        return self.words_of(self.normal(text))
 
     def _piece(self, text: str) -> bytes:
-        words, out = self.words, []
+        new, old, out = self.new, self.old, []
         for w in self._split(text):
-            ids = words.get(w)
+            ids = new.get(w)
             if ids is None:
-                ids = self._word(w)
+                ids = old.get(w) or self._word(w)
                 if len(w) <= 64:
-                    if len(words) >= CACHE:
-                        words.clear()
-                    words[w] = ids
+                    if len(new) >= CACHE:
+                        self.old, old = new, new
+                        self.new = new = {}
+                    new[w] = ids
             out.append(ids)
         return b"".join(out)
 
