@@ -8,6 +8,7 @@ a scalar ``max(x, 0)`` is NULL when ``x`` is NULL (unlike ``greatest``).
 from __future__ import annotations
 
 import datetime as _dt
+from decimal import Decimal
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -16,6 +17,9 @@ from pyspark.sql import types as T
 from hirebook.params import Bounds, as_bound
 
 
+MONEY_UNITS = 100_000_000  # parts of a unit that exact_sum adds
+
+
 def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
@@ -57,6 +61,30 @@ def ratio(df, num: str, den: str, truncate: bool = False) -> Column:
     return safe_div(num, den)
 
 
+def exact_sum(x, over=None) -> Column:
+    """Sum of a double amount that doesn't depend on the order of the rows.
+
+    Each amount is taken to the nearest 10**-8 and added as whole units and
+    hundred-millionths, two longs that add exactly, so every partitioning
+    gives the same bits and equal totals compare as equal. Amounts of 2**53
+    and more, infinite ones and NaN are added as doubles. NULLs are skipped;
+    the sum of none is NULL. ``over``: a window to sum over.
+    """
+    c = _col(x)
+    plain, whole = F.abs(c) < float(1 << 53), F.floor(c)
+    sums = [F.sum(F.when(plain, whole)), F.sum(F.when(plain, F.floor((c - whole) * MONEY_UNITS + 0.5))), F.sum(F.when(~plain, c))]
+    units, parts, others = [s.over(over) for s in sums] if over is not None else sums
+    whole = units.cast("decimal(20,0)") * F.lit(MONEY_UNITS).cast("decimal(10,0)") + parts.cast("decimal(20,0)")
+    known = (whole.cast("decimal(28,0)") * F.lit(Decimal(1) / MONEY_UNITS)).cast("double")
+    return F.when(units.isNull(), others).otherwise(known + F.coalesce(others, F.lit(0.0)))
+
+
+def total(df, name: str) -> Column:
+    """``exact_sum`` of a column of ``df``; integers and decimals add exactly as they are."""
+    double = isinstance(df.schema[name].dataType, (T.DoubleType, T.FloatType))
+    return exact_sum(name) if double else F.sum(name)
+
+
 def money(x, digits: int = 2) -> Column:
     """Round a reported amount; ``+ 0.0`` turns a negative zero positive."""
     return F.round(_col(x).cast("double"), digits) + F.lit(0.0)

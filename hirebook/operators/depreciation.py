@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hirebook.functions.expr import clamp, ratio
+from hirebook.functions.expr import clamp, exact_sum, ratio
 
 # Fixed values of the depreciation journal.
 JE_NO = "DEP01"
@@ -43,7 +43,7 @@ def depr_by_user(ppe: DataFrame, year: int, month: int, truncate: bool = False)
     per_month = ratio(p, "_base", "life", truncate)
     charge = F.round(per_month * (_months_used(year, month) - _months_used(year, int(month) - 1)), 2)
     return (p.groupBy("company", F.col("ppe_user").alias("ppe_user"))
-            .agg(F.round(F.sum(charge), 2).alias("CurrentDep")))
+            .agg(F.round(exact_sum(charge), 2).alias("CurrentDep")))
 
 
 def depr_journal(ppe: DataFrame, depr_alloc: DataFrame, year: int, month: int,
@@ -64,7 +64,7 @@ def depr_journal(ppe: DataFrame, depr_alloc: DataFrame, year: int, month: int,
         F.col("CurrentDep").alias("Debit"), F.lit(0.0).alias("Credit"), empty.alias("ep_id"),
         F.lit(JE_TYPE).alias("je_type"), F.substring("ma_account_id", 3, 4).alias("top"),
         F.substring("ma_account_id", 3, 20).alias("pure_account_id"))
-    credit = d.groupBy(F.col("company").alias("entity")).agg(F.sum("CurrentDep").alias("Credit")).select(
+    credit = d.groupBy(F.col("company").alias("entity")).agg(exact_sum("CurrentDep").alias("Credit")).select(
         "entity", date.alias("date"), F.lit(JE_NO).alias("JE_No"),
         F.lit(ACCUMULATED_DEPRECIATION).alias("ma_account_id"), empty.alias("ma_account_name"),
         empty.alias("ep_name"), (-F.col("Credit")).alias("amount"), F.lit(0.0).alias("Debit"), "Credit",

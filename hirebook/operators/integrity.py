@@ -2,29 +2,43 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from hirebook.functions.expr import exact_sum
 
 STOCK_KEYS = ("q_id", "site_name", "equip_type_name")
 
 
 def relocation_stock(relocation: DataFrame) -> DataFrame:
-    """Running stock of each (contract, site, type) at each movement date.
-
-    Same-day movements net off before the running sum (a range frame over
-    dates). Movements are first summed per group and day, which bounds the
-    window input of any group by its number of distinct dates however many
-    rows it holds. Rows with a NULL key or date are not part of any group.
+    """Running stock of each (contract, site, type) at each movement's date or instant.
+
+    Movements of one instant net off before the running sum. It is a prefix
+    sum in two levels: the stock before a day comes from a window over the
+    group's daily totals, the movements of a day are summed in a window of
+    their own, so a group with a third of all movements, at distinct seconds,
+    is many windows, the largest bounded by a day (or by the group's number
+    of days). Plain dates need the first level only. Rows with a NULL key or
+    date are not part of any group.
     """
     keys = list(STOCK_KEYS)
-    valid = F.lit(True)
-    for k in keys + ["date"]:
-        valid = valid & F.col(k).isNotNull()
-    daily = (relocation.where(valid)
-             .groupBy(*keys, "date")
-             .agg(F.sum(F.col("quantity") * F.col("direction")).alias("net")))
-    w = Window.partitionBy(*keys).orderBy("date").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return daily.select(*keys, "date", F.sum("net").over(w).alias("stock"))
+    valid = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in (*keys, "date")])
+    moved = F.sum(F.col("quantity") * F.col("direction")).alias("net")
+    by_day = Window.partitionBy(*keys).orderBy("day")
+    if isinstance(relocation.schema["date"].dataType, T.DateType):
+        daily = relocation.where(valid).groupBy(*keys, F.col("date").alias("day")).agg(moved)
+        return daily.select(*keys, F.col("day").alias("date"), F.sum("net").over(by_day.rowsBetween(Window.unboundedPreceding, 0)).alias("stock"))
+    instants = relocation.where(valid).groupBy(*keys, F.to_date("date").alias("day"), "date").agg(moved)
+    days = instants.groupBy(*keys, "day").agg(F.sum("net").alias("net"))
+    before = F.coalesce(F.sum("net").over(by_day.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    opening = days.select(*[F.col(k).alias(f"of_{k}") for k in (*keys, "day")], before.alias("before"))
+    within = Window.partitionBy(*keys, "day").orderBy("date").rowsBetween(Window.unboundedPreceding, 0)
+    running = instants.select(*keys, "day", "date", F.sum("net").over(within).alias("since"))
+    same = reduce(lambda a, b: a & b, [F.col(k) == F.col(f"of_{k}") for k in (*keys, "day")])
+    return running.join(opening, same).select(*keys, "date", (F.col("before") + F.col("since")).alias("stock"))
 
 
 def relocation_negative(relocation: DataFrame) -> DataFrame:
@@ -41,10 +55,10 @@ def relocation_negative_first(relocation: DataFrame) -> DataFrame:
 def bf_reconciliation(ep_bf: DataFrame, account_bf: DataFrame) -> DataFrame:
     """Per control account, general-ledger b/f minus the sum of the
     parties' b/f. The id is the ledger side's (NULL when it has none)."""
-    eps = ep_bf.groupBy(F.col("ma_account_id").alias("MID")).agg(F.sum("amount").alias("EPSUM"))
-    bf = account_bf.select("bf_amount", "ma_account_id")
-    return (eps.join(bf, F.col("MID") == F.col("ma_account_id"), "left")
-            .select("ma_account_id", (F.col("bf_amount") - F.col("EPSUM")).alias("BFDIFF")))
+    parties = ep_bf.groupBy(F.col("ma_account_id").alias("control_id")).agg(exact_sum("amount").alias("of_parties"))
+    ledger = account_bf.select("bf_amount", "ma_account_id")
+    return (parties.join(ledger, F.col("control_id") == F.col("ma_account_id"), "left")
+            .select("ma_account_id", (F.col("bf_amount") - F.col("of_parties")).alias("BFDIFF")))
 
 
 def _missing_party(chart: DataFrame, rows: DataFrame) -> DataFrame:

@@ -6,8 +6,9 @@ two fixed VAT accounts and the whole amount to the bank account.
 
 The reports scanned ``bankstatement`` four times per statement (per
 account, VAT in, VAT out, bank). Here one grouped pass computes the four
-conditional sums per account, and their totals come from those. Partial aggregation runs before the shuffle, so a dominant
-account only ever contributes one row per task.
+conditional sums per account, and their totals come from those. Partial
+aggregation runs before the shuffle, so a dominant account only ever
+contributes one row per task. Amounts are summed exactly (``exact_sum``).
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hirebook.functions.expr import in_period, sgn
+from hirebook.functions.expr import exact_sum, in_period, sgn
 from hirebook.params import Bounds
 
 # The reports' own accounts for the bank and the two VAT sides.
@@ -36,9 +37,9 @@ def bank_account_sums(bank: DataFrame, lo, hi) -> DataFrame:
     from that small result.
     """
     rows = _signed_rows(bank, lo, hi)
-    per_name = rows.groupBy("ma_account_id", "ma_account_name").agg(*[F.sum(m).alias(m) for m in MEASURES])
+    per_name = rows.groupBy("ma_account_id", "ma_account_name").agg(*[exact_sum(m).alias(m) for m in MEASURES])
     return per_name.groupBy("ma_account_id").agg(
-        F.min("ma_account_name").alias("ma_account_name"), *[F.sum(m).alias(m) for m in MEASURES])
+        F.min("ma_account_name").alias("ma_account_name"), *[exact_sum(m).alias(m) for m in MEASURES])
 
 
 def bank_by_account(bank: DataFrame, lo, hi) -> DataFrame:
@@ -75,7 +76,7 @@ def _fixed_lines() -> list[Column]:
 
 def _totals(bank: DataFrame, lo, hi) -> DataFrame:
     """One row: the sums over all bank rows in (lo, hi] (NULL over none)."""
-    return _signed_rows(bank, lo, hi).agg(*[F.sum(m).alias(m) for m in MEASURES])
+    return _signed_rows(bank, lo, hi).agg(*[exact_sum(m).alias(m) for m in MEASURES])
 
 
 def bank_vat(bank: DataFrame, lo, hi) -> DataFrame:
@@ -91,11 +92,21 @@ def bank_total(bank: DataFrame, lo, hi) -> DataFrame:
 def bank_movements(bank: DataFrame, lo, hi, distinct: bool = True) -> DataFrame:
     """Bank, VAT and counter-account lines (set union, as the reports).
 
-    The totals are summed from the per-account sums, which both branches
-    read from one exchange."""
-    per_account = bank_account_sums(bank, lo, hi)
-    fixed = per_account.agg(*[F.sum(m).alias(m) for m in MEASURES]).select(F.inline(F.array(*_fixed_lines())))
-    u = fixed.unionByName(per_account.select("ma_account_id", "ma_account_name", (-F.col("net")).alias("Amount")))
+    One scan: the bank rows become four sums per (account, name), each of
+    those small rows gives its own line and its share of the three fixed
+    ones, and the lines are summed once more. The fixed lines are there (NULL)
+    in a period without rows.
+    """
+    sums = _signed_rows(bank, lo, hi).groupBy("ma_account_id", "ma_account_name").agg(*[exact_sum(m).alias(m) for m in MEASURES])
+    own = F.struct(F.col("ma_account_id"), F.col("ma_account_name"), (-F.col("net")).alias("Amount"))
+    shares = F.array(*[F.struct(F.lit(fixed).alias("fixed"), line.alias("line"))
+                       for fixed, line in ((False, own), *[(True, line) for line in _fixed_lines()])])
+    none = F.lit(None).cast("double")
+    nothing = bank.sparkSession.range(1, numPartitions=1).select(F.inline(F.array(*[
+        F.struct(F.lit(True).alias("fixed"), line.alias("line")) for line in _fixed_structs(none, none, none)])))
+    lines = sums.select(F.inline(shares)).unionByName(nothing).select("fixed", "line.*")
+    # the smallest name: hash-aggregated by name above, picked from few rows here
+    u = lines.groupBy("fixed", "ma_account_id").agg(F.min("ma_account_name").alias("ma_account_name"), exact_sum("Amount").alias("Amount")).drop("fixed")
     return u.distinct() if distinct else u
 
 
@@ -104,10 +115,10 @@ def adj_by_account(aje: DataFrame, lo, hi) -> DataFrame:
     Hash-aggregated by (account, name) first, as ``bank_account_sums``."""
     per_name = (aje.where(in_period("date", lo, hi, Bounds.HALF_OPEN))
                 .groupBy("ma_account_id", "ma_account_name")
-                .agg(F.sum("debit").alias("debit"), F.sum("credit").alias("credit")))
+                .agg(exact_sum("debit").alias("debit"), exact_sum("credit").alias("credit")))
     return per_name.groupBy("ma_account_id").agg(
         F.min("ma_account_name").alias("ma_account_name"),
-        (F.coalesce(F.sum("debit"), F.lit(0.0)) - F.coalesce(F.sum("credit"), F.lit(0.0))).alias("amount"))
+        (F.coalesce(exact_sum("debit"), F.lit(0.0)) - F.coalesce(exact_sum("credit"), F.lit(0.0))).alias("amount"))
 
 
 def _on_chart(chart: DataFrame, movements: DataFrame, adjustments: DataFrame,
@@ -144,4 +155,4 @@ def cash_flow(bank: DataFrame, start, end) -> DataFrame:
     return (bank.where(in_period("date", start, end, Bounds.HALF_OPEN))
             .groupBy("suggested_cf")
             .agg(F.min("cf_account_id").alias("cf_account_id"),
-                 (-F.sum(sgn() * (F.col("amount") - F.col("vat")))).alias("Amount")))
+                 (-exact_sum(sgn() * (F.col("amount") - F.col("vat")))).alias("Amount")))

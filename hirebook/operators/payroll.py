@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from hirebook.functions.expr import exact_sum
+
 RECOVERABLE = "social_security_recoverable"
 MEASURES = ("total_salary", "individual_income_tax", "social_security_employee",
             "house_tax", "social_security_employer")
@@ -65,7 +67,7 @@ def _lines(totals: DataFrame, spec, amounts: dict[int, F.Column], year, month) -
 
 
 def _sum0(c, name: str) -> F.Column:
-    return F.coalesce(F.sum(c), F.lit(0.0)).alias(name)
+    return F.coalesce(exact_sum(c), F.lit(0.0)).alias(name)
 
 
 def month_totals(month_rows: DataFrame) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from hirebook.functions.expr import exact_sum
 from hirebook.operators.rental import (REVENUE, STD_COST, RentTables,
                                        accrued_revenue, shared_summary,
                                        std_cost_by_contract)
@@ -22,7 +23,7 @@ def contract_profitability(t: RentTables, equip_dailycost: DataFrame, start, end
     summary = shared_summary(t.relocation, start, end)
     rev = (accrued_revenue(t, start, end, summary=summary)
            .groupBy(F.col("q_id").alias("revenue_q_id"))
-           .agg(F.sum(REVENUE).alias("Revenue")))
+           .agg(exact_sum(REVENUE).alias("Revenue")))
     cost = (std_cost_by_contract(t.relocation, equip_dailycost, start, end, summary=summary)
             .select(F.col("q_id").alias("cost_q_id"), STD_COST))
     parties = t.vq.select(F.col("q_id").alias("party_q_id"), "ep_id", "ep_name").distinct()
@@ -41,5 +42,5 @@ def client_profitability(contracts: DataFrame) -> DataFrame:
     smallest if several) is then picked from that small result, since
     ``min`` of a string would make the big aggregate sort-based."""
     cols = ("Revenue", "StdCost", "GrossProfit")
-    per_name = contracts.groupBy("ep_id", "ep_name").agg(*[F.sum(c).alias(c) for c in cols])
-    return per_name.groupBy("ep_id").agg(F.min("ep_name").alias("ep_name"), *[F.sum(c).alias(c) for c in cols])
+    per_name = contracts.groupBy("ep_id", "ep_name").agg(*[exact_sum(c).alias(c) for c in cols])
+    return per_name.groupBy("ep_id").agg(F.min("ep_name").alias("ep_name"), *[exact_sum(c).alias(c) for c in cols])

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hirebook.functions.expr import date_lit, in_period, sgn
+from hirebook.functions.expr import date_lit, exact_sum, in_period, sgn
 from hirebook.operators.rental import invoiced_revenue
 from hirebook.params import Bounds
 
@@ -25,20 +25,20 @@ def client_receipts(bank: DataFrame, ar_code: str, start, end,
     amt = sgn() * F.col("amount") if reverse_cancelled else F.col("amount")
     return (bank.where((F.col("ma_account_id") == ar_code)
                        & in_period("date", start, end, Bounds.OPEN))
-            .groupBy("ep_id", "ep_name").agg(F.sum(amt).alias("Received_amount")))
+            .groupBy("ep_id", "ep_name").agg(exact_sum(amt).alias("Received_amount")))
 
 
 def client_opening_bf(external_parties: DataFrame, ep_bf: DataFrame, ar_code: str) -> DataFrame:
     """Every client with its brought-forward receivable (NULL if none)."""
     clients = external_parties.where(F.col("ep_type") == "client").select("ep_id")
     bf = (ep_bf.where(F.col("ma_account_id") == ar_code)
-          .groupBy(F.col("ep_id").alias("bf_id")).agg(F.sum("amount").alias("amount")))
+          .groupBy(F.col("ep_id").alias("bf_id")).agg(exact_sum("amount").alias("amount")))
     return clients.join(bf, F.col("ep_id") == F.col("bf_id"), "left").select("ep_id", "amount")
 
 
 def _receipts_by_party(bank: DataFrame, ar_code: str, lo, hi, name: str) -> DataFrame:
     return (bank.where((F.col("ma_account_id") == ar_code) & in_period("date", lo, hi, Bounds.HALF_OPEN))
-            .groupBy(F.col("ep_id").alias("paid_by")).agg(F.sum("amount").alias(name)))
+            .groupBy(F.col("ep_id").alias("paid_by")).agg(exact_sum("amount").alias(name)))
 
 
 def client_opening_at(opening_bf: DataFrame, bank: DataFrame, invoice: DataFrame,
@@ -73,12 +73,12 @@ def client_recovery_by_client(external_parties: DataFrame, ep_bf: DataFrame, ban
     d, s = F.col("date"), date_lit(start)
     rec = (bank.where((F.col("ma_account_id") == ar_code) & in_period("date", bf_date, end, Bounds.HALF_OPEN))
            .groupBy(F.col("ep_id").alias("paid_by"))
-           .agg(F.sum(F.when(d <= s, F.col("amount"))).alias("rec0"),
-                F.sum(F.when(d > s, F.col("amount"))).alias("receiving")))
+           .agg(exact_sum(F.when(d <= s, F.col("amount"))).alias("rec0"),
+                exact_sum(F.when(d > s, F.col("amount"))).alias("receiving")))
     inv = (invoice.where(in_period("date", bf_date, end, Bounds.HALF_OPEN))
            .groupBy("client_id")
-           .agg(F.sum(F.when(d <= s, F.col("price_vat_total"))).alias("inv0"),
-                F.sum(F.when(d > s, F.col("price_vat_total"))).alias("Invoiced")))
+           .agg(exact_sum(F.when(d <= s, F.col("price_vat_total"))).alias("inv0"),
+                exact_sum(F.when(d > s, F.col("price_vat_total"))).alias("Invoiced")))
     names = external_parties.select(F.col("ep_id").alias("named_id"), "ep_name")
     k = F.col("ep_id")
     j = (bf.join(rec, k == F.col("paid_by"), "left")
@@ -101,7 +101,7 @@ def client_clearing(bank: DataFrame, invoice: DataFrame, ar_code: str, start, en
     its names: several names don't multiply the contracts (the reports give
     every name a row per contract)."""
     rec = client_receipts(bank, ar_code, start, end, reverse_cancelled).groupBy("ep_id").agg(
-        F.min("ep_name").alias("ep_name"), F.sum("Received_amount").alias("Received_amount"))
+        F.min("ep_name").alias("ep_name"), exact_sum("Received_amount").alias("Received_amount"))
     inv = invoiced_revenue(invoice, start, end, Bounds.OPEN)
     return inv.join(rec, F.col("ep_id") == F.col("client_id"), "inner").select(
         "ep_id", "ep_name", "Received_amount", "Invoiced_Total")

@@ -11,12 +11,12 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hirebook.functions.expr import clamp0, date_lit, days_since, in_period, ratio
+from hirebook.functions.expr import clamp0, date_lit, days_since, exact_sum, in_period, ratio, total
 from hirebook.params import Bounds
+from hirebook.session import keep
 
 BF_COL = "accumulated_machine_days_per_starting"
 CF_COL = "accumulated_machine_days_per_ending"
@@ -50,8 +50,8 @@ def machine_days_summary(machine_day_rows: DataFrame) -> DataFrame:
     g = machine_day_rows.groupBy("q_id", "equip_type_name").agg(
         F.min("qt_id").alias("qt_id"),
         F.min("equip_type_id").alias("equip_type_id"),
-        F.sum(BF_COL).alias("Accumulated_machine_days_BF"),
-        F.sum(CF_COL).alias("Accumulated_machine_days_CF"),
+        total(machine_day_rows, BF_COL).alias("Accumulated_machine_days_BF"),
+        total(machine_day_rows, CF_COL).alias("Accumulated_machine_days_CF"),
     )
     return g.select("q_id", "qt_id", "equip_type_name", "equip_type_id",
                     "Accumulated_machine_days_BF", "Accumulated_machine_days_CF",
@@ -115,14 +115,14 @@ def rent_type2(vq: DataFrame, vq_equip: DataFrame, summary: DataFrame, truncate:
     row, and reads the quotations once.
     """
     combined = (summary.groupBy(F.col("qt_id").alias("line"))
-                .agg(F.sum(PERIOD_DAYS).alias("Combined_machine_days")))
+                .agg(total(summary, PERIOD_DAYS).alias("line_days")))
     sumq = quantity_by_quotation(vq_equip)
     priced = quotations(vq, 2).join(sumq, "qt_id", "left")
     unit = priced.select("q_id", F.col("qt_id").alias("priced_line"),
-                         ratio(priced, "rent_daily", "sumofquantity", truncate).alias("unitprice"))
+                         ratio(priced, "rent_daily", "sumofquantity", truncate).alias("price"))
     j = combined.join(unit, F.col("line") == F.col("priced_line"), "inner")
     return j.select("q_id", F.col("line").alias("qt_id"),
-                    (F.col("Combined_machine_days") * F.col("unitprice")).alias(REVENUE))
+                    (F.col("line_days") * F.col("price")).alias(REVENUE))
 
 
 def shared_summary(relocation: DataFrame, start, end, reuse: bool = True) -> DataFrame:
@@ -132,10 +132,10 @@ def shared_summary(relocation: DataFrame, start, end, reuse: bool = True) -> Dat
     dealt by contract and marked to be kept when the report's own action
     first computes it: rent, revenue and cost per contract then share that
     partitioning, and a lost block is computed again from its lineage.
-    ``unpersist()`` it when the reports are done.
+    ``session.release()`` frees it when the reports are done.
     """
     s = machine_days_summary(machine_days(relocation, start, end))
-    return s.repartition("q_id").persist(StorageLevel.MEMORY_AND_DISK) if reuse else s
+    return keep(s.repartition("q_id")) if reuse else s
 
 
 @dataclass(frozen=True)
@@ -169,9 +169,9 @@ def invoiced_revenue(invoice: DataFrame, start, end, bounds: Bounds = Bounds.OPE
     period excludes both end dates by default."""
     return (invoice.where(in_period("date", start, end, bounds))
             .groupBy("q_id", "client_id")
-            .agg(F.sum("price").alias("Invoiced_Amount"),
-                 F.sum("vat").alias("Invoiced_VAT"),
-                 F.sum("price_vat_total").alias("Invoiced_Total")))
+            .agg(exact_sum("price").alias("Invoiced_Amount"),
+                 exact_sum("vat").alias("Invoiced_VAT"),
+                 exact_sum("price_vat_total").alias("Invoiced_Total")))
 
 
 def std_cost_by_machine(summary: DataFrame, equip_dailycost: DataFrame) -> DataFrame:
@@ -188,4 +188,4 @@ def std_cost_by_contract(relocation: DataFrame, equip_dailycost: DataFrame, star
     if summary is None:
         summary = machine_days_summary(machine_days(relocation, start, end))
     return (std_cost_by_machine(summary, equip_dailycost)
-            .groupBy("q_id").agg(F.sum(STD_COST).alias(STD_COST)))
+            .groupBy("q_id").agg(exact_sum(STD_COST).alias(STD_COST)))

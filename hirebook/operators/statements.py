@@ -20,13 +20,13 @@ import datetime as _dt
 from dataclasses import dataclass
 
 import pandas as pd
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from hirebook.functions.expr import date_lit, in_period
+from hirebook.functions.expr import date_lit, exact_sum, in_period
 from hirebook.operators import ledger as L
 from hirebook.params import Bounds, as_bound
+from hirebook.session import keep
 
 LEVELS = range(4)
 
@@ -41,7 +41,7 @@ def code_amounts(amounts: DataFrame, key_col: str, mapping: DataFrame, map_key:
     m = mapping.where(F.col(code_col).isNotNull()).select(
         F.col(map_key).alias("_map_key"), F.col(code_col).alias("code"))
     j = amounts.join(m, F.col(key_col) == F.col("_map_key"), "left").where(F.col("code").isNotNull())
-    return j.groupBy("period", "code").agg(F.coalesce(F.sum("Amount"), F.lit(0.0)).alias("Amount"))
+    return j.groupBy("period", "code").agg(F.coalesce(exact_sum("Amount"), F.lit(0.0)).alias("Amount"))
 
 
 def apply_template(codes: DataFrame, template: DataFrame, fr: str, periods: list[str]) -> DataFrame:
@@ -72,10 +72,10 @@ def apply_template(codes: DataFrame, template: DataFrame, fr: str, periods: list
     x = (lines.select("period", "line_no", "line_name", "direction", F.inline(records))
          .where(F.col("k").isNotNull()))
     w = Window.partitionBy("period", "lvl", "k")
-    x = x.withColumn("subtotal", F.sum(F.when(F.col("role") == "in", F.col("amt"))).over(w))
+    x = x.withColumn("subtotal", exact_sum(F.when(F.col("role") == "in", F.col("amt")), over=w))
     out = x.groupBy("period", "line_no", "line_name", "direction").agg(
-        F.sum(F.when(F.col("role") == "self", F.col("amt"))).alias("base"),
-        F.sum(F.when(F.col("role") == "out", F.col("subtotal"))).alias("subtotals"))
+        exact_sum(F.when(F.col("role") == "self", F.col("amt"))).alias("base"),
+        exact_sum(F.when(F.col("role") == "out", F.col("subtotal"))).alias("subtotals"))
     value = (F.coalesce(F.col("base"), F.lit(0.0)) + F.coalesce(F.col("subtotals"), F.lit(0.0))) \
         * F.col("direction")
     return out.select("period", "line_no", "line_name", value.alias("Amount"))
@@ -198,9 +198,9 @@ def bucket_aggregates(plan: CompilePlan, bank: DataFrame, aje: DataFrame) -> tup
     fine = (bank.where(plan.in_range()).withColumn("bucket", bucket)
             .groupBy("bucket", "ma_account_id", "suggested_cf")
             .agg(F.min("cf_account_id").alias("cf_account_id"),
-                 *[F.sum(c).alias(m) for m, c in L.signed_measures().items()]))
+                 *[exact_sum(c).alias(m) for m, c in L.signed_measures().items()]))
     a = (aje.where(plan.in_range()).withColumn("bucket", bucket).groupBy("bucket", "ma_account_id")
-         .agg((F.coalesce(F.sum("debit"), F.lit(0.0)) - F.coalesce(F.sum("credit"), F.lit(0.0))).alias("amount")))
+         .agg((F.coalesce(exact_sum("debit"), F.lit(0.0)) - F.coalesce(exact_sum("credit"), F.lit(0.0))).alias("amount")))
     return fine, a
 
 
@@ -221,7 +221,7 @@ def _account_amounts(plan: CompilePlan, kind: str, t: "LedgerTables", fine: Data
     moved = fine.select("bucket", F.inline(F.array(line(F.col("ma_account_id"), -F.col("net")), *fixed)))
     both = moved.unionAll(adj.select("bucket", F.col("ma_account_id").alias("account"), "amount"))
     sums = (both.select(plan.period(kind, F.col("bucket")).alias("n"), "account", "amount").where("n is not null and account is not null")
-            .groupBy("n", "account").agg(F.coalesce(F.sum("amount"), F.lit(0.0)).alias("amount")))
+            .groupBy("n", "account").agg(F.coalesce(exact_sum("amount"), F.lit(0.0)).alias("amount")))
     first = 0 if kind == "FP" else 1
     grid = t.chart.select(F.col("ma_account_id").alias("account")).where("account is not null").distinct().withColumn(
         "n", F.explode(F.sequence(F.lit(first), F.lit(len(plan.ends) - 1))))
@@ -262,7 +262,7 @@ def compile_long(spark: SparkSession, kind: str, t: LedgerTables, fmt: ReportFor
     labels = every if kind == "FP" else every[1:]
     if kind == "CF":
         amounts = (fine.withColumn("n", plan.period(kind, F.col("bucket"))).where("n is not null").groupBy("n", "suggested_cf")
-                   .agg(F.min("cf_account_id").alias("cf_account_id"), (-F.sum("net")).alias("Amount")))
+                   .agg(F.min("cf_account_id").alias("cf_account_id"), (-exact_sum("net")).alias("Amount")))
     else:
         amounts = _account_amounts(plan, kind, t, fine, adj)
     named = F.element_at(F.array(*[F.lit(x) for x in every]), F.col("n") + 1)
@@ -291,11 +291,11 @@ def single_period_amounts(kind: str, t: LedgerTables, bf_date, start, end) -> Da
 def _shared_aggregates(t: LedgerTables, bf_date, last_reporting_date, periods, frequency, reuse: bool):
     """The two aggregates for all three statements. Nothing runs here; with
     ``reuse`` they are kept once the first statement's action computes them
-    (buckets x accounts, small)."""
+    (buckets x accounts, small), until ``session.release()``."""
     plan = CompilePlan.build(bf_date, period_ends(last_reporting_date, periods, frequency))
     fine, adj = bucket_aggregates(plan, t.bank, t.aje)
     if reuse:
-        fine, adj = fine.persist(StorageLevel.MEMORY_AND_DISK), adj.persist(StorageLevel.MEMORY_AND_DISK)
+        fine, adj = keep(fine), keep(adj)
     return plan, fine, adj
 
 

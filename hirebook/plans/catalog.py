@@ -27,7 +27,7 @@ from hirebook.operators import statements as ST
 from hirebook.params import TEST_PARAMS as P
 from hirebook.plans.views import balance_views, create_views, pl_views
 from hirebook.reports import Reports
-from hirebook.session import scratch_path
+from hirebook.session import release, scratch_path
 from hirebook.sources import loaders as LD
 from hirebook.sources.fixtures import Book, stored_book
 from hirebook.sources.schemas import SCHEMAS
@@ -52,6 +52,7 @@ def present(df: DataFrame) -> DataFrame:
 def query(name: str):
     def deco(fn: Callable[[Book], DataFrame]):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            release()  # what the query before this one shared
             return present(fn(stored_book(spark, sf_dir)))
         run.__name__ = name
         run.__doc__ = fn.__doc__
@@ -407,12 +408,12 @@ def _filtered_read(b):
 
 @query("schedule_load")
 def _schedule_load(b):
-    """Write the schedule of all business tables (CSV with header), read
-    it back typed; every row of every table as its first two columns' text."""
+    """Write the schedule of all business tables (CSV with header), check
+    and read it back typed; every row of every table, all its cells as text."""
     path = scratch_path(b.spark, "schedule")
     LD.write_schedule({n: b.table(n).select(*T.StructType.fromDDL(SCHEMAS[n]).names) for n in sorted(Book.NAMES)}, path)
     book = LD.load_schedule(b.spark, path)
-    return _keys({n: book.table(n) for n in LD.listed_tables(b.spark, path)})
+    return _rows({n: book.table(n) for n in LD.listed_tables(b.spark, path)})
 
 
 def _as_text(df, column):
@@ -424,21 +425,23 @@ def _as_text(df, column):
     return F.col(column).cast("string")
 
 
-def _keys(tables):
-    """(table_name, c1, c2): the first two columns of every row as text
-    (dates in ISO form, doubles in hundredths)."""
-    out = None
+def _rows(tables):
+    """(table_name, c1, c2, cells): the first two columns of every row, and all
+    of them joined by |, as text (dates in ISO form, doubles in hundredths, ~ for NULL)."""
+    parts = []
     for name in sorted(tables):
         df = tables[name]
-        one = df.select(F.lit(name).alias("table_name"), *[_as_text(df, c).alias(f"c{i + 1}") for i, c in enumerate(df.columns[:2])])
-        out = one if out is None else out.unionAll(one)
-    return out
+        texts = [_as_text(df, c) for c in df.columns]
+        parts.append(df.select(F.lit(name).alias("table_name"), *[t.alias(f"c{i + 1}") for i, t in enumerate(texts[:2])],
+                               F.concat_ws("|", *[F.coalesce(t, F.lit("~")) for t in texts]).alias("cells")))
+    return reduce(DataFrame.unionAll, parts)
 
 
 @query("report_format")
 def _report_format(b):
     """Write the mapping and template files, load and split them:
-    (fr, account, code) and the template's lines as (fr line, line_no, name)."""
+    (fr, account, code) and the template's lines as (fr line, line_no, name),
+    with their source code, direction and subtotal keys as further cells."""
     path = scratch_path(b.spark, "format")
     rm, cm = b.report_mapping, b.cf_mapping
     mapping = rm.select("ma_account_id", "ma_account_name", "fp", "pl", F.lit(None).cast("string").alias("cf")) \
@@ -448,12 +451,14 @@ def _report_format(b):
     # one file in line order, without the numbers: the loader finds them again
     LD.write_table(b.report_template.coalesce(1).sortWithinPartitions("fr", "line_no").drop("line_no"), f"{path}/Financial Reports.csv")
     fmt = LD.load_report_format(b.spark, path, label_col="line_name")
-    acc = fmt.account_mapping
+    acc, t, none = fmt.account_mapping, fmt.template, F.lit("").alias("cells")
+    keys = [f"add{i}{side}" for side in "io" for i in range(4)]
+    cells = F.concat_ws("|", *[F.coalesce(c, F.lit("~")) for c in (F.col("source_code"), _as_text(t, "direction"), *map(F.col, keys))])
     return (acc.where(F.col("fp").isNotNull()).select(F.lit("FP").alias("fr"), F.col("ma_account_id").alias("account"),
-                                                       F.col("fp").alias("code"))
-            .unionAll(acc.where(F.col("pl").isNotNull()).select(F.lit("PL"), "ma_account_id", "pl"))
-            .unionAll(fmt.cf_mapping.select(F.lit("CF"), F.col("cf_account_id").cast("string"), "cf"))
-            .unionAll(fmt.template.select(F.concat("fr", F.lit(" line")), F.col("line_no").cast("string"), "line_name")))
+                                                       F.col("fp").alias("code"), none)
+            .unionAll(acc.where(F.col("pl").isNotNull()).select(F.lit("PL"), "ma_account_id", "pl", none))
+            .unionAll(fmt.cf_mapping.select(F.lit("CF"), F.col("cf_account_id").cast("string"), "cf", none))
+            .unionAll(t.select(F.concat("fr", F.lit(" line")), F.col("line_no").cast("string"), "line_name", cells)))
 
 
 @query("code_table_load")
@@ -476,16 +481,18 @@ def _record_table_load(b):
 @query("codedef_load")
 def _codedef_load(b):
     """Metadata-driven load of code tables and the four record tables
-    into a target folder; every loaded row as its first two columns' text."""
+    into a target folder; every loaded row, all its cells as text."""
     path = scratch_path(b.spark, "equipment")
-    defs = b.spark.createDataFrame([("equip_type", "equip_type_name", "equip_type_id")], "t string, c1 string, c2 string")
+    codes = {"equip_type": b.equip_type, "worker_info": b.worker_info, "cf_mapping": b.cf_mapping}
+    defs = b.spark.createDataFrame([(n, *df.columns) for n, df in codes.items()], "t string, c1 string, c2 string")
     defs.write.mode("overwrite").option("header", False).csv(f"{path}/codedefinition")
-    b.equip_type.write.mode("overwrite").option("header", False).csv(f"{path}/equip_type")
+    for name, df in codes.items():
+        df.write.mode("overwrite").option("header", False).csv(f"{path}/{name}")
     records = {"equip_info": b.equip_dailycost, "change_record": b.vq_wholesale, "relocation_record": b.relocation, "mro_record": b.depr_alloc}
     for name, df in records.items():
         LD.write_table(df, f"{path}/{name}")
     types = {n: ", ".join(f"{c} {t}" for c, t in df.dtypes) for n, df in records.items()}
-    return _keys(LD.load_equipment_schedule(b.spark, path, types, target=f"{path}/loaded"))
+    return _rows(LD.load_equipment_schedule(b.spark, path, types, target=f"{path}/loaded"))
 
 
 # -- views and dates (S8, S9) ------------------------------------------------------

@@ -5,7 +5,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark import StorageLevel
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings that matter for the plans: AQE re-plans joins from measured
 # shuffle sizes (runtime broadcast of small sides, skew-join splitting,
@@ -78,6 +79,29 @@ def build_session(master: str | None = "local[8]", shuffle_partitions: int = 8,
     return spark
 
 
+_KEPT: list[DataFrame] = []
+
+
+def keep(df: DataFrame) -> DataFrame:
+    """``df``, to be kept once an action computes it, until ``release``. Only
+    for what several parts of one report read; nothing runs here."""
+    _KEPT.append(df.persist(StorageLevel.MEMORY_AND_DISK))
+    return _KEPT[-1]
+
+
+def release() -> int:
+    """Free all that ``keep`` holds; how many there were. Reports built before
+    stay right, they compute again what they shared."""
+    n = len(_KEPT)
+    while _KEPT:
+        try:
+            _KEPT.pop().unpersist()
+        except Exception as e:  # its session has ended, and its blocks with it
+            if "stopped" not in str(e) and "Connection refused" not in str(e):
+                raise
+    return n
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's shared checkpoint folder.
 
@@ -126,5 +150,5 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{root}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-__all__ = ["CLUSTER_CONF", "DEFAULT_CONF", "build_session", "cluster_conf_for", "ensure_checkpoint_dir",
+__all__ = ["CLUSTER_CONF", "DEFAULT_CONF", "build_session", "cluster_conf_for", "ensure_checkpoint_dir", "keep", "release",
            "scratch_path", "session_id"]

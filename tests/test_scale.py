@@ -182,3 +182,78 @@ def test_several_names_do_not_multiply_contracts(spark):
     inv = spark.createDataFrame([(q, 1, day, 1.0, 0.0, 1.0) for q in range(4)], SCHEMAS["invoice"])
     got = RC.client_clearing(bank, inv, "MA1122", "1996-12-31", "1997-12-31").collect()
     assert [tuple(r) for r in got] == [(1, "a", 15.0, 1.0)] * 4
+
+
+def test_running_stock_is_windowed_by_day(spark):
+    """A group with a third of all movements at distinct seconds: the rows of
+    a plain running sum, and no window over the group's instants."""
+    rnd = random.Random(3)
+    start = dt.datetime(2021, 1, 1)
+    rows = []
+    for i in range(6000):
+        q = 1 if i % 3 == 0 else 2 + rnd.randrange(300)
+        at = start + dt.timedelta(seconds=i * 50 if q == 1 else rnd.randrange(40 * 86400))
+        rows.append((q, q, "S", 1, "A", at, rnd.randrange(1, 5), rnd.choice([1, -1])))
+    rows += [(1, 1, "S", 1, "A", start + dt.timedelta(seconds=50), 2, -1), (1, 1, None, 1, "A", start, 1, 1), (1, 1, "S", 1, "A", None, 1, 1)]
+    df = spark.createDataFrame(rows, SCHEMAS["relocation"]).repartition(7)
+    want, net = {}, {}
+    for q, _, site, _, kind, at, n, sign in rows:
+        if site and at:
+            net[q, at] = net.get((q, at), 0) + n * sign
+    for q in {k[0] for k in net}:
+        stock = 0
+        for at in sorted(a for g, a in net if g == q):
+            stock += net[q, at]
+            want[q, at] = stock
+    got = I.relocation_stock(df)
+    assert {(r["q_id"], r["date"]): r["stock"] for r in got.collect()} == want and got.count() == len(want)
+    assert {(r["q_id"], r["date"]) for r in I.relocation_negative(df).collect()} == {k for k, v in want.items() if v < 0}
+    windows = [x for x in plan_text(I.relocation_stock(df)).splitlines() if "Window [" in x]
+    assert len(windows) == 2
+    for x in windows:
+        by, order = x.rsplit("], [", 2)[1:]
+        assert ("day#" in by) == ("date#" in order), x  # instants only within a day
+    days = df.where("q_id = 1 and site_name is not null and date is not null").groupBy(R.F.to_date("date")).count()
+    assert days.agg(R.F.max("count")).first()[0] <= 86400 // 50 + 1 < 2000
+
+
+@pytest.mark.parametrize("name,most", [("bank_movements", 1), ("balance_at", 1), ("pl_for", 1), ("statement_fp", 1), ("statement_pl", 1)])
+def test_the_bank_table_is_scanned_once(spark, name, most):
+    text = plan_text(QUERIES[name](spark, SF_SMALL))
+    assert sum("FileScan parquet" in x and "vat" in x for x in text.splitlines()) == most, text
+
+
+def test_sums_have_the_same_bits_whatever_the_partitioning(spark, book):
+    from hirebook.operators import ledger as L
+    from hirebook.operators import profitability as PR
+    from hirebook.plans.catalog import ledger_tables, rent_tables
+
+    t, rent = ledger_tables(book), rent_tables(book)
+    before, seen = spark.conf.get("spark.sql.shuffle.partitions"), []
+    thirds = R.F.col("amount") / 3  # no round cents
+    for n in (3, 8, 200):
+        spark.conf.set("spark.sql.shuffle.partitions", n)
+        bank = t.bank.withColumn("amount", thirds).repartition(n)
+        cost = book.equip_dailycost.withColumn("cost_day_std", R.F.col("cost_day_std") / 7)
+        seen.append([sorted(tuple(r) for r in df.na.fill("").collect()) for df in (
+            L.bank_movements(bank, "1995-12-31", "1997-12-31"), L.balance_at(t.chart, bank, t.aje.repartition(n), t.account_bf, "1995-12-31", "1997-12-31"),
+            PR.contract_profitability(rent, cost, "1996-12-31", "1997-12-31").na.fill(0),
+            R.accrued_revenue(rent, "1996-12-31", "1997-12-31").na.fill(0))])
+    spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert seen[0] == seen[1] == seen[2] and all(seen[0])
+
+
+def test_exact_sum_against_fractions(spark):
+    from fractions import Fraction
+
+    from hirebook.functions.expr import exact_sum
+
+    rnd = random.Random(5)
+    x = [round(rnd.uniform(-1e6, 1e6), 2) for _ in range(5000)] + [0.1] * 1000 + [1e12 + 0.25, -1e12, None]
+    df = spark.createDataFrame([(i % 3, v) for i, v in enumerate(x)], "k int, v double").repartition(9)
+    for k, got in df.groupBy("k").agg(exact_sum("v")).collect():
+        want = sum(Fraction(str(v)) for i, v in enumerate(x) if i % 3 == k and v is not None)
+        assert got == pytest.approx(float(want), abs=1e-8)
+    edge = spark.createDataFrame([(1, 1e300), (1, 2.5), (2, None), (3, float("nan")), (3, 1.0), (4, float("-inf")), (5, -0.004), (5, -0.006)], "k int, v double")
+    out = {r[0]: r[1] for r in edge.groupBy("k").agg(exact_sum("v")).collect()}
+    assert out[1] == 1e300 and out[2] is None and out[3] != out[3] and out[4] == float("-inf") and out[5] == -0.01

@@ -46,3 +46,36 @@ def test_no_private_folder_on_a_cluster():
     import pytest
     with pytest.raises(RuntimeError):
         ensure_checkpoint_dir(Session())
+
+
+def test_what_reports_share_is_released(spark, book):
+    from hirebook.operators import rental as R
+    from hirebook.session import release
+
+    release()
+    shared = R.shared_summary(book.relocation, "1996-12-31", "1997-12-31")
+    rows = shared.count()
+    assert shared.is_cached and release() == 1 and not shared.is_cached and release() == 0
+    assert shared.count() == rows
+
+
+def test_report_queries_do_without_the_training_data_packages(monkeypatch):
+    """A missing package of the subpackage leaves out its queries only."""
+    import builtins
+    import sys
+
+    import __spark_entry__ as E
+
+    real = builtins.__import__
+
+    def without(name, *args, **kwargs):
+        if name.split(".")[0] in ("ahocorasick", "xxhash"):
+            raise ModuleNotFoundError(f"No module named {name!r}", name=name)
+        return real(name, *args, **kwargs)
+
+    for name in [n for n in sys.modules if n.startswith(("hirebook.llm", "corpus_pipeline", "ahocorasick", "xxhash"))]:
+        monkeypatch.delitem(sys.modules, name)
+    monkeypatch.setattr(builtins, "__import__", without)
+    from hirebook.plans.catalog import QUERIES
+    assert set(QUERIES) <= set(E.queries()) and set(QUERIES) <= set(E.oracle_sql())
+    assert not any(n.startswith("op") for n in E.queries())
