@@ -8,6 +8,9 @@ A missing table fails the load.
 
 from __future__ import annotations
 
+import uuid
+from functools import reduce
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -26,7 +29,7 @@ RECORD_TABLES = ("equip_info", "change_record", "relocation_record", "mro_record
 
 
 CORRUPT = "_corrupt_record"
-MANIFEST = "_tables"
+COMMITS = "commits"
 
 
 def _reader(spark: SparkSession, fmt: str, header: bool = True, bad: str = "fail"):
@@ -48,7 +51,8 @@ def read_table(spark: SparkSession, path: str, schema: str | None, fmt: str = "c
 
     A cell that its type can't hold is never silently NULL: with ``bad="fail"``
     the read fails, with ``"keep"`` the row stays, its raw text in
-    ``_corrupt_record`` (see ``corrupt_rows``). Blank cells are NULL.
+    ``_corrupt_record`` (see ``corrupt_rows``). That holds for the columns that
+    a query reads; ``bad_cells`` checks them all. Blank cells are NULL.
     """
     r = _reader(spark, fmt, bad=bad)
     if schema is None:
@@ -70,40 +74,127 @@ def write_table(df: DataFrame, path: str, fmt: str = "csv", mode: str = "overwri
     w.save(path)
 
 
-def load_schedule(spark: SparkSession, path: str, tables=None, fmt: str = "csv",
-                  schemas: dict[str, str] | None = None, bad: str = "fail") -> Book:
+def load_schedule(spark: SparkSession, path: str, tables=None, fmt: str = "csv", schemas: dict[str, str] | None = None,
+                  bad: str = "fail", check: bool = True) -> Book:
     """Read the tables of a schedule folder into a ``Book``.
 
-    Without ``tables`` these are the ones that the last ``write_schedule``
-    listed, or else all known ones. A table without a schema is read as it
-    is (CSV: text).
+    Without ``tables`` these are the ones of the last committed snapshot, or
+    else all known ones; a folder without snapshots holds a sub-folder a
+    table. A table without a schema is read as it is (CSV: text).
+
+    With ``bad="fail"`` every cell of the text formats is checked first, in
+    one job (``bad_cells``): a query that selects two columns would otherwise
+    parse those alone and never meet a broken third. ``check=False`` leaves
+    that to whoever checked the files before.
     """
     schemas = SCHEMAS if schemas is None else schemas
-    root = path.rstrip("/")
-    names = list(tables or listed_tables(spark, root) or schemas)
+    root, listed = current_snapshot(spark, path)
+    names = list(tables or listed or schemas)
+    if check and bad == "fail":
+        wrong = bad_cells(spark, path, names, fmt, schemas)
+        found = wrong.orderBy("table_name", "column_name").limit(20).collect() if wrong is not None else []
+        if found:
+            raise ValueError("bad cells: " + "; ".join(f"{r.table_name}.{r.column_name}: {r.bad}, e.g. {r.example!r}" for r in found))
     return Book(spark, {n: read_table(spark, f"{root}/{n}", schemas.get(n), fmt, bad) for n in names})
 
 
-def write_schedule(tables: dict[str, DataFrame], path: str, fmt: str = "csv") -> None:
-    """S1 sink: the schedule at ``path`` becomes exactly these tables. What an
-    earlier, larger schedule left beside them is no longer listed, so a load
-    doesn't see it."""
+def bad_cells(spark: SparkSession, path: str, tables=None, fmt: str = "csv", schemas: dict[str, str] | None = None) -> DataFrame | None:
+    """The validation pass: (table_name, column_name, bad, example) of every
+    column with cells that its type can't hold, ``bad`` of them, ``example``
+    the smallest as text; rows that can't be told into cells at all count under
+    the column NULL. One scan and one aggregate over all columns a table, all
+    in one query. None where nothing can be wrong (typed formats, no schema).
+    """
+    if fmt not in ("csv", "json"):
+        return None
+    schemas = SCHEMAS if schemas is None else schemas
+    root, listed = current_snapshot(spark, path)
+    parts = [_bad_cells(spark, f"{root}/{n}", n, schemas[n], fmt) for n in (tables or listed or schemas) if n in schemas]
+    return reduce(DataFrame.unionAll, parts) if parts else None
+
+
+def _bad_cells(spark: SparkSession, path: str, name: str, schema: str, fmt: str) -> DataFrame:
+    typed = read_table(spark, path, schema, fmt, bad="keep")
+    columns = typed.columns[:-1]
+    texts = ", ".join(f"`{c}` string" for c in columns)
+    parse = F.from_csv if fmt == "csv" else F.from_json
+    cells = parse(CORRUPT, texts if fmt == "csv" else T.StructType.fromDDL(texts), {"mode": "PERMISSIVE"})
+    typed = typed.withColumn("cells", F.when(F.col(CORRUPT).isNotNull(), cells))
+    wrong = {c: F.col(f"`{c}`").isNull() & F.col("cells")[c].isNotNull() for c in columns}
+    whole = F.col(CORRUPT).isNotNull() & ~reduce(lambda a, b: a | b, [F.coalesce(w, F.lit(False)) for w in wrong.values()])
+    found = [(c, w, F.col("cells")[c]) for c, w in wrong.items()] + [(None, whole, F.col(CORRUPT))]
+    sums = typed.agg(*[F.count(F.when(w, 1)).alias(f"n{i}") for i, (_, w, _) in enumerate(found)],
+                     *[F.min(F.when(w, text)).alias(f"t{i}") for i, (_, w, text) in enumerate(found)])
+    rows = [F.struct(F.lit(name).alias("table_name"), F.lit(c).cast("string").alias("column_name"), F.col(f"n{i}").alias("bad"),
+                     F.col(f"t{i}").alias("example")) for i, (c, _, _) in enumerate(found)]
+    return sums.select(F.inline(F.array(*rows))).where("bad > 0")
+
+
+def write_schedule(tables: dict[str, DataFrame], path: str, fmt: str = "csv") -> str:
+    """S1 sink: the schedule at ``path`` becomes exactly these tables, in one
+    commit; returns the snapshot's name.
+
+    The tables are written to a new snapshot folder; then one line in one new
+    file names it. Until that file is there, loads read the snapshot before,
+    whole; a write that dies half way leaves a folder that nothing names. Of
+    two writers at once, one's snapshot is the later, whole. ``prune_snapshots``
+    deletes old ones.
+    """
     root = path.rstrip("/")
-    for name, df in tables.items():
-        write_table(df, f"{root}/{name}", fmt)
-    if tables:
-        spark = next(iter(tables.values())).sparkSession
-        spark.createDataFrame([(n,) for n in sorted(tables)], "name string").coalesce(1).write.mode("overwrite").text(f"{root}/{MANIFEST}")
-
-
-def listed_tables(spark: SparkSession, root: str) -> list[str]:
-    """Names in the schedule's list (one short line a table); none without it."""
+    if not tables:
+        raise ValueError("a schedule has tables")
+    spark = next(iter(tables.values())).sparkSession
+    commits = _commits(spark, root)
+    version = 1 + (commits.agg(F.max("version")).first()[0] or 0 if commits is not None else 0)
+    name = f"snapshot-{version:08d}-{uuid.uuid4().hex[:8]}"
+    for table, df in tables.items():
+        write_table(df, f"{root}/{name}/{table}", fmt, mode="errorifexists")
+    line = spark.range(1, numPartitions=1).select(F.lit(version).cast("bigint").alias("version"), F.lit(name).alias("snapshot"),
+                                                  F.array(*[F.lit(t) for t in sorted(tables)]).alias("tables"))
+    line.write.mode("append").json(f"{root}/{COMMITS}")
+    return name
+
+
+def _commits(spark: SparkSession, root: str) -> DataFrame | None:
+    """(version, snapshot, tables) of every commit; None without any."""
     try:
-        return sorted(r[0] for r in spark.read.text(f"{root}/{MANIFEST}").collect())
+        return spark.read.schema("version bigint, snapshot string, tables array<string>").option("mode", "FAILFAST").json(f"{root}/{COMMITS}")
     except AnalysisException as e:
         if "PATH_NOT_FOUND" not in str(e):
             raise
+        return None
+
+
+def current_snapshot(spark: SparkSession, path: str) -> tuple[str, list[str]]:
+    """The folder that a schedule's tables are in and their names (none: not listed)."""
+    root = path.rstrip("/")
+    commits = _commits(spark, root)
+    last = commits.orderBy(F.desc("version"), F.desc("snapshot")).first() if commits is not None else None
+    return (f"{root}/{last.snapshot}", sorted(last.tables)) if last else (root, [])
+
+
+def listed_tables(spark: SparkSession, path: str) -> list[str]:
+    """Names of the last committed snapshot's tables; none without one."""
+    return current_snapshot(spark, path)[1]
+
+
+def prune_snapshots(spark: SparkSession, path: str, keep: int = 2) -> list[str]:
+    """Delete all but the last ``keep`` committed snapshots, and folders that
+    no commit names (of writers that died: don't call it while one is at work).
+    Returns the names of what went."""
+    if keep < 1:
+        raise ValueError("the current snapshot stays")
+    root = path.rstrip("/")
+    commits = _commits(spark, root)
+    if commits is None:
         return []
+    stay = {r.snapshot for r in commits.orderBy(F.desc("version"), F.desc("snapshot")).limit(keep).collect()}
+    where = spark._jvm.org.apache.hadoop.fs.Path(root)
+    fs = where.getFileSystem(spark._jsc.hadoopConfiguration())
+    gone = sorted(s.getPath().getName() for s in fs.listStatus(where) if s.getPath().getName().startswith("snapshot-") and s.getPath().getName() not in stay)
+    for name in gone:
+        fs.delete(spark._jvm.org.apache.hadoop.fs.Path(f"{root}/{name}"), True)
+    return gone
 
 
 def _typed(df: DataFrame, schema: str | None, bad: str = "fail") -> DataFrame:

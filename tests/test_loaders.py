@@ -22,7 +22,9 @@ def test_schedule_keeps_time_of_day_and_every_bad_cell(spark, tmp_path):
     assert book.relocation.where("date is null and site_name is null").count() == 1   # blank cells
     _write(tmp_path / "relocation" / "bad.csv", head + '4,40,S0,1,A,2021-01-06,"1,000",1\n5,50,S0,1,A,someday,1,1\n')
     with pytest.raises(Exception, match="MALFORMED|FAILED_READ"):
-        LD.load_schedule(spark, str(tmp_path), ["relocation"]).relocation.collect()
+        LD.load_schedule(spark, str(tmp_path), ["relocation"], check=False).relocation.collect()
+    with pytest.raises(ValueError, match="relocation.date: 1, e.g. 'someday'; relocation.quantity: 1, e.g. '1,000'"):
+        LD.load_schedule(spark, str(tmp_path), ["relocation"])
     kept = LD.load_schedule(spark, str(tmp_path), ["relocation"], bad="keep").relocation
     assert kept.count() == 5
     bad = LD.corrupt_rows(kept).collect()
@@ -65,6 +67,47 @@ def test_a_smaller_schedule_hides_stale_tables(spark, tmp_path, book):
     assert "worker_info" not in back.__dict__ and back.table("extra").count() == book.ep_bf.count()
 
 
+def test_a_write_that_dies_leaves_the_old_schedule_whole(spark, tmp_path, book):
+    root = str(tmp_path)
+    first = LD.write_schedule({"equip_type": book.equip_type, "worker_info": book.worker_info}, root)
+    broken = book.equip_type.select("equip_type_name", R_error())
+    with pytest.raises(Exception, match="half way"):
+        LD.write_schedule({"equip_type": book.equip_type.limit(1), "vq_equip": book.vq_equip, "worker_info": broken}, root)
+    back = LD.load_schedule(spark, root)
+    assert LD.current_snapshot(spark, root) == (f"{root}/{first}", ["equip_type", "worker_info"])
+    assert back.equip_type.count() == book.equip_type.count() and back.worker_info.count() == book.worker_info.count()
+    second = LD.write_schedule({"equip_type": book.equip_type.limit(1)}, root)
+    assert back.equip_type.count() == book.equip_type.count()  # an open reader keeps its snapshot
+    assert LD.load_schedule(spark, root).equip_type.count() == 1
+    third = LD.write_schedule({"equip_type": book.equip_type.limit(2)}, root)
+    gone = LD.prune_snapshots(spark, root, keep=2)
+    assert len(gone) == 2 and first in gone and not {second, third} & set(gone)
+    assert LD.load_schedule(spark, root).equip_type.count() == 2 and LD.prune_snapshots(spark, root) == []
+
+
+def R_error():
+    from pyspark.sql import functions as F
+    return F.raise_error(F.lit("half way")).cast("int").alias("x")
+
+
+@pytest.mark.parametrize("fmt", ["csv", "json"])
+def test_every_bad_cell_is_reported_whatever_a_query_selects(spark, tmp_path, fmt):
+    if fmt == "csv":
+        _write(tmp_path / "vq_equip" / "a.csv", "qt_id,quantity\n1,2\n2,many\nx,3\n4,\n5,few\n")
+        _write(tmp_path / "ep_bf" / "a.csv", "ep_id,ma_account_id,amount\n1,MA1122,1.5\n2,MA1122,1;5\n")
+    else:
+        _write(tmp_path / "vq_equip" / "a.json", '{"qt_id":1,"quantity":2}\n{"qt_id":2,"quantity":"many"}\n{"qt_id":"x","quantity":3}\n{"qt_id":4}\n{"qt_id":5,"quantity":"few"}\n')
+        _write(tmp_path / "ep_bf" / "a.json", '{"ep_id":1,"ma_account_id":"MA1122","amount":1.5}\n{"ep_id":2,"ma_account_id":"MA1122","amount":"1;5"}\n')
+    names = ["vq_equip", "ep_bf"]
+    got = sorted(tuple(r) for r in LD.bad_cells(spark, str(tmp_path), names, fmt).collect())
+    assert got == [("ep_bf", "amount", 1, "1;5"), ("vq_equip", "qt_id", 1, "x"), ("vq_equip", "quantity", 2, "few")]
+    with pytest.raises(ValueError, match="ep_bf.amount: 1, e.g. '1;5'"):
+        LD.load_schedule(spark, str(tmp_path), names, fmt=fmt)
+    lazy = LD.load_schedule(spark, str(tmp_path), names, fmt=fmt, check=False)
+    assert lazy.ep_bf.select("ep_id").count() == 2
+    assert LD.bad_cells(spark, str(tmp_path), names, "parquet") is None
+
+
 def test_schedule_missing_table_fails(spark, tmp_path):
     with pytest.raises(AnalysisException):
         LD.load_schedule(spark, str(tmp_path), ["invoice"]).invoice.count()
