@@ -9,9 +9,10 @@ then extracted again from the containers at its host's path (a page without
 one, or with no text there, from its own best container).
 
 Boilerplate never counts: scripts, styles, menus, headers, footers, sidebars,
-forms, and elements that are named for adverts, notices, comments and such,
-unless a named one holds most of the page's running text: a wrapper may have
-any name.
+and forms and elements that are named for adverts, notices, comments and such,
+unless such a one holds most of the page's running text: a wrapper may have
+any name, and a form may span the page. What readers wrote is kept only on a
+page that has nothing else.
 """
 
 from __future__ import annotations
@@ -35,14 +36,14 @@ ATTR = re.compile(r"""([^\s=/"'>]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))
 
 # HTML's element classes, and the names that boilerplate goes by.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style title textarea xmp iframe noembed noframes noscript template svg math".split())
+RAW = frozenset("script style title textarea xmp iframe noembed noframes noscript template svg".split())
 IN_HEAD = RAW | frozenset("meta link base".split())
 BLOCKS = frozenset("""address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure
     footer form h1 h2 h3 h4 h5 h6 header hr html legend li main menu nav ol optgroup option p pre section summary table tbody td
     tfoot th thead tr ul""".split())
 CLOSE_P = BLOCKS - frozenset("body caption html legend li dd dt option optgroup tbody td tfoot th thead tr".split())
 CONTAINERS = frozenset("article blockquote body center details div fieldset figure main section td".split())
-DROPPED = frozenset("""nav footer aside form button select input datalist dialog menu object embed canvas audio video applet map head
+DROPPED = frozenset("""nav footer aside button select input datalist dialog menu object embed canvas audio video applet map head
     optgroup option""".split())
 SIBLINGS = {"li": (("li",), ("ul", "ol", "menu", "dir")), "dt": (("dt", "dd"), ("dl",)), "dd": (("dt", "dd"), ("dl",)),
             "tr": (("tr", "td", "th"), ("table",)), "td": (("td", "th"), ("tr", "table")), "th": (("td", "th"), ("tr", "table")),
@@ -53,6 +54,8 @@ BOILERPLATE = frozenset("""ad ads advert adverts advertisement advertising adsen
     related recommended recommendations newsletter subscribe subscription signup login search toolbar pagination pager skip
     hidden""".split())
 ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog form menu menubar toolbar".split())
+REMARKS = frozenset("comment comments commentlist respond reply replies disqus".split())  # what readers wrote
+UNSEEN = frozenset("annotation annotation-xml".split())  # a formula's source beside it
 MODIFIERS = frozenset("has no non with without".split())  # "no-sidebar" is no sidebar
 CONTENT = frozenset("article articles body content entry main page post story text".split())
 MAX_DEPTH = 512  # containers further down belong to the one at this depth
@@ -93,7 +96,7 @@ def _names(attrs: dict[str, str]) -> set[str]:
 def _boilerplate(tag: str, attrs: dict[str, str], inside: bool) -> bool:
     """Whether an element is left out, whatever it holds; ``inside`` an article
     or main element a header may hold the title."""
-    if tag in DROPPED or tag in RAW:
+    if tag in DROPPED or tag in RAW or tag in UNSEEN:
         return True
     if tag == "header":
         return not inside
@@ -105,7 +108,9 @@ def _boilerplate(tag: str, attrs: dict[str, str], inside: bool) -> bool:
 
 
 def _named_so(tag: str, attrs: dict[str, str], inside: bool) -> bool:
-    """Whether an element is named as boilerplate is."""
+    """Whether an element is named as boilerplate is; a form is by its tag."""
+    if tag == "form":
+        return True
     if tag in ("html", "body", "article", "main") or not attrs:
         return False
     found = _names(attrs) & BOILERPLATE
@@ -129,6 +134,7 @@ class Named:
 
     at: int
     parent: int
+    remarks: bool = False
     text: int = 0
     links: int = 0
     content: bool = False
@@ -147,7 +153,10 @@ def read(html: str | None) -> Page:
 
 def _wrappers(page: Page, named: list[Named]) -> frozenset:
     """Where the named elements begin that hold most of the page's running
-    text, not mostly links; unless there is content elsewhere and none inside."""
+    text, not mostly links; unless there is content elsewhere and none inside.
+    Readers' comments aren't kept while there is running text outside them: they
+    may be far longer than the article, and hold articles of their own."""
+    outside = _outside_remarks(page, named)
     for e in reversed(named):
         if e.parent >= 0:
             up = named[e.parent]
@@ -159,12 +168,29 @@ def _wrappers(page: Page, named: list[Named]) -> frozenset:
     kept = {}
     for i, e in enumerate(named):
         run = e.text - e.links
+        if e.remarks and outside:
+            continue
         if (2 * run > whole and 2 * e.links <= e.text and (e.parent < 0 or e.parent in kept)
                 and (e.content or 10 * elsewhere < run)):
             kept[i] = e.at
     return frozenset(kept.values())
 
 
+def _outside_remarks(page: Page, named: list[Named]) -> bool:
+    """Whether there is running text that isn't among readers' comments: in the
+    page or in another named element with content. ``named`` holds its sums already."""
+    if page.containers[0].text > page.containers[0].links:
+        return True
+    own = [e.text - e.links for e in named]
+    for i, e in enumerate(named):
+        if e.parent >= 0:
+            own[e.parent] -= e.text - e.links
+    among = []
+    for e in named:
+        among.append(e.remarks or (e.parent >= 0 and among[e.parent]))
+    return any(n > 0 and not a and e.content for n, a, e in zip(own, among, named))
+
+
 def _read(html: str, wrappers: frozenset) -> tuple[Page, list[Named]]:
     """The page without boilerplate, and its named elements; those that begin
     at ``wrappers`` are read as any other."""
@@ -270,7 +296,7 @@ def _read(html: str, wrappers: frozenset) -> tuple[Page, list[Named]]:
             out = _boilerplate(tag, attrs, inside)
             if not out and m.start() not in wrappers and _named_so(tag, attrs, inside):
                 out, with_named = True, len(named)
-                named.append(Named(m.start(), -1))
+                named.append(Named(m.start(), -1, bool(_names(attrs) & REMARKS)))
             if out:
                 words.append(" ")
             elif tag in CONTAINERS and containers[c].depth < MAX_DEPTH:
@@ -284,7 +310,7 @@ def _read(html: str, wrappers: frozenset) -> tuple[Page, list[Named]]:
             if _boilerplate(tag, attrs, inside):
                 with_named = -1
             elif _named_so(tag, attrs, inside):
-                named.append(Named(m.start(), with_named))
+                named.append(Named(m.start(), with_named, bool(_names(attrs) & REMARKS)))
                 with_named = len(named) - 1
             elif tag in CONTAINERS and _content(tag, attrs):
                 named[with_named].content = True

@@ -47,6 +47,36 @@ def test_named_boilerplate_is_left_out():
     assert one(links) == ""
 
 
+STORY = "<p>the story is told here at length</p><p>and goes on</p>"
+TOLD = "the story is told here at length\nand goes on"
+
+
+def pages_that_lost_their_text():
+    remarks = "".join(f"<li><article><p>a remark of reader {i}, quite a long one that says much and says it twice</p></article></li>" for i in range(16))
+    return {
+        f"<body><form id=aspnetForm><input name=q><article>{STORY}</article></form></body>": TOLD,
+        f"<body><form class=page><div id=content>{STORY}</div><div class=sidebar><p>other</p></div></form></body>": TOLD,
+        f"<article>{STORY}<form><p>your mail</p><button>go</button></form></article>": TOLD,
+        f"<article>{STORY}<section id=comments><ol>{remarks}</ol></section></article>": TOLD,
+        f"<div class=post>{STORY}<div class=comment-body><p>{'long remark ' * 200}</p></div></div>": TOLD,
+        f"<div class=share><p>{'tell ' * 3}</p></div><article>{STORY}</article><div id=respond><form><p>say something</p></form></div>": TOLD,
+        f"<div id=comments-page><div class=post>{STORY}</div></div>": TOLD,
+        "<article><p>let <math><mi>x</mi><mo>=</mo><mn>2</mn><annotation encoding=tex>x=2</annotation></math> hold</p></article>": "let x=2 hold",
+        "<form><p>mail</p><input></form><p>x is told</p>": "x is told"}
+
+
+@pytest.mark.parametrize("page,text", pages_that_lost_their_text().items(), ids=range(len(pages_that_lost_their_text())))
+def test_forms_comments_and_formulas(page, text):
+    assert one(page) == text
+
+
+def test_forms_comments_and_formulas_by_host(spark):
+    pages = pages_that_lost_their_text()
+    rows = [(i * 10 + k, f"http://h{i}.example/{k}", page) for i, page in enumerate(pages) for k in range(3)]
+    got = {r.page_id: r.text for r in H.extract_pages(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got == {i * 10 + k: text for i, text in enumerate(pages.values()) for k in range(3)}
+
+
 def test_paths_are_generalised():
     p = H.read('<div class="post-123 Wide"><article class="a1"><p>text</p></article></div>')
     assert p.containers[-1].path == "body>div.post-#.wide>article.a#"
