@@ -70,15 +70,37 @@ def exact_sum(x, over=None) -> Column:
     and more, infinite ones and NaN are added as doubles. NULLs are skipped;
     the sum of none is NULL. ``over``: a window to sum over.
     """
+    sums = [F.sum(p) for p in _parts(x)]
+    return _from_parts(*([s.over(over) for s in sums] if over is not None else sums))
+
+
+def _parts(x) -> list[Column]:
     c = _col(x)
     plain, whole = F.abs(c) < float(1 << 53), F.floor(c)
-    sums = [F.sum(F.when(plain, whole)), F.sum(F.when(plain, F.floor((c - whole) * MONEY_UNITS + 0.5))), F.sum(F.when(~plain, c))]
-    units, parts, others = [s.over(over) for s in sums] if over is not None else sums
+    return [F.when(plain, whole), F.when(plain, F.floor((c - whole) * MONEY_UNITS + 0.5)), F.when(~plain, c)]
+
+
+def _from_parts(units: Column, parts: Column, others: Column) -> Column:
     whole = units.cast("decimal(20,0)") * F.lit(MONEY_UNITS).cast("decimal(10,0)") + parts.cast("decimal(20,0)")
     known = (whole.cast("decimal(28,0)") * F.lit(Decimal(1) / MONEY_UNITS)).cast("double")
     return F.when(units.isNull(), others).otherwise(known + F.coalesce(others, F.lit(0.0)))
 
 
+PARTIAL = ("units", "parts", "others")  # what a stored part of an exact sum holds
+
+
+def partial_sum(x) -> Column:
+    """The part of an ``exact_sum`` that can be stored and added to others: a
+    struct of its three sums. ``merged_sum`` of any split of the rows into
+    parts has the bits of ``exact_sum`` over all of them."""
+    return F.struct(*[F.sum(p).alias(n) for n, p in zip(PARTIAL, _parts(x))])
+
+
+def merged_sum(x) -> Column:
+    """``exact_sum`` over the rows behind stored ``partial_sum`` structs."""
+    return _from_parts(*[F.sum(_col(x)[n]) for n in PARTIAL])
+
+
 def total(df, name: str) -> Column:
     """``exact_sum`` of a column of ``df``; integers and decimals add exactly as they are."""
     double = isinstance(df.schema[name].dataType, (T.DoubleType, T.FloatType))

@@ -98,11 +98,16 @@ def bank_movements(bank: DataFrame, lo, hi, distinct: bool = True) -> DataFrame:
     in a period without rows.
     """
     sums = _signed_rows(bank, lo, hi).groupBy("ma_account_id", "ma_account_name").agg(*[exact_sum(m).alias(m) for m in MEASURES])
+    return movement_lines(sums, distinct)
+
+
+def movement_lines(sums: DataFrame, distinct: bool = True) -> DataFrame:
+    """L5 from the four sums per (account, name)."""
     own = F.struct(F.col("ma_account_id"), F.col("ma_account_name"), (-F.col("net")).alias("Amount"))
     shares = F.array(*[F.struct(F.lit(fixed).alias("fixed"), line.alias("line"))
                        for fixed, line in ((False, own), *[(True, line) for line in _fixed_lines()])])
     none = F.lit(None).cast("double")
-    nothing = bank.sparkSession.range(1, numPartitions=1).select(F.inline(F.array(*[
+    nothing = sums.sparkSession.range(1, numPartitions=1).select(F.inline(F.array(*[
         F.struct(F.lit(True).alias("fixed"), line.alias("line")) for line in _fixed_structs(none, none, none)])))
     lines = sums.select(F.inline(shares)).unionByName(nothing).select("fixed", "line.*")
     # the smallest name: hash-aggregated by name above, picked from few rows here
@@ -116,13 +121,20 @@ def adj_by_account(aje: DataFrame, lo, hi) -> DataFrame:
     per_name = (aje.where(in_period("date", lo, hi, Bounds.HALF_OPEN))
                 .groupBy("ma_account_id", "ma_account_name")
                 .agg(exact_sum("debit").alias("debit"), exact_sum("credit").alias("credit")))
-    return per_name.groupBy("ma_account_id").agg(
+    return adjustment_lines(per_name)
+
+
+def adjustment_lines(sums: DataFrame) -> DataFrame:
+    """L6 from the debits and credits per (account, name)."""
+    return sums.groupBy("ma_account_id").agg(
         F.min("ma_account_name").alias("ma_account_name"),
         (F.coalesce(exact_sum("debit"), F.lit(0.0)) - F.coalesce(exact_sum("credit"), F.lit(0.0))).alias("amount"))
 
 
-def _on_chart(chart: DataFrame, movements: DataFrame, adjustments: DataFrame,
-              account_bf: DataFrame | None) -> DataFrame:
+def on_chart(chart: DataFrame, movements: DataFrame, adjustments: DataFrame,
+             account_bf: DataFrame | None) -> DataFrame:
+    """Every chart account with what moved it (and its b/f, if given).
+    Movements on accounts outside the chart are not reported."""
     mov = movements.select(F.col("ma_account_id").alias("moved_id"), F.col("Amount").alias("moved"))
     adj = adjustments.select(F.col("ma_account_id").alias("adjusted_id"), F.col("amount").alias("adjusted"))
     c = chart.select("ma_account_id", "ma_account_name")
@@ -142,12 +154,12 @@ def balance_at(chart: DataFrame, bank: DataFrame, aje: DataFrame, account_bf: Da
     """Balance of every chart account at ``cut``: b/f + bank movements +
     adjustments in (bf_date, cut]. Movements on accounts outside the chart
     are not reported."""
-    return _on_chart(chart, bank_movements(bank, bf_date, cut), adj_by_account(aje, bf_date, cut), account_bf)
+    return on_chart(chart, bank_movements(bank, bf_date, cut), adj_by_account(aje, bf_date, cut), account_bf)
 
 
 def pl_for(chart: DataFrame, bank: DataFrame, aje: DataFrame, start, end) -> DataFrame:
     """Movement of every chart account in (start, end], without b/f."""
-    return _on_chart(chart, bank_movements(bank, start, end), adj_by_account(aje, start, end), None)
+    return on_chart(chart, bank_movements(bank, start, end), adj_by_account(aje, start, end), None)
 
 
 def cash_flow(bank: DataFrame, start, end) -> DataFrame:

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from hirebook.functions.expr import money
+from hirebook.functions.expr import date_lit, money
 from hirebook.operators import depreciation as D
 from hirebook.operators import integrity as I
 from hirebook.operators import ledger as L
@@ -23,6 +23,7 @@ from hirebook.operators import payroll as W
 from hirebook.operators import profitability as PR
 from hirebook.operators import recovery as RC
 from hirebook.operators import rental as R
+from hirebook.operators import rollup as RU
 from hirebook.operators import statements as ST
 from hirebook.params import TEST_PARAMS as P
 from hirebook.plans.views import balance_views, create_views, pl_views
@@ -34,6 +35,7 @@ from hirebook.sources.schemas import SCHEMAS
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
+ROLLUP_START, ROLLUP_CUT = "1996-02-10", "1997-08-17"  # both inside a month
 DEFAULTS_START, DEFAULTS_END = "1997-06-30", "1997-03-31"
 
 
@@ -239,6 +241,28 @@ def _pl_for(b):
     return L.pl_for(b.chart_of_accounts, b.bankstatement, b.aje, P.start, P.end)
 
 
+def _rollup(b):
+    """A rollup of the rows up to the period's start, then brought up to date
+    for the months of the rows after it."""
+    path, bank, aje = scratch_path(b.spark, "rollup"), b.bankstatement, b.aje
+    before = F.col("date") <= date_lit(P.start)
+    RU.refresh_rollup(path, bank.where(before), aje.where(before))
+    RU.refresh_rollup(path, bank, aje, [m for t in (bank, aje) for m in RU.months_of(t.where(~before))])
+    return RU.read_rollup(b.spark, path)
+
+
+@query("balance_rollup")
+def _balance_rollup(b):
+    """L7 at a day inside a month, from a stored rollup by month."""
+    return RU.balance_at(_rollup(b), b.chart_of_accounts, b.bankstatement, b.aje, b.account_bf, P.bf_date, ROLLUP_CUT)
+
+
+@query("pl_rollup")
+def _pl_rollup(b):
+    """L8 between two days inside months, from a stored rollup by month."""
+    return RU.pl_for(_rollup(b), b.chart_of_accounts, b.bankstatement, b.aje, ROLLUP_START, ROLLUP_CUT)
+
+
 @query("cash_flow")
 def _cash_flow(b):
     return L.cash_flow(b.bankstatement, P.start, P.end)
