@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hirebook.functions.expr import exact_sum
+from hirebook.session import keep
 
 RECOVERABLE = "social_security_recoverable"
 MEASURES = ("total_salary", "individual_income_tax", "social_security_employee",
@@ -123,15 +124,18 @@ def _external_workers(month_rows: DataFrame, year: int, month: int) -> DataFrame
 
 
 def payroll_external(month_rows: DataFrame, year: int, month: int) -> DataFrame:
-    """One receivable debit per external worker, one payable credit."""
+    """One receivable debit per external worker, one payable credit. The
+    month's rows are shared (``session.keep``), so they are read once."""
+    month_rows = keep(month_rows)
     total = _lines(month_totals(month_rows), EXTERNAL_LINES[1:], _external_total(), year, month)
     return _external_workers(month_rows, year, month).unionByName(total)
 
 
 def payroll_journal(payroll: DataFrame, worker_info: DataFrame, year: int, month: int) -> DataFrame:
     """The month's journal, all lines with ``line_no`` (sort by
-    ``line_no, worker_id``); it balances for any number of workers."""
-    m = payroll_month(payroll, worker_info, year, month)
+    ``line_no, worker_id``); it balances for any number of workers. The
+    month's rows are shared (``session.keep``), so they are read once."""
+    m = keep(payroll_month(payroll, worker_info, year, month))
     amounts = {**_regular_amounts(), **_associate_amounts(), **_external_total()}
     fixed = _lines(month_totals(m), REGULAR_LINES + ASSOCIATE_LINES + EXTERNAL_LINES[1:], amounts, year, month)
     return fixed.unionByName(_external_workers(m, year, month)).select(LINE_COLS)

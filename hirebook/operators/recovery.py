@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from hirebook.functions.expr import date_lit, exact_sum, in_period, sgn
 from hirebook.operators.rental import invoiced_revenue
 from hirebook.params import Bounds
+from hirebook.session import keep
 
 
 def client_receipts(bank: DataFrame, ar_code: str, start, end,
@@ -45,12 +46,13 @@ def client_opening_at(opening_bf: DataFrame, bank: DataFrame, invoice: DataFrame
                       ar_code: str, bf_date, start) -> DataFrame:
     """P5: receivable at ``start`` = b/f - receipts + invoices in
     (bf_date, start], one row per client and contract invoice group as the
-    reports do (a client without invoices keeps one row)."""
+    reports do (a client without invoices keeps one row). The invoice groups
+    and the clients are shared (``session.keep``), so both are read once."""
     rec = _receipts_by_party(bank, ar_code, bf_date, start, "received")
-    inv = invoiced_revenue(invoice, bf_date, start, Bounds.HALF_OPEN).select("client_id", "Invoiced_Total")
+    inv = keep(invoiced_revenue(invoice, bf_date, start, Bounds.HALF_OPEN).select("client_id", "Invoiced_Total"))
     z = F.lit(0.0)
-    before = opening_bf.join(rec, F.col("ep_id") == F.col("paid_by"), "left").select(
-        "ep_id", (F.coalesce("amount", z) - F.coalesce("received", z)).alias("before"))
+    before = keep(opening_bf.join(rec, F.col("ep_id") == F.col("paid_by"), "left").select(
+        "ep_id", (F.coalesce("amount", z) - F.coalesce("received", z)).alias("before")))
     # the invoice groups are the big side and come first: a client with very
     # many of them can be split; clients without any are added after
     billed = inv.join(before, F.col("client_id") == F.col("ep_id"), "inner").select(

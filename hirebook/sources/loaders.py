@@ -8,6 +8,7 @@ A missing table fails the load.
 
 from __future__ import annotations
 
+import re
 import uuid
 from functools import reduce
 
@@ -66,9 +67,9 @@ def corrupt_rows(df: DataFrame) -> DataFrame:
     return df.where(F.col(CORRUPT).isNotNull())
 
 
-def write_table(df: DataFrame, path: str, fmt: str = "csv", mode: str = "overwrite") -> None:
-    """Sink: replace the table at ``path`` (full refresh)."""
-    w = df.write.mode(mode).format(fmt)
+def write_table(df: DataFrame, path: str, fmt: str = "csv", mode: str = "overwrite", by: list[str] | None = None) -> None:
+    """Sink: replace the table at ``path`` (full refresh), in folders ``by`` columns."""
+    w = df.write.mode(mode).format(fmt).partitionBy(*(by or []))
     if fmt == "csv":
         w = w.option("header", True)
     w.save(path)
@@ -130,7 +131,7 @@ def _bad_cells(spark: SparkSession, path: str, name: str, schema: str, fmt: str)
     return sums.select(F.inline(F.array(*rows))).where("bad > 0")
 
 
-def write_schedule(tables: dict[str, DataFrame], path: str, fmt: str = "csv") -> str:
+def write_schedule(tables: dict[str, DataFrame], path: str, fmt: str = "csv", by: dict[str, list[str]] | None = None) -> str:
     """S1 sink: the schedule at ``path`` becomes exactly these tables, in one
     commit; returns the snapshot's name.
 
@@ -138,7 +139,7 @@ def write_schedule(tables: dict[str, DataFrame], path: str, fmt: str = "csv") ->
     file names it. Until that file is there, loads read the snapshot before,
     whole; a write that dies half way leaves a folder that nothing names. Of
     two writers at once, one's snapshot is the later, whole. ``prune_snapshots``
-    deletes old ones.
+    deletes old ones. ``by``: tables that are written in folders by columns.
     """
     root = path.rstrip("/")
     if not tables:
@@ -148,7 +149,7 @@ def write_schedule(tables: dict[str, DataFrame], path: str, fmt: str = "csv") ->
     version = 1 + (commits.agg(F.max("version")).first()[0] or 0 if commits is not None else 0)
     name = f"snapshot-{version:08d}-{uuid.uuid4().hex[:8]}"
     for table, df in tables.items():
-        write_table(df, f"{root}/{name}/{table}", fmt, mode="errorifexists")
+        write_table(df, f"{root}/{name}/{table}", fmt, mode="errorifexists", by=(by or {}).get(table))
     line = spark.range(1, numPartitions=1).select(F.lit(version).cast("bigint").alias("version"), F.lit(name).alias("snapshot"),
                                                   F.array(*[F.lit(t) for t in sorted(tables)]).alias("tables"))
     line.write.mode("append").json(f"{root}/{COMMITS}")
@@ -278,19 +279,51 @@ def load_equipment_schedule(spark: SparkSession, path: str, record_schemas: dict
                             target: str | None = None, max_tables: int = 10_000) -> dict[str, DataFrame]:
     """The code tables listed in the ``codedefinition`` sheet (table,
     column 1, column 2 per row), then the four record tables; with ``target``
-    each replaces its table under that folder.
+    they replace the schedule there, in one commit (``write_schedule``).
+
+    All code sheets are one scan, whose rows are routed to their tables by the
+    file that they come from (``read_code_sheets``), and one write partitioned
+    by table; the jobs don't grow with the sheets. A table listed twice is
+    loaded once, under the names of its last row.
 
     Only the metadata sheet is read on the driver (at most ``max_tables``
     rows, else ValueError). A table missing from the folder fails the load.
     """
-    defs = spark.read.option("header", False).csv(f"{path}/codedefinition").limit(max_tables + 1).collect()
+    defs = spark.read.schema("t string, c1 string, c2 string").option("header", False).csv(f"{path}/codedefinition").limit(max_tables + 1).collect()
     if len(defs) > max_tables:
         raise ValueError(f"over {max_tables} code tables")
+    names = {row.t: (row.c1, row.c2) for row in defs}
+    records = {t: load_record_table(spark, f"{path}/{t}", (record_schemas or {}).get(t)) for t in RECORD_TABLES}
+    codes = read_code_sheets(spark, path, list(names))
+    if target is not None:
+        write_schedule({CODES: codes, **records}, target, "parquet", {CODES: ["table_name"]})
+        root = current_snapshot(spark, target)[0]
+        codes = spark.read.schema(CODES_SCHEMA).parquet(f"{root}/{CODES}")
+        records = {t: spark.read.schema(df.schema).parquet(f"{root}/{t}") for t, df in records.items()}
+    return {**{n: codes.where(F.col("table_name") == n).select(F.col("cell1").alias(c1), F.col("cell2").alias(c2)) for n, (c1, c2) in names.items()}, **records}
+
+
+CODES = "code_tables"
+CODES_SCHEMA = "cell1 string, cell2 string, table_name string"
 
-    def to(name):
-        return None if target is None else f"{target.rstrip('/')}/{name}"
 
-    out = {row[0]: load_code_table(spark, f"{path}/{row[0]}", row[1], row[2], target=to(row[0])) for row in defs}
-    for table in RECORD_TABLES:
-        out[table] = load_record_table(spark, f"{path}/{table}", (record_schemas or {}).get(table), target=to(table))
-    return out
+def read_code_sheets(spark: SparkSession, path: str, names: list[str]) -> DataFrame:
+    """(cell1, cell2, table_name): the first two cells of every row of the
+    named sheets (files or folders under ``path``), in one scan.
+
+    A row's table is the first part of its file's path below ``path``. Cells
+    that a row lacks are NULL, further ones are left out. A sheet that isn't
+    there fails the read.
+    """
+    if not names:
+        return spark.createDataFrame([], CODES_SCHEMA)
+    rows = spark.read.schema("cell1 string, cell2 string").option("header", False).csv([f"{path}/{n}" for n in dict.fromkeys(names)])
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    root = root.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(root).toUri().toString()
+    # file:/x in one place is file:///x in the other
+    below = F.substring(F.regexp_replace("_metadata.file_path", SCHEME, ""), len(re.sub(SCHEME, "", root.rstrip("/"))) + 2, 1 << 20)
+    name = F.url_decode(F.replace(F.substring_index(below, "/", 1), F.lit("+"), F.lit("%2B")))
+    return rows.select("cell1", "cell2", name.alias("table_name"))
+
+
+SCHEME = "^[A-Za-z0-9+.-]+:/*"

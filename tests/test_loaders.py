@@ -174,6 +174,57 @@ def test_equipment_schedule_driven_by_code_definitions(spark, tmp_path):
     assert out["mro_record"].columns == ["equip_id", "note"]
 
 
+def _sheets(where, n, rows="1,a\n2,b\n"):
+    names = [f"code {i}+%" if i % 2 else f"c{i}" for i in range(n)]
+    _write(where / "codedefinition" / "d.csv", "".join(f"{t},id,{t}_name\n" for t in names))
+    for t in names:
+        _write(where / t / "s.csv", rows.replace("a", f"first of {t}"))
+    for t in LD.RECORD_TABLES:
+        _write(where / t / "r.csv", "equip_id,note\n7,x\n")
+    return names
+
+
+def test_code_sheets_are_one_scan_and_one_write(spark, tmp_path):
+    jobs = {}
+    for n in (3, 40, 120):
+        names = _sheets(tmp_path / f"in{n}", n)
+        spark.sparkContext.setJobGroup(f"sheets{n}", "load")
+        out = LD.load_equipment_schedule(spark, str(tmp_path / f"in{n}"), target=str(tmp_path / f"out{n}"))
+        jobs[n] = len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"sheets{n}"))
+        spark.sparkContext.setJobGroup("other", "other")
+        for t in names[:2]:
+            assert sorted(map(tuple, out[t].collect())) == [("1", f"first of {t}"), ("2", "b")] and out[t].columns == ["id", f"{t}_name"]
+        assert out["mro_record"].count() == 1 and set(out) == {*names, *LD.RECORD_TABLES}
+    assert jobs[40] == jobs[120] and jobs[40] - jobs[3] <= 2  # over 32 folders are listed in a job: sheets and tables
+
+
+def test_code_sheets_files_folders_ragged_rows_and_repeats(spark, tmp_path):
+    _sheets(tmp_path, 1)
+    _write(tmp_path / "c0" / "deeper.csv", "3,c,more,cells\n4\n")
+    _write(tmp_path / "single.csv", "x,y\n")
+    _write(tmp_path / "codedefinition" / "d.csv", "c0,k,v\nsingle.csv,p,q\nc0,id,name\n")
+    out = LD.load_equipment_schedule(spark, str(tmp_path))
+    assert sorted(map(tuple, out["c0"].collect())) == [("1", "first of c0"), ("2", "b"), ("3", "c"), ("4", None)]
+    assert out["c0"].columns == ["id", "name"] and [tuple(r) for r in out["single.csv"].collect()] == [("x", "y")]
+    assert LD.read_code_sheets(spark, str(tmp_path), []).count() == 0
+
+
+def test_code_sheets_replace_the_target_whole(spark, tmp_path):
+    _sheets(tmp_path / "in", 2)
+    LD.load_equipment_schedule(spark, str(tmp_path / "in"), target=str(tmp_path / "out"))
+    before = LD.current_snapshot(spark, str(tmp_path / "out"))
+    assert before[1] == sorted([LD.CODES, *LD.RECORD_TABLES])
+    _write(tmp_path / "in" / "codedefinition" / "d.csv", "c0,a,b\nnot there,a,b\n")
+    with pytest.raises(AnalysisException):
+        LD.load_equipment_schedule(spark, str(tmp_path / "in"), target=str(tmp_path / "out"))
+    assert LD.current_snapshot(spark, str(tmp_path / "out")) == before
+    _write(tmp_path / "in" / "codedefinition" / "d.csv", "c0,a,b\n")
+    out = LD.load_equipment_schedule(spark, str(tmp_path / "in"), target=str(tmp_path / "out"))
+    root = LD.current_snapshot(spark, str(tmp_path / "out"))[0]
+    assert root != before[0] and out["c0"].count() == 2
+    assert [r[0] for r in spark.read.parquet(f"{root}/{LD.CODES}").select("table_name").distinct().collect()] == ["c0"]
+
+
 def test_equipment_schedule_missing_record_table_fails(spark, tmp_path):
     _write(tmp_path / "codedefinition" / "d.csv", "site,site_id,site_name\n")
     _write(tmp_path / "site" / "s.csv", "1,North\n")

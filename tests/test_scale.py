@@ -223,6 +223,23 @@ def test_the_bank_table_is_scanned_once(spark, name, most):
     assert sum("FileScan parquet" in x and "vat" in x for x in text.splitlines()) == most, text
 
 
+def test_the_integrity_summary_scans_the_bank_once(spark):
+    scans = [x for x in plan_text(QUERIES["integrity_summary"](spark, SF_SMALL)).splitlines() if "FileScan parquet" in x and "ep_id#" in x]
+    assert sum("vat#" in x for x in scans) == 1 and len(scans) == 2, scans  # the bank table and the adjustments
+
+
+@pytest.mark.parametrize("name", ["payroll_external", "payroll_journal", "client_opening_at"])
+def test_shared_rows_are_computed_once_and_released(spark, name):
+    from hirebook.session import release
+
+    df = QUERIES[name](spark, SF_SMALL)
+    held = spark.sparkContext._jsc.getPersistentRDDs
+    before = held().size()
+    df.collect()
+    assert held().size() > before and plan_text(df).count("InMemoryTableScan") >= 2
+    assert release() > 0 and held().size() == before
+
+
 def test_sums_have_the_same_bits_whatever_the_partitioning(spark, book):
     from hirebook.operators import ledger as L
     from hirebook.operators import profitability as PR
