@@ -7,9 +7,12 @@ k-means over its training vectors.  A text gets the language of the centroid
 of highest cosine.  It is *rejected* (outlier) if that cosine is below what
 nearly all training vectors of that centroid reach.
 
-Counts for the idf and the centroids come from a documented sample: about
-``per_lang`` documents of each language, those whose hashed id falls below the
-share that gives that many.  Prediction reads every whole text.
+Document frequencies are counted over every text that may be learned from, in
+one pass of one partial count a task.  The centroids come from a documented
+sample: of each language the ``per_lang`` different rows of smallest hash of
+id and text, so neither the order of rows nor the layout matters and a row that
+repeats counts once.  Each language is clustered in a task of its own; only the
+model comes to the driver.  Prediction reads every whole text.
 """
 
 from __future__ import annotations
@@ -17,13 +20,17 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from hirebook.llm.common import lean
+
 DIM = 1 << 13
 MAX_LANGS = 1000
 STEP = 1 << 20
+DRAWS = 1 << 62
 
 
 def grams(text: str | None) -> tuple[np.ndarray, np.ndarray]:
@@ -95,56 +102,107 @@ def _unit(x: np.ndarray) -> np.ndarray:
     return x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-30)
 
 
-def fit(samples: list[tuple[str, np.ndarray, np.ndarray]], clusters: int = 4, outliers: float = 0.005, seed: int = 3) -> Model:
-    """Learn from (language, positions, counts) of each sampled text."""
+def idf_of(texts: int, df: np.ndarray) -> np.ndarray:
+    """Inverse document frequency from the texts that hold a gram at all and
+    those that hold each."""
+    return (np.log((1 + texts) / (1 + df)) + 1).astype(np.float32)
+
+
+def fit_language(samples: list[tuple[np.ndarray, np.ndarray]], idf: np.ndarray, clusters: int = 4, outliers: float = 0.005,
+                 seed: int = 3) -> tuple[np.ndarray, list[float]]:
+    """Centroids of one language's (positions, counts), and the least cosine
+    that each accepts."""
+    x = np.zeros((len(samples), DIM), np.float32)
+    for row, (at, n) in zip(x, samples):
+        row[at] = vector(at, n, idf)
+    c = _kmeans(x, clusters, np.random.default_rng(seed))
+    cos = x @ c.T
+    of = cos.argmax(axis=1)
+    return c, [float(np.quantile(cos[of == i, i], outliers)) if (of == i).any() else 0.0 for i in range(len(c))]
+
+
+def fit(samples: list[tuple[str, np.ndarray, np.ndarray]], **settings) -> Model:
+    """Learn from (language, positions, counts) of each text, the idf included."""
     samples = [s for s in samples if len(s[1])]
     df = np.zeros(DIM)
     for _, at, _ in samples:
         df[at] += 1
-    idf = (np.log((1 + len(samples)) / (1 + df)) + 1).astype(np.float32)
-    rng = np.random.default_rng(seed)
-    langs, centroids, reject = [], [], []
-    for lang in sorted({s[0] for s in samples}):
-        own = [s for s in samples if s[0] == lang]
-        x = np.zeros((len(own), DIM), np.float32)
-        for row, (_, at, n) in zip(x, own):
-            row[at] = vector(at, n, idf)
-        c = _kmeans(x, clusters, rng)
-        cos = x @ c.T
-        of = cos.argmax(axis=1)
-        for i, row in enumerate(c):
-            langs.append(lang)
-            centroids.append(row)
-            reject.append(np.quantile(cos[of == i, i], outliers) if (of == i).any() else 0.0)
-    return Model(tuple(langs), np.array(centroids, np.float32).reshape(-1, DIM), idf, np.array(reject, np.float32))
+    idf = idf_of(len(samples), df)
+    return _model(idf, [(lang, *fit_language([s[1:] for s in samples if s[0] == lang], idf, **settings)) for lang in sorted({s[0] for s in samples})])
 
 
-def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", per_lang: int = 400,
-          **settings) -> Model:
-    """Fit on about ``per_lang`` rows of each language; rows without a
-    language don't count.  Rows that share an id share the draw."""
-    named = docs.where(F.col(lang_col).isNotNull())
-    share = F.least(F.lit(1.0), F.lit(float(per_lang)) / F.count("*"))
-    shares = named.groupBy(F.col(lang_col).cast("string").alias("_lang")).agg(share.alias("_share"))
-    known = {r[0]: r[1] for r in shares.limit(MAX_LANGS + 1).collect()}
-    if len(known) > MAX_LANGS:
-        raise ValueError(f"over {MAX_LANGS} languages")
-    if not known:
-        return fit([], **settings)
-    draw = F.pmod(F.xxhash64(F.col(id_col).cast("string"), F.lit(17)), F.lit(1 << 30)) / float(1 << 30)
-    table = F.create_map(*(F.lit(v) for kv in sorted(known.items()) for v in kv))
-    lang = F.col(lang_col).cast("string")
-    src = named.where(draw < table[lang]).select(lang.alias("_lang"), F.col(text_col).alias("_text"))
+def _model(idf: np.ndarray, fitted: list[tuple[str, np.ndarray, list[float]]]) -> Model:
+    return Model(tuple(lang for lang, c, _ in fitted for _ in c), np.array([row for _, c, _ in fitted for row in c], np.float32).reshape(-1, DIM),
+                 idf, np.array([r for _, _, rejects in fitted for r in rejects], np.float32))
 
+
+def document_frequencies(texts: DataFrame) -> tuple[int, np.ndarray]:
+    """How many texts of a one-column table hold a gram at all, and how many
+    hold each: one partial count a task, summed by position."""
     def run(batches):
+        df = np.zeros(DIM + 1, np.int64)
         for b in batches:
-            for lang, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                at, n = grams(text)
-                yield pa.RecordBatch.from_arrays([pa.array([lang]), pa.array([at.astype("<u2").tobytes()], pa.binary()),
-                                                  pa.array([n.astype("<u4").tobytes()], pa.binary())], ["lang", "at", "n"])
+            for text in b.column(0):
+                at, _ = grams(text.as_py())
+                df[at] += 1
+                df[DIM] += len(at) > 0
+        at = np.nonzero(df)[0]
+        yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(df[at])], ["at", "n"])
+
+    counts = np.zeros(DIM + 1)
+    for at, n in texts.mapInArrow(lean(run), "at int, n long").groupBy("at").agg(F.sum("n")).collect():  # DIM + 1 rows at most
+        counts[at] = n
+    return int(counts[DIM]), counts[:DIM]
+
+
+def sample_rows(named: DataFrame, per_lang: int) -> DataFrame:
+    """Of (_lang, _draw, _text) the ``per_lang`` different rows of smallest
+    _draw of each language (MAX_LANGS at most, else ValueError).
+
+    A first look gives each language's number of different draws; the share
+    of them that holds twice what is wanted is ranked, and the last wanted draw
+    bounds the second look.  Repeated rows fall together in each task.
+    """
+    seen = named.groupBy("_lang").agg(F.approx_count_distinct("_draw").alias("n")).limit(MAX_LANGS + 1).collect()
+    if len(seen) > MAX_LANGS:
+        raise ValueError(f"over {MAX_LANGS} languages")
+
+    def below(bounds):
+        table = F.create_map(*(F.lit(v) for kv in sorted(bounds.items()) for v in kv))
+        return F.col("_draw") <= table[F.col("_lang")]
+
+    if not seen:
+        return named.where(F.lit(False))
+    share = {r[0]: int(min(1.0, (2 * per_lang + 100) / max(r[1], 1)) * DRAWS) for r in seen}
+    by_draw = Window.partitionBy("_lang").orderBy("_draw")
+    ranked = named.where(below(share)).select("_lang", "_draw").distinct().withColumn("_rank", F.row_number().over(by_draw))
+    last = {r[0]: r[1] for r in ranked.where(F.col("_rank") <= per_lang).groupBy("_lang").agg(F.max("_draw")).collect()}
+    return named.where(below(last)).groupBy("_lang", "_draw").agg(F.min("_text").alias("_text"))
 
-    got = sorted(src.mapInArrow(run, "lang string, at binary, n binary").limit(4 * per_lang * len(known)).collect())
-    return fit([(r[0], np.frombuffer(r[1], "<u2").astype(np.int64), np.frombuffer(r[2], "<u4").astype(np.int64)) for r in got], **settings)
+
+def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", per_lang: int = 400,
+          **settings) -> Model:
+    """Fit on ``per_lang`` different rows of each language (all, if fewer), the
+    idf on all rows; rows without a language or without a letter teach nothing."""
+    lang = F.col(lang_col).cast("string")
+    draw = F.pmod(F.xxhash64(F.col(id_col).cast("string"), F.col(text_col), F.lit(17)), F.lit(DRAWS))
+    named = docs.where(lang.isNotNull()).select(lang.alias("_lang"), draw.alias("_draw"), F.col(text_col).alias("_text"))
+    idf = idf_of(*document_frequencies(named.select("_text")))
+
+    def learn(key, rows):
+        got = [grams(t) for t in rows.sort_values("_draw")["_text"]]
+        got = [g for g in got if len(g[0])]
+        c, reject = fit_language(got, idf, **settings) if got else (np.zeros((0, DIM), np.float32), [])
+        return pd.DataFrame({"lang": [key[0]] * len(c), "part": range(len(c)), "centroid": [row.astype("<f4").tobytes() for row in c], "reject": reject})
+
+    held = named.where(F.regexp_like("_text", F.lit(r"\p{L}")))
+    fitted: dict = {}
+    rows = sample_rows(held, per_lang).groupBy("_lang").applyInPandas(learn, "lang string, part int, centroid binary, reject double")
+    for r in sorted(rows.collect(), key=lambda r: (r.lang, r.part)):  # the model
+        c, reject = fitted.setdefault(r.lang, ([], []))
+        c.append(np.frombuffer(r.centroid, "<f4"))
+        reject.append(r.reject)
+    return _model(idf, [(lang, np.array(c), reject) for lang, (c, reject) in fitted.items()])
 
 
 def predict(docs: DataFrame, model: Model, text_col: str = "text", carry: tuple = ("doc_id",), rows: int = 64) -> DataFrame:
