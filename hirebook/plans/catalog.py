@@ -26,6 +26,7 @@ from hirebook.operators import rental as R
 from hirebook.operators import rollup as RU
 from hirebook.operators import statements as ST
 from hirebook.params import TEST_PARAMS as P
+from hirebook.plans.table_functions import register_functions
 from hirebook.plans.views import balance_views, create_views, pl_views
 from hirebook.reports import Reports
 from hirebook.session import release, scratch_path
@@ -531,6 +532,16 @@ def _named_views(b):
         JOIN duringyear d ON d.ma_account_id = c.ma_account_id""")
 
 
+@query("table_functions")
+def _table_functions(b):
+    """The same balances and P&L from SQL table functions with the dates
+    as arguments: three periods in one statement."""
+    register_functions(b, ["balance_for", "pl_for"])
+    return b.spark.sql("""SELECT c.ma_account_id, c.ma_account_name, o.Amount AS opening, d.Amount AS movement, c.Amount AS closing
+        FROM balance_for(:bf, :end) c JOIN balance_for(:bf, :start) o ON o.ma_account_id = c.ma_account_id
+        JOIN pl_for(:start, :end) d ON d.ma_account_id = c.ma_account_id""", {"bf": P.bf_date, "start": P.start, "end": P.end})
+
+
 @query("default_dates")
 def _default_dates(b):
     """Invoiced revenue with no date, only a start and only an end given;
