@@ -24,6 +24,8 @@ from dataclasses import dataclass
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+
+from hirebook.llm.common import materialise
 from pyspark.sql.utils import AnalysisException
 
 SCANS = "blob binary, pairs array<string>"
@@ -96,14 +98,23 @@ def versions_of(docs: DataFrame, path_cols: tuple, text_col: str) -> DataFrame:
 
 
 def unseen(versions: DataFrame, ledger: str, rules: tuple) -> DataFrame:
-    """Blobs with the pairs they lack: blob, text, pairs (not empty)."""
-    spark = versions.sparkSession
-    blobs = versions.select(F.col("_blob").alias("blob"), F.col("_text").alias("text")).dropDuplicates(["blob"])
-    seen = _read(spark, f"{ledger}/scans", SCANS).groupBy("blob").agg(F.flatten(F.collect_set("pairs")).alias("seen"))
+    """Blobs with the pairs they lack: blob, text, pairs (not empty).
+
+    Of a ledger with scans only digests are looked up: the blobs that lack a
+    pair are a stored table, and texts are dropped in the task that reads them
+    unless their blob is in it.  Spark sends that table to every task where
+    its measured size allows, and else joins by blob behind its runtime filter.
+    """
+    texts = versions.select(F.col("_blob").alias("blob"), F.col("_text").alias("text"))
     wanted = F.array(*(F.lit(r.pair) for r in rules))
-    return (blobs.join(seen, "blob", "left")
-            .withColumn("pairs", F.when(F.col("seen").isNull(), wanted).otherwise(F.array_except(wanted, "seen")))
-            .where(F.size("pairs") > 0).select("blob", "text", "pairs"))
+    scans = _read(versions.sparkSession, f"{ledger}/scans", SCANS)
+    if scans.isEmpty():
+        return texts.dropDuplicates(["blob"]).select("blob", "text", wanted.alias("pairs")).where(F.size("pairs") > 0)
+    seen = scans.groupBy("blob").agg(F.flatten(F.collect_set("pairs")).alias("seen"))
+    lacking = (texts.select("blob").distinct().join(seen, "blob", "left")
+               .select("blob", F.when(F.col("seen").isNull(), wanted).otherwise(F.array_except(wanted, "seen")).alias("pairs"))
+               .where(F.size("pairs") > 0))
+    return texts.join(materialise(lacking, "lacking"), "blob").dropDuplicates(["blob"]).select("blob", "text", "pairs")
 
 
 def scan(docs: DataFrame, ledger: str, rules: tuple = RULES, path_cols: tuple = ("doc_id",), text_col: str = "text") -> None:

@@ -87,3 +87,17 @@ def test_query_against_brute_force(spark):
         assert g.spans == ",".join(f"{k}:{s}:{e}" for s, _, k, e in sorted(sum(spans, [])))
         some += bool(base)
     assert some > 5
+
+
+def test_seen_texts_are_dropped_before_the_shuffle(spark):
+    ledger = scratch_path(spark, "ledger-test")
+    old = spark.range(300).selectExpr("id AS doc_id", "concat('token=', repeat('a', 20), id % 100) AS text")
+    L.scan(old, ledger, L.BASE)
+    new = old.unionByName(spark.createDataFrame([(900, f"secret={KEY}"), (901, f"secret={KEY}")], "doc_id long, text string"))
+    todo = L.unseen(L.versions_of(new, ("doc_id",), "text"), ledger, L.BASE)
+    assert [(r.text, sorted(r.pairs)) for r in todo.collect()] == [(f"secret={KEY}", sorted(r.pair for r in L.BASE))]
+    plan = todo._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert "SortMergeJoin" not in plan and plan.rindex("Exchange hashpartitioning(blob") < plan.index("BroadcastHashJoin")  # printed from the top
+    assert L.unseen(L.versions_of(old, ("doc_id",), "text"), ledger, L.BASE).count() == 0
+    assert L.unseen(L.versions_of(old, ("doc_id",), "text"), ledger, ()).count() == 0
+    assert L.unseen(L.versions_of(old.limit(0), ("doc_id",), "text"), ledger, L.BASE).count() == 0
