@@ -27,6 +27,12 @@ def contract_profitability(t: RentTables, equip_dailycost: DataFrame, start, end
     cost = (std_cost_by_contract(t.relocation, equip_dailycost, start, end, summary=summary)
             .select(F.col("q_id").alias("cost_q_id"), STD_COST))
     parties = t.vq.select(F.col("q_id").alias("party_q_id"), "ep_id", "ep_name").distinct()
+    return per_contract(rev, cost, parties, literal_id)
+
+
+def per_contract(rev: DataFrame, cost: DataFrame, parties: DataFrame, literal_id: bool) -> DataFrame:
+    """P1 from revenue (revenue_q_id, Revenue), cost (cost_q_id, standard cost)
+    and parties (party_q_id, ep_id, ep_name) per contract."""
     j = (rev.join(cost, F.col("revenue_q_id") == F.col("cost_q_id"), "left")
          .join(parties, F.col("revenue_q_id") == F.col("party_q_id"), "left"))
     qid = F.col("cost_q_id") if literal_id else F.col("revenue_q_id")

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from hirebook.functions.expr import date_lit, money
+from hirebook.operators import contract_store as CS
 from hirebook.operators import depreciation as D
 from hirebook.operators import integrity as I
 from hirebook.operators import ledger as L
@@ -168,6 +169,39 @@ def _contract_profitability_by_revenue(b):
     return PR.contract_profitability(rent_tables(b), b.equip_dailycost, P.start, P.end, literal_id=False)
 
 
+def _stored_contracts(b):
+    """The contract store of the book, written by the first query that reads it."""
+    if "contract_store" not in vars(b):
+        path = scratch_path(b.spark, "contracts")
+        CS.write_contract_store(path, rent_tables(b), b.equip_dailycost)
+        b.contract_store = CS.read_contract_store(b.spark, path)
+    return b.contract_store
+
+
+@query("rent_type1_stored")
+def _rent_type1_stored(b):
+    """R6 from tables bucketed by contract."""
+    return CS.rent_type1(_stored_contracts(b), P.start, P.end)
+
+
+@query("rent_type2_stored")
+def _rent_type2_stored(b):
+    """R7 from tables bucketed by contract."""
+    return CS.rent_type2(_stored_contracts(b), P.start, P.end)
+
+
+@query("accrued_revenue_stored")
+def _accrued_revenue_stored(b):
+    """R8 from tables bucketed by contract."""
+    return CS.accrued_revenue(_stored_contracts(b), P.start, P.end)
+
+
+@query("contract_profitability_stored")
+def _contract_profitability_stored(b):
+    """P1 from tables bucketed by contract."""
+    return CS.contract_profitability(_stored_contracts(b), P.start, P.end)
+
+
 @query("client_profitability")
 def _client_profitability(b):
     return PR.client_profitability(

@@ -145,11 +145,21 @@ def write_schedule(tables: dict[str, DataFrame], path: str, fmt: str = "csv", by
     if not tables:
         raise ValueError("a schedule has tables")
     spark = next(iter(tables.values())).sparkSession
-    commits = _commits(spark, root)
-    version = 1 + (commits.agg(F.max("version")).first()[0] or 0 if commits is not None else 0)
-    name = f"snapshot-{version:08d}-{uuid.uuid4().hex[:8]}"
+    version, name = next_snapshot(spark, root)
     for table, df in tables.items():
         write_table(df, f"{root}/{name}/{table}", fmt, mode="errorifexists", by=(by or {}).get(table))
+    return commit_snapshot(spark, root, version, name, list(tables))
+
+
+def next_snapshot(spark: SparkSession, root: str) -> tuple[int, str]:
+    """Version and folder name of the snapshot after the last committed one."""
+    commits = _commits(spark, root)
+    version = 1 + (commits.agg(F.max("version")).first()[0] or 0 if commits is not None else 0)
+    return version, f"snapshot-{version:08d}-{uuid.uuid4().hex[:8]}"
+
+
+def commit_snapshot(spark: SparkSession, root: str, version: int, name: str, tables: list[str]) -> str:
+    """Name a snapshot whose tables are all written, in one new file; its name."""
     line = spark.range(1, numPartitions=1).select(F.lit(version).cast("bigint").alias("version"), F.lit(name).alias("snapshot"),
                                                   F.array(*[F.lit(t) for t in sorted(tables)]).alias("tables"))
     line.write.mode("append").json(f"{root}/{COMMITS}")
