@@ -31,6 +31,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from hirebook.llm.common import connected_components, materialise, spanning_forest
 
@@ -73,7 +74,9 @@ def sort_keys(x: np.ndarray, number: int, seed: int) -> np.ndarray:
 def classes(vectors: DataFrame, id_col: str, vec_col: str) -> tuple[DataFrame, DataFrame]:
     """Rows (id, v) with v null if it can't link, and the distinct vectors
     (cid, v, dim, rep: smallest id, n: rows)."""
-    v = F.transform(F.col(vec_col), lambda x: x.cast("double") + F.lit(0.0))
+    single = isinstance(vectors.schema[vec_col].dataType.elementType, T.FloatType)  # half the bytes, the same numbers
+    kind = "float" if single else "double"
+    v = F.transform(F.col(vec_col), lambda x: x.cast(kind) + F.lit(0.0).cast(kind))
     bad = F.exists(v, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf"))) | ~F.exists(v, lambda x: x != 0)
     rows = vectors.select(F.col(id_col).alias("id"), F.when(~F.coalesce(bad, F.lit(True)) & F.col(id_col).isNotNull(), v).alias("v"))
     one = rows.where(F.col("v").isNotNull()).groupBy("v").agg(F.min("id").alias("rep"), F.count("*").alias("n"))
@@ -97,13 +100,12 @@ def _keyed(points: DataFrame, passes: range, seed: int) -> DataFrame:
                 for d in np.unique(dim):
                     of = np.nonzero(dim == d)[0]
                     x = unit([values[i] for i in of])
-                    raw = [row.tobytes() for row in x]
                     for p in passes:
                         yield pa.RecordBatch.from_arrays(
                             [pa.array(np.full(len(of), p, np.int32)), pa.array(np.full(len(of), d, np.int32)),
-                             pa.array(sort_keys(x, p, seed)), pa.array(cid[of]), pa.array(raw, pa.binary())], ["pass", "dim", "key", "cid", "x"])
+                             pa.array(sort_keys(x, p, seed)), pa.array(cid[of])], ["pass", "dim", "key", "cid"])
 
-    return src.mapInArrow(run, "pass int, dim int, key long, cid long, x binary")
+    return src.mapInArrow(run, "pass int, dim int, key long, cid long")
 
 
 def _ranked(keyed: DataFrame) -> DataFrame:
@@ -122,10 +124,14 @@ def _ranked(keyed: DataFrame) -> DataFrame:
             .withColumn("rank", F.col("before") + F.col("at") - F.shiftleft("part", 33)).drop("part", "before", "at"))
 
 
-def _links(ranked: DataFrame, threshold: float, window: int) -> DataFrame:
+def _links(ranked: DataFrame, points: DataFrame, threshold: float, window: int) -> DataFrame:
     """Verified pairs (a, b) of classes: a spanning forest of each block; and
     with b null, the depth of the prefix that class a has to share in a pass
-    to be in the window (the most of up to two rows; 0: all are in it)."""
+    to be in the window (the most of up to two rows; 0: all are in it).
+
+    Only keys are sorted; the vectors join their places once these are known,
+    so a vector travels once a block and not for the sort too.
+    """
     size = 4 * window
     block = F.floor(F.col("rank") / size).cast("long")
     also = F.when((F.col("rank") % size < window) & (block > 0), F.array(block, block - 1)).otherwise(F.array(block))
@@ -140,7 +146,7 @@ def _links(ranked: DataFrame, threshold: float, window: int) -> DataFrame:
                 depth[:-window] = np.where(at[:-window] < size, bits, 0)  # the later rows are the next block's
                 depth[window:] = np.maximum(depth[window:], bits)
             deep.append(pd.DataFrame({"a": seg["cid"], "b": None, "pass": number, "depth": depth}))
-            x = np.stack([np.frombuffer(r, np.float64) for r in seg["x"]])
+            x = unit(_arrays(seg["v"]))
             near = x @ x.T >= threshold
             some = np.nonzero(near.sum(axis=1) > 1)[0]
             if not len(some):
@@ -154,7 +160,8 @@ def _links(ranked: DataFrame, threshold: float, window: int) -> DataFrame:
         found = pd.DataFrame({"a": np.concatenate(a or none), "b": np.concatenate(b or none), "pass": -1, "depth": 0})
         return pd.concat([found, *deep]).astype({"a": "int64", "b": "Int64", "pass": "int32", "depth": "int32"})
 
-    return (ranked.withColumn("block", F.explode(also)).groupBy("block")
+    placed = ranked.withColumn("block", F.explode(also)).join(points.select("cid", "v"), "cid")
+    return (placed.select("block", "pass", "dim", "rank", "key", "cid", "v").groupBy("block")
             .applyInPandas(compare, "a long, b long, pass int, depth int"))
 
 
@@ -192,7 +199,7 @@ def _all_links(points: DataFrame, count: int, threshold: float, window: int, mis
     done, links, missed, dense, n = 0, None, None, points, count
     passes = n_passes(count, threshold, window, miss)
     while True:
-        compared = materialise(_links(_ranked(_keyed(dense, range(done, done + passes), seed)), threshold, window), "vector-links")
+        compared = materialise(_links(_ranked(_keyed(dense, range(done, done + passes), seed)), dense, threshold, window), "vector-links")
         pairs = compared.where("b is not null").select("a", "b")
         links = pairs if links is None else links.unionByName(pairs)
         now = _missed(compared, threshold)
