@@ -6,7 +6,9 @@ identifier that stays and the number of rows.  In round k the runs whose
 numbers differ in the k-th group of bits send their entries to the run that
 has those bits clear (a binomial tree of fan-in ``2**bits``), and the merge
 again keeps one entry a digest.  After the last round one entry is left for
-each digest of the corpus, spread over partitions by digest.  The verdict
+each digest of the corpus, spread over partitions by digest.  Runs are written
+sorted, but a shuffle doesn't keep their order: entries of one digest meet in a
+hash aggregate of the round, not in a streaming merge.  The verdict
 then goes back down the same tree, run by run, so that a group with a third
 of all rows is never one join key: its rows sit in all runs.
 
