@@ -36,7 +36,7 @@ def final_plan(df) -> str:
 
 
 def summarise(text: str) -> dict:
-    scans = Counter(re.sub(r"\b([a-z-]+)-[0-9a-f]{12}", r"\1", "/".join(m.rstrip("/").split("/")[-2:]))
+    scans = Counter(re.sub(r"\b([a-z-]+)-[0-9a-f]{12}|snapshot-\d{8}-[0-9a-f]{8}/", r"\1", "/".join(m.rstrip("/").split("/")[-2:]))
                     .replace(".parquet", "").replace("book/", "")
                     for m in re.findall(r"Location: InMemoryFileIndex\(\d+ paths\)\[file:([^,\]]+)", text))
     joins = Counter(j for j in JOINS for _ in re.findall(rf"\b{j}\b", text))
