@@ -4,19 +4,20 @@ Every report of rent and profit joins movements with quotation lines and sums
 both per contract; on plain tables each period pays for those shuffles again.
 The store deals them once: all its tables are bucketed by contract with one
 number of buckets, so the reports' joins and sums run where the rows are, with
-no exchange above any scan (a plan test asserts it with broadcasts off).  That
-takes a session with ``CONF`` (``build_session(extra=CONF)``): by default Spark
-shuffles a join on contract and line anew for fear of skew, which the days
-below rule out here. Results are the same without.
+no exchange above any scan (a plan test asserts it with broadcasts off). By
+default Spark shuffles a join on contract and line anew for fear of skew, so no
+report has one: a quotation line is stored with its group quantity or stays,
+and what a contract has by type (machine days, daily costs) is joined as one
+list on the contract alone, from which a row takes its own. ``CONF`` is for
+joins of a caller's own on contract and line.
 
 A contract is one bucket, so what it may hold has to be bounded. Movements
 are therefore stored as sums by contract, line, type, direction and day:
 machine days up to a cut are linear in the quantity, so a day's quantity and
 its quantity times time of day give what its single movements give. A contract
 with a third of all movements is then as many rows as it has days, lines and
-types; the sums that get there combine before their shuffle. What hangs on a
-line or a type (group quantities, stays, daily cost) is stored under the
-contracts that have it.
+types; the sums that get there combine before their shuffle. A type's daily
+cost is stored under the contracts that have it.
 
 The store is a snapshot with one commit; a write that dies leaves the one before.
 
@@ -32,6 +33,7 @@ from __future__ import annotations
 import datetime as _dt
 import hashlib
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -55,9 +57,7 @@ class ContractStore:
     """The tables of one snapshot, each bucketed by contract."""
 
     movement_days: DataFrame
-    lines: DataFrame
-    line_quantity: DataFrame
-    stays: DataFrame
+    stays: DataFrame  # quotation lines: of type 0 a row a stay, of type 2 with the group's quantity
     type_cost: DataFrame
     parties: DataFrame
 
@@ -76,6 +76,16 @@ def movement_days(relocation: DataFrame) -> DataFrame:
     return relocation.groupBy(*MOVED, day).agg(*sums)
 
 
+def _lines(t: R.RentTables) -> DataFrame:
+    """The quotation lines, each of type 0 next to its stays and of type 2
+    next to its group's quantity (NULL without); lines of other types are no rent."""
+    kind = F.col("quotation_type")
+    lines = t.vq.select(KEY, "qt_id", "quotation_type", "equip_type_id", "equip_quantity", "rent_daily")
+    parts = [lines.where(kind == 1), lines.where(kind == 2).join(R.quantity_by_quotation(t.vq_equip), "qt_id", "left"),
+             lines.where(kind == 0).join(t.vq_wholesale.select("qt_id", "entry_date", "exit_date"), "qt_id", "left")]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+
+
 def write_contract_store(path: str, t: R.RentTables, equip_dailycost: DataFrame, buckets: int | None = None) -> str:
     """Store the tables at ``path`` as a new snapshot in one commit; its name.
 
@@ -91,17 +101,15 @@ def write_contract_store(path: str, t: R.RentTables, equip_dailycost: DataFrame,
     if not all(x.where(F.col(KEY) == NONE).isEmpty() for x in (t.relocation, t.vq)):
         raise ValueError(f"{NONE} stands for a missing contract")
     version, name = next_snapshot(spark, path)
-    quoted = t.vq.select(KEY, "qt_id").distinct()
-    named = t.relocation.select(KEY, "equip_type_name").distinct()
     _write(movement_days(t.relocation), f"{path}/{name}", "movement_days", n)
-    _write(t.vq.select(KEY, "qt_id", "quotation_type", "equip_type_id", "equip_quantity", "rent_daily"), f"{path}/{name}", "lines", n)
-    _write(R.quantity_by_quotation(t.vq_equip).join(quoted, "qt_id"), f"{path}/{name}", "line_quantity", n)
-    _write(t.vq_wholesale.select("qt_id", "entry_date", "exit_date").join(quoted, "qt_id"), f"{path}/{name}", "stays", n)
+    _write(_lines(t), f"{path}/{name}", "stays", n)
+    moved = _read(spark, f"{path}/{name}", n, ("movement_days",))["movement_days"]
+    named = moved.select(KEY, "equip_type_name").distinct()  # where the rows are
     _write(named.join(equip_dailycost.select("equip_type_name", "cost_day_std"), "equip_type_name"), f"{path}/{name}", "type_cost", n)
     _write(t.vq.select(KEY, "ep_id", "ep_name").distinct(), f"{path}/{name}", "parties", n)
-    store = _read(spark, f"{path}/{name}", n)
-    grouped = store.lines.where("quotation_type = 2").select(F.col(KEY).alias("quoted_q_id"), F.col("qt_id").alias("line")).distinct()
-    stray = (store.movement_days.select(KEY, "qt_id").distinct().join(grouped, F.col("qt_id") == F.col("line"))
+    lines = _read(spark, f"{path}/{name}", n, ("stays",))["stays"]
+    quoted = lines.where("quotation_type = 2").select(F.col(KEY).alias("quoted_q_id"), F.col("qt_id").alias("line")).distinct()
+    stray = (moved.select(KEY, "qt_id").distinct().join(quoted, F.col("qt_id") == F.col("line"))
              .where(F.col(KEY) != F.col("quoted_q_id")).select("qt_id").first())
     if stray:
         raise ValueError(f"line {stray[0]} is moved under a contract that doesn't quote it")
@@ -114,7 +122,7 @@ def read_contract_store(spark: SparkSession, path: str) -> ContractStore:
     counts = {x.rpartition("-")[2] for x in tables}
     if len(counts) != 1 or {x.rpartition("-")[0] for x in tables} != set(TABLES):
         raise ValueError(f"no contract store at {path}")
-    return _read(spark, root, int(counts.pop()))
+    return ContractStore(**_read(spark, root, int(counts.pop())))
 
 
 def _folder(table: str, buckets: int) -> str:
@@ -142,9 +150,9 @@ def _write(df: DataFrame, root: str, table: str, buckets: int) -> None:
      .saveAsTable(_table(path)))
 
 
-def _read(spark: SparkSession, root: str, buckets: int) -> ContractStore:
+def _read(spark: SparkSession, root: str, buckets: int, tables: tuple[str, ...] = TABLES) -> dict[str, DataFrame]:
     found = {}
-    for table in TABLES:
+    for table in tables:
         path = f"{root}/{_folder(table, buckets)}"
         if not spark.catalog.tableExists(_table(path)):  # written by another session
             columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in spark.read.parquet(path).schema)
@@ -152,7 +160,7 @@ def _read(spark: SparkSession, root: str, buckets: int) -> ContractStore:
             spark.sql(f"CREATE TABLE {_table(path)} ({columns}) USING parquet CLUSTERED BY ({KEY}) SORTED BY ({KEY}) "
                       f"INTO {buckets} BUCKETS LOCATION '{where}'")
         found[table] = spark.table(_table(path))
-    return ContractStore(**found)
+    return found
 
 
 def _days_up_to(moved: DataFrame, cut, signed: bool) -> Column:
@@ -178,40 +186,44 @@ def _known(df: DataFrame) -> DataFrame:
     return df.withColumn(KEY, F.nullif(F.col(KEY), F.lit(NONE)))
 
 
+def _listed(of: DataFrame) -> DataFrame:
+    """The rows of ``of``, which has a few a contract, as one list a contract."""
+    return of.groupBy(F.col(KEY).alias("of_q_id")).agg(F.collect_list(F.struct(*[c for c in of.columns if c != KEY])).alias("listed"))
+
+
+def _left(df: DataFrame, of: DataFrame, key: str, mine: Column) -> DataFrame:
+    """Left join with the rows of ``of`` under the same contract whose ``key`` is ``mine``."""
+    own = F.when(mine.isNotNull(), F.filter("listed", lambda x: x[key] == mine))
+    j = df.join(_listed(of), F.col(KEY) == F.col("of_q_id"), "left")
+    return j.select(*df.columns, F.explode_outer(own).alias("own")).select(*df.columns, "own.*")
+
+
 def _rent(store: ContractStore, start, end, kinds: tuple[int, ...], truncate: bool) -> DataFrame:
     """R5 to R7 of the named pricing types in one pass over the lines.
 
-    Each join is on the contract and on a key that only lines of its type have.
+    Each join is on the contract, then on a key that only lines of its type have.
     """
     kind = F.col("quotation_type")
-    j = store.lines.where(kind.isin(*kinds))
+    j = store.stays.where(kind.isin(*kinds))
     revenue, type_name = F.lit(None).cast("double"), F.lit(None).cast("string")
-
-    def left(of: DataFrame, key: str, mine: Column, *keep: Column) -> DataFrame:
-        of = of.select(F.col(KEY).alias("of_q_id"), F.col(key).alias(f"of_{key}"), *keep)
-        return j.join(of, (F.col(KEY) == F.col("of_q_id")) & (mine == F.col(f"of_{key}")), "left").drop("of_q_id", f"of_{key}")
-
     if 0 in kinds:
         entry, exit_ = F.col("entry_date"), F.col("exit_date")
 
         def left_after(day):
             return F.when(day.isNotNull(), F.datediff(date_lit(end), F.least(F.greatest(day, date_lit(start)), date_lit(end))))
 
-        j = left(store.stays, "qt_id", F.when(kind == 0, F.col("qt_id")),
-                 (left_after(entry) - left_after(exit_)).alias("days"), F.datediff(exit_, entry).alias("totaldays"))
+        j = j.select("*", (left_after(entry) - left_after(exit_)).alias("days"), F.datediff(exit_, entry).alias("totaldays"))
         revenue = F.when(kind == 0, ratio(j, "rent_daily", "totaldays", truncate) * F.col("days")).otherwise(revenue)
     if {1, 2} & set(kinds):
         summary = _summary(store, start, end)
     if 1 in kinds:
-        j = left(summary, "equip_type_id", F.when((kind == 1) & (F.col(KEY) != NONE), F.col("equip_type_id")),
-                 F.col("equip_type_name"), F.col(R.PERIOD_DAYS).alias("type_days"))
+        of_type = summary.select(KEY, F.col("equip_type_id").alias("moved_type"), "equip_type_name", F.col(R.PERIOD_DAYS).alias("type_days"))
+        j = _left(j, of_type, "moved_type", F.when((kind == 1) & (F.col(KEY) != NONE), F.col("equip_type_id")))
         revenue = F.when(kind == 1, ratio(j, "rent_daily", "equip_quantity", truncate) * F.col("type_days")).otherwise(revenue)
         type_name = F.col("equip_type_name")
     if 2 in kinds:
-        grouped = F.when(kind == 2, F.col("qt_id"))
-        j = left(store.line_quantity, "qt_id", grouped, F.col("sumofquantity"))
-        combined = summary.groupBy(KEY, "qt_id").agg(total(summary, R.PERIOD_DAYS).alias("line_days"))
-        j = left(combined, "qt_id", grouped, F.col("line_days"), F.col("qt_id").alias("moved")).where((kind != 2) | F.col("moved").isNotNull())
+        combined = summary.groupBy(KEY, F.col("qt_id").alias("moved")).agg(total(summary, R.PERIOD_DAYS).alias("line_days"))
+        j = _left(j, combined, "moved", F.when(kind == 2, F.col("qt_id"))).where((kind != 2) | F.col("moved").isNotNull())
         revenue = F.when(kind == 2, F.col("line_days") * ratio(j, "rent_daily", "sumofquantity", truncate)).otherwise(revenue)
     return j.select(KEY, "qt_id", "equip_type_id", type_name.alias("equip_type_name"), revenue.alias(R.REVENUE))
 
@@ -222,8 +234,9 @@ def machine_days_summary(store: ContractStore, start, end, signed: bool = False)
 
 
 def rent_type0(store: ContractStore, start, end, truncate: bool = False) -> DataFrame:
-    """R5 as ``rental.rent_type0``."""
-    return _known(_rent(store, start, end, (0,), truncate).select(KEY, "qt_id", R.REVENUE))
+    """R5 as ``rental.rent_type0``; equal lines are counted in their bucket and given as often."""
+    lines = _rent(store, start, end, (0,), truncate).groupBy(KEY, "qt_id", R.REVENUE).agg(F.count("*").cast("int").alias("times"))
+    return _known(lines.select(KEY, "qt_id", R.REVENUE, F.explode(F.array_repeat(F.lit(0), F.col("times"))).alias("i")).drop("i"))
 
 
 def rent_type1(store: ContractStore, start, end, truncate: bool = False) -> DataFrame:
@@ -248,7 +261,8 @@ def accrued_revenue(store: ContractStore, start, end, distinct: bool = True, tru
 
 
 def _cost(store: ContractStore, start, end) -> DataFrame:
-    j = _summary(store, start, end).join(store.type_cost, [KEY, "equip_type_name"], "left")
+    costs = store.type_cost.select(KEY, F.col("equip_type_name").alias("c_type_name"), "cost_day_std")
+    j = _left(_summary(store, start, end), costs, "c_type_name", F.col("equip_type_name"))
     cost = j.select(KEY, (F.col("cost_day_std") * F.col(R.PERIOD_DAYS)).alias(R.STD_COST))
     return cost.groupBy(KEY).agg(exact_sum(R.STD_COST).alias(R.STD_COST))
 

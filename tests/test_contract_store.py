@@ -153,3 +153,36 @@ def test_empty_tables(spark, tmp_path):
     none = R.RentTables(*(x.where("false") for x in (t.relocation, t.vq, t.vq_equip, t.vq_wholesale)))
     CS.write_contract_store(str(tmp_path), none, cost.where("false"), buckets=2)
     assert CS.contract_profitability(CS.read_contract_store(spark, str(tmp_path)), START, END).collect() == []
+
+
+def test_no_exchange_in_a_session_without_conf(spark, tmp_path):
+    t, cost = _tables(spark, True, n=300)
+    CS.write_contract_store(str(tmp_path), t, cost, buckets=4)
+    s = CS.read_contract_store(spark, str(tmp_path))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for report in (CS.rent_type0, CS.rent_type1, CS.rent_type2, CS.accrued_revenue, CS.std_cost_by_contract, CS.contract_profitability):
+            assert "Exchange" not in plan_text(report(s, START, END)), report.__name__
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_lines_and_stays_that_repeat_or_are_missing_keep_their_rows(spark, tmp_path):
+    day = dt.date
+    t = R.RentTables(spark.createDataFrame([(1, 11, "S", 4, "A", day(2021, 1, 1), 2, 1), (1, 11, "S", 4, "B", day(2021, 1, 1), 3, 1)],
+                                           SCHEMAS["relocation"].replace("date timestamp", "date date")),
+                     spark.createDataFrame([(1, 10, 1, "p", 0, 4, 1, 9.0), (1, 10, 1, "p", 0, 4, 1, 9.0), (1, 11, 1, "p", 1, 4, 0, 9.0), (1, 12, 1, "p", 1, 4, 2, 9.0),
+                                            (1, None, 1, "p", 0, 4, 1, 9.0), (1, 14, 1, "p", 0, 4, 1, 9.0), (1, 11, 1, "p", 2, 4, 1, 9.0), (1, 15, 1, "p", None, 4, 1, 9.0)], SCHEMAS["vq"]),
+                     spark.createDataFrame([(11, 2), (11, 1), (None, 5)], SCHEMAS["vq_equip"]),
+                     spark.createDataFrame([(10, day(2021, 2, 1), day(2021, 4, 1)), (10, day(2021, 2, 1), day(2021, 4, 1)), (None, day(2021, 2, 1), day(2021, 4, 1)),
+                                            (14, day(2021, 2, 1), day(2021, 2, 1))], SCHEMAS["vq_wholesale"]))
+    cost = spark.createDataFrame([("A", 1.0), ("A", 2.0)], SCHEMAS["equip_dailycost"])
+    CS.write_contract_store(str(tmp_path), t, cost, buckets=2)
+    s = CS.read_contract_store(spark, str(tmp_path))
+    summary = R.machine_days_summary(R.machine_days(t.relocation, START, END))
+    assert _rows(CS.rent_type0(s, START, END)) == _rows(R.rent_type0(t.vq, t.vq_wholesale, START, END))
+    assert _rows(CS.rent_type1(s, START, END)) == _rows(R.rent_type1(t.vq, summary))
+    assert _rows(CS.rent_type2(s, START, END)) == _rows(R.rent_type2(t.vq, t.vq_equip, summary))
+    assert _rows(CS.accrued_revenue(s, START, END, distinct=False)) == _rows(R.accrued_revenue(t, START, END, distinct=False))
+    assert _rows(CS.contract_profitability(s, START, END)) == _rows(PR.contract_profitability(t, cost, START, END))
