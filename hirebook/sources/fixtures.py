@@ -334,13 +334,20 @@ class Book:
 
 
 _STORED: dict[tuple[str, str], "StoredBook"] = {}
-DATED_TABLES = ("invoice", "bankstatement", "aje")
-CLUSTERED = {"relocation": "q_id"}
+# period reports filter by date, rent and cost group by contract
+SORTED_BY = {"invoice": "date", "bankstatement": "date", "aje": "date", "relocation": "q_id"}
 # business tables derived from other business tables: built from the stored parent
 PARENTS = {"vq_equip": "vq", "equip_dailycost": "equip_type", "report_mapping": "chart_of_accounts",
            "cf_mapping": "bankstatement"}
 
 
+def laid_out(name: str, df: DataFrame) -> DataFrame:
+    """Table ``name`` as it is stored: each file sorted, so that scans skip its
+    row groups and pages of other days. The rows stay in the tasks that derive
+    them; dealing them by date range would shuffle the whole table once more."""
+    return df.sortWithinPartitions(SORTED_BY[name]) if name in SORTED_BY else df
+
+
 class StoredBook:
     """Business tables derived from the driver's tables and stored once.
 
@@ -380,13 +387,7 @@ class StoredBook:
                 self._derive.__dict__[parent] = self.table(parent)
             df = self._derive.table(name)
             path = f"{self._root}/{name}"
-            if name in DATED_TABLES:
-                # period reports filter these by date: rows dealt by date range and
-                # sorted give files and row groups of few days, so scans skip the rest
-                df = df.repartitionByRange("date").sortWithinPartitions("date")
-            elif name in CLUSTERED:
-                df = df.sortWithinPartitions(CLUSTERED[name])
-            df.write.mode("overwrite").parquet(path)
+            laid_out(name, df).write.mode("overwrite").parquet(path)
             stored = self.spark.read.schema(df.schema).parquet(path)
             with self._lock:
                 self._tables[name] = stored

@@ -1,7 +1,9 @@
 """The stored business tables: built lazily, dependents from stored parents."""
 
+import datetime as dt
+
 from conftest import SF_SMALL
-from hirebook.sources.fixtures import Book, StoredBook, stored_book
+from hirebook.sources.fixtures import Book, StoredBook, laid_out, stored_book
 
 
 def test_only_touched_tables_are_built(spark):
@@ -52,3 +54,14 @@ def test_a_changed_source_is_derived_anew(spark, tmp_path):
     assert stored_book(spark, str(d)) is first
     os.utime(d / "part.parquet", (1, 1))
     assert stored_book(spark, str(d)) is not first
+
+
+def test_dated_tables_are_sorted_where_they_are_derived(spark):
+    from test_scale import plan_text
+    rows = spark.createDataFrame([(i, dt.date(2021, 1, 1 + i * 7 % 28)) for i in range(40)], "k bigint, date date").repartition(3, "k")
+    for name in ("invoice", "bankstatement", "aje"):
+        stored = laid_out(name, rows)
+        assert "rangepartitioning" not in plan_text(stored) and sorted(stored.collect()) == sorted(rows.collect())
+        for part in stored.rdd.glom().collect():
+            assert [r.date for r in part] == sorted(r.date for r in part)
+    assert laid_out("vq", rows) is rows
