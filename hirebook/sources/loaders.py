@@ -22,6 +22,7 @@ from hirebook.sources.fixtures import Book
 from hirebook.sources.schemas import SCHEMAS
 
 FORMATS = ("csv", "parquet", "orc", "json")
+TEXT_FORMATS = ("csv", "json")
 
 # Column names of the report-format files.
 MAPPING_COLUMNS = ["ma_account_id", "ma_account_name", "fp", "pl", "cf"]  # by position
@@ -39,7 +40,7 @@ def _reader(spark: SparkSession, fmt: str, header: bool = True, bad: str = "fail
     if bad not in ("fail", "keep"):
         raise ValueError("bad is 'fail' or 'keep'")
     r = spark.read.format(fmt)
-    if fmt in ("csv", "json"):
+    if fmt in TEXT_FORMATS:
         r = r.option("mode", "FAILFAST" if bad == "fail" else "PERMISSIVE")
     if fmt == "csv":
         r = r.option("header", header).option("enforceSchema", False)
@@ -58,7 +59,7 @@ def read_table(spark: SparkSession, path: str, schema: str | None, fmt: str = "c
     r = _reader(spark, fmt, bad=bad)
     if schema is None:
         return r.load(path)
-    keep = bad == "keep" and fmt in ("csv", "json")
+    keep = bad == "keep" and fmt in TEXT_FORMATS
     return r.option("columnNameOfCorruptRecord", CORRUPT).schema(f"{schema}, {CORRUPT} string" if keep else schema).load(path)
 
 
@@ -67,11 +68,15 @@ def corrupt_rows(df: DataFrame) -> DataFrame:
     return df.where(F.col(CORRUPT).isNotNull())
 
 
-def write_table(df: DataFrame, path: str, fmt: str = "csv", mode: str = "overwrite", by: list[str] | None = None) -> None:
-    """Sink: replace the table at ``path`` (full refresh), in folders ``by`` columns."""
+def write_table(df: DataFrame, path: str, fmt: str = "csv", mode: str = "overwrite", by: list[str] | None = None,
+                compression: str | None = None) -> None:
+    """Sink: replace the table at ``path`` (full refresh), in folders ``by``
+    columns. ``compression``: by default the format's own."""
     w = df.write.mode(mode).format(fmt).partitionBy(*(by or []))
     if fmt == "csv":
         w = w.option("header", True)
+    if compression:
+        w = w.option("compression", compression)
     w.save(path)
 
 
@@ -106,7 +111,7 @@ def bad_cells(spark: SparkSession, path: str, tables=None, fmt: str = "csv", sch
     the column NULL. One scan and one aggregate over all columns a table, all
     in one query. None where nothing can be wrong (typed formats, no schema).
     """
-    if fmt not in ("csv", "json"):
+    if fmt not in TEXT_FORMATS:
         return None
     schemas = SCHEMAS if schemas is None else schemas
     root, listed = current_snapshot(spark, path)
@@ -140,6 +145,8 @@ def write_schedule(tables: dict[str, DataFrame], path: str, fmt: str = "csv", by
     whole; a write that dies half way leaves a folder that nothing names. Of
     two writers at once, one's snapshot is the later, whole. ``prune_snapshots``
     deletes old ones. ``by``: tables that are written in folders by columns.
+    The text formats are written as gzip (loads tell it by the file's name);
+    such a file is one task to read, as it was one task to write.
     """
     root = path.rstrip("/")
     if not tables:
@@ -147,7 +154,8 @@ def write_schedule(tables: dict[str, DataFrame], path: str, fmt: str = "csv", by
     spark = next(iter(tables.values())).sparkSession
     version, name = next_snapshot(spark, root)
     for table, df in tables.items():
-        write_table(df, f"{root}/{name}/{table}", fmt, mode="errorifexists", by=(by or {}).get(table))
+        write_table(df, f"{root}/{name}/{table}", fmt, mode="errorifexists", by=(by or {}).get(table),
+                    compression="gzip" if fmt in TEXT_FORMATS else None)
     return commit_snapshot(spark, root, version, name, list(tables))
 
 

@@ -242,3 +242,20 @@ def test_template_in_several_files_needs_line_numbers(spark, tmp_path):
     _write(folder / "b.csv", head + "FP,Total,,1,,,,,,,,\n")
     with pytest.raises(ValueError):
         LD.load_report_format(spark, str(tmp_path), label_col="caption")
+
+
+@pytest.mark.parametrize("fmt", ["csv", "json"])
+def test_a_schedule_is_written_compressed_and_checked_all_the_same(spark, tmp_path, fmt):
+    rows = spark.createDataFrame([(i, None if i % 9 == 0 else i % 5) for i in range(5000)], "qt_id bigint, quantity int").coalesce(1)
+    name = LD.write_schedule({"vq_equip": rows}, str(tmp_path), fmt)
+    files = list((tmp_path / name / "vq_equip").glob("part-*"))
+    assert files and all(f.name.endswith(f".{fmt}.gz") for f in files)
+    assert sum(f.stat().st_size for f in files) < 5000 * 4
+    back = LD.load_schedule(spark, str(tmp_path), fmt=fmt).vq_equip
+    assert sorted(back.collect(), key=str) == sorted(rows.collect(), key=str)
+    if fmt == "json":
+        return
+    bad = LD.write_schedule({"vq_equip": rows.selectExpr("qt_id", "if(qt_id = 77, 'many', string(quantity)) AS quantity")}, str(tmp_path), fmt)
+    with pytest.raises(ValueError, match="vq_equip.quantity: 1, e.g. 'many'"):
+        LD.load_schedule(spark, str(tmp_path), fmt=fmt)
+    assert LD.current_snapshot(spark, str(tmp_path))[0].endswith(bad)
